@@ -10,6 +10,9 @@ from importlib import import_module
 
 #: One module per operator; each defines ``QUERIES`` and ``ORACLES``.
 MODULES = (
+    "chat",
+    "mixing",
+    "decontam",
     "tokens",
 )
 
