@@ -14,6 +14,7 @@ MODULES = (
     "mixing",
     "decontam",
     "tokens",
+    "simhash",
 )
 
 
