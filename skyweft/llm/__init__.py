@@ -11,6 +11,7 @@ from importlib import import_module
 #: One module per operator; each defines ``QUERIES`` and ``ORACLES``.
 MODULES = (
     "chat",
+    "quality",
     "mixing",
     "decontam",
     "tokens",
