@@ -16,6 +16,7 @@ MODULES = (
     "decontam",
     "tokens",
     "simhash",
+    "langid",
 )
 
 
