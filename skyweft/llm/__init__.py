@@ -17,6 +17,7 @@ MODULES = (
     "tokens",
     "simhash",
     "langid",
+    "toxicity",
 )
 
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -82,11 +83,8 @@ def grams(word: str) -> list[str]:
 
 
 def bucket(gram: str) -> int:
-    """FNV-1a; alike in every process."""
-    h = 2166136261
-    for b in gram.encode("utf-8", "surrogatepass"):
-        h = ((h ^ b) * 16777619) & 0xFFFFFFFF
-    return (h ^ (h >> 16)) % BUCKETS
+    """A hash that is alike in every process."""
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 class Model:
