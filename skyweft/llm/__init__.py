@@ -18,6 +18,8 @@ MODULES = (
     "simhash",
     "langid",
     "toxicity",
+    "lmscore",
+    "ann",
 )
 
 

@@ -35,7 +35,7 @@ from skyweft.llm.common import table, written
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 SHARDS = 16
-BLOCK_WORDS = 64
+BLOCK_WORDS = 256
 SEED = 42
 #: Rows that one bucket of a source holds, on average, while lines are laid out.
 BUCKET_ROWS = 10_000
@@ -72,7 +72,7 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS, most: float = MOST) -> D
 
 def quotas(goal: DataFrame, block_words: int, most: int) -> DataFrame:
     """Adds words a block, blocks of the source and the quota of blocks to draw."""
-    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / 256))).cast("long")
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / 512))).cast("long")
     goal = goal.withColumn("block", block).withColumn("blocks", F.ceil(F.col("source_size") / F.col("block")).cast("long"))
     quota = F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"), most * F.col("blocks"))
     return goal.withColumn("quota", F.when(F.col("source_size") > 0, quota).otherwise(F.lit(0).cast("long")))
