@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from skyweft.llm.common import table
 
 #: Production parameters.
-BOOKS, WORDS, BEAM, ROUNDS = 8, 128, 4, 8
+BOOKS, WORDS, BEAM, ROUNDS = 16, 128, 4, 8
 TRAIN_ROWS = 8192
-NEAREST, SHORTLIST = 10, 128
+NEAREST, SHORTLIST = 10, 256
 QUERY_BLOCK = 4096
 QUERY_EVERY = 100
 #: Rows of the index scored at a time against a block.
