@@ -38,7 +38,7 @@ SHARDS = 16
 BLOCK_WORDS = 256
 SEED = 42
 #: Rows that one bucket of a source holds, on average, while lines are laid out.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1_000
 #: Rounds of the block permutation.
 ROUNDS = 12
 WORD = r"[^\x20\x09-\x0D]+"
@@ -227,7 +227,8 @@ def plan(sized: DataFrame, weights: tuple, most: int, shards: int, block_words:
     goal = written(quotas(targets(sized, weights, most), block_words, most))
     tree = split_tree(goal, shards, seed)
     per_source = goal.join(tree, goal["source"].eqNullSafe(tree["source"]), "left").select(goal["source"].alias("s"), "source_size", "target", "block", "blocks", "quota", "ends")
-    placed = laid_out(sized, seed)
+    # rows are few bytes but costly to place, so they are dealt out again, not coalesced
+    placed = laid_out(sized, seed).repartition(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     d = placed.join(per_source, placed["source"].eqNullSafe(per_source["s"])).drop("s")
     first, last = F.floor(F.col("at") / F.col("block")), F.floor((F.col("at") + F.col("size") - 1) / F.col("block"))
     epochs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / F.col("blocks")))
