@@ -1,0 +1,57 @@
+"""Closed forms of the solver as column expressions: GDOP, robust cost, residuals."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from skyweft.functions.geo import distance
+from skyweft.functions.let import col, let
+
+SOFT_SCALE = 500.0
+
+
+def soft_l1(residual, scale: float = SOFT_SCALE) -> Column:
+    """Cost of one residual: 2 f^2 (sqrt(1 + (r / f)^2) - 1)."""
+    z = col(residual) / scale
+    return (F.sqrt(z * z + 1) - 1) * (2 * scale * scale)
+
+
+def soft_l1_row_scale(residual, scale: float = SOFT_SCALE) -> Column:
+    z = col(residual) / scale
+    return F.pow(z * z + 1, F.lit(-0.25))
+
+
+def timing_residuals(position: Column, sensors: Column) -> Column:
+    """array<double> of (t - t0) v - range, t0 being the mean of t - range / v.
+
+    ``sensors``: array<struct<ecef, t, v>>, t in seconds.
+    """
+    ranged = F.transform(sensors, lambda s: F.struct(s["t"].alias("t"), s["v"].alias("v"), distance(position, s["ecef"]).alias("r")))
+
+    def eliminated(rs):
+        t0 = F.aggregate(rs, F.lit(0.0), lambda a, s: a + s["t"] - s["r"] / s["v"]) / F.size(rs)
+        return let(t0, lambda t: F.transform(rs, lambda s: (s["t"] - t) * s["v"] - s["r"]))
+
+    return let(ranged, eliminated)
+
+
+def gdop_2d(east: Column, north: Column) -> Column:
+    """sqrt of the trace of the inverse normal matrix of unit vectors' plane parts.
+
+    ``east`` and ``north`` are columns to be summed over a group's rows (an aggregate
+    expression); null if there are under two rows or the matrix is singular.
+    """
+    ee, nn, en = F.sum(east * east), F.sum(north * north), F.sum(east * north)
+    det = ee * nn - en * en
+    return F.when((F.count(east) >= 2) & (det > 1e-12), F.sqrt((ee + nn) / det))
+
+
+def plane_parts(lat, lon, ecef: Column, sensor: Column) -> Column:
+    """struct<e, n>: the unit vector from a place to a sensor, in its plane."""
+    phi, lam = F.radians(col(lat)), F.radians(col(lon))
+    r = distance(ecef, sensor)
+    d = [(sensor[k] - ecef[k]) / r for k in ("x", "y", "z")]
+    east = d[1] * F.cos(lam) - d[0] * F.sin(lam)
+    north = d[2] * F.cos(phi) - (d[0] * F.cos(lam) + d[1] * F.sin(lam)) * F.sin(phi)
+    return F.struct(east.alias("e"), north.alias("n"))
