@@ -108,11 +108,10 @@ def gillham_altitude(code) -> Column:
     """Feet of a 13-bit field in 100-ft Gillham code; null if impossible."""
     code = col(code)
     fives = _gray(_word(code, (_D2, _D4, _A1, _A2, _A4, _B1, _B2, _B4)), 8)
-    ones = _gray(_word(code, (_C1, _C2, _C4)), 3)
-    ones = F.when(ones == 7, 5).otherwise(ones)
+    raw = _gray(_word(code, (_C1, _C2, _C4)), 3)
+    ones = F.when(raw == 7, 5).otherwise(raw)
     turned = F.when(fives % 2 == 1, F.lit(6) - ones).otherwise(ones)
-    feet = fives * 500 + turned * 100 - 1300
-    return F.when(ones.between(1, 5) & (_word(code, (_C1, _C2, _C4)) != 0), feet.cast("int"))
+    return F.when(raw.isin(1, 2, 3, 4, 7), (fives * 500 + turned * 100 - 1300).cast("int"))
 
 
 def altitude_code(code) -> Column:
