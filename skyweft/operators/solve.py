@@ -26,6 +26,7 @@ CACHE_AGE_S = 120.0
 PREDICT_S = 60.0
 MAX_PAIR_VARIANCE_S2 = 50e-12
 DEFAULT_ALT_M = 10_000.0
+NOWHERE = np.full(3, np.nan)
 #: An output row: a fix, a group passed on unsolved, or neither, with the reason.
 RECORD = T.StructType(
     [
@@ -106,28 +107,44 @@ def lockstep(keys: np.ndarray) -> Iterator[np.ndarray]:
 
 
 class Solver:
+    """Solves the groups of Arrow batches; ``cache`` lives as long as the partition."""
+
     def __init__(self, config: Config):
         self.config, self.cache = config, Cache()
 
     def batch(self, rows: list[dict]) -> list[dict]:
         out: list[dict] = [{} for _ in rows]
+        sizes = np.fromiter((len(r["receptions"]) for r in rows), np.int64, len(rows))
+        flat = np.array([(p["lat"], p["lon"], p["alt"]) for r in rows for p in r["receptions"]], float).reshape(-1, 3)
+        stamps = np.array([p["timestamp_s"] * 1_000_000_000 + p["timestamp_ns"] for r in rows for p in r["receptions"]], np.int64)
+        ecef, begin = S.lla_to_ecef(flat[:, 0], flat[:, 1], flat[:, 2]), np.cumsum(sizes) - sizes
         for part in lockstep(np.array([r["icao"] for r in rows], object)):
             ready: dict[int, list] = {}
             for i in part.tolist():
                 case = self._prepare(rows[i])
-                if "kind" in case:
+                if isinstance(case, dict):
                     out[i] = case
                 else:
-                    ready.setdefault(len(rows[i]["receptions"]), []).append((i, case))
+                    ready.setdefault(int(sizes[i]), []).append((i, *case))
             for n, cases in ready.items():
-                solved = S.solve(*[np.array([c[k] for _, c in cases]) for k in ("s", "t", "salt", "alt", "prior", "uncertainty")])
-                for (i, case), f in zip(cases, solved):
-                    out[i] = self._finish(rows[i], case, f)
+                at = begin[[c[0] for c in cases]][:, None] + np.arange(n)
+                first = stamps[at].min(1)
+                s, t, salt = ecef[at], (stamps[at] - first[:, None]) * 1e-9, flat[at, 2]
+                alt, prior, sigma = (np.array([c[k] for c in cases]) for k in (1, 2, 3))
+                f = S.solve(s, t, salt, alt, prior, sigma)
+                lat, lon, h = S.ecef_to_lla(f["x"])
+                alt_m = np.where(np.isfinite(alt), alt, h)
+                x = S.lla_to_ecef(lat, lon, alt_m)
+                off = (t - f["t0"][:, None]) * C_VACUUM - np.linalg.norm(x[:, None] - s, axis=2)
+                for k, c in enumerate(cases):
+                    out[c[0]] = self._finish(rows[c[0]], c[4], {a: v[k] for a, v in f.items()}, x[k], float(lat[k]), float(lon[k]), float(alt_m[k]), int(first[k]), off[k])
         return out
 
-    def _prepare(self, g: dict) -> dict:
-        icao, t_ns, rec = g["icao"], g["t_ns"], g["receptions"]
-        if len(rec) < 2:
+    def _prepare(self, g: dict) -> dict | tuple:
+        """What the solver needs (altitude, prior, uncertainty) and the cached position,
+        or a record if the group isn't to be solved."""
+        icao, t_ns, n = g["icao"], g["t_ns"], len(g["receptions"])
+        if n < 2:
             return record("skipped", "too_few_sensors", g)
         if self.config.seed_prior_from_own_message:
             self._seed(g)
@@ -138,7 +155,7 @@ class Solver:
         if alt_ft is None and seen is not None:
             alt_ft = float(np.floor(seen.alt_m / FEET + 0.5))
         g["altitude_ft"] = alt_ft
-        if len(rec) == 2 and alt_ft is not None:
+        if n == 2 and alt_ft is not None:
             if seen is None:
                 return record("unsolved_group", "no_prior_2sensor", g)
             least = self.config.delegate_2sensor_min_solves
@@ -150,18 +167,7 @@ class Solver:
         if seen is not None:
             dt = abs(seen.age(t_ns))
             uncertainty = max(50.0, 25 * dt * dt + seen.residual) if seen.velocity is not None else max(100.0, 300 * dt + seen.residual)
-        stamps = np.array([r["timestamp_s"] * 1_000_000_000 + r["timestamp_ns"] for r in rec], np.int64)
-        place = np.array([(r["lat"], r["lon"], r["alt"]) for r in rec], float)
-        return {
-            "s": S.lla_to_ecef(place[:, 0], place[:, 1], place[:, 2]),
-            "t": (stamps - stamps.min()) * 1e-9,
-            "salt": place[:, 2],
-            "alt": np.nan if alt_ft is None else alt_ft * FEET,
-            "prior": np.full(3, np.nan) if seen is None else seen.predict(t_ns),
-            "uncertainty": uncertainty,
-            "first": int(stamps.min()),
-            "seen": seen,
-        }
+        return (np.nan if alt_ft is None else alt_ft * FEET), (NOWHERE if seen is None else seen.predict(t_ns)), uncertainty, seen
 
     def _seed(self, g: dict) -> None:
         """A decoded position message is the aircraft's position at its time."""
@@ -173,23 +179,21 @@ class Solver:
         known = alt_m if alt_m is not None else seen.alt_m if seen is not None else DEFAULT_ALT_M
         self.cache.put(g["icao"], x, g["cpr_lat"], g["cpr_lon"], known, g["t_ns"], 0.0)
 
-    def _finish(self, g: dict, case: dict, f: dict) -> dict:
+    def _finish(self, g: dict, seen: Cached | None, f: dict, x: np.ndarray, lat: float, lon: float, alt_m: float, first: int, off: np.ndarray) -> dict:
         if f["fail"]:
             return record("unsolved_group" if g["altitude_ft"] is not None else "failed", f["fail"], g)
-        lat, lon, alt_m = (float(a) for a in S.ecef_to_lla(f["x"]))
-        alt_ft = g["altitude_ft"] if g["altitude_ft"] is not None else alt_m / FEET
-        x = S.lla_to_ecef(lat, lon, alt_ft * FEET)
-        if case["seen"] is not None and not case["seen"].consistent(x, g["t_ns"], f["quality"]):
+        if seen is not None and not seen.consistent(x, g["t_ns"], f["quality"]):
             return record("failed", "physically_inconsistent", g)
-        self.cache.put(g["icao"], x, lat, lon, alt_ft * FEET, g["t_ns"], f["residual"])
+        self.cache.put(g["icao"], x, lat, lon, alt_m, g["t_ns"], float(f["residual"]))
+        alt_ft = g["altitude_ft"] if g["altitude_ft"] is not None else alt_m / FEET
         out = record("fix", None, g)
         out["fix"] = {
-            "icao": g["icao"], "lat": lat, "lon": lon, "alt_ft": float(alt_ft), "residual_m": f["residual"], "quality_residual_m": f["quality"], "gdop": f["gdop"],
-            "num_sensors": f["n"], "solve_method": f["method"], "timestamp_s": case["first"] // 1_000_000_000, "timestamp_ns": case["first"] % 1_000_000_000,
-            "df_type": g["df_type"], "squawk": g["squawk"], "raw_msg": g["raw_msg"], "t0_s": f["t0"],
+            "icao": g["icao"], "lat": lat, "lon": lon, "alt_ft": float(alt_ft), "residual_m": float(f["residual"]), "quality_residual_m": float(f["quality"]), "gdop": float(f["gdop"]),
+            "num_sensors": int(f["n"]), "solve_method": f["method"], "timestamp_s": first // 1_000_000_000, "timestamp_ns": first % 1_000_000_000,
+            "df_type": g["df_type"], "squawk": g["squawk"], "raw_msg": g["raw_msg"], "t0_s": float(f["t0"]),
         }
         out["sensor_ids"] = [r["sensor_id"] for r in g["receptions"]]
-        out["sensor_residuals"] = ((case["t"] - f["t0"]) * C_VACUUM - np.linalg.norm(x - case["s"], axis=1)).tolist()
+        out["sensor_residuals"] = off.tolist()
         return out
 
 

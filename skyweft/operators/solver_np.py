@@ -191,39 +191,67 @@ def _dilution(h: np.ndarray, ok: np.ndarray) -> np.ndarray:
 METHODS = ("prior_2sensor", "constrained_3sensor", "inamdar_5sensor", "inamdar_4sensor_alt", "frisch_toa")
 
 
-def solve(s: np.ndarray, t: np.ndarray, salt: np.ndarray, alt: np.ndarray, prior: np.ndarray, uncertainty: np.ndarray) -> list[dict]:
-    """One outcome a group: ``fail`` (a reason or None), x, residual, quality, gdop, n, method, t0.
+def solve(s: np.ndarray, t: np.ndarray, salt: np.ndarray, alt: np.ndarray, prior: np.ndarray, uncertainty: np.ndarray) -> dict[str, np.ndarray]:
+    """Outcomes of groups with equally many receptions, as arrays.
 
-    All groups have the same number of receptions; ``alt`` in metres.
+    ``fail`` (a reason or None), x, residual, quality, gdop, n (sensors used), method
+    and t0; ``alt`` in metres. All but ``fail`` mean nothing where it isn't None.
     """
     g, n = t.shape
     has_alt, has_prior = np.isfinite(alt), np.isfinite(prior).all(1)
     need = np.where(has_alt & has_prior, 2, np.where(has_alt, 3, 4))
-    out = [{"fail": "too_few_sensors"} for _ in range(g)]
-    go = np.flatnonzero(n >= need)
-    if not len(go):
+    out = {
+        "fail": np.full(g, None, object), "method": np.full(g, None, object), "x": np.zeros((g, 3)), "n": np.full(g, n),
+        **{k: np.zeros(g) for k in ("residual", "quality", "gdop", "t0")},
+    }
+    out["fail"][n < need] = "too_few_sensors"
+    i = np.flatnonzero(n >= need)
+    if not len(i):
         return out
-    s, t, salt, alt, prior, uncertainty, need = (a[go] for a in (s, t, salt, alt, prior, uncertainty, need))
-    has_alt, has_prior = has_alt[go], has_prior[go]
-    nowhere = np.full_like(prior, np.nan)
-    start = np.where(has_prior[:, None], prior, centroid(s, alt))
+    s, t, salt, alt, prior, need = (a[i] for a in (s, t, salt, alt, prior, need))
+    start = np.where(has_prior[i][:, None], prior, centroid(s, alt))
+    used = np.ones(t.shape, bool)
     if n == 2:
-        weight = np.clip(500.0 / np.maximum(uncertainty, 1.0), 1.0, 12.0)
-        found = [_row(r, i, "prior_2sensor", s[i], n) for r in [toa(start, s, t, salt, alt, prior, weight, 50)] for i in range(len(go))]
+        weight = np.clip(500.0 / np.maximum(uncertainty[i], 1.0), 1.0, 12.0)
+        r = toa(start, s, t, salt, alt, prior, weight, 50)
+        method = np.full(len(i), "prior_2sensor", object)
     elif n == 3:
-        r = toa(start, s, t, salt, alt, nowhere, np.zeros(len(go)), 50)
-        found = [_row(r, i, "constrained_3sensor" if has_alt[i] else "frisch_toa", s[i], n) for i in range(len(go))]
+        r = toa(start, s, t, salt, alt, np.full_like(prior, np.nan), np.zeros(len(i)), 50)
+        method = np.full(len(i), "constrained_3sensor", object)
     else:
-        found = _with_outliers(s, t, salt, alt, prior, start, need)
-    for k, i in enumerate(go.tolist()):
-        out[i] = _checked(found[k], n, alt[k], prior[k])
+        r, method, used = _with_outliers(s, t, salt, alt, prior, start, need)
+    out["x"][i], out["residual"][i], out["t0"][i], out["method"][i], out["n"][i] = r["x"], r["residual"], r["t0"], method, used.sum(1)
+    out["quality"][i], out["gdop"][i], out["fail"][i] = _checked(r, used, s, alt, prior)
     return out
 
 
-def _row(r: dict, i: int, method: str, used: np.ndarray, n: int) -> dict:
-    if not r["ok"][i]:
-        return {"fail": "solver_diverged"}
-    return {"fail": None, "x": r["x"][i], "residual": float(r["residual"][i]), "t0": float(r["t0"][i]), "method": method, "used": used, "n": n}
+def _checked(r: dict, used: np.ndarray, s: np.ndarray, alt: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Quality, GDOP and failure of each solution: the first limit that it breaks."""
+    x, res, n = r["x"], r["residual"], used.shape[1]
+    n_used = used.sum(1)
+    has_prior, has_alt = np.isfinite(prior).all(1), np.isfinite(alt)
+    offset = np.where(has_prior, np.linalg.norm(x - np.where(has_prior[:, None], prior, 0), axis=1), 0.0)
+    quality = np.where((n == 2) & has_prior, np.maximum(res, offset), res)
+    far = (np.linalg.norm(x[:, None] - s, axis=2) > MAX_RANGE_M) & used
+    cap = np.where((n == 2) & has_prior, 200.0, np.where((n_used == 3) & has_alt, 2000.0, np.where(n_used >= 4, 5000.0, 10_000.0)))
+    drift = (5_000.0 if n == 2 else 30_000.0) * np.clip(200.0 / np.maximum(res, 10.0), 1.0, 3.0)
+    gdop = np.zeros(len(x))
+    for pattern in np.unique(used, axis=0):
+        same = np.flatnonzero((used == pattern).all(1))
+        sub = s[same][:, pattern]
+        gdop[same] = gdop_3d(x[same], sub) if pattern.sum() >= 4 else np.where(has_alt[same], gdop_2d(x[same], sub), 0.0)
+    fail = np.full(len(x), None, object)
+    for broken, reason in (
+        ((n_used <= 3) & ~np.isfinite(gdop), "degenerate_geometry"),
+        ((n_used == 3) & has_alt & (gdop > MAX_GDOP_2D), "gdop_2d_exceeded"),
+        ((n_used >= 4) & (gdop > MAX_GDOP), "gdop_exceeded"),
+        (has_prior & (n <= 3) & (offset > drift), "prior_drift_exceeded"),
+        (res > cap, "residual_exceeded"),
+        (far.any(1), "range_exceeded"),
+        (~r["ok"], "solver_diverged"),
+    ):
+        fail[broken] = reason  # the last that holds is the first in order
+    return quality, gdop, fail
 
 
 def _starts(s, t, alt, prior, fallback) -> tuple[np.ndarray, list[str]]:
@@ -244,54 +272,29 @@ def _starts(s, t, alt, prior, fallback) -> tuple[np.ndarray, list[str]]:
     return x, names
 
 
-def _with_outliers(s, t, salt, alt, prior, fallback, need) -> list[dict]:
-    """Solve, and while the residual is large and enough remain, drop the worst sensor."""
+def _with_outliers(s, t, salt, alt, prior, fallback, need) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Solve, and while the residual is large and enough remain, drop the worst sensor.
+
+    Returns the solutions, their methods and which sensors each used; the best residual
+    and its own sensors stay together.
+    """
     nowhere = np.full_like(prior, np.nan)
     x0, names = _starts(s, t, alt, prior, fallback)
     r = toa(x0, s, t, salt, alt, nowhere, np.zeros(len(t)), 1000)
-    first = [_row(r, i, names[i], s[i], t.shape[1]) for i in range(len(t))]
-    out = []
-    for i, best in enumerate(first):
-        keep = np.arange(t.shape[1])
-        now = best
-        while now["fail"] is None and now["residual"] > OUTLIER_M and len(keep) > max(3, need[i]):
-            res, _, _ = timing(now["x"][None], s[i : i + 1, keep], t[i : i + 1, keep], speeds(salt[i : i + 1, keep], alt[i : i + 1]))
+    method, used = np.array(names, object), np.ones(t.shape, bool)
+    for i in np.flatnonzero(r["ok"] & (r["residual"] > OUTLIER_M)).tolist():
+        keep, at, base, now = np.arange(t.shape[1]), r["x"][i], names[i], r["residual"][i]
+        while now > OUTLIER_M and len(keep) > max(3, need[i]):
+            res, _, _ = timing(at[None], s[i : i + 1, keep], t[i : i + 1, keep], speeds(salt[i : i + 1, keep], alt[i : i + 1]))
             keep = np.delete(keep, int(np.abs(res[0]).argmax()))
-            part = (s[i : i + 1, keep], t[i : i + 1, keep] - t[i, keep].min(), salt[i : i + 1, keep], alt[i : i + 1])
-            label = "constrained_3sensor" if len(keep) == 3 else best["method"]
-            again = toa(now["x"][None], *part[:3], part[3], nowhere[:1], np.zeros(1), 50 if len(keep) == 3 else 1000)
-            again["t0"] = again["t0"] + t[i, keep].min()
-            now = _row(again, 0, f"{label}_drop{t.shape[1] - len(keep)}", s[i, keep], len(keep))
-            if now["fail"] is None and now["residual"] < best["residual"]:
-                best = now
-        out.append(best)
-    return out
-
-
-def _checked(f: dict, n: int, alt: float, prior: np.ndarray) -> dict:
-    """Range, residual, drift and geometry limits, in that order."""
-    if f["fail"]:
-        return f
-    x, used, res = f["x"], f["used"], f["residual"]
-    has_prior, has_alt = bool(np.isfinite(prior).all()), bool(np.isfinite(alt))
-    offset = float(np.linalg.norm(x - prior)) if has_prior else 0.0
-    f["quality"] = max(res, offset) if n == 2 and has_prior else res
-    if (np.linalg.norm(x - used, axis=1) > MAX_RANGE_M).any():
-        return {"fail": "range_exceeded"}
-    cap = 200.0 if n == 2 and has_prior else 2000.0 if f["n"] == 3 and has_alt else 5000.0 if f["n"] >= 4 else 10_000.0
-    if res > cap:
-        return {"fail": "residual_exceeded"}
-    if has_prior and n <= 3 and offset > (5_000.0 if n == 2 else 30_000.0) * min(3.0, max(1.0, 200.0 / max(res, 10.0))):
-        return {"fail": "prior_drift_exceeded"}
-    f["gdop"] = 0.0
-    if f["n"] >= 4:
-        f["gdop"] = float(gdop_3d(x[None], used[None])[0])
-        if f["gdop"] > MAX_GDOP:
-            return {"fail": "gdop_exceeded"}
-    elif has_alt:
-        f["gdop"] = float(gdop_2d(x[None], used[None])[0])
-        if f["n"] >= 3 and f["gdop"] > MAX_GDOP_2D:
-            return {"fail": "gdop_2d_exceeded"}
-        if not np.isfinite(f["gdop"]):
-            return {"fail": "degenerate_geometry"}
-    return f
+            first = t[i, keep].min()
+            again = toa(at[None].copy(), s[i : i + 1, keep], t[i : i + 1, keep] - first, salt[i : i + 1, keep], alt[i : i + 1], nowhere[:1], np.zeros(1), 50 if len(keep) == 3 else 1000)
+            if not again["ok"][0]:
+                break
+            at, now = again["x"][0], again["residual"][0]
+            if now < r["residual"][i]:
+                r["x"][i], r["residual"][i], r["t0"][i] = at, now, again["t0"][0] + first
+                used[i] = False
+                used[i, keep] = True
+                method[i] = f"{'constrained_3sensor' if len(keep) == 3 else base}_drop{t.shape[1] - len(keep)}"
+    return r, method, used

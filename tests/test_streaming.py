@@ -16,7 +16,7 @@ def run(stream, name, tmp_path, mode="append"):
 
 
 def test_correlation(spark, tmp_path):
-    rows = [(s, 50.0, -5.0, 10.0, t, 1000 * s, f"{t:014X}", "ABCDEF", 17, 30000, None) for t in range(20) for s in range(3)]
+    rows = [(s, 50.0, -5.0, 10.0, t + 1, 1000 * s, f"{t:014X}", "ABCDEF", 17, 30000, None) for t in range(20) for s in range(3)]
     spark.createDataFrame(rows, DECODED).coalesce(1).write.json(str(tmp_path / "in"))
     batch = {r["raw_msg"] for r in correlate.correlate(spark.createDataFrame(rows, DECODED)).collect()}
     spark.createDataFrame([(9, 50.0, -5.0, 10.0, 100, 0, "F" * 14, "ABCDEF", 17, 30000, None)], DECODED).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
