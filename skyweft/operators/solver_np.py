@@ -89,8 +89,8 @@ def levenberg_marquardt(x0, s, t, v, alt, prior, weight, most: int) -> tuple[np.
     """Positions and whether they are finite: robust least squares, all groups at once.
 
     Damping is added to the diagonal, halved on an accepted step and raised tenfold on
-    a rejected one; a group is done on an accepted step under 0.1 mm, or when damping
-    has grown so far that no step can help.
+    a rejected one; a group is done on a step under 0.1 mm, accepted or not (a rejected
+    one that short says that nothing near is better), or when damping has run away.
     """
     x = x0.copy()
     damp, live = np.full(len(x), 1e-3), np.isfinite(x).all(1)
@@ -110,7 +110,7 @@ def levenberg_marquardt(x0, s, t, v, alt, prior, weight, most: int) -> tuple[np.
         x[i[better]] = trial[better]
         damp[i] = np.where(better, damp[i] * 0.5, damp[i] * 10)
         size = np.linalg.norm(step, axis=1)
-        live[i[(better & (size < 1e-4)) | (damp[i] > 1e12)]] = False
+        live[i[(size < 1e-4) | (damp[i] > 1e12)]] = False
     return x, good & np.isfinite(x).all(1)
 
 
