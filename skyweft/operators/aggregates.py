@@ -68,3 +68,19 @@ def reference_reception(groups: DataFrame, keep: list[str]) -> DataFrame:
     at = F.transform("receptions", lambda r, i: F.struct((r["timestamp_s"] * F.lit(1_000_000_000).cast("long") + r["timestamp_ns"]).alias("t"), i.alias("i")))
     first = F.array_min(at)
     return groups.select(*keep, F.get("receptions", first["i"]).alias("reference"), first["t"].alias("reference_ns"))
+
+
+def track_stats(tracks: DataFrame, established: int = 2) -> DataFrame:
+    """One row: updates, aircraft, and those with ``established`` updates or more."""
+    by = tracks.groupBy("icao").agg(F.count("*").alias("c"), F.max("track_quality").alias("q"))
+    return by.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("updates"), F.count("*").alias("aircraft"), F.count_if(F.col("q") >= established).alias("established"))
+
+
+def cache_stats(groups: DataFrame, key: str, t: str, most) -> DataFrame:
+    """How often a key's earlier row was no older than ``most``: hits, misses, hit rate,
+    and how many keys came more than once."""
+    gap = F.col(t) - F.lag(t).over(Window.partitionBy(key).orderBy(t))
+    hit = F.coalesce(gap <= F.lit(most), F.lit(False))
+    by = groups.select(key, hit.alias("hit")).groupBy(key).agg(F.count_if("hit").alias("h"), F.count("*").alias("c"))
+    hits, whole = F.coalesce(F.sum("h"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0))
+    return by.agg(hits.alias("hits"), (whole - hits).alias("misses"), rate(hits, whole).alias("hit_rate"), F.count_if(F.col("c") > 1).alias("multi"))

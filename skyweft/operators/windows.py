@@ -14,12 +14,13 @@ def history(key: str, order: list, before: int | None = None):
     return Window.partitionBy(key).orderBy(*order).rowsBetween(start, 0)
 
 
-def lag_rate(df: DataFrame, key: str, order: list, t_s: Column, values: list[str], low: float = 0.1, high: float = 60.0) -> DataFrame:
-    """Adds ``rate_*``: change per second since the key's last row, if low < dt < high."""
+def lag_rate(df: DataFrame, key: str, order: list, t: str, unit: float, values: list[str], low: float = 0.1, high: float = 60.0) -> DataFrame:
+    """Adds ``dt`` (seconds since the key's last row) and ``rate_*``: change per second,
+    if low < dt < high. ``t`` is an integer of ``unit`` a second, subtracted as such."""
     w = Window.partitionBy(key).orderBy(*order)
-    df = df.withColumn("dt", t_s - F.lag(t_s).over(w))
+    df = df.withColumns({"dt": (F.col(t) - F.lag(t).over(w)) / unit, **{f"__{v}": F.lag(v).over(w) for v in values}})
     ok = (F.col("dt") > low) & (F.col("dt") < high)
-    return df.withColumns({f"rate_{v}": F.when(ok, (F.col(v) - F.lag(v).over(w)) / F.col("dt")) for v in values})
+    return df.withColumns({f"rate_{v}": F.when(ok, (F.col(v) - F.col(f"__{v}")) / F.col("dt")) for v in values}).drop(*[f"__{v}" for v in values])
 
 
 def running_count(key: str, order: list) -> Column:

@@ -313,12 +313,9 @@ def even_odd_pair(spark, sf):
 @query(f"""WITH e AS ({sql('event_id', 'user_id', 'value', 't_us')}), w AS (SELECT event_id, value, (t_us - lag(t_us) OVER h) / 1e6::DOUBLE AS dt, lag(value) OVER h AS before FROM e WINDOW h AS (PARTITION BY user_id ORDER BY t_us, event_id))
 SELECT event_id, round(dt, 6) AS dt, CASE WHEN dt > 0.1 AND dt < 86400 THEN round((value - before) / dt, 9) END AS rate FROM w""")
 def lag_velocity(spark, sf):
-    e = events(spark, sf, "event_id", "user_id", "value", "t_us").withColumn("t0", F.col("t_us"))
-    w = windows.lag_rate(e.withColumn("s", F.col("t_us") / 1e6), "user_id", ["t_us", "event_id"], F.col("s"), ["value"], 0.1, 86400.0)
-    exact = (F.col("t_us") - F.lag("t_us").over(windows.Window.partitionBy("user_id").orderBy("t_us", "event_id"))) / 1e6
-    w = w.withColumn("dt", exact).withColumn("before", F.lag("value").over(windows.Window.partitionBy("user_id").orderBy("t_us", "event_id")))
-    ok = (F.col("dt") > 0.1) & (F.col("dt") < 86400)
-    return w.select("event_id", *rounded(6, dt=F.col("dt")), F.when(ok, F.round((F.col("value") - F.col("before")) / F.col("dt"), 9)).alias("rate"))
+    e = events(spark, sf, "event_id", "user_id", "value", "t_us")
+    w = windows.lag_rate(e, "user_id", ["t_us", "event_id"], "t_us", 1e6, ["value"], 0.1, 86400.0)
+    return w.select("event_id", *rounded(6, dt=F.col("dt")), *rounded(9, rate=F.col("rate_value")))
 
 
 @query(f"SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY t_us, event_id)::INT AS track_quality FROM ({sql('event_id', 'user_id', 't_us')})")
@@ -461,6 +458,31 @@ def solve_stats(spark, sf):
     return aggregates.solve_stats(solve.solve_groups(syn.flights(spark, sf, 3)))
 
 
+@query(f"""WITH g AS (SELECT user_id, coalesce(t_us - lag(t_us) OVER (PARTITION BY user_id ORDER BY t_us) <= {TOLERANCE_US}, false) AS hit FROM ({sql('user_id', 't_us')})),
+b AS (SELECT user_id, count(*) FILTER (hit) AS h, count(*) AS c FROM g GROUP BY user_id)
+SELECT sum(h)::BIGINT AS hits, sum(c - h)::BIGINT AS misses, printf('%.1f%%', round(100.0::DOUBLE * sum(h) / sum(c), 1)) AS hit_rate, count(*) FILTER (c > 1) AS multi FROM b""")
+def cache_stats(spark, sf):
+    return aggregates.cache_stats(events(spark, sf, "user_id", "t_us"), "user_id", "t_us", TOLERANCE_US)
+
+
+@query()
+def track_stats(spark, sf):
+    return aggregates.track_stats(track.tracks(solve.solve_groups(syn.flights(spark, sf, 3))))
+
+
+@query(f"""WITH m AS (SELECT event_id, x56, least(x56 >> 51, 24) AS df FROM ({sql('event_id', 'x56')})),
+p AS (SELECT *, xor(list_reduce(list_transform(range(32), lambda i: CASE WHEN (x56 >> (55 - i)) & 1 = 1 THEN ({modes.crc_constants(32)})[i + 1] ELSE 0 END), lambda a, b: xor(a, b)), x56 & 16777215) AS par FROM m)
+SELECT event_id, df::INT AS df_type, CASE WHEN df IN (11, 17, 18) THEN upper(printf('%06x', (x56 >> 24) & 16777215)) ELSE upper(printf('%06x', par)) END AS icao,
+  CASE WHEN df IN (5, 21) THEN {_octal(5, 3, 1)} || {_octal(11, 9, 7)} || {_octal(4, 2, 0)} || {_octal(12, 10, 8)} END AS squawk
+FROM (SELECT *, (x56 >> 24) & 8191 AS c FROM p) WHERE df IN {modes.KNOWN_DF} AND (df IN {modes.CLEAR_DF} OR par <> 0)""")
+def decoded_messages(spark, sf):
+    """Format, address and squawk of messages made of the events' bits."""
+    from skyweft.operators.decode import decode
+
+    e = events(spark, sf, "event_id", "x56").select("event_id", F.lower(_message()).alias("raw_msg"))
+    return decode(e).select("event_id", "df_type", "icao", "squawk")
+
+
 @query()
 def live_snapshot(spark, sf):
     """Latest state, trail, colour band and ellipse of each aircraft."""

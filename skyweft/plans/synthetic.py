@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skyweft.functions import geo
 
 #: Sensors of the synthetic network: id, latitude, longitude, altitude in metres.
-SENSORS = [(i, 49.9 + 0.19 * (i % 5), -6.4 + 0.23 * i, 60.0 + 35.0 * i) for i in range(9)]
+SENSORS = [(i, round(49.8 + 0.14 * (4 * i % 9), 4), -6.5 + 0.25 * i, 60.0 + 35.0 * i) for i in range(9)]
 MESSAGE_BITS = 1 << 56
 
 

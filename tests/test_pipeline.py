@@ -162,3 +162,39 @@ def test_jsonl(spark, tmp_path):
 def test_config():
     c = Config.from_env({"MLAT_WINDOW_MS": "3", "MLAT_MIN_RECEPTIONS": "x"})
     assert (c.window_ns, c.min_receptions) == (3 * MS, 2)
+
+
+def test_packets_to_tracks(spark):
+    """Binary truth: an aircraft that tells its position by CPR is solved near it."""
+    from skyweft.plans import pipeline, synthetic
+
+    def message(lat, lon, odd):
+        zones = 59 if odd else 60
+        dlat = 360 / zones
+        yz = int(np.floor(131072 * (lat % dlat) / dlat + 0.5))
+        rlat = dlat * (yz / 131072 + np.floor(lat / dlat))
+        nl = 1 if abs(rlat) >= 87 else int(2 * np.pi / np.arccos(1 - (1 - np.cos(np.pi / 30)) / np.cos(np.radians(rlat)) ** 2))
+        dlon = 360 / max(nl - odd, 1)
+        xz = int(np.floor(131072 * (lon % dlon) / dlon + 0.5))
+        n = (30000 + 1000) // 25
+        alt = (n >> 4) << 5 | 0x10 | (n & 0xF)
+        me = 11 << 51 | alt << 36 | odd << 34 | (yz % 131072) << 17 | xz % 131072
+        return f"8DABCDEF{me:014X}000000"
+
+    rows = []
+    for k in range(40):
+        lat, lon = 50.2 + k * 1e-4, -5.6 + k * 2e-4
+        x = S.lla_to_ecef(lat, lon, 30000 * 0.3048)
+        for i, a, b, h in synthetic.SENSORS[:5]:
+            v = S.speeds(np.array([[h]]), np.array([30000 * 0.3048]))[0, 0]
+            ns = round(np.linalg.norm(x - S.lla_to_ecef(a, b, h)) / v * 1e9)
+            rows.append((i, a, b, h, 2 * k, int(ns), message(lat, lon, k % 2)))
+    packets = spark.createDataFrame(rows, "sensor_id long, lat double, lon double, alt double, timestamp_s long, timestamp_ns long, raw_msg string")
+    layers = pipeline.build(packets)
+    got = layers.tracks.orderBy("timestamp_s").collect()
+    assert len(got) > 20 and {r["icao"] for r in got} == {"ABCDEF"}
+    last = got[-1]
+    k = last["timestamp_s"] / 2
+    assert abs(last["lat"] - (50.2 + k * 1e-4)) < 2e-3 and abs(last["lon"] - (-5.6 + k * 2e-4)) < 3e-3 and last["alt_ft"] == 30000
+    assert layers.statistics()["tracks"].first()["aircraft"] == 1
+    assert layers.snapshot().first()["band"] == "high"
