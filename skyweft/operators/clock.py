@@ -1,8 +1,7 @@
 """Sensor clock calibration: an offset and drift filter for each pair of sensors.
 
 Reference positions give each pair of receptions a measured clock difference. Pairs
-are partitioned by their two sensors and filtered in time order, all pairs of a
-partition in lockstep; the history of offsets is joined back to groups as of their
+are partitioned by their two sensors and filtered in time order; the history of offsets is joined back to groups as of their
 times, and a spanning tree of least variance corrects each group's times.
 """
 
@@ -10,7 +9,6 @@ from __future__ import annotations
 
 import heapq
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +16,6 @@ from pyspark.sql import types as T
 
 from skyweft.functions import geo
 from skyweft.operators.joins import reception_pairs
-from skyweft.operators.solve import lockstep
 from skyweft.schemas import struct
 
 R, Q_DRIFT, GATE_SIGMA, RESET_AFTER, VALID_AFTER = 25e-12, 1e-18, 3.5, 5, 3
@@ -40,47 +37,48 @@ def measurements(groups: DataFrame) -> DataFrame:
     return pairs.select(F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"), "t_ns", diff.alias("measured"))
 
 
-class PairFilters:
-    """Two-state filters (offset, drift), updated for many pairs at a time."""
+class PairFilter:
+    """Offset and drift of one pair. A handful of sums a measurement: as there are far
+    more measurements than pairs, plain floats beat arrays over the pairs."""
+
+    __slots__ = ("offset", "drift", "p00", "p01", "p11", "n", "run", "t_ns")
 
     def __init__(self):
-        self.slot: dict[tuple, int] = {}
-        self.s = np.zeros((0, 8))  # offset, drift, p00, p01, p11, n, rejected in a row, t
-
-    def update(self, keys: list[tuple], t_ns: np.ndarray, z: np.ndarray) -> list[tuple]:
-        new = [k for k in keys if k not in self.slot]
-        if new:
-            at = len(self.s)
-            self.slot.update({k: at + i for i, k in enumerate(new)})
-            self.s = np.concatenate([self.s, np.zeros((len(new), 8))])
-        i = np.array([self.slot[k] for k in keys])
-        t = t_ns * 1e-9
-        s = self.s[i]
-        fresh = s[:, 5] == 0
-        dt = np.where(fresh, 0.0, np.maximum(t - s[:, 7], 0.0))
-        off = s[:, 0] + s[:, 1] * dt
-        p00 = s[:, 2] + 2 * dt * s[:, 3] + dt * dt * s[:, 4] + Q_DRIFT * dt**3 / 3
-        p01 = s[:, 3] + dt * s[:, 4] + Q_DRIFT * dt**2 / 2
-        p11 = s[:, 4] + Q_DRIFT * dt
-        y, total = z - off, p00 + R
-        wild = ~fresh & (s[:, 5] >= VALID_AFTER) & (np.abs(y) > GATE_SIGMA * np.sqrt(total))
-        run = np.where(wild, s[:, 6] + 1, 0)
-        anew = fresh | (wild & (run >= RESET_AFTER))
-        k0, k1 = p00 / total, p01 / total
-        a = 1 - k0
-        done = np.stack(
-            [
-                off + k0 * y, s[:, 1] + k1 * y, a * a * p00 + k0 * k0 * R, a * (p01 - k1 * p00) + k0 * k1 * R,
-                k1 * k1 * p00 - 2 * k1 * p01 + p11 + k1 * k1 * R, s[:, 5] + 1, 0 * t, np.maximum(t, s[:, 7]),
-            ],
-            axis=1,
-        )
-        kept = np.stack([off, s[:, 1], p00, p01, p11, s[:, 5], run, np.maximum(t, s[:, 7])], axis=1)
-        start = np.stack([z, 0 * t, 0 * t + 100 * R, 0 * t, 0 * t + 1e-12, 0 * t + 1, 0 * t, t], axis=1)
-        s = np.where(anew[:, None], start, np.where(wild[:, None], kept, done))
-        self.s[i] = s
-        accepted = anew | ~wild
-        return [(*k, int(n), float(r[0]), float(r[1]), float(r[2]), int(r[5]), bool(r[5] >= VALID_AFTER), bool(ok)) for k, n, r, ok in zip(keys, t_ns.tolist(), s, accepted)]
+        self.n = 0
+
+    def start(self, t_ns: int, z: float) -> None:
+        self.offset, self.drift, self.p00, self.p01, self.p11 = z, 0.0, 100 * R, 0.0, 1e-12
+        self.n, self.run, self.t_ns = 1, 0, t_ns
+
+    def update(self, t_ns: int, z: float) -> bool:
+        """Whether the measurement was accepted (also as a new start)."""
+        if not self.n:
+            self.start(t_ns, z)
+            return True
+        dt = (t_ns - self.t_ns) * 1e-9
+        if dt > 0:
+            self.offset += self.drift * dt
+            self.p00 += 2 * dt * self.p01 + dt * dt * self.p11 + Q_DRIFT * dt**3 / 3
+            self.p01 += dt * self.p11 + Q_DRIFT * dt * dt / 2
+            self.p11 += Q_DRIFT * dt
+            self.t_ns = t_ns
+        y, total = z - self.offset, self.p00 + R
+        if self.n >= VALID_AFTER and y * y > GATE_SIGMA**2 * total:
+            self.run += 1
+            if self.run < RESET_AFTER:
+                return False
+            self.start(t_ns, z)
+            return True
+        k0, k1 = self.p00 / total, self.p01 / total
+        a, p00, p01 = 1 - k0, self.p00, self.p01
+        self.offset += k0 * y
+        self.drift += k1 * y
+        self.p11 += k1 * k1 * (p00 + R) - 2 * k1 * p01
+        self.p01 = a * (p01 - k1 * p00) + k0 * k1 * R
+        self.p00 = a * a * p00 + k0 * k0 * R
+        self.n += 1
+        self.run = 0
+        return True
 
 
 def offsets(measured: DataFrame) -> DataFrame:
@@ -91,15 +89,15 @@ def offsets(measured: DataFrame) -> DataFrame:
     src = measured.select("sensor_a", "sensor_b", "t_ns", "measured").repartition("sensor_a", "sensor_b").sortWithinPartitions("t_ns", "sensor_a", "sensor_b", "measured")
 
     def run(batches):
-        filters = PairFilters()
+        filters: dict[tuple, PairFilter] = {}
         for b in batches:
-            a, c, t, z = (b.column(i).to_numpy() for i in range(4))
-            keys = np.empty(len(a), object)
-            keys[:] = list(zip(a.tolist(), c.tolist()))
-            rows: list = [None] * len(a)
-            for part in lockstep(keys):
-                for i, r in zip(part.tolist(), filters.update([keys[i] for i in part.tolist()], t[part], z[part])):
-                    rows[i] = r
+            rows = []
+            for a, c, t, z in zip(*[b.column(i).to_pylist() for i in range(4)]):
+                f = filters.get((a, c))
+                if f is None:
+                    f = filters[a, c] = PairFilter()
+                ok = f.update(t, z)
+                rows.append((a, c, t, f.offset, f.drift, f.p00, f.n, f.n >= VALID_AFTER, ok))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), arrow)], schema=arrow)
 
