@@ -171,16 +171,6 @@ def fetch_texts(docs: DataFrame, ids: dict, most_bytes: int, id_col: str, text_c
     return out
 
 
-def broadcast_value(spark: SparkSession, value):
-    return spark.sparkContext.broadcast(value)
-
-
-def as_runs(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of consecutive runs of the given lengths."""
-    ends = np.cumsum(lengths)
-    return ends - lengths, ends
-
-
 def groups_by_length(lengths: np.ndarray, most_cells: int, most_rows: int = 512) -> Iterator[np.ndarray]:
     """Indices of non-empty sequences in groups of like length, longest first.
 

@@ -5,8 +5,10 @@ the candidate languages to those whose training text is in that script (all if t
 are none). Its score under a language is the mean log likelihood of its character
 1- to 4-grams, word ends marked, times the root of its number of letters. Viterbi
 over the words, with a penalty for each switch, labels spans; the prediction is the
-language with the most letters, and the score is its posterior share: the mean, by
-letters, of the chance that each word's scores give it within its surroundings.
+language with the most letters, those of the language that the text opens in counting
+more by a share fitted on the training texts (a mixed text's language is mostly the one
+it opens in). The score is the prediction's posterior share: the mean, by letters, of
+the chance that each word's scores give it within its surroundings.
 
 Learned from a bounded sample of texts with a lang that are not held out: at most
 PER_LANG documents a language and TRAIN_BYTES of text in all. lang, source and id
@@ -37,10 +39,12 @@ TRAIN_BYTES = 8 << 20
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SWITCH = 6.0
+#: Shares tried for the opening language.
+OPENING = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
 CACHE_WORDS = 400_000
 UNKNOWN = "und"
 #: In a filter, documents under this score are rejected with the ``und`` ones.
-LEAST_SCORE = 0.25
+LEAST_SCORE = 0.1
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: First and last code points of scripts (fixed values, from Unicode's blocks).
@@ -92,13 +96,14 @@ class Model:
 
     def __init__(self, langs: list[str], weights: np.ndarray, scripts: dict[str, list[int]]):
         self.langs, self.weights, self.scripts = langs, weights, scripts
+        self.opening = 0.0
         self._reset()
 
     def __getstate__(self):
-        return (self.langs, self.weights, self.scripts)
+        return (self.langs, self.weights, self.scripts, self.opening)
 
     def __setstate__(self, state):
-        self.langs, self.weights, self.scripts = state
+        self.langs, self.weights, self.scripts, self.opening = state
         self._reset()
 
     def _reset(self) -> None:
@@ -189,6 +194,11 @@ class Model:
         label[at[live]] = path[live]
         chance[at[live]] = p[live]
 
+    def choose(self, letters: np.ndarray, label: np.ndarray, opening: float) -> int:
+        by = np.bincount(label, weights=letters, minlength=len(self.langs))
+        by[label[0]] += opening * letters.sum()
+        return int(by.argmax())
+
     def predict(self, texts: list) -> tuple[list[str], np.ndarray]:
         langs, scores = [], np.zeros(len(texts))
         found = self.spans(texts) if self.langs else [None] * len(texts)
@@ -197,8 +207,7 @@ class Model:
                 langs.append(UNKNOWN)
                 continue
             letters, label, chance = f
-            by = np.bincount(label, weights=letters, minlength=len(self.langs))
-            k = int(by.argmax())
+            k = self.choose(letters, label, self.opening)
             mine = label == k
             langs.append(self.langs[k])
             scores[i] = min(1.0, float((letters * chance * mine).sum() / letters.sum()))
@@ -245,7 +254,12 @@ def train(rows: list[tuple]) -> Model:
     weights = np.log(smooth / smooth.sum(0)) if len(langs) else smooth
     total = sum(letters.values()) if letters else np.zeros(len(langs))
     scripts = {s: np.flatnonzero(n >= 0.005 * np.maximum(total, 1)).tolist() for s, n in letters.items()}
-    return Model(langs, weights.astype(np.float32), scripts)
+    model = Model(langs, weights.astype(np.float32), scripts)
+    found = [(f, langs.index(lang)) for (_, lang), f in zip(rows, model.spans([t for t, _ in rows])) if len(f[0])] if rows else []
+    right = {b: sum(model.choose(f[0], f[1], b) == k for f, k in found) for b in OPENING}
+    model.opening = max(OPENING, key=lambda b: (right[b], -b))
+    model._reset()
+    return model
 
 
 # ---- Spark -------------------------------------------------------------------------
