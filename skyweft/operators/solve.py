@@ -205,20 +205,20 @@ def record(kind: str, reason: str | None, g: dict) -> dict:
 
 
 #: Optional columns of a group and their types.
-_EXTRA = {"cpr_lat": "double", "cpr_lon": "double", "cpr_alt_ft": "double", "vel_e": "double", "vel_n": "double", "vel_u": "double", "pair_variance": "double"}
-_OWN = ("icao", "t_ns", "df_type", "altitude_ft", "squawk", "raw_msg", "num_sensors", "receptions")
+EXTRA = {"cpr_lat": "double", "cpr_lon": "double", "cpr_alt_ft": "double", "vel_e": "double", "vel_n": "double", "vel_u": "double", "pair_variance": "double"}
+OWN = ("icao", "t_ns", "df_type", "altitude_ft", "squawk", "raw_msg", "num_sensors", "receptions")
 
 
 def solve_groups(groups: DataFrame, config: Config = Config()) -> DataFrame:
     """RECORD rows, one a group: fixes, groups passed on, failures with reasons.
 
-    One shuffle, by aircraft. Needs ``t_ns``; the columns in _EXTRA are used if there.
+    One shuffle, by aircraft. Needs ``t_ns``; the columns in EXTRA are used if there.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    extra = [F.col(c).cast(k) if c in groups.columns else F.lit(None).cast(k).alias(c) for c, k in _EXTRA.items()]
-    src = groups.select(*_OWN, *extra).repartition("icao").sortWithinPartitions("t_ns", "icao", "raw_msg")
+    extra = [F.col(c).cast(k) if c in groups.columns else F.lit(None).cast(k).alias(c) for c, k in EXTRA.items()]
+    src = groups.select(*OWN, *extra).repartition("icao").sortWithinPartitions("t_ns", "icao", "raw_msg")
     arrow = to_arrow_schema(RECORD)
 
     def run(batches):

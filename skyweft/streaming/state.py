@@ -1,6 +1,6 @@
-"""Stateful stream operators: correlation windows and Kalman tracks.
+"""Stateful stream operators: correlation windows, position solving and Kalman tracks.
 
-Both need the RocksDB state store (:func:`configure`). Event time is ``event_time``;
+All need the RocksDB state store (:func:`configure`). Event time is ``event_time``;
 the watermark drops what is later than its delay, which batch runs would still place.
 """
 
@@ -14,12 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from skyweft.config import Config
+from skyweft.operators.solve import EXTRA, OWN, RECORD, Cached, Solver
 from skyweft.operators.track import Filters, Tracker
 from skyweft.schemas import GROUP, RECEPTION, TRACK, struct
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KEPT = struct("t_ns BIGINT, df_type INT, altitude_ft DOUBLE, squawk STRING, sensor_id BIGINT, lat DOUBLE, lon DOUBLE, alt DOUBLE, timestamp_s BIGINT, timestamp_ns BIGINT")
 RECEPTION_NAMES = [f.name for f in RECEPTION.fields]
+CACHE_STATE = "ecef ARRAY<DOUBLE>, lat DOUBLE, lon DOUBLE, alt_m DOUBLE, t BIGINT, residual DOUBLE, solves INT, velocity ARRAY<DOUBLE>"
 TRACK_STATE = "x ARRAY<DOUBLE>, p ARRAY<DOUBLE>, t BIGINT, n BIGINT, positions BIGINT, squawk STRING"
 
 
@@ -117,6 +120,54 @@ class TrackProcessor(StatefulProcessor):
         pass
 
 
+class SolveProcessor(StatefulProcessor):
+    """One aircraft's position cache between micro-batches."""
+
+    def __init__(self, config: Config):
+        self.config = config
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("cache", CACHE_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        solver, cached = Solver(self.config), solver_cache(self.kept)
+        if cached is not None:
+            solver.cache.by_icao[key[0]] = cached
+        now = pd.concat(list(rows)).sort_values(["t_ns", "raw_msg"])
+        out = solver.batch([whole(plain(r)) for r in now.to_dict("records")])
+        c = solver.cache.by_icao.get(key[0])
+        if c is not None:
+            velocity = None if c.velocity is None else c.velocity.tolist()
+            self.kept.update((c.ecef.tolist(), float(c.lat), float(c.lon), float(c.alt_m), int(c.t_ns), float(c.residual), int(c.solves), velocity))
+        yield pd.DataFrame(out, columns=[f.name for f in RECORD.fields])
+
+    def close(self) -> None:
+        pass
+
+
+def solver_cache(kept) -> Cached | None:
+    if not kept.exists():
+        return None
+    ecef, lat, lon, alt, t, residual, solves, velocity = kept.get()
+    return Cached(np.array(ecef), lat, lon, alt, t, residual, solves, None if velocity is None else np.array(velocity))
+
+
+def whole(group: dict) -> dict:
+    """Integers that pandas made floats of because of nulls beside them, back again."""
+    for k in ("t_ns", "df_type", "num_sensors"):
+        group[k] = int(group[k])
+    return group
+
+
+def solve_stream(groups: DataFrame, config: Config = Config()) -> DataFrame:
+    """RECORD rows of a stream of groups (GROUP columns, t_ns and any of the solver's
+    extra ones); :func:`track_stream` takes them on."""
+    configure(groups.sparkSession)
+    extra = [F.col(c).cast(k) if c in groups.columns else F.lit(None).cast(k).alias(c) for c, k in EXTRA.items()]
+    src = groups.select(*OWN, *extra)
+    return src.groupBy("icao").transformWithStateInPandas(SolveProcessor(config), RECORD, outputMode="Append", timeMode="None")
+
+
 def restore(f: Filters, icao: str, x: np.ndarray, p: np.ndarray, t: int, n: int, positions: int, squawk: str | None) -> None:
     i = f.add(icao, x[:3], t, squawk)
     f.x[i], f.p[i], f.n[i], f.positions[i] = x, p, n, positions

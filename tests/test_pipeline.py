@@ -130,6 +130,10 @@ def test_eviction_and_statistics(spark):
     assert {r["id"] for r in windows.evicted(df, ["id"], 10).collect()} == {5, 6, 7, 8, 9, 10}
     r = aggregates.order_statistics(df, "v").first()
     assert (r["n"], r["median"], r["p95"]) == (11, 10, 20)
+    v = np.sort(np.random.default_rng(2).integers(0, 300, 5000) / 7)
+    r = aggregates.order_statistics(spark.createDataFrame([(float(x),) for x in v], "v double"), "v").first()
+    assert (r["n"], r["median"], r["p95"]) == (5000, v[2500], v[4750])
+    assert aggregates.order_statistics(df.where("false"), "v").first()["n"] is None
 
 
 def test_packets(spark, tmp_path):

@@ -6,7 +6,7 @@ from skyweft.operators import correlate, solve, track
 from skyweft.plans import synthetic
 from skyweft.schemas import DECODED
 from skyweft.streaming.serve import LatestState, aircraft
-from skyweft.streaming.state import correlate_stream, track_stream
+from skyweft.streaming.state import correlate_stream, solve_stream, track_stream
 
 
 def run(stream, name, tmp_path, mode="append"):
@@ -38,3 +38,13 @@ def test_tracks_and_latest_state(spark, tmp_path):
     state.upsert(got.where(F.col("track_quality") > 1), 1)
     out = aircraft(state)
     assert out["count"] == len({k[0] for k in batch})
+
+
+def test_solving(spark, tmp_path):
+    flights = synthetic.flights(spark, "/root/testdata/sf0.001").where("icao < '0006'").drop("true_lat", "true_lon", "ecef")
+    flights.repartitionByRange(2, "t_ns").sortWithinPartitions("t_ns").write.parquet(str(tmp_path / "g"))
+    rows = spark.read.parquet(str(tmp_path / "g"))
+    batch = {(r["icao"], r["t_ns"], r["kind"], r["fix"] and round(r["fix"]["lat"], 9)) for r in solve.solve_groups(rows).collect()}
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "g"))
+    got = run(solve_stream(stream), "solved", tmp_path)
+    assert {(r["icao"], r["t_ns"], r["kind"], r["fix"] and round(r["fix"]["lat"], 9)) for r in got.collect()} == batch
