@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyweft.llm.common import filter_text, groups_by_length, held_out, labelled_sample, map_text, table
+from skyweft.llm.common import chunks, filter_text, groups_by_length, held_out, labelled_sample, map_text, table
 
 #: Production parameters.
 THRESHOLD = 0.3
 PER_CLASS = 1500
 TRAIN_BYTES = 8 << 20
 STEPS = 120
+#: Bytes of training text whose features are made at a time, which bounds the driver.
+TRAIN_CHUNK = 1 << 20
 BINS = 8
 
 # ---- line features -----------------------------------------------------------------
@@ -218,7 +220,9 @@ def train(rows: list[tuple]) -> Chain:
     if len(set(y.tolist())) < 2:
         chain.constant = float(y.mean()) if len(y) else 0.5
         return chain
-    x, length, n = line_features([r[0] for r in rows])
+    texts = [r[0] for r in rows]
+    parts = [line_features(texts[i:j]) for i, j in chunks(texts, TRAIN_CHUNK)]
+    x, length, n = (np.concatenate(p) for p in zip(*parts))
     chain.edges = np.stack([_edges(x[:, j]) for j in range(N_FEATURES)])
     b = chain.binned(x)
     doc = np.repeat(np.arange(len(n)), n)
