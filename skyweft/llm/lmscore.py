@@ -1,12 +1,12 @@
 """LM scoring: cross-entropy difference of matched target and background models.
 
-Both models are bigram models of the same vocabulary, order, smoothing and kept
-n-grams. The background's counts are of all documents, whatever their number; the
-target's are of a bounded sample of the documents that are in its domain (in the
-query: TARGET_DOCS labelled of good quality, TARGET_BYTES of text in all), so that no
-text is shuffled to learn which is which. A document's score is its mean loss per
-token under the target less that under the background: the lower, the closer to the
-target.
+Both models are bigram models of the same vocabulary, order and smoothing and kept
+n-grams. The background's counts are of all documents, the target's of all documents in its domain
+(in the query: every one labelled of good quality), whatever their number. The
+target's ids are broadcast in blocks of about TARGET_IDS, a counting pass a block, so
+that no text is shuffled to learn which is which. A document's score is its mean loss
+per token under the target less that under the background: the lower, the closer to
+the target.
 
 Counts cover all words of all documents: each task sums its own before they are
 shuffled. The vocabulary is the VOCAB most frequent words, ties by the word's bytes; others
@@ -16,7 +16,8 @@ bound; the mass of the rest backs off to unigrams: p(b|a) = max(c(a,b) - D, 0) /
 + rest(a) p(b).
 
 Null texts and texts without words have 0 tokens and null losses. With no target
-document the target is uniform over the vocabulary. Equal texts score equally.
+document the target is uniform over the vocabulary. An id with differing labels counts
+with the smallest. Equal texts score equally.
 """
 
 from __future__ import annotations
@@ -27,15 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyweft.llm.common import chunks, labelled_sample, map_text, small_batches, table, written
+from skyweft.llm.common import chunks, map_text, small_batches, table, written
 from skyweft.llm.decontam import words_of
 
 #: Production parameters.
 VOCAB = 50_000
 NGRAMS = 1_000_000
 DISCOUNT = 0.75
-TARGET_DOCS = 4000
-TARGET_BYTES = 16 << 20
+#: Ids of target documents in one broadcast.
+TARGET_IDS = 1_000_000
 #: Distinct words or bigrams that a task holds before it passes its sums on.
 HELD = 400_000
 
@@ -99,17 +100,26 @@ class Vocabulary:
         return keys[ids[1:] != BOS] if len(ids) else keys, n
 
 
-def bigram_counts(docs: DataFrame, vocabulary, text_col: str = "text") -> DataFrame:
-    """key and n: bigrams of all texts, summed in each task before the shuffle."""
-    small_batches(docs.sparkSession)
+def bigram_counts(flagged: DataFrame, vocabulary, background: bool = True) -> DataFrame:
+    """key, n and t: bigrams of ``flagged`` (text, is_target), summed in each task.
+
+    t counts the target's texts, n all of them; n is 0 without ``background``.
+    """
+    small_batches(flagged.sparkSession)
 
     def run(batches):
         vocab = vocabulary.value
         held: list = []
         for b in batches:
-            texts = b.column(0).to_pylist()
+            texts, mine = b.column("text").to_pylist(), np.array(b.column("is_target").to_pylist(), bool)
             for i, j in chunks(texts):
-                held.append(np.unique(vocab.bigrams(texts[i:j])[0], return_counts=True))
+                keys, n = vocab.bigrams(texts[i:j])
+                if background:
+                    k, c = np.unique(keys, return_counts=True)
+                    held.append((k, c, np.zeros_like(c)))
+                if mine[i:j].any():
+                    k, c = np.unique(keys[np.repeat(mine[i:j], n)], return_counts=True)
+                    held.append((k, np.zeros_like(c), c))
             if sum(len(h[0]) for h in held) > 2 * HELD:
                 held = [_summed(held)]
                 if len(held[0][0]) > HELD:
@@ -118,16 +128,45 @@ def bigram_counts(docs: DataFrame, vocabulary, text_col: str = "text") -> DataFr
         if held:
             yield _batch(_summed(held))
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return flagged.select("text", "is_target").mapInArrow(run, "key long, n long, t long")
 
 
-def _summed(held: list) -> tuple[np.ndarray, np.ndarray]:
-    keys, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-    return keys, np.bincount(where, weights=np.concatenate([h[1] for h in held]), minlength=len(keys)).astype(np.int64)
+def _summed(held: list) -> tuple:
+    cols = [np.concatenate(c) for c in zip(*held)]
+    keys, where = np.unique(cols[0], return_inverse=True)
+    return keys, *[np.bincount(where, weights=c, minlength=len(keys)).astype(np.int64) for c in cols[1:]]
 
 
 def _batch(cols: tuple) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "n", "t"])
+
+
+def id_blocks(ids: DataFrame, most: int) -> list[DataFrame]:
+    """Distinct ids dealt by hash into frames of about ``most`` rows."""
+    n = -(-ids.count() // most)
+    return [ids.where(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(n)) == k) for k in range(n)]
+
+
+def all_counts(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | DataFrame, most_ids: int | None = None) -> DataFrame:
+    """key, n and t of all bigrams of ``docs`` (id, text) and the target.
+
+    The target is given by its texts or by a frame of document ids, of any number.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(vocabulary)
+    no, yes = F.lit(False).alias("is_target"), F.lit(True).alias("is_target")
+    if isinstance(target, DataFrame):
+        ids = written(target.toDF("id", *target.columns[1:]).select("id").where("id is not null").distinct())
+        blocks = id_blocks(ids, most_ids or TARGET_IDS)
+        first = docs.join(F.broadcast(blocks[0].withColumn("is_target", F.lit(True))), "id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target")) if blocks else docs.select("text", no)
+        more = [docs.join(F.broadcast(b), "id", "left_semi").select("text", yes) for b in blocks[1:]]
+    else:
+        first = docs.select("text", no)
+        more = [spark.createDataFrame([(t,) for t in target], "text string").select("text", yes)] if target else []
+    parts = bigram_counts(first, shared)
+    for m in more:
+        parts = parts.union(bigram_counts(m, shared, False))
+    return written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
 
 
 class Models:
@@ -164,16 +203,15 @@ class Models:
         return {"n_tokens": n, "target_loss": null(target), "background_loss": null(background), "score": null(target - background)}
 
 
-def build(docs: DataFrame, vocabulary: Vocabulary, target: list[str], most: int = NGRAMS, text_col: str = "text") -> Models:
-    """Models of all ``docs`` against the ``target`` texts."""
-    counts = written(bigram_counts(docs, docs.sparkSession.sparkContext.broadcast(vocabulary), text_col))
+def build(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | DataFrame, most: int = NGRAMS, text_col: str = "text", most_ids: int | None = None) -> Models:
+    """Models of all ``docs`` against the target's texts, or documents of its ids."""
+    d = docs.select(F.col("id") if "id" in docs.columns else F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text"))
+    counts = all_counts(d, vocabulary, target, most_ids)
     size = vocabulary.size
-    keys, _ = vocabulary.bigrams(target)
     word, context = np.zeros((2, size), np.int64), np.zeros((2, size), np.int64)
-    for out, by, mine in ((word, F.pmod("key", F.lit(size)), keys % size), (context, F.floor(F.col("key") / size).cast("long"), keys // size)):
-        for r in counts.groupBy(by.alias("k")).agg(F.sum("n").alias("n")).collect():  # at most VOCAB + 2 rows
-            out[0, r["k"]] = r["n"]
-        out[1] = np.bincount(mine, minlength=size)
+    for out, by in ((word, F.pmod("key", F.lit(size))), (context, F.floor(F.col("key") / size).cast("long"))):
+        for r in counts.groupBy(by.alias("k")).agg(F.sum("n").alias("n"), F.sum("t").alias("t")).collect():  # at most VOCAB + 2 rows
+            out[:, r["k"]] = r["n"], r["t"]
     # the least count kept: as many of the highest count values as the bound has room for
     least, kept = None, 0
     for r in counts.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).limit(most).toLocalIterator():
@@ -183,28 +221,24 @@ def build(docs: DataFrame, vocabulary: Vocabulary, target: list[str], most: int
     if least is None:
         return Models(vocabulary, word, context, np.zeros(0, np.int64), np.zeros((2, 0), np.int64))
     rows = counts.where(F.col("n") >= F.lit(least)).toArrow()  # at most NGRAMS rows
-    key, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
+    key, n, t = (rows.column(c).to_numpy() for c in ("key", "n", "t"))
     order = np.argsort(key)
-    key, n = key[order], n[order]
-    mine, times = np.unique(keys, return_counts=True)
-    at = np.minimum(np.searchsorted(mine, key), max(len(mine) - 1, 0))
-    t = np.where(mine[at] == key, times[at], 0) if len(mine) else np.zeros_like(n)
-    return Models(vocabulary, word, context, key, np.stack([n, t]))
+    return Models(vocabulary, word, context, key[order], np.stack([n[order], t[order]]))
 
 
-def cross_entropy_difference(docs: DataFrame, target: list[str], id_col: str = "doc_id", text_col: str = "text", vocab: int = VOCAB, ngrams: int = NGRAMS) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target: list[str] | DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: int = VOCAB, ngrams: int = NGRAMS, most_ids: int | None = None) -> DataFrame:
     """id, n_tokens, target_loss, background_loss and score of every row of ``docs``."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     vocabulary = Vocabulary(top_words(word_counts(d), vocab))
-    shared = docs.sparkSession.sparkContext.broadcast(build(d, vocabulary, target, ngrams))
+    shared = docs.sparkSession.sparkContext.broadcast(build(d, vocabulary, target, ngrams, "text", most_ids))
     kinds = [("n_tokens", T.LongType()), ("target_loss", T.DoubleType()), ("background_loss", T.DoubleType()), ("score", T.DoubleType())]
     return map_text(d, "text", ["id"], lambda texts: shared.value.score(texts), kinds).withColumnRenamed("id", id_col)
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    good = labelled_sample(docs, labels.where("quality = 1"), "quality", TARGET_DOCS, TARGET_BYTES)
-    return cross_entropy_difference(docs, [t for t, _ in good])
+    labels = table(spark, sf_dir, "labels").where("doc_id is not null and quality is not null")
+    good = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
 QUERIES = {"op7_lm_score": op7_lm_score}

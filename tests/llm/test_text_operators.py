@@ -265,3 +265,43 @@ def test_lm_probabilities_sum_to_one(spark, corpus):
     for a in (1, 2, 5):
         p = np.exp(-models.losses(a * vocab.size + np.arange(vocab.size)))
         assert np.allclose(p.sum(1), 1.0, atol=1e-4)
+
+
+def brute_losses(texts, target):
+    """(tokens, target loss, background loss) of each text by full bigram counts."""
+    from collections import Counter
+    from math import log
+
+    words = lambda t: decontam.words_of(t)
+    size = len({w for t in texts for w in words(t)}) + 2
+    models = []
+    for part in (target, texts):
+        pair, first, word, after = Counter(), Counter(), Counter(), Counter()
+        for t in part:
+            pair.update(zip([None, *words(t)], words(t)))
+            word.update(words(t))
+        for (a, _), n in pair.items():
+            first[a] += n
+            after[a] += 1
+        models.append((pair, first, word, after, word.total()))
+    out = []
+    for t in texts:
+        w, row = words(t), [len(words(t))]
+        for pair, first, word, after, total in models:
+            uni = lambda b: (word[b] + 10 / size) / (total + 10)  # noqa: E731, B023
+            p = [max(pair[a, b] - 0.75, 0) / max(first[a], 1) + (0.75 * after[a] / first[a] if first[a] else 1) * uni(b) for a, b in zip([None, *w], w)]
+            row.append(-sum(map(log, p)) / len(w) if w else None)
+        out.append(tuple(row))
+    return out
+
+
+def test_op7_target_is_every_good_document(spark, tmp_path):
+    """A held-out id and a text over 839 KB count; an id with differing labels does not."""
+    held = next(i for i in range(100, 200) if out(i))
+    rows = [(0, "a b c d"), (1, "x " * 430_000), (held, "b c d e"), (3, "c d e f"), (4, "d e f a"), (5, "e f a b")]
+    labels = [(0, 1), (1, 1), (held, 1), (3, 0), (3, 1), (4, 0)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r["target_loss"] for r in lmscore.op7_lm_score(spark, str(tmp_path)).collect()}
+    want = brute_losses([t for _, t in rows], [t for _, t in rows[:3]])
+    assert got == {i: pytest.approx(w[1], abs=1e-6) for (i, _), w in zip(rows, want)}
