@@ -1,7 +1,7 @@
 """LM scoring: cross-entropy difference of matched target and background models.
 
-Both models are bigram models of the same vocabulary, order and smoothing and kept
-n-grams. The background's counts are of all documents, the target's of all documents in its domain
+Both models are bigram models of the same vocabulary, order and smoothing. The
+background's counts are of all documents, the target's of all documents in its domain
 (in the query: every one labelled of good quality), whatever their number. The
 target's ids are broadcast in blocks of about TARGET_IDS, a counting pass a block, so
 that no text is shuffled to learn which is which. A document's score is its mean loss
@@ -10,10 +10,14 @@ the target.
 
 Counts cover all words of all documents: each task sums its own before they are
 shuffled. The vocabulary is the VOCAB most frequent words, ties by the word's bytes; others
-are one unknown word. Of the bigrams those with the highest background counts are
-kept, as many count values as fit into NGRAMS, so that the broadcast models have a
-bound; the mass of the rest backs off to unigrams: p(b|a) = max(c(a,b) - D, 0) / c(a)
-+ rest(a) p(b).
+are one unknown word. p(b|a) = max(c(a,b) - D, 0) / c(a) + rest(a) p(b), where rest(a)
+is D times the distinct words after a, over c(a).
+
+All counted bigrams are scored with their counts. Those with the highest background
+counts, as many count values as fit into NGRAMS, are broadcast; the others are joined
+to the documents' bigrams by key, none of which is frequent. Losses are summed in
+fixed point (a ``UNIT`` of a nat), so that sums do not depend on their order or on
+the way a bigram takes.
 
 Null texts and texts without words have 0 tokens and null losses. With no target
 document the target is uniform over the vocabulary. An id with differing labels counts
@@ -37,6 +41,8 @@ NGRAMS = 1_000_000
 DISCOUNT = 0.75
 #: Ids of target documents in one broadcast.
 TARGET_IDS = 1_000_000
+#: Fixed point of summed losses.
+UNIT = 2.0**-32
 #: Distinct words or bigrams that a task holds before it passes its sums on.
 HELD = 400_000
 
@@ -170,69 +176,105 @@ def all_counts(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | Data
 
 
 class Models:
-    """Target and background losses of bigrams, in arrays of bounded size."""
+    """Target and background losses of bigrams.
+
+    Word and context numbers, and the counts of the most frequent bigrams, are arrays
+    of bounded size; ``tail`` has the counts of all other bigrams.
+    """
 
-    def __init__(self, vocab: Vocabulary, word: np.ndarray, context: np.ndarray, keys: np.ndarray, counts: np.ndarray):
-        """``word``, ``context`` [2, vocabulary] and ``counts`` [2, keys]: background, target."""
-        self.vocab, self.keys = vocab, keys
+    def __init__(self, vocab: Vocabulary, word: np.ndarray, context: np.ndarray, after: np.ndarray, keys: np.ndarray, counts: np.ndarray, tail: DataFrame):
+        """``word``, ``context``, ``after`` (distinct words after each) [2, vocabulary] and ``counts`` [2, keys]: background, target."""
+        self.vocab, self.keys, self.tail = vocab, keys, tail
         uniform = 1.0 / vocab.size
         self.unigram = np.stack([(w + uniform * 10) / (w.sum() + 10) for w in word.astype(float)])
-        direct, rest = [], []
-        a = keys // vocab.size
-        for c, n in zip(counts.astype(float), context.astype(float)):
-            p = np.maximum(c - DISCOUNT, 0) / np.maximum(n[a], 1)
-            rest.append(1 - np.bincount(a, weights=p, minlength=vocab.size))
-            direct.append(p)
-        self.direct, self.rest = np.stack(direct).astype(np.float32), np.stack(rest).astype(np.float32)
+        self.context = np.maximum(context, 1)
+        self.rest = np.where(context > 0, DISCOUNT * after / self.context, 1.0)
+        self.direct = np.maximum(counts - DISCOUNT, 0) / self.context[:, keys // vocab.size]
 
-    def losses(self, keys: np.ndarray) -> np.ndarray:
-        """[2, bigrams]: -ln p under background and target."""
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "tail": None}
+
+    def _losses(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """[2, bigrams]: -ln p by the broadcast counts, and which bigrams have such."""
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         a, b = keys // self.vocab.size, keys % self.vocab.size
         back = self.rest[:, a] * self.unigram[:, b]
-        return -np.log(np.maximum(back + (np.where(found, self.direct[:, at], 0) if len(self.keys) else 0), 1e-12))
+        return -np.log(np.maximum(back + (np.where(found, self.direct[:, at], 0) if len(self.keys) else 0), 1e-12)), found
+
+    def losses(self, keys: np.ndarray) -> np.ndarray:
+        """[2, bigrams]: -ln p under background and target, of a few bigrams on the driver."""
+        loss, found = self._losses(keys)
+        missing = self.tail.sparkSession.createDataFrame([(int(k),) for k in set(keys[~found].tolist())], "key long")
+        for r in self.tail_losses(F.broadcast(missing)).collect():
+            loss[:, keys == r["key"]] = np.array([[r["background"]], [r["target"]]]) * UNIT
+        return loss
+
+    def tail_losses(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (key, ...) that are of the tail, with losses in ``UNIT``."""
+        spark, size = self.tail.sparkSession, self.vocab.size
+        cols = np.concatenate([self.context, self.rest, self.unigram])
+        names = ["cn", "ct", "rn", "rt", "un", "ut"]
+        stats = spark.createDataFrame(pa.table({"w": np.arange(size), **{k: pa.array(c.astype(float)) for k, c in zip(names, cols)}}))
+        of = lambda k, cs: F.broadcast(stats.select(F.col("w").alias(k), *cs))  # noqa: E731  VOCAB + 2 rows
+        x = rows.join(self.tail, "key").withColumns({"a": F.floor(F.col("key") / size).cast("long"), "b": F.pmod("key", F.lit(size))})
+        x = x.join(of("a", names[:4]), "a").join(of("b", names[4:]), "b")
+        loss = lambda n, c, r, u: F.round(-F.log(F.greatest(F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.col(c) + F.col(r) * F.col(u), F.lit(1e-12))) / UNIT).cast("long")
+        return x.select(*rows.columns, loss("n", "cn", "rn", "un").alias("background"), loss("t", "ct", "rt", "ut").alias("target"))
 
     def score(self, texts: list) -> dict:
+        """Words of each text, summed losses of broadcast bigrams, and the other bigrams."""
         keys, n = self.vocab.bigrams(texts)
-        loss = self.losses(keys)
-        doc = np.repeat(np.arange(len(texts)), n)
-        background, target = (np.bincount(doc, weights=x, minlength=len(texts)) / np.maximum(n, 1) for x in loss)
-        null = lambda x: [float(v) if k else None for v, k in zip(x, n)]
-        return {"n_tokens": n, "target_loss": null(target), "background_loss": null(background), "score": null(target - background)}
+        loss, found = self._losses(keys)
+        ends = np.cumsum(n)
+        added = np.concatenate([np.zeros((2, 1), np.int64), np.cumsum(np.where(found, np.rint(loss / UNIT).astype(np.int64), 0), axis=1)], axis=1)
+        background, target = added[:, ends] - added[:, ends - n]
+        left = keys[~found]
+        cuts = np.concatenate([[0], np.cumsum(~found)])
+        return {"n_tokens": n, "background": background, "target": target, "others": [left[i:j] for i, j in zip(cuts[ends - n].tolist(), cuts[ends].tolist())]}
 
 
 def build(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | DataFrame, most: int = NGRAMS, text_col: str = "text", most_ids: int | None = None) -> Models:
-    """Models of all ``docs`` against the target's texts, or documents of its ids."""
+    """Models of all ``docs`` against the target's texts, or documents of its ids; ``most`` bounds the broadcast."""
     d = docs.select(F.col("id") if "id" in docs.columns else F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text"))
     counts = all_counts(d, vocabulary, target, most_ids)
     size = vocabulary.size
-    word, context = np.zeros((2, size), np.int64), np.zeros((2, size), np.int64)
-    for out, by in ((word, F.pmod("key", F.lit(size))), (context, F.floor(F.col("key") / size).cast("long"))):
-        for r in counts.groupBy(by.alias("k")).agg(F.sum("n").alias("n"), F.sum("t").alias("t")).collect():  # at most VOCAB + 2 rows
-            out[:, r["k"]] = r["n"], r["t"]
-    # the least count kept: as many of the highest count values as the bound has room for
+    word, context, after = (np.zeros((2, size), np.int64) for _ in range(3))
+    sums = [F.sum("n").alias("n"), F.sum("t").alias("t"), F.count_if(F.col("n") > 0).alias("an"), F.count_if(F.col("t") > 0).alias("at")]
+    for r in counts.groupBy(F.pmod("key", F.lit(size)).alias("k")).agg(*sums[:2]).collect():  # at most VOCAB + 2 rows
+        word[:, r["k"]] = r["n"], r["t"]
+    for r in counts.groupBy(F.floor(F.col("key") / size).cast("long").alias("k")).agg(*sums).collect():
+        context[:, r["k"]], after[:, r["k"]] = (r["n"], r["t"]), (r["an"], r["at"])
+    # the least count broadcast: as many of the highest count values as the bound has room for
     least, kept = None, 0
     for r in counts.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).limit(most).toLocalIterator():
         if kept + r["m"] > most:
             break
         least, kept = r["n"], kept + r["m"]
     if least is None:
-        return Models(vocabulary, word, context, np.zeros(0, np.int64), np.zeros((2, 0), np.int64))
+        return Models(vocabulary, word, context, after, np.zeros(0, np.int64), np.zeros((2, 0), np.int64), counts)
     rows = counts.where(F.col("n") >= F.lit(least)).toArrow()  # at most NGRAMS rows
     key, n, t = (rows.column(c).to_numpy() for c in ("key", "n", "t"))
     order = np.argsort(key)
-    return Models(vocabulary, word, context, key[order], np.stack([n[order], t[order]]))
+    return Models(vocabulary, word, context, after, key[order], np.stack([n[order], t[order]]), counts.where(F.col("n") < F.lit(least)))
 
 
 def cross_entropy_difference(docs: DataFrame, target: list[str] | DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: int = VOCAB, ngrams: int = NGRAMS, most_ids: int | None = None) -> DataFrame:
-    """id, n_tokens, target_loss, background_loss and score of every row of ``docs``."""
+    """id, n_tokens, target_loss, background_loss and score of every row of ``docs``.
+
+    The target is given by its texts, or by a frame with its documents' ids in the first column.
+    """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    vocabulary = Vocabulary(top_words(word_counts(d), vocab))
-    shared = docs.sparkSession.sparkContext.broadcast(build(d, vocabulary, target, ngrams, "text", most_ids))
-    kinds = [("n_tokens", T.LongType()), ("target_loss", T.DoubleType()), ("background_loss", T.DoubleType()), ("score", T.DoubleType())]
-    return map_text(d, "text", ["id"], lambda texts: shared.value.score(texts), kinds).withColumnRenamed("id", id_col)
+    models = build(d, Vocabulary(top_words(word_counts(d), vocab)), target, ngrams, "text", most_ids)
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    kinds = [("n_tokens", T.LongType()), ("background", T.LongType()), ("target", T.LongType()), ("others", T.ArrayType(T.LongType()))]
+    rows = written(map_text(d, "text", ["id"], lambda texts: shared.value.score(texts), kinds).withColumn("row", F.monotonically_increasing_id()))
+    others = models.tail_losses(rows.select("row", F.explode("others").alias("key")))
+    more = others.groupBy("row").agg(F.sum("background").alias("more_b"), F.sum("target").alias("more_t"))
+    mean = lambda x, y: F.when(F.col("n_tokens") > 0, (F.col(x) + F.coalesce(F.col(y), F.lit(0))) * F.lit(UNIT) / F.col("n_tokens"))
+    out = rows.drop("others").join(more, "row", "left").select(F.col("id").alias(id_col), "n_tokens", mean("target", "more_t").alias("target_loss"), mean("background", "more_b").alias("background_loss"))
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

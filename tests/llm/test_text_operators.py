@@ -295,6 +295,18 @@ def brute_losses(texts, target):
     return out
 
 
+@pytest.mark.parametrize("ngrams", [3, 1000])
+def test_lm_scores_with_every_bigram_and_all_targets(spark, ngrams):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, rng.integers(0, 30))) for _ in range(60)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in range(0, 60, 2)] * 2 + [(None,), (999,)], "doc_id long")
+    got = lmscore.cross_entropy_difference(d, ids, ngrams=ngrams, most_ids=7).orderBy("doc_id").collect()
+    for r, (n, target, background) in zip(got, brute_losses(texts, texts[::2]), strict=True):
+        assert r["n_tokens"] == n
+        assert (r["target_loss"], r["background_loss"]) == (pytest.approx(target, abs=1e-8), pytest.approx(background, abs=1e-8)) if n else r["score"] is None
+
+
 def test_op7_target_is_every_good_document(spark, tmp_path):
     """A held-out id and a text over 839 KB count; an id with differing labels does not."""
     held = next(i for i in range(100, 200) if out(i))
