@@ -260,13 +260,17 @@ def roots(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def component_of_fp(fps: DataFrame, tau: int = TAU, parts: list | None = None, cold: int = COLD) -> DataFrame:
-    """fp and component_id of the distinct fingerprints of ``fps`` (id, fp)."""
+    """fp, root and component_id of the distinct fingerprints of ``fps`` (id, fp).
+
+    The root is the smallest fingerprint of the component: components whose ids are
+    all null, or that share their smallest id, differ in it.
+    """
     groups = written(fps.groupBy("fp").agg(F.min("id").alias("first")))
     node = written(roots(links(groups, tau, parts, cold)))
     members = node.join(groups, node["node"] == groups["fp"]).groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = node.join(members, "root").select(F.col("node").alias("fp"), "component_id")
+    linked = node.join(members, "root").select(F.col("node").alias("fp"), "root", "component_id")
     alone = groups.join(node, groups["fp"] == node["node"], "left_anti")
-    return linked.union(alone.select("fp", F.col("first").alias("component_id")))
+    return linked.union(alone.select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id")))
 
 
 def with_components(fps: DataFrame, tau: int = TAU, parts: list | None = None, cold: int = COLD) -> DataFrame:
@@ -288,7 +292,8 @@ def hexed(col: str):
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, tau: int = TAU) -> DataFrame:
     """``docs`` with one document of each component: the row of the smallest id.
 
-    All columns stay. Of rows that repeat that id the one with the smallest hash of
+    Components are told apart by their roots, so that those without ids, or with the
+    same smallest id, keep one document each. All columns stay. Of rows that repeat that id the one with the smallest hash of
     its text stays, then of its whole row. Only ids and hashes meet before the kept
     rows' texts move once.
     """
@@ -298,7 +303,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = written(map_text(src, "text", ["id", "h"], score, [("fp", T.LongType())]))
     of = component_of_fp(rows, tau)
     first = rows.join(of, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-    keep = first.groupBy("component_id").agg(F.min(F.struct("h", "fp")).alias("m")).select(F.col("component_id").alias("__skyweft_id"), F.col("m.h").alias("__skyweft_h"))
+    keep = first.groupBy("root").agg(F.min(F.struct("h", "id")).alias("m")).select(F.col("m.id").alias("__skyweft_id"), F.col("m.h").alias("__skyweft_h"))
     marked = docs.withColumn("__skyweft_text", text_hash).join(keep.distinct(), F.col(id_col).eqNullSafe(F.col("__skyweft_id")) & (F.col("__skyweft_text") == F.col("__skyweft_h")))
     alike = Window.partitionBy("__skyweft_id", "__skyweft_h").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     one = marked.withColumn("__skyweft_n", F.row_number().over(alike)).where("__skyweft_n = 1")

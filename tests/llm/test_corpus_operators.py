@@ -148,6 +148,14 @@ def test_deduplication(docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_deduplication_keeps_one_of_each_component(spark):
+    """Unrelated texts without ids, or under one id, are components of their own."""
+    a, b, c, e = (" ".join(f"{k}{i * i}" for i in range(40)) for k in "abce")
+    rows = [(None, a), (None, a), (None, b), (5, c), (5, c), (5, e), (6, e)]
+    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, a), (0, b), (5, c), (5, e)]
+
+
 # ---- op8 ---------------------------------------------------------------------------
 
 
