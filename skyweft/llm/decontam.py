@@ -20,6 +20,7 @@ benchmark every document is clean. Other columns are ignored or, in
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +116,7 @@ def union(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
+#: The index of one block, by a key that is never used again (an address may recur).
 _WORKER: dict = {}
 
 
@@ -155,9 +157,9 @@ def scan(docs: DataFrame, bench: DataFrame, n: int = WINDOW, id_col: str = "doc_
         items = spark.sparkContext.broadcast(block)
         if done:
             df = written(df)
-        df = df.mapInArrow(_pass(to_arrow_schema(schema), (id(items), n), items, n), schema)
+        df = df.mapInArrow(_pass(to_arrow_schema(schema), uuid.uuid4().hex, items, n), schema)
     if "hits" not in df.columns:
-        df = df.mapInArrow(_pass(to_arrow_schema(schema), ("none", n), spark.sparkContext.broadcast([]), n), schema)
+        df = df.mapInArrow(_pass(to_arrow_schema(schema), uuid.uuid4().hex, spark.sparkContext.broadcast([]), n), schema)
     pairs = F.sequence(F.lit(0), F.size("hits") - 2, F.lit(2))
     n_hit = F.when(F.size("hits") > 0, F.aggregate(pairs, F.lit(0).cast("long"), lambda a, i: a + F.get("hits", i + 1) - F.get("hits", i)))
     return df.select(F.col("id").alias(id_col), "n_words", F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"), "hits", "items")
@@ -213,7 +215,7 @@ def remove(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "
     for done, block in enumerate(blocks(bench, block_bytes)):
         items = spark.sparkContext.broadcast(block)
         out = written(out) if done else out
-        out = out.mapInArrow(_removal(arrow, (id(items), n), items, n, text_col, chars_col), docs.schema)
+        out = out.mapInArrow(_removal(arrow, uuid.uuid4().hex, items, n, text_col, chars_col), docs.schema)
     return out
 
 

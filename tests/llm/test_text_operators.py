@@ -208,6 +208,16 @@ def test_removal(spark, docs, no_docs):
     assert decontam.cut(seam + " y" * 40, decontam.Index([("1", decontam.words_of(BENCH[0][1]))], 10)) is not None
 
 
+def test_index_of_another_benchmark_is_not_reused(spark, monkeypatch):
+    """Even if the second benchmark's broadcast has the address of the first's."""
+    monkeypatch.setattr(decontam, "id", lambda _: 1, raising=False)
+    d = spark.createDataFrame([(1, "a b c d"), (2, "p q r s")], "doc_id long, text string").coalesce(1)
+    for text, want in (("a b c d", [1]), ("p q r s", [2])) * 3:
+        bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+        assert [r["doc_id"] for r in decontam.scan(d, bench).where("n_hit > 0").collect()] == want
+        assert [r["doc_id"] for r in decontam.remove(d, bench, chars_col=None).collect()] == [3 - want[0]]
+
+
 # ---- op5 ---------------------------------------------------------------------------
 
 
