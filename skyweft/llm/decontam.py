@@ -186,37 +186,94 @@ def _pass(arrow: pa.Schema, key, items, n: int):
     return run
 
 
+def without(text: str, hits: list[int]) -> str | None:
+    """The text without hit words (start, end, ...); None if it goes whole."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    if sum(hits[1::2]) - sum(hits[::2]) > WHOLE_SHARE * len(at):
+        return None
+    kept, last = [], 0
+    for a, b in zip(hits[::2], hits[1::2]):
+        kept.append(text[last : at[a][0]])
+        last = at[b - 1][1]
+    return "".join([*kept, text[last:]])
+
+
 def cut(text: str, index: Index) -> str | None:
     """The text without hit spans; None if it goes whole. Cuts until nothing is hit."""
     while found := index.scan([words_of(text)]):
-        hits = union(found[0][0])
-        at = [m.span() for m in _WORD.finditer(text)]
-        if sum(hits[1::2]) - sum(hits[::2]) > WHOLE_SHARE * len(at):
-            return None
-        kept, last = [], 0
-        for a, b in zip(hits[::2], hits[1::2]):
-            kept.append(text[last : at[a][0]])
-            last = at[b - 1][1]
-        text = "".join([*kept, text[last:]])
+        text = without(text, union(found[0][0]))
+        if text is None:
+            break
     return text
 
 
+#: The column in which passes over several blocks add up a document's hits.
+_HITS = "__skyweft_hits"
+
+
 def remove(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "text", chars_col: str | None = "n_chars", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without hit spans, and without documents hit for over WHOLE_SHARE.
 
-    All columns stay; clean rows are untouched. ``chars_col`` follows a cut text.
+    All columns stay; clean rows are untouched. ``chars_col`` follows a cut text. With
+    several blocks, all are scanned for before a document is judged and cut, again for
+    the documents that were cut until none is hit: block sizes do not show.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
     small_batches(spark)
-    out = docs
     arrow = to_arrow_schema(docs.schema)
-    for done, block in enumerate(blocks(bench, block_bytes)):
-        items = spark.sparkContext.broadcast(block)
-        out = written(out) if done else out
-        out = out.mapInArrow(_removal(arrow, uuid.uuid4().hex, items, n, text_col, chars_col), docs.schema)
-    return out
+    shared = [(uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in blocks(bench, block_bytes)]
+    if not shared:
+        return docs
+    if len(shared) == 1:
+        return docs.mapInArrow(_removal(arrow, *shared[0], n, text_col, chars_col), docs.schema)
+    left, clean = docs, None
+    while True:
+        left = left.withColumn(_HITS, F.array().cast("array<int>"))
+        for key, items in shared:
+            left = written(left.mapInArrow(_hits(key, items, n, text_col), left.schema))
+        done = left.where(F.size(_HITS) == 0).drop(_HITS)
+        clean = done if clean is None else clean.union(done)
+        hit = left.where(F.size(_HITS) > 0)
+        if hit.isEmpty():
+            return clean
+        left = written(hit.mapInArrow(_cutting(arrow, text_col, chars_col), docs.schema))
+
+
+def _hits(key, items, n: int, text_col: str):
+    def run(batches):
+        for b in batches:
+            texts, hits = b.column(text_col).to_pylist(), b.column(_HITS).to_pylist()
+            index = _index(key, items, n)
+            for i, j in chunks(texts):
+                for d, (spans, _) in index.scan([words_of(t) for t in texts[i:j]]).items():
+                    hits[i + d] = union([*zip(hits[i + d][::2], hits[i + d][1::2]), *spans])
+            data = {f.name: b.column(f.name) for f in b.schema} | {_HITS: pa.array(hits, b.schema.field(_HITS).type)}
+            yield pa.RecordBatch.from_arrays(list(data.values()), names=list(data))
+
+    return run
+
+
+def _cutting(arrow: pa.Schema, text_col: str, chars_col: str | None):
+    def run(batches):
+        for b in batches:
+            new = {i: without(t, h) for i, (t, h) in enumerate(zip(b.column(text_col).to_pylist(), b.column(_HITS).to_pylist()))}
+            yield _replaced(b.drop_columns([_HITS]), new, arrow, text_col, chars_col)
+
+    return run
+
+
+def _replaced(b: pa.RecordBatch, new: dict[int, str | None], arrow: pa.Schema, text_col: str, chars_col: str | None) -> pa.RecordBatch:
+    """``b`` with new texts by row; rows whose new text is None go."""
+    data = {f.name: b.column(f.name) for f in b.schema}
+    data[text_col] = pa.array([new.get(i, t) for i, t in enumerate(data[text_col].to_pylist())], arrow.field(text_col).type)
+    if chars_col in data:
+        old = data[chars_col].to_pylist()
+        data[chars_col] = pa.array([len(new[i]) if new.get(i) is not None else c for i, c in enumerate(old)], arrow.field(chars_col).type)
+    gone = {i for i, t in new.items() if t is None}
+    b = pa.RecordBatch.from_arrays(list(data.values()), names=list(data))
+    return b.filter(pa.array([i not in gone for i in range(b.num_rows)], pa.bool_()))
 
 
 def _removal(arrow: pa.Schema, key, items, n: int, text_col: str, chars_col: str | None):
@@ -229,14 +286,7 @@ def _removal(arrow: pa.Schema, key, items, n: int, text_col: str, chars_col: str
                 for d in index.scan([words_of(t) for t in texts[i:j]]):
                     new[i + d] = cut(texts[i + d], index)
             if new:
-                data = {f.name: b.column(f.name) for f in b.schema}
-                data[text_col] = pa.array([new.get(i, t) for i, t in enumerate(texts)], arrow.field(text_col).type)
-                if chars_col in data:
-                    old = data[chars_col].to_pylist()
-                    data[chars_col] = pa.array([len(new[i]) if new.get(i) is not None else c for i, c in enumerate(old)], arrow.field(chars_col).type)
-                gone = {i for i, t in new.items() if t is None}
-                b = pa.RecordBatch.from_arrays(list(data.values()), names=list(data))
-                b = b.filter(pa.array([i not in gone for i in range(len(texts))]))
+                b = _replaced(b, new, arrow, text_col, chars_col)
             yield b
 
     return run

@@ -208,6 +208,26 @@ def test_removal(spark, docs, no_docs):
     assert decontam.cut(seam + " y" * 40, decontam.Index([("1", decontam.words_of(BENCH[0][1]))], 10)) is not None
 
 
+def test_removal_does_not_depend_on_block_size(spark, docs, no_docs):
+    b = lambda x, n=12: " ".join(f"{x}{i}" for i in range(n))
+    over = " ".join([*b("u").split(), "v0"])  # its windows overlap those of the next item
+    bench = spark.createDataFrame([(1, b("p")), (2, b("q")), (3, over), (4, " ".join([*over.split()[5:], b("v", 9)])), (5, b("w"))], "item_id long, text string")
+    own = b("own", 28)
+    texts = [
+        f"{own[:100]} {b('p')} {b('q')}",  # over half of it by both items only
+        f"{own} {' '.join(over.split()[:5])} {' '.join(over.split()[5:])} {b('v', 9)}",
+        f"{own} {b('w', 5)} {b('p')} {' '.join(b('w').split()[5:])}",  # a passage at the seam of another
+        own, None,
+    ]
+    d = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    whole = {r["doc_id"]: (r["text"], r["n_chars"]) for r in decontam.remove(d, bench).collect()}
+    assert 0 not in whole and whole[1][0].split() == whole[2][0].split() == own.split()
+    for size in (1, 60, 100):
+        assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in decontam.remove(d, bench, block_bytes=size).collect()} == whole
+    assert decontam.remove(docs, bench, block_bytes=1).columns == docs.columns and decontam.remove(docs, bench, block_bytes=1).count() == docs.count()
+    assert decontam.remove(no_docs, bench, block_bytes=1).count() == 0
+
+
 def test_index_of_another_benchmark_is_not_reused(spark, monkeypatch):
     """Even if the second benchmark's broadcast has the address of the first's."""
     monkeypatch.setattr(decontam, "id", lambda _: 1, raising=False)
