@@ -14,6 +14,8 @@ SOFT, ALT_WEIGHT = 500.0, 10.0
 MAX_RANGE_M, OUTLIER_M = 500_000.0, 3000.0
 MAX_GDOP, MAX_GDOP_2D = 20.0, 10.0
 PIVOT = 1e-15
+#: Share of the cost that its own rounding may make up.
+ROUNDING = 1e-11
 
 
 def lla_to_ecef(lat, lon, alt) -> np.ndarray:
@@ -22,16 +24,27 @@ def lla_to_ecef(lat, lon, alt) -> np.ndarray:
     return np.stack([(n + alt) * np.cos(phi) * np.cos(lam), (n + alt) * np.cos(phi) * np.sin(lam), (n * (1 - E2) + alt) * np.sin(phi)], axis=-1)
 
 
-def ecef_to_lla(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _vertical(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sine and cosine of latitude and longitude, prime radius and height, without angles."""
     p = np.hypot(x[..., 0], x[..., 1])
     z = x[..., 2]
-    th = np.arctan2(z * A, p * B)
-    lat = np.arctan2(z + EP2 * B * np.sin(th) ** 3, p - E2 * A * np.cos(th) ** 3)
-    lat = np.arctan2(z + E2 * A / np.sqrt(1 - E2 * np.sin(lat) ** 2) * np.sin(lat), p)
-    n = A / np.sqrt(1 - E2 * np.sin(lat) ** 2)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        alt = np.where(np.abs(np.cos(lat)) > 1e-10, p / np.cos(lat) - n, np.abs(z) - B)
-    return np.degrees(lat), np.degrees(np.arctan2(x[..., 1], x[..., 0])), alt
+    za, pb = z * A, p * B
+    hyp = np.maximum(np.hypot(za, pb), 1e-300)
+    rise, run = z + EP2 * B * (za / hyp) ** 3, p - E2 * A * (pb / hyp) ** 3
+    sin = rise / np.maximum(np.hypot(rise, run), 1e-300)
+    rise = z + E2 * A / np.sqrt(1 - E2 * sin * sin) * sin
+    hyp = np.maximum(np.hypot(rise, p), 1e-300)
+    sin, cos = rise / hyp, p / hyp
+    n = A / np.sqrt(1 - E2 * sin * sin)
+    flat = p > 0
+    safe = np.where(flat, p, 1.0)
+    height = np.where(cos > 1e-10, p / np.maximum(cos, 1e-10) - n, np.abs(z) - B)
+    return sin, cos, np.where(flat, x[..., 1] / safe, 0.0), np.where(flat, x[..., 0] / safe, 1.0), n, height
+
+
+def ecef_to_lla(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sin, cos, _, _, _, height = _vertical(x)
+    return np.degrees(np.arctan2(sin, cos)), np.degrees(np.arctan2(x[..., 1], x[..., 0])), height
 
 
 def speeds(sensor_alt: np.ndarray, alt: np.ndarray) -> np.ndarray:
@@ -57,18 +70,32 @@ def timing(x: np.ndarray, s: np.ndarray, t: np.ndarray, v: np.ndarray) -> tuple[
 
 def rows(x, s, t, v, alt, prior, weight) -> tuple[np.ndarray, np.ndarray]:
     """All residual rows and their Jacobian: timing, altitude, three of the prior."""
-    r, j, _ = timing(x, s, t, v)
-    lat, lon, h = ecef_to_lla(x)
-    phi, lam = np.radians(lat), np.radians(lon)
-    up = np.stack([np.cos(phi) * np.cos(lam), np.cos(phi) * np.sin(lam), np.sin(phi)], axis=1)
-    known = np.isfinite(alt)
-    a = np.where(known, ALT_WEIGHT * (h - np.where(known, alt, 0)), 0.0)[:, None]
-    ja = np.where(known[:, None], ALT_WEIGHT * up, 0.0)[:, None, :]
+    return _rows(x, s, t, v, np.isfinite(alt), np.nan_to_num(alt), *_pull(prior, weight))
+
+
+def _pull(prior: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Priors and weights of their rows; unknown priors weigh nothing."""
     has = np.isfinite(prior).all(1)
-    w = np.where(has, weight, 0.0)
-    p = w[:, None] * (x - np.where(has[:, None], prior, 0.0))
-    jp = w[:, None, None] * np.eye(3)
-    return np.concatenate([r, a, p], axis=1), np.concatenate([j, ja, jp], axis=1)
+    return np.where(has[:, None], prior, 0.0), np.where(has, weight, 0.0)
+
+
+def _rows(x, s, t, v, known, alt, prior, weight) -> tuple[np.ndarray, np.ndarray]:
+    g, n = t.shape
+    r, j = np.empty((g, n + 4)), np.zeros((g, n + 4, 3))
+    d = x[:, None, :] - s
+    far = np.sqrt(np.einsum("gnk,gnk->gn", d, d))
+    q = d / (np.maximum(far, 1e-9) * v)[..., None]
+    late = t - far / v
+    r[:, :n] = (late - (late.sum(1) / n)[:, None]) * v
+    j[:, :n] = ((q.sum(1) / n)[:, None] - q) * v[..., None]
+    sin, cos, sl, cl, _, height = _vertical(x)
+    a = np.where(known, ALT_WEIGHT, 0.0)
+    r[:, n] = a * (height - alt)
+    j[:, n, 0], j[:, n, 1], j[:, n, 2] = a * cos * cl, a * cos * sl, a * sin
+    r[:, n + 1 :] = weight[:, None] * (x - prior)
+    for k in range(3):
+        j[:, n + 1 + k, k] = weight
+    return r, j
 
 
 def cost(r: np.ndarray) -> np.ndarray:
@@ -76,48 +103,92 @@ def cost(r: np.ndarray) -> np.ndarray:
 
 
 def solve3(m: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Solutions of symmetric 3 x 3 systems and whether they are regular."""
-    ok = np.isfinite(m).all((1, 2)) & np.isfinite(b).all(1)
-    safe = np.where(ok[:, None, None], m, np.eye(3))
-    det = np.linalg.det(safe)
-    ok &= np.abs(det) > PIVOT
-    safe = np.where(ok[:, None, None], safe, np.eye(3))
-    return np.linalg.solve(safe, np.where(ok[:, None], b, 0.0)[..., None])[..., 0], ok
-
+    """Solutions of 3 x 3 systems and whether they are regular: no pivot under PIVOT.
 
+    Gaussian elimination with row exchanges, over all systems at once.
+    """
+    a = np.concatenate([m, b[..., None]], axis=2)
+    ok = np.isfinite(a).all((1, 2))
+    a[~ok] = np.eye(3, 4)
+    i = np.arange(len(a))
+    for k in range(3):
+        top = k + np.abs(a[:, k:, k]).argmax(1)
+        a[i, k], a[i, top] = a[i, top], a[i, k]
+        pivot = a[:, k, k]
+        fine = np.abs(pivot) > PIVOT
+        ok &= fine
+        a[:, k] /= np.where(fine, pivot, 1.0)[:, None]
+        for other in range(k + 1, 3):
+            a[:, other] -= a[:, other, k : k + 1] * a[:, k]
+    z = a[:, 2, 3]
+    y = a[:, 1, 3] - a[:, 1, 2] * z
+    return np.stack([a[:, 0, 3] - a[:, 0, 1] * y - a[:, 0, 2] * z, y, z], axis=1), ok
+
+
+def damped_step(m: np.ndarray, b: np.ndarray, damp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Solutions of (m + damp) step = -b, m symmetric, and whether no pivot is under PIVOT."""
+    p0, m01, m02 = m[:, 0, 0] + damp, m[:, 0, 1], m[:, 0, 2]
+    l1, l2 = m01 / p0, m02 / p0
+    p1 = m[:, 1, 1] + damp - l1 * m01
+    l3 = (m[:, 1, 2] - l2 * m01) / p1
+    p2 = m[:, 2, 2] + damp - l2 * m02 - l3 * l3 * p1
+    y1 = b[:, 1] - l1 * b[:, 0]
+    z = (b[:, 2] - l2 * b[:, 0] - l3 * y1) / p2
+    y = y1 / p1 - l3 * z
+    ok = (np.abs(p0) > PIVOT) & (np.abs(p1) > PIVOT) & (np.abs(p2) > PIVOT)
+    return -np.stack([b[:, 0] / p0 - l1 * y - l2 * z, y, z], axis=1), ok
+
+
+def _normal(r: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cost, normal matrix and gradient of soft-L1 rows."""
+    root = np.sqrt(1 + (r * (1 / SOFT)) ** 2)
+    jt = (j / root[..., None]).transpose(0, 2, 1)
+    return 2 * SOFT**2 * (root.sum(1) - r.shape[1]), jt @ j, (jt @ r[..., None])[..., 0]
+
+
+@np.errstate(divide="ignore", invalid="ignore", over="ignore")
 def levenberg_marquardt(x0, s, t, v, alt, prior, weight, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and whether they are finite: robust least squares, all groups at once.
 
     Damping is added to the diagonal, halved on an accepted step and raised tenfold on
     a rejected one; a group is done on a step under 0.1 mm, accepted or not (a rejected
-    one that short says that nothing near is better), or when damping has run away.
+    one that short says that nothing near is better), on a rejected step that promised
+    a decrease within rounding of the cost, or when damping has run away. Each trial's
+    rows are worked out once; groups that are done leave when they are the half.
     """
     x = x0.copy()
-    damp, live = np.full(len(x), 1e-3), np.isfinite(x).all(1)
-    good = live.copy()
+    good = np.isfinite(x).all(1)
+    i = np.flatnonzero(good)
+    fixed = [a[i] for a in (s, t, v, np.isfinite(alt), np.nan_to_num(alt), *_pull(prior, weight))]
+    at, damp, live = x[i], np.full(len(i), 1e-3), np.ones(len(i), bool)
+    now, m, b = _normal(*_rows(at, *fixed))
     for _ in range(most):
-        i = np.flatnonzero(live)
         if not len(i):
             break
-        args = (s[i], t[i], v[i], alt[i], prior[i], weight[i])
-        r, j = rows(x[i], *args)
-        scale = (1 + (r / SOFT) ** 2) ** -0.25
-        rs, js = r * scale, j * scale[..., None]
-        jt = js.transpose(0, 2, 1)
-        step, ok = solve3(jt @ js + damp[i][:, None, None] * np.eye(3), -(jt @ rs[..., None])[..., 0])
-        trial = x[i] + step
-        better = ok & (cost(rows(trial, *args)[0]) < cost(r))
-        x[i[better]] = trial[better]
-        damp[i] = np.where(better, damp[i] * 0.5, damp[i] * 10)
-        size = np.linalg.norm(step, axis=1)
-        live[i[(size < 1e-4) | (damp[i] > 1e12)]] = False
+        step, ok = damped_step(m, b, damp)
+        then, m2, b2 = _normal(*_rows(at + step, *fixed))
+        better = ok & live & (then < now)
+        w = better[:, None]
+        promised = -np.einsum("gk,gk->g", step, b)
+        vain = ~better & (promised <= ROUNDING * now)
+        at, now = np.where(w, at + step, at), np.where(better, then, now)
+        m, b = np.where(w[..., None], m2, m), np.where(w, b2, b)
+        damp *= np.where(better, 0.5, 10.0)
+        live &= ~((np.einsum("gk,gk->g", step, step) < 1e-8) | vain | (damp > 1e12))
+        if 2 * np.count_nonzero(live) <= len(i):
+            x[i] = at
+            i, at, now, m, b, damp = i[live], at[live], now[live], m[live], b[live], damp[live]
+            fixed, live = [f[live] for f in fixed], live[live]
+    x[i] = at
     return x, good & np.isfinite(x).all(1)
 
 
 def snapped(x: np.ndarray, alt: np.ndarray) -> np.ndarray:
-    """The position put at the known altitude."""
-    lat, lon, h = ecef_to_lla(x)
-    return np.where(np.isfinite(alt)[:, None], lla_to_ecef(lat, lon, np.where(np.isfinite(alt), alt, h)), x)
+    """The position put at the known altitude, on its own vertical."""
+    sin, cos, sl, cl, n, _ = _vertical(x)
+    h = np.nan_to_num(alt)
+    up = np.stack([(n + h) * cos * cl, (n + h) * cos * sl, (n * (1 - E2) + h) * sin], axis=-1)
+    return np.where(np.isfinite(alt)[:, None], up, x)
 
 
 def toa(x0, s, t, salt, alt, prior, weight, most: int) -> dict[str, np.ndarray]:
@@ -259,8 +330,9 @@ def _starts(s, t, alt, prior, fallback) -> tuple[np.ndarray, list[str]]:
     n = t.shape[1]
     x, names = fallback.copy(), ["frisch_toa"] * len(t)
     tries = []
-    if n >= 5:
-        tries.append(("inamdar_5sensor", closed_form(s[:, :5], t[:, :5], [(1, 2), (1, 3), (1, 4)], None)))
+    for shift in range(min(n, 4) if n >= 5 else 0):  # the sensors in turn, until one order gives a start
+        five = [(k + shift) % n for k in range(5)]
+        tries.append(("inamdar_5sensor", closed_form(s[:, five], t[:, five], [(1, 2), (1, 3), (1, 4)], None)))
     tries.append(("inamdar_4sensor_alt", closed_form(s[:, :4], t[:, :4], [(1, 2), (1, 3), (1, 3)], alt)))
     done = np.zeros(len(t), bool)
     for name, (y, ok) in tries:

@@ -8,11 +8,15 @@ k-th records of an Arrow batch are one set of batched matrix operations.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from skyweft.config import Config
 from skyweft.functions.geo import FEET, FPM, KNOTS
 from skyweft.operators import solver_np as S
-from skyweft.operators.solve import lockstep
+from skyweft.operators.solve import Receptions, Slots, Solver, arrow_schema, by_aircraft, lockstep, numbers
 from skyweft.schemas import TRACK
 
 GATE = 14.16
@@ -23,22 +27,25 @@ STALE_S = 300.0
 HISTORY = 100
 
 
-class Filters:
-    """States of the filters by slot: x [k, 6], p [k, 6, 6] and their times."""
+class Filters(Slots):
+    """States of the filters by slot: x [k, 6], p [k, 6, 6], times and counts."""
 
     def __init__(self):
-        self.slot: dict[str, int] = {}
-        self.x, self.p = np.zeros((0, 6)), np.zeros((0, 6, 6))
-        self.t, self.n, self.positions = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.squawk: list[str | None] = []
-
-    def add(self, icao: str, pos: np.ndarray, t_ns: int, squawk: str | None) -> int:
-        i = self.slot[icao] = len(self.t)
-        p = np.diag([DEFAULT_NOISE**2] * 3 + [1e6] * 3)
-        self.x, self.p = np.concatenate([self.x, np.append(pos, np.zeros(3))[None]]), np.concatenate([self.p, p[None]])
-        self.t, self.n, self.positions = np.append(self.t, t_ns), np.append(self.n, 1), np.append(self.positions, 1)
-        self.squawk.append(squawk)
-        return i
+        super().__init__(x=(6,), p=(6, 6), n=(), positions=())
+        self.squawk = np.zeros(0, object)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        out = super().of(keys)
+        if len(self.squawk) < len(self.t):
+            self.squawk = np.append(self.squawk, np.full(len(self.t) - len(self.squawk), None, object))
+        return out
+
+    def start(self, i: np.ndarray, pos: np.ndarray, t_ns: np.ndarray) -> None:
+        """New tracks, or stale ones anew in the same slots."""
+        self.x[i] = np.concatenate([pos, np.zeros_like(pos)], axis=1)
+        self.p[i] = np.diag([DEFAULT_NOISE**2] * 3 + [1e6] * 3)
+        self.t[i], self.n[i], self.positions[i], self.live[i] = t_ns, 1, 1, True
+        self.squawk[i] = None
 
     def predict(self, i: np.ndarray, t_ns: np.ndarray) -> None:
         """Advance to the times; earlier ones leave the state alone."""
@@ -88,122 +95,140 @@ class Tracker:
         self.f = Filters()
         self.counts = {k: 0 for k in ("received", "accepted", "rejected", "rejected_quality", "created", "aided")}
 
-    def batch(self, rows: list[dict]) -> list[dict]:
-        out: list[tuple[int, dict]] = []
-        for part in lockstep(np.array([r["icao"] for r in rows], object)):
-            fixes, groups = [], []
-            for i in part.tolist():
-                if rows[i]["fix"] is not None:
-                    fixes.append((i, rows[i]["fix"]))
-                elif rows[i]["unsolved_group"] is not None:
-                    groups.append((i, rows[i]["unsolved_group"]))
-            fixes += self._aided(groups)
-            out += self._fixes(fixes)
-        return [r for _, r in sorted(out, key=lambda x: x[0])]
-
-    def _fixes(self, fixes: list[tuple[int, dict]]) -> list[tuple[int, dict]]:
-        self.counts["received"] += len(fixes)
-        good = [(i, f) for i, f in fixes if f["icao"] and not (f["num_sensors"] == 2 and f["quality_residual_m"] > MAX_QUALITY_2SENSOR)]
-        self.counts["rejected_quality"] += len(fixes) - len(good)
-        if not good:
-            return []
-        col = lambda k: np.array([f[k] if f[k] is not None else 0.0 for _, f in good], float)
-        pos = S.lla_to_ecef(col("lat"), col("lon"), col("alt_ft") * FEET)
-        t = np.array([f["timestamp_s"] * 1_000_000_000 + f["timestamp_ns"] for _, f in good], np.int64)
-        sigma = noise(col("num_sensors"), col("quality_residual_m"), col("gdop"))
-        old = np.array([f["icao"] in self.f.slot for _, f in good], bool)
-        slots = np.zeros(len(good), np.int64)
-        for k in np.flatnonzero(~old).tolist():
-            slots[k] = self.f.add(good[k][1]["icao"], pos[k], int(t[k]), good[k][1]["squawk"])
-        which = np.flatnonzero(old)
-        slots[which] = [self.f.slot[good[k][1]["icao"]] for k in which.tolist()]
-        accepted = ~old
-        if len(which):
-            gone = (t[which] - self.f.t[slots[which]]) * 1e-9 > STALE_S
-            for k in which[gone].tolist():  # a stale track begins anew
-                slots[k] = self.f.add(good[k][1]["icao"], pos[k], int(t[k]), good[k][1]["squawk"])
-            accepted[which[gone]] = True
-            which = which[~gone]
-            self.f.predict(slots[which], t[which])
-            accepted[which] = self.f.update(slots[which], pos[which], sigma[which])
-            self.counts["created"] += int(gone.sum())
-        self.counts["created"] += int((~old).sum())
+    def batch(self, b: pa.RecordBatch) -> pa.RecordBatch:
+        """TRACK rows of the accepted records of a batch, in its order."""
+        n = b.num_rows
+        fix, group = b.column("fix"), b.column("unsolved_group")
+        fixed = fix.is_valid().to_numpy(zero_copy_only=False)
+        passed = group.is_valid().to_numpy(zero_copy_only=False) & ~fixed
+        fix_of, group_of = (dict(zip((f.name for f in c.type), c.flatten())) for c in (fix, group))
+        codes, keys = pd.factorize(pc.fill_null(b.column("icao"), "").to_numpy(zero_copy_only=False))
+        slot = self.f.of(keys)[codes] if n else np.zeros(0, np.int64)
+        w = {k: np.where(fixed, np.nan_to_num(numbers(fix_of[c])), 0.0) for k, c in (("lat", "lat"), ("lon", "lon"), ("alt", "alt_ft"), ("residual", "residual_m"), ("quality", "quality_residual_m"), ("gdop", "gdop"), ("n", "num_sensors"), ("t0", "t0_s"))}
+        whole = lambda c: np.nan_to_num(c.to_numpy(zero_copy_only=False)).astype(np.int64)
+        w["t"] = np.where(fixed, whole(fix_of["timestamp_s"]) * 1_000_000_000 + whole(fix_of["timestamp_ns"]), 0)
+        pick = lambda k: pc.if_else(pa.array(fixed), fix_of[k], group_of[k])
+        own = {k: pick(k) for k in ("icao", "df_type", "squawk", "raw_msg")}
+        w["method"], w["squawk"] = fix_of["solve_method"].to_numpy(zero_copy_only=False).astype(object), own["squawk"].to_numpy(zero_copy_only=False).astype(object)
+        w["feet"] = numbers(group_of["altitude_ft"])
+        named = pc.fill_null(pc.not_equal(own["icao"], ""), False).to_numpy(zero_copy_only=False)
+        heard = Receptions(group_of["receptions"])
+        w |= {k: np.zeros((n, *shape)) for k, shape in (("out_lat", ()), ("out_lon", ()), ("heading", ()), ("speed", ()), ("climb", ()), ("updates", ()), ("positions", ()), ("cov", (4,)))}
+        done = np.zeros(n, bool)
+        for part in lockstep(codes):
+            mine = np.concatenate([part[fixed[part]], self._aided(part[passed[part]], slot, heard, w)])
+            mine = self._fixes(mine[named[mine]], slot, w)
+            self._output(mine, slot, w)
+            done[mine] = True
+        return self._tracks(own, w, done)
+
+    def _fixes(self, i: np.ndarray, slot: np.ndarray, w: dict) -> np.ndarray:
+        """The rows of those fixes that start a track or that theirs accepts."""
+        self.counts["received"] += len(i)
+        good = ~((w["n"][i] == 2) & (w["quality"][i] > MAX_QUALITY_2SENSOR))
+        self.counts["rejected_quality"] += int((~good).sum())
+        i = i[good]
+        k, t = slot[i], w["t"][i]
+        pos = S.lla_to_ecef(w["lat"][i], w["lon"][i], w["alt"][i] * FEET)
+        new = ~self.f.live[k] | (self.f.age(k, t) > STALE_S)  # a stale track begins anew
+        self.f.start(k[new], pos[new], t[new])
+        old = ~new
+        accepted = new.copy()
+        self.f.predict(k[old], t[old])
+        accepted[old] = self.f.update(k[old], pos[old], noise(w["n"][i[old]], w["quality"][i[old]], w["gdop"][i[old]]))
+        self.counts["created"] += int(new.sum())
         self.counts["accepted"] += int(accepted.sum())
         self.counts["rejected"] += int((~accepted).sum())
-        for k in np.flatnonzero(accepted).tolist():
-            self.f.squawk[slots[k]] = good[k][1]["squawk"] or self.f.squawk[slots[k]]
-        keep = np.flatnonzero(accepted)
-        return [(good[k][0], r) for k, r in zip(keep.tolist(), self._output(slots[keep], [good[k][1] for k in keep.tolist()]))]
-
-    def _aided(self, groups: list[tuple[int, dict]]) -> list[tuple[int, dict]]:
-        """Fixes of unsolved groups, solved around their established track's prediction."""
-        by_n: dict[int, list] = {}
-        for i, g in groups:
-            slot = self.f.slot.get(g["icao"])
-            if slot is not None and self.f.n[slot] >= 2 and g["altitude_ft"] is not None and len(g["receptions"]) >= 2:
-                stamps = np.array([r["timestamp_s"] * 1_000_000_000 + r["timestamp_ns"] for r in g["receptions"]], np.int64)
-                by_n.setdefault(len(stamps), []).append((i, g, slot, stamps))
-        out = []
-        for n, cases in by_n.items():
-            slots, t = np.array([c[2] for c in cases]), np.array([c[3].min() for c in cases])
-            self.f.predict(slots, t)  # the filter stays there whatever comes of the group
-            around = self.f.x[slots, :3]
-            u = np.sqrt(np.trace(self.f.p[slots][:, :3, :3], axis1=1, axis2=2))
-            place = np.array([[(r["lat"], r["lon"], r["alt"]) for r in c[1]["receptions"]] for c in cases], float)
-            s = S.lla_to_ecef(place[..., 0], place[..., 1], place[..., 2])
-            rel = np.array([(c[3] - c[3].min()) * 1e-9 for c in cases])
-            alt = np.array([c[1]["altitude_ft"] * FEET for c in cases], float)
+        i = i[accepted]
+        told = np.array([bool(s) for s in w["squawk"][i]], bool)
+        self.f.squawk[slot[i[told]]] = w["squawk"][i[told]]
+        return i
+
+    def _aided(self, i: np.ndarray, slot: np.ndarray, heard: Receptions, w: dict) -> np.ndarray:
+        """Rows of unsolved groups that are solved around their established track's prediction."""
+        i = i[self.f.live[slot[i]] & (self.f.n[slot[i]] >= 2) & np.isfinite(w["feet"][i]) & (heard.size[i] >= 2)]
+        solved = [i[:0]]
+        for n in np.unique(heard.size[i]).tolist():
+            j = i[heard.size[i] == n]
+            at = heard.rows(j, n)
+            stamps = heard.ns[at]
+            first, k = stamps.min(1), slot[j]
+            self.f.predict(k, first)  # the filter stays there whatever comes of the group
+            around = self.f.x[k, :3]
+            u = np.sqrt(np.trace(self.f.p[k][:, :3, :3], axis1=1, axis2=2))
+            s, rel, salt, alt = heard.ecef[at], (stamps - first[:, None]) * 1e-9, heard.place[at, 2], w["feet"][j] * FEET
             weight = np.clip(500.0 / np.maximum(u, 1.0), 1.0, 12.0)
-            r = S.toa(around.copy(), s, rel, place[..., 2], alt, around, weight, 50)
+            r = S.toa(around.copy(), s, rel, salt, alt, around, weight, 50)
             offset = np.linalg.norm(r["x"] - around, axis=1)
             ok = r["ok"] & (r["residual"] <= np.clip(u * 0.5, 100.0, 500.0)) & (offset <= np.clip(3 * u, 500.0, 5000.0))
-            all_rows, _ = S.rows(r["x"], s, rel, S.speeds(place[..., 2], alt), alt, around, weight)
-            objective = np.sqrt((all_rows**2).mean(1))
+            every, _ = S.rows(r["x"], s, rel, S.speeds(salt, alt), alt, around, weight)
             lat, lon, _ = S.ecef_to_lla(r["x"])
-            for k in np.flatnonzero(ok).tolist():
-                i, g, _, stamps = cases[k]
-                self.counts["aided"] += 1
-                out.append((i, {
-                    "icao": g["icao"], "lat": float(lat[k]), "lon": float(lon[k]), "alt_ft": float(g["altitude_ft"]), "residual_m": float(r["residual"][k]), "quality_residual_m": float(objective[k]),
-                    "gdop": 0.0, "num_sensors": n, "solve_method": f"prediction_aided_{n}sensor", "timestamp_s": int(stamps.min()) // 1_000_000_000, "timestamp_ns": int(stamps.min()) % 1_000_000_000,
-                    "df_type": g["df_type"], "squawk": g["squawk"], "raw_msg": g["raw_msg"], "t0_s": float(r["t0"][k]),
-                }))
-        return out
-
-    def _output(self, slots: np.ndarray, fixes: list[dict]) -> list[dict]:
-        x, p = self.f.x[slots], self.f.p[slots]
+            m = j[ok]
+            for name, values in (("lat", lat), ("lon", lon), ("alt", w["feet"][j]), ("residual", r["residual"]), ("quality", np.sqrt((every**2).mean(1))), ("t0", r["t0"]), ("t", first)):
+                w[name][m] = values[ok]
+            w["gdop"][m], w["n"][m], w["method"][m] = 0.0, n, f"prediction_aided_{n}sensor"
+            self.counts["aided"] += len(m)
+            solved.append(m)
+        return np.concatenate(solved)
+
+    def _output(self, i: np.ndarray, slot: np.ndarray, w: dict) -> None:
+        k = slot[i]
+        x, p = self.f.x[k], self.f.p[k]
         lat, lon, _ = S.ecef_to_lla(x[:, :3])
-        phi, lam = np.radians(lat), np.radians(lon)
-        sp, cp, sl, cl = np.sin(phi), np.cos(phi), np.sin(lam), np.cos(lam)
-        r = np.stack([np.stack([-sl, cl, 0 * sl], 1), np.stack([-sp * cl, -sp * sl, cp], 1), np.stack([cp * cl, cp * sl, sp], 1)], 1)
-        v = (r @ x[:, 3:, None])[..., 0]
+        v, cov = local_motion(lat, lon, x[:, 3:], p[:, :3, :3])
         ground = np.hypot(v[:, 0], v[:, 1])
-        heading = np.where(ground < 1.0, 0.0, np.degrees(np.arctan2(v[:, 0], v[:, 1])) % 360)
-        cov = (r @ p[:, :3, :3] @ r.transpose(0, 2, 1))[:, :2, :2]
-        return [
-            f | {"lat": float(lat[k]), "lon": float(lon[k]), "squawk": self.f.squawk[s], "heading_deg": float(heading[k]), "speed_kts": float(ground[k] * KNOTS), "vrate_fpm": float(v[k, 2] * FPM),
-                 "track_quality": int(self.f.n[s]), "positions_count": int(self.f.positions[s]), "cov_matrix": cov[k].tolist()}
-            for k, (s, f) in enumerate(zip(slots.tolist(), fixes))
-        ]
+        w["out_lat"][i], w["out_lon"][i] = lat, lon
+        w["heading"][i] = np.where(ground < 1.0, 0.0, np.degrees(np.arctan2(v[:, 0], v[:, 1])) % 360)
+        w["speed"][i], w["climb"][i], w["updates"][i], w["positions"][i] = ground * KNOTS, v[:, 2] * FPM, self.f.n[k], self.f.positions[k]
+        w["cov"][i] = cov.reshape(-1, 4)
+        w["squawk"][i] = self.f.squawk[k]
+
+    def _tracks(self, own: dict, w: dict, done: np.ndarray) -> pa.RecordBatch:
+        i = np.flatnonzero(done)
+        arrow = arrow_schema(TRACK)
+        took = {k: c.take(pa.array(i)) for k, c in own.items()}
+        flat = pa.array(w["cov"][i].reshape(-1))
+        cov = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(i) + 1, 2), pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(i) + 1, 2), pa.int32()), flat))
+        of = {
+            "icao": took["icao"], "lat": w["out_lat"][i], "lon": w["out_lon"][i], "alt_ft": w["alt"][i], "residual_m": w["residual"][i], "quality_residual_m": w["quality"][i], "gdop": w["gdop"][i],
+            "num_sensors": w["n"][i].astype(np.int64), "solve_method": w["method"][i], "timestamp_s": w["t"][i] // 1_000_000_000, "timestamp_ns": w["t"][i] % 1_000_000_000, "df_type": took["df_type"],
+            "squawk": w["squawk"][i], "raw_msg": took["raw_msg"], "t0_s": w["t0"][i], "heading_deg": w["heading"][i], "speed_kts": w["speed"][i], "vrate_fpm": w["climb"][i],
+            "track_quality": w["updates"][i].astype(np.int64), "positions_count": w["positions"][i].astype(np.int64), "cov_matrix": cov,
+        }
+        return pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c).cast(f.type) for c, f in ((of[f.name], f) for f in arrow)], schema=arrow)
+
+
+def local_motion(lat, lon, v: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """East, north and up of velocities, and the east-north part of covariances."""
+    phi, lam = np.radians(lat), np.radians(lon)
+    sp, cp, sl, cl = np.sin(phi), np.cos(phi), np.sin(lam), np.cos(lam)
+    r = np.stack([np.stack([-sl, cl, 0 * sl], 1), np.stack([-sp * cl, -sp * sl, cp], 1), np.stack([cp * cl, cp * sl, sp], 1)], 1)
+    return (r @ v[..., None])[..., 0], (r @ p @ r.transpose(0, 2, 1))[:, :2, :2]
 
 
 def tracks(records: DataFrame) -> DataFrame:
     """TRACK rows, one for each accepted fix, of records (t_ns, icao, fix, unsolved_group).
 
-    Records already partitioned by ``icao`` and sorted by time, as the solver leaves
-    them, are repartitioned only if the plan has lost that.
+    One shuffle, by aircraft; :func:`solved_tracks` does without a second one.
     """
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(TRACK)
     src = records.where("fix is not null or unsolved_group is not null").select("t_ns", "icao", "fix", "unsolved_group").repartition("icao").sortWithinPartitions("t_ns", "icao")
 
     def run(batches):
         tracker = Tracker()
         for b in batches:
-            rows = tracker.batch(b.to_pylist())
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            if b.num_rows:
+                yield tracker.batch(b)
 
     return src.mapInArrow(run, TRACK)
+
+
+def solved_tracks(groups: DataFrame, config: Config = Config()) -> DataFrame:
+    """TRACK rows of groups, solved and tracked in one pass after one shuffle."""
+
+    def run(batches):
+        solver, tracker = Solver(config), Tracker()
+        for b in batches:
+            if b.num_rows:
+                yield tracker.batch(solver.batch(b))
+
+    return by_aircraft(groups).mapInArrow(run, TRACK)

@@ -444,7 +444,7 @@ def toa_solve(spark, sf):
 @query()
 def ekf_tracks(spark, sf):
     """Tracks of flights heard by two sensors: prior-aided fixes and aided solutions."""
-    return track.tracks(solve.solve_groups(syn.flights(spark, sf, 2)))
+    return track.solved_tracks(syn.flights(spark, sf, 2))
 
 
 @query()
@@ -467,7 +467,7 @@ def cache_stats(spark, sf):
 
 @query()
 def track_stats(spark, sf):
-    return aggregates.track_stats(track.tracks(solve.solve_groups(syn.flights(spark, sf, 3))))
+    return aggregates.track_stats(track.solved_tracks(syn.flights(spark, sf, 3)))
 
 
 @query(f"""WITH m AS (SELECT event_id, x56, least(x56 >> 51, 24) AS df FROM ({sql('event_id', 'x56')})),
@@ -486,7 +486,7 @@ def decoded_messages(spark, sf):
 @query()
 def live_snapshot(spark, sf):
     """Latest state, trail, colour band and ellipse of each aircraft."""
-    return snapshot.snapshot(track.tracks(solve.solve_groups(syn.flights(spark, sf))))
+    return snapshot.snapshot(track.solved_tracks(syn.flights(spark, sf)))
 
 
 @query()

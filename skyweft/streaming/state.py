@@ -10,14 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from skyweft.config import Config
-from skyweft.operators.solve import EXTRA, OWN, RECORD, Cached, Solver
-from skyweft.operators.track import Filters, Tracker
-from skyweft.schemas import GROUP, RECEPTION, TRACK, struct
+from skyweft.operators.solve import EXTRA, OWN, RECORD, Solver, arrow_schema
+from skyweft.operators.track import Tracker
+from skyweft.schemas import FIX, GROUP, RECEPTION, TRACK, struct
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KEPT = struct("t_ns BIGINT, df_type INT, altitude_ft DOUBLE, squawk STRING, sensor_id BIGINT, lat DOUBLE, lon DOUBLE, alt DOUBLE, timestamp_s BIGINT, timestamp_ns BIGINT")
@@ -95,61 +97,91 @@ def correlate_stream(decoded: DataFrame, window_ns: int = 2_000_000, min_recepti
     return df.groupBy("icao", "raw_msg").transformWithStateInPandas(processor, GROUP, outputMode="Append", timeMode="EventTime")
 
 
-class TrackProcessor(StatefulProcessor):
-    """One aircraft's filter between micro-batches; a stale one is dropped by a timer."""
+class Expiring(StatefulProcessor):
+    """State of one aircraft that a timer drops.
+
+    That is when the watermark has passed its last row by ``keep_s``. There is one timer
+    an aircraft: if rows have come since it was set, it is set again.
+    """
+
+    names: list[str]
+    #: Where the stored tuple has the time of its last row.
+    stamp: int
+
+    def __init__(self, keep_s: float, timed: bool):
+        self.keep_ms, self.timed = int(keep_s * 1000), timed
+
+    def wait(self, t_ns: int) -> None:
+        """Set the timer, when the state begins."""
+        if self.timed:
+            self.handle.registerTimer(t_ns // 1_000_000 + self.keep_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.kept.exists():
+            last = self.kept.get()[self.stamp] // 1_000_000 + self.keep_ms
+            if last >= timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(last + 1)  # rows have come since
+            else:
+                self.kept.clear()
+        yield pd.DataFrame([], columns=self.names)
+
+    def close(self) -> None:
+        pass
+
+
+class TrackProcessor(Expiring):
+    """One aircraft's filter between micro-batches."""
+
+    names, stamp = [f.name for f in TRACK.fields], 2
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.kept = handle.getValueState("filter", TRACK_STATE)
+        self.handle, self.kept = handle, handle.getValueState("filter", TRACK_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         tracker = Tracker()
-        if self.kept.exists():
-            x, p, t, n, positions, squawk = self.kept.get()
-            restore(tracker.f, key[0], np.array(x), np.array(p).reshape(6, 6), t, n, positions, squawk)
+        f = tracker.f
+        slot = f.of(np.array([key[0]], object))[0]
+        if was := self.kept.exists():
+            x, p, f.t[slot], f.n[slot], f.positions[slot], f.squawk[slot] = self.kept.get()
+            f.x[slot], f.p[slot], f.live[slot] = np.array(x), np.array(p).reshape(6, 6), True
         now = pd.concat(list(rows)).sort_values("t_ns")
-        records = [{"t_ns": r.t_ns, "icao": key[0], "fix": plain(r.fix), "unsolved_group": plain(r.unsolved_group)} for r in now.itertuples()]
-        out = tracker.batch(records)
-        slot = tracker.f.slot.get(key[0])
-        if slot is not None:
-            f = tracker.f
+        records = [{"t_ns": int(r.t_ns), "icao": key[0], "fix": plain(r.fix), "unsolved_group": plain(r.unsolved_group)} for r in now.itertuples()]
+        out = tracker.batch(pa.RecordBatch.from_pylist(records, schema=arrow_schema(TRACKED)))
+        if f.live[slot]:
+            if not was:
+                self.wait(int(f.t[slot]))
             self.kept.update((f.x[slot].tolist(), f.p[slot].reshape(-1).tolist(), int(f.t[slot]), int(f.n[slot]), int(f.positions[slot]), f.squawk[slot]))
-        yield pd.DataFrame(out, columns=[f.name for f in TRACK.fields])
-
-    def close(self) -> None:
-        pass
+        yield pd.DataFrame(out.to_pylist(), columns=self.names)
 
 
-class SolveProcessor(StatefulProcessor):
+class SolveProcessor(Expiring):
     """One aircraft's position cache between micro-batches."""
 
-    def __init__(self, config: Config):
+    names, stamp = [f.name for f in RECORD.fields], 4
+
+    def __init__(self, config: Config, keep_s: float, timed: bool):
+        super().__init__(keep_s, timed)
         self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("cache", CACHE_STATE)
+        self.handle, self.kept = handle, handle.getValueState("cache", CACHE_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        solver, cached = Solver(self.config), solver_cache(self.kept)
-        if cached is not None:
-            solver.cache.by_icao[key[0]] = cached
+        solver = Solver(self.config)
+        c = solver.cache
+        slot = c.of(np.array([key[0]], object))[0]
+        if was := self.kept.exists():
+            ecef, c.lat[slot], c.lon[slot], c.alt_m[slot], c.t[slot], c.residual[slot], c.solves[slot], velocity = self.kept.get()
+            c.ecef[slot], c.velocity[slot], c.live[slot] = ecef, np.nan if velocity is None else velocity, True
         now = pd.concat(list(rows)).sort_values(["t_ns", "raw_msg"])
-        out = solver.batch([whole(plain(r)) for r in now.to_dict("records")])
-        c = solver.cache.by_icao.get(key[0])
-        if c is not None:
-            velocity = None if c.velocity is None else c.velocity.tolist()
-            self.kept.update((c.ecef.tolist(), float(c.lat), float(c.lon), float(c.alt_m), int(c.t_ns), float(c.residual), int(c.solves), velocity))
-        yield pd.DataFrame(out, columns=[f.name for f in RECORD.fields])
-
-    def close(self) -> None:
-        pass
-
-
-def solver_cache(kept) -> Cached | None:
-    if not kept.exists():
-        return None
-    ecef, lat, lon, alt, t, residual, solves, velocity = kept.get()
-    return Cached(np.array(ecef), lat, lon, alt, t, residual, solves, None if velocity is None else np.array(velocity))
+        groups = [whole(plain(r)) for r in now.to_dict("records")]
+        out = solver.batch(pa.RecordBatch.from_pylist(groups, schema=arrow_schema(SOLVED)))
+        if c.live[slot]:
+            if not was:
+                self.wait(int(c.t[slot]))
+            velocity = c.velocity[slot].tolist() if np.isfinite(c.velocity[slot, 0]) else None
+            self.kept.update((c.ecef[slot].tolist(), float(c.lat[slot]), float(c.lon[slot]), float(c.alt_m[slot]), int(c.t[slot]), float(c.residual[slot]), int(c.solves[slot]), velocity))
+        yield pd.DataFrame(out.to_pylist(), columns=self.names)
 
 
 def whole(group: dict) -> dict:
@@ -159,18 +191,34 @@ def whole(group: dict) -> dict:
     return group
 
 
-def solve_stream(groups: DataFrame, config: Config = Config()) -> DataFrame:
+#: How long after its last row an aircraft's cache and track are kept, in seconds.
+CACHE_S, TRACK_S = 120.0, 300.0
+#: How far the watermark of solutions and tracks is behind the newest row.
+DELAY = "60 seconds"
+SOLVED = T.StructType([*[T.StructField("t_ns", T.LongType())], *GROUP.fields, *[T.StructField(k, T.DoubleType()) for k in EXTRA]])
+TRACKED = T.StructType([T.StructField("t_ns", T.LongType()), T.StructField("icao", T.StringType()), T.StructField("fix", FIX), T.StructField("unsolved_group", GROUP)])
+
+
+def _keyed(rows: DataFrame, columns: list, delay: str | None):
+    """Rows by aircraft, and the time mode of their timers."""
+    if delay is None:
+        return rows.select(*columns).groupBy("icao"), "None"
+    stamped = rows.withColumn("event_time", F.timestamp_micros(F.floor(F.col("t_ns") / 1000))).withWatermark("event_time", delay)
+    return stamped.select(*columns, "event_time").groupBy("icao"), "EventTime"
+
+
+def solve_stream(groups: DataFrame, config: Config = Config(), keep_s: float = CACHE_S, delay: str | None = DELAY) -> DataFrame:
     """RECORD rows of a stream of groups (GROUP columns, t_ns and any of the solver's
-    extra ones); :func:`track_stream` takes them on."""
+    extra ones); :func:`track_stream` takes them on.
+
+    An aircraft's state goes once the watermark, ``delay`` behind the newest row, has
+    passed its last solution by ``keep_s``; rows behind the watermark are dropped. With
+    ``delay`` None there is no watermark and nothing goes.
+    """
     configure(groups.sparkSession)
     extra = [F.col(c).cast(k) if c in groups.columns else F.lit(None).cast(k).alias(c) for c, k in EXTRA.items()]
-    src = groups.select(*OWN, *extra)
-    return src.groupBy("icao").transformWithStateInPandas(SolveProcessor(config), RECORD, outputMode="Append", timeMode="None")
-
-
-def restore(f: Filters, icao: str, x: np.ndarray, p: np.ndarray, t: int, n: int, positions: int, squawk: str | None) -> None:
-    i = f.add(icao, x[:3], t, squawk)
-    f.x[i], f.p[i], f.n[i], f.positions[i] = x, p, n, positions
+    src, mode = _keyed(groups, [*OWN, *extra], delay)
+    return src.transformWithStateInPandas(SolveProcessor(config, keep_s, delay is not None), RECORD, outputMode="Append", timeMode=mode)
 
 
 def plain(value):
@@ -186,8 +234,9 @@ def plain(value):
     return value
 
 
-def track_stream(records: DataFrame) -> DataFrame:
-    """TRACK rows of a stream of records (t_ns, icao, fix, unsolved_group)."""
+def track_stream(records: DataFrame, keep_s: float = TRACK_S, delay: str | None = DELAY) -> DataFrame:
+    """TRACK rows of a stream of records (t_ns, icao, fix, unsolved_group); a track is
+    dropped as :func:`solve_stream` drops its state."""
     configure(records.sparkSession)
-    src = records.select("t_ns", "icao", "fix", "unsolved_group")
-    return src.groupBy("icao").transformWithStateInPandas(TrackProcessor(), TRACK, outputMode="Append", timeMode="None")
+    src, mode = _keyed(records, ["t_ns", "icao", "fix", "unsolved_group"], delay)
+    return src.transformWithStateInPandas(TrackProcessor(keep_s, delay is not None), TRACK, outputMode="Append", timeMode=mode)
