@@ -31,16 +31,25 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set."""
+    """The folder that all executors share, from ``spark.checkpoint.dir``.
+
+    Where that is unset a temporary folder will do if the executors are this machine's
+    (a local master, as in tests); on a cluster it is an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
-    return (where or tempfile.mkdtemp(prefix="skyweft-")).rstrip("/")
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = tempfile.mkdtemp(prefix="skyweft-")
+    return where.rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared folder and read it back.
 
     Unlike ``checkpoint()`` this runs the plan once, prunes columns on reread and
-    survives the loss of any executor.
+    survives the loss of any executor. The files stay until :func:`discard`, or until
+    whoever owns the folder clears it: lazy results may read them at any later time.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skyweft-{uuid.uuid4().hex}"
@@ -135,7 +144,7 @@ def labelled_sample(
     The bound: ``per_class`` ids of each label value, the smallest by hash, and of
     those texts, in the same order, ``most_bytes`` of UTF-8 in all (a text over a
     twentieth of that is passed over). An id whose labels differ counts with the
-    smallest. Only ids and lengths meet before the bounded rows are fetched.
+    smallest. The label is one of two values or a few: of over 50 the smallest count.
     """
     lab = (
         labels.select(F.col(id_col).alias("id"), F.col(label).alias("y"))
@@ -151,24 +160,36 @@ def labelled_sample(
     return fetch_texts(docs, ids, most_bytes, id_col, text_col)
 
 
-def fetch_texts(docs: DataFrame, ids: dict, most_bytes: int, id_col: str, text_col: str) -> list[tuple]:
-    """Texts of the documents in ``ids`` (id: (order, label)), within the bound."""
+def fetch_texts(docs: DataFrame, ids: dict, most_bytes: int, id_col: str, text_col: str, each: dict | None = None) -> list[tuple]:
+    """(text, label) of the documents in ``ids`` (id: (order, label)), within the bound.
+
+    Lengths come to the driver first; texts only of the ids that the running sum of
+    lengths, in order, lets in. With ``each`` (label: bytes) every label has a bound of
+    its own, and its first text whatever that is.
+    """
     spark = docs.sparkSession
     if not ids:
         return []
-    kind = docs.schema[id_col].dataType
-    wanted = spark.createDataFrame([(i,) for i in ids], T.StructType([T.StructField("id", kind)]))
+    kind = T.StructType([T.StructField("id", docs.schema[id_col].dataType)])
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where(F.octet_length("t") <= most_bytes // 20)
-    # ids are at most per_class x labels rows, so their broadcast is bounded
-    got = d.join(F.broadcast(wanted), "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
-    out, size = [], 0
-    rows = sorted(((ids[r["id"]][0], r["id"], r["t"]) for r in got.toLocalIterator()), key=lambda x: x[:2])
-    for _, i, t in rows:
-        size += len(t.encode())
-        if size > most_bytes:
-            break
-        out.append((t, ids[i][1]))
-    return out
+
+    def of(wanted) -> DataFrame:
+        # the wanted ids were bounded by the caller, so their broadcast is
+        return d.join(F.broadcast(spark.createDataFrame([(i,) for i in wanted], kind)), "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
+
+    found = written(of(ids))
+    sizes = {r["id"]: r["n"] for r in found.select("id", F.octet_length("t").alias("n")).collect()}
+    spent: dict = {}
+    chosen = []
+    for i in sorted(sizes, key=lambda i: (ids[i][0], i)):
+        y = ids[i][1] if each else None
+        first = y not in spent
+        spent[y] = spent.get(y, 0) + sizes[i]
+        if spent[y] <= (each[y] if each else most_bytes) or (each and first):
+            chosen.append(i)
+    texts = {r["id"]: r["t"] for r in found.join(F.broadcast(spark.createDataFrame([(i,) for i in chosen], kind)), "id", "left_semi").collect()} if chosen else {}
+    discard(found)
+    return [(texts[i], ids[i][1]) for i in chosen]
 
 
 def groups_by_length(lengths: np.ndarray, most_cells: int, most_rows: int = 512) -> Iterator[np.ndarray]:

@@ -7,19 +7,19 @@ no words give fingerprint zero, which links like any other. Fingerprints within
 ``tau`` bits link; components are those of the link graph.
 
 Equal fingerprints collapse first, so copies cost one row each. For the distinct
-ones the 64 bits are dealt into parts, correlated bits together, and a dynamic
-programme gives each part a threshold t, -1 to ``tau``, such that t + 1 add up to
-``tau`` + 1: two linked fingerprints are then within t on some part. Costs are the
-rows emitted and the candidate pairs estimated from a bounded sample of pairs; the
-number of parts is chosen the same way. Estimates decide speed only.
+ones the 64 bits are ordered so that correlated ones are neighbours, and a dynamic
+programme cuts the order into parts of unequal widths and gives each a threshold t, -1
+to ``tau``, such that t + 1 add up to ``tau`` + 1: two linked fingerprints are then
+within t on some part. Costs are the rows emitted and the candidate pairs, estimated
+for the number of fingerprints there are from the pairs of a bounded sample of them.
+Estimates decide speed only.
 
 Fingerprints that share a part's value (or a neighbour of it, for t > 0) meet in a
 bucket. Buckets of at most ``COLD`` members are verified inside their row. Members
-of larger ones, and all if one part of 64 bits is cheapest, emit their 65 words at
-distance 0 or 1 instead: two fingerprints within 2 bits share one, and all that
-share one are within 2 bits, so a star replaces the pairs. Every link's component
-is found without quadratic work in any bucket. Components are found by large-star
-and small-star steps on the distributed links.
+of larger ones emit their 65 words at distance 0 or 1 instead: two fingerprints
+within 2 bits share one, and all that share one are within 2 bits, so a star replaces
+the pairs. Every link's component is found without quadratic work in any bucket.
+Components are found by large-star and small-star steps on the distributed links.
 
 Null and empty texts have fingerprint zero. A null id takes part, and is never the
 smallest unless all of its component are null. Repeated rows come out each. Other
@@ -40,9 +40,14 @@ from skyweft.llm.common import discard, map_text, table, written
 SHINGLE = 3
 TAU = 2
 SEED = 42
-COLD = 32
-#: Distinct fingerprints sampled for cost estimates, smallest by hash.
-PLAN_SAMPLE = 2000
+COLD = 128
+#: Distinct fingerprints sampled for cost estimates, smallest by hash: their 2 billion
+#: pairs tell shares of 5e-10.
+PLAN_SAMPLE = 65_536
+#: Widths of parts are multiples of this many bits.
+GRID = 4
+#: Cost of a candidate pair that is verified, in rows that are emitted and shuffled.
+PAIR_COST = 0.05
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = 64
@@ -118,57 +123,82 @@ def as_bits(fp: np.ndarray) -> np.ndarray:
     return np.unpackbits(fp.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
 
 
-def parts_of(corr: np.ndarray, m: int) -> list[list[int]]:
-    """Bits (0 is the highest) dealt into m parts, each grown from its seed by correlation."""
+def bit_order(corr: np.ndarray) -> list[int]:
+    """Bits (0 is the highest) in an order that keeps correlated ones together."""
     left, strength = set(range(BITS)), np.abs(corr)
-    out = []
-    for k in range(m):
-        width = (BITS - sum(map(len, out))) // (m - k)
-        part = [max(left, key=lambda b: (strength[b, sorted(left)].sum(), -b))]
-        left.discard(part[0])
-        while len(part) < width:
-            nxt = max(left, key=lambda b: (strength[b, part].mean(), -b))
-            part.append(nxt)
-            left.discard(nxt)
-        out.append(sorted(part))
+    out = [max(left, key=lambda b: (strength[b].sum(), -b))]
+    left.discard(out[0])
+    while left:
+        # each bit follows those that it goes with most, of the last few
+        out.append(max(left, key=lambda b: (strength[b, out[-8:]].mean(), -b)))
+        left.discard(out[-1])
     return out
 
 
-def allocate(cost: list[list[float]], tau: int) -> tuple[float, list[int]]:
-    """Thresholds of least cost: cost[i][t + 1] for t = -1 .. tau; t + 1 sum to tau + 1."""
-    best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
-    for row in cost:
-        nxt: dict[int, tuple[float, list[int]]] = {}
-        for used, (c, ts) in best.items():
-            for u in range(tau + 2 - used):
-                x = (c + row[u], [*ts, u - 1])
-                if used + u not in nxt or x < nxt[used + u]:
-                    nxt[used + u] = x
-        best = nxt
-    return best[tau + 1]
+def pair_shares(sample: np.ndarray, bits: list[int], tau: int) -> list[float]:
+    """For t = 0 .. ``tau`` the share of all pairs that are within t on ``bits``, by
+    exact counts over the sample's pairs, or what independent bits of the sample's bias
+    would give if that is more (pairs too rare for the sample).
+
+    Above t = 0 the pairs are counted that agree on all bits but one, for some bits.
+    """
+    pairs = max(1.0, len(sample) * (len(sample) - 1) / 2)
+
+    def agreeing(mask: int) -> float:
+        key = np.sort(sample & np.uint64(mask))
+        n = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))).astype(float)
+        return float((n * (n - 1) / 2).sum()) / pairs
+
+    flag = [1 << (BITS - 1 - b) for b in bits]
+    whole = sum(flag)
+    ones = np.array([(sample & np.uint64(f) > 0).mean() if len(sample) else 0.5 for f in flag])
+    alike = ones**2 + (1 - ones) ** 2
+    base = float(np.exp(np.log(alike).sum()))
+    same = max(agreeing(whole), base)
+    out = [same]
+    if tau > 0:
+        odds = (1 - alike) / alike
+        tried = flag[:: -(-len(flag) // 8)]  # about eight of the bits stand for all
+        apart = sum(max(0.0, agreeing(whole & ~f) - same) for f in tried) * len(flag) / len(tried)
+        out.append(same + max(apart, base * float(odds.sum())))
+        if tau > 1:
+            # of pairs two apart: those of the model, or as many more as one bit brings
+            out.append(out[1] + max(base * float((odds.sum() ** 2 - (odds**2).sum()) / 2), (out[1] - same) ** 2 / max(same, 1e-300) / 2))
+    return out
+
+
+def choose(n: float, order: list[int], sample: np.ndarray, tau: int = TAU) -> list[tuple[list[int], int]]:
+    """(bits, threshold) of the parts of least cost for ``n`` distinct fingerprints.
+
+    Parts are runs of ``order`` cut at multiples of ``GRID``. A dynamic programme over
+    cuts and spent thresholds finds their number, widths and thresholds t at once: each
+    part spends t + 1 (or 0: it is not probed), all spend ``tau`` + 1. A part's cost is
+    the rows that it emits and, at ``PAIR_COST`` each, the candidate pairs expected.
+    No part spends all: there are always two that are probed, or more.
+    """
+    cuts = range(0, BITS + 1, GRID)
+    wide = {(i, j): pair_shares(sample, order[i:j], tau - 1) for i in cuts for j in cuts if i < j and j - i < BITS}
+    best: dict[tuple[int, int], tuple] = {(0, 0): (0.0, ())}
+    for j in cuts[1:]:
+        for i in [c for c in cuts if c < j and (c, j) in wide]:
+            for u in range(tau + 1):
+                t = u - 1
+                cost = 0.0 if t < 0 else n * (1 if t == 0 else 1 + j - i) + PAIR_COST * wide[i, j][t] * n * n / 2
+                for used in range(tau + 2 - u):
+                    if (i, used) in best:
+                        c, parts = best[i, used]
+                        x = (c + cost, (*parts, (i, j, t)))
+                        if (j, used + u) not in best or x < best[j, used + u]:
+                            best[j, used + u] = x
+    return [(sorted(order[i:j]), t) for i, j, t in best[BITS, tau + 1][1] if t >= 0]
 
 
 def plan(groups: DataFrame, tau: int = TAU) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of the parts to probe; one of all 64 bits means words only."""
+    """(bits, threshold) of the parts to probe, from all fingerprints' correlation and
+    number and the pairs of a bounded sample."""
     n, corr = bit_correlation(groups)
-    rows = groups.select("fp").orderBy(F.xxhash64("fp", F.lit(5))).limit(PLAN_SAMPLE).collect()
-    x = as_bits(np.array([r["fp"] for r in rows], np.int64).view(np.uint64)).astype(np.float32)
-    pairs = max(1, len(x) * (len(x) - 1) // 2)
-    upper = np.triu_indices(len(x), 1)
-    best = (float(n) * (BITS + 1), [(list(range(BITS)), tau)])
-    for m in (2, 3, 4, 6):
-        parts, cost = parts_of(corr, m), []
-        for part in parts:
-            y = x[:, part]
-            ones = y.sum(1)
-            far = (ones[:, None] + ones[None, :] - 2 * y @ y.T)[upper]
-            near = np.cumsum(np.bincount(np.rint(far).astype(int), minlength=tau + 1)[: tau + 1])
-            emitted = [1, 1 + len(part), 1 + len(part)]
-            share = np.maximum(near / pairs, 2.0 ** -len(part))
-            cost.append([0.0, *[n * emitted[t] + share[t] * n * n / 2 for t in range(tau + 1)]])
-        c, ts = allocate(cost, tau)
-        best = min(best, (c, [(p, t) for p, t in zip(parts, ts) if t >= 0]), key=lambda z: z[0])
-    return best[1]
+    rows = groups.select("fp").orderBy(F.xxhash64("fp", F.lit(5)), "fp").limit(PLAN_SAMPLE).toArrow()
+    return choose(max(n, 1), bit_order(corr), rows.column("fp").to_numpy().view(np.uint64), tau)
 
 
 # ---- links -------------------------------------------------------------------------
@@ -198,11 +228,11 @@ def links(groups: DataFrame, tau: int = TAU, parts: list | None = None, cold: in
         raise ValueError("tau is 1 or 2")
     parts = plan(groups, tau) if parts is None else parts
     fps = groups.select("fp")
-    if len(parts[0][0]) == BITS:
-        return _stars(fps, tau)
     emitted = [x for k, (bits, t) in enumerate(parts) for x in _emitted(k, bits, t)]
     keys = fps.select("fp", F.inline(F.concat(*emitted)))
-    shared = keys.groupBy("part", "key").count().where("count > 1")
+    # at t = 1 two neighbours that meet are two apart: a bucket needs a member of its own
+    exact = F.col("part").isin([k for k, (_, t) in enumerate(parts) if t < 2])
+    shared = keys.groupBy("part", "key").agg(F.count("*").alias("count"), F.min("d").alias("least")).where(F.col("count") > 1).where(~exact | (F.col("least") == 0)).drop("least")
     met = written(keys.join(shared, ["part", "key"]))
     member = F.struct("fp", "d")
     near = lambda x, y: (y["fp"] > x["fp"]) & (F.bit_count(x["fp"].bitwiseXOR(y["fp"])) <= tau)
@@ -234,7 +264,9 @@ def roots(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node, root (the smallest node of its component) of all nodes on edges (a, b).
 
     Alternating large-star and small-star steps until nothing changes. Minima are
-    pre-aggregated; a hub's edges meet its minimum in a join that can be split.
+    pre-aggregated; a hub's edges meet its minimum in a join that can be split. Rounds
+    grow with the logarithm of the longest path; it is an error if ``rounds`` of them,
+    enough for any graph that can be stored, do not suffice.
     """
     now = written(edges.select("a", "b"))
     before = None
