@@ -5,18 +5,21 @@ dimension, found by beam search; codebooks are k-means of the residuals left by
 before, fitted on a bounded sample (TRAIN_ROWS vectors, the smallest ids by hash).
 With the sum's norm stored, the squared distance to a query is
 |q|^2 + |sum|^2 - 2 (q . sum), and q . sum is a few look-ups in the query's table of
-products with all words. The SHORTLIST best of each run of index rows, ties to the
-smaller id, are reranked by exact double-precision distance.
+products with all words. The SHORTLIST best of a task's index rows (of each SEGMENT_BYTES
+of vectors, if it has more), ties to the smaller id, are reranked by exact
+double-precision distance.
 
-All valid vectors are indexed. Queries come in blocks of QUERY_BLOCK (a stated set
-against all rows); a task keeps its ten best for each query of the block, and these
-meet in one small shuffle.
+All valid vectors are coded once and written to the shared folder. Queries come in
+blocks of QUERY_BLOCK (a stated set against all rows), one after another: a block is
+broadcast, each task scans its codes and keeps its ten best for each query, and the
+results are added to a table before the next block comes. What the driver holds is one
+block. The tasks' bests meet in one small shuffle.
 
 Vectors that are null, zero, of another length than the sample's most common one, or
 that hold null or non-finite components take no part, nor do rows with a null id. A
 query's own id is no candidate; other rows with equal vectors are. A query id that
 repeats is asked once, with its smallest vector. Fewer candidates than k give fewer
-rows.
+rows; an empty table, or one without a valid vector, gives none.
 """
 
 from __future__ import annotations
@@ -28,16 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyweft.llm.common import table
+from skyweft.llm.common import discard, exists, scratch, table, written
 
 #: Production parameters.
-BOOKS, WORDS, BEAM, ROUNDS = 16, 128, 4, 8
+BOOKS, WORDS, BEAM, ROUNDS = 32, 128, 2, 8
 TRAIN_ROWS = 8192
 NEAREST, SHORTLIST = 10, 256
 QUERY_BLOCK = 4096
 QUERY_EVERY = 100
 #: Rows of the index scored at a time against a block.
 RUN_ROWS = 2048
+#: Bytes of vectors that a task holds at a time, as a run with one shortlist a query.
+SEGMENT_BYTES = 64 << 20
 SEED = 11
 
 
@@ -131,22 +136,15 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def search(indexed: DataFrame, quantiser, query_ids: np.ndarray, queries: np.ndarray, k: int = NEAREST, shortlist: int = SHORTLIST) -> DataFrame:
-    """query_id, vec_id, score: each task's best k for each query of one block."""
-    dim = queries.shape[1]
-    shared = indexed.sparkSession.sparkContext.broadcast((query_ids, queries))
+def search(indexed: DataFrame, quantiser, shared, k: int = NEAREST, shortlist: int = SHORTLIST) -> DataFrame:
+    """query_id, vec_id, score: each task's best k for each query of one broadcast block."""
 
     def run(batches):
         qid, q = shared.value
         tables = quantiser.value.tables(q)
         found = (np.full((len(q), k), np.inf), np.full((len(q), k), np.iinfo(np.int64).max))
-        for b in batches:
-            ids, v = b.column("id").to_numpy(), _matrix(b.column("v"), dim)
-            codes, norms = _matrix(b.column("code"), tables.shape[0]), b.column("norm").to_numpy()
-            for i in range(0, len(ids), RUN_ROWS):
-                s = slice(i, i + RUN_ROWS)
-                order = np.argsort(ids[s], kind="stable")
-                found = best(found, qid, q, tables, ids[s][order], v[s][order], codes[s][order], norms[s][order], k, shortlist)
+        for ids, v, codes, norms in segments(batches, q.shape[1], tables.shape[0]):
+            found = best(found, qid, q, tables, ids, v, codes, norms, k, shortlist)
         dist, who = found
         row, col = np.nonzero(np.isfinite(dist))
         yield pa.RecordBatch.from_arrays([pa.array(qid[row]), pa.array(who[row, col]), pa.array(dist[row, col])], names=["query_id", "vec_id", "score"])
@@ -154,29 +152,53 @@ def search(indexed: DataFrame, quantiser, query_ids: np.ndarray, queries: np.nda
     return indexed.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
+def segments(batches, dim: int, books: int):
+    """Index rows of a task in runs of SEGMENT_BYTES of vectors, each by id."""
+    most = max(RUN_ROWS, SEGMENT_BYTES // (8 * dim))
+    held: list = []
+    size = 0
+
+    def whole():
+        ids, v, codes, norms = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(ids, kind="stable")
+        return ids[order], v[order], codes[order], norms[order]
+
+    for b in batches:
+        held.append((b.column("id").to_numpy(), _matrix(b.column("v"), dim), _matrix(b.column("code"), books), b.column("norm").to_numpy()))
+        size += b.num_rows
+        if size >= most:
+            yield whole()
+            held, size = [], 0
+    if size:
+        yield whole()
+
+
 def best(found: tuple, qid: np.ndarray, q: np.ndarray, tables: np.ndarray, ids: np.ndarray, v: np.ndarray, codes: np.ndarray, norms: np.ndarray, k: int, shortlist: int) -> tuple:
-    """The k best so far and of one run of index rows (by id) for each query."""
-    approx = norms[:, None].astype(np.float32)
-    products = np.zeros((len(ids), len(q)), np.float32)
-    for m in range(tables.shape[0]):
-        products += tables[m][codes[:, m]]
-    approx = (approx - 2 * products).T
-    approx[ids[None, :] == qid[:, None]] = np.inf
-    r = min(shortlist, len(ids))
-    if r < len(ids):
-        # below the r-th smallest all, of those that equal it the first by id
-        cut = np.partition(approx, r - 1, axis=1)[:, r - 1 : r]
-        under, equal = approx < cut, approx == cut
-        chosen = under | (equal & (np.cumsum(equal, axis=1) <= r - under.sum(1, keepdims=True)))
-    else:
-        chosen = np.ones_like(approx, bool)
-    pick = np.nonzero(chosen)[1].reshape(len(q), r)
-    exact = np.empty((len(q), r))
-    for i in range(0, len(q), 256):
-        exact[i : i + 256] = np.sqrt(((v[pick[i : i + 256]] - q[i : i + 256, None, :]) ** 2).sum(2))
-    own = ids[pick] == qid[:, None]
-    dist = np.concatenate([found[0], np.where(own, np.inf, exact)], axis=1)
-    who = np.concatenate([found[1], ids[pick]], axis=1)
+    """The k best so far and of one segment (by id) for each query: the ``shortlist``
+    best by code score, ties to the smaller id, by exact distance."""
+    score = np.zeros((len(q), 0), np.float32)
+    place = np.zeros((len(q), 0), np.int64)
+    for i in range(0, len(ids), RUN_ROWS):
+        run = slice(i, i + RUN_ROWS)
+        products = np.zeros((len(ids[run]), len(q)), np.float32)
+        for m in range(tables.shape[0]):
+            products += tables[m][codes[run, m]]
+        now = (norms[run, None] - 2 * products).T
+        now[ids[None, run] == qid[:, None]] = np.inf
+        score = np.concatenate([score, now], axis=1)
+        place = np.concatenate([place, np.broadcast_to(np.arange(i, i + now.shape[1]), now.shape)], axis=1)
+        if score.shape[1] > shortlist:
+            # all below the last score that fits; of those that equal it the first, by id
+            cut = np.partition(score, shortlist - 1, axis=1)[:, shortlist - 1 : shortlist]
+            under, equal = score < cut, score == cut
+            chosen = under | (equal & (np.cumsum(equal, axis=1) <= shortlist - under.sum(1, keepdims=True)))
+            score, place = (a[chosen].reshape(len(q), shortlist) for a in (score, place))
+    exact = np.empty(place.shape)
+    step = max(1, (1 << 22) // max(1, place.shape[1] * q.shape[1]))
+    for i in range(0, len(q), step):
+        exact[i : i + step] = np.sqrt(((v[place[i : i + step]] - q[i : i + step, None, :]) ** 2).sum(2))
+    dist = np.concatenate([found[0], np.where(ids[place] == qid[:, None], np.inf, exact)], axis=1)
+    who = np.concatenate([found[1], ids[place]], axis=1)
     order = np.lexsort((who, dist), axis=1)[:, :k]
     return np.take_along_axis(dist, order, 1), np.take_along_axis(who, order, 1)
 
@@ -207,13 +229,16 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, k: int = NEAREST, shor
         return spark.createDataFrame([], RESULT)
     quantiser = spark.sparkContext.broadcast(fit(train))
     dim = train.shape[1]
-    indexed = index(good, quantiser, dim)
-    parts = [search(indexed, quantiser, ids, q, k, shortlist) for ids, q in query_blocks(good, dim, every)]
-    if not parts:
+    indexed, path = written(index(good, quantiser, dim)), scratch(spark)
+    for block in query_blocks(good, dim, every):
+        shared = spark.sparkContext.broadcast(block)
+        search(indexed, quantiser, shared, k, shortlist).write.mode("append").parquet(path)
+        shared.destroy()
+        del block
+    discard(indexed)
+    if not exists(spark, path):
         return spark.createDataFrame([], RESULT)
-    every_part = parts[0]
-    for p in parts[1:]:
-        every_part = every_part.union(p)
+    every_part = spark.read.schema("query_id long, vec_id long, score double").parquet(path)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return every_part.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 

@@ -51,10 +51,14 @@ def written(df: DataFrame) -> DataFrame:
     survives the loss of any executor. The files stay until :func:`discard`, or until
     whoever owns the folder clears it: lazy results may read them at any later time.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/skyweft-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/skyweft-{uuid.uuid4().hex}"
 
 
 def discard(*frames: DataFrame) -> None:
@@ -68,6 +72,11 @@ def discard(*frames: DataFrame) -> None:
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def held_out(doc_id: str = "doc_id"):
     """crc32 of doc_id as text, mod 5, is 0. A null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

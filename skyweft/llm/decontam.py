@@ -47,7 +47,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Index:
-    """Windows of one block of items, by length."""
+    """Distinct windows of one block of items, by length, and whose they are."""
 
     def __init__(self, items: list[tuple[str | None, list[bytes]]], n: int):
         self.items = items
@@ -60,10 +60,32 @@ class Index:
         for size, at in sorted(found.items()):
             flat = [w for i, k in at for w in items[i][1][k : k + size]]
             h = rolling(hashes(flat), size)[::size]
-            order = np.argsort(h, kind="stable")
             maybe = np.zeros(1 << 22, bool)
             maybe[h >> np.uint64(42)] = True
-            self.by_length.append((size, h[order], np.array(at)[order], maybe))
+            self.by_length.append((size, *self._distinct(size, h, at), maybe))
+
+    def _distinct(self, size: int, h: np.ndarray, at: list[tuple[int, int]]) -> tuple[np.ndarray, list, list]:
+        """Hashes of the distinct windows in order, a place of each and its items."""
+        order = np.argsort(h, kind="stable")
+        known = h[order]
+        cuts = np.flatnonzero(np.concatenate([[True], known[1:] != known[:-1], [True]])).tolist()
+        hash_of, place, owners = [], [], []
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a == 1:
+                i, k = at[order[a]]
+                hash_of.append(a)
+                place.append((i, k))
+                owners.append((i,))
+                continue
+            same: dict[tuple, tuple[tuple[int, int], set]] = {}
+            for x in order[a:b].tolist():
+                i, k = at[x]
+                same.setdefault(tuple(self.items[i][1][k : k + size]), (at[x], set()))[1].add(i)
+            for first, mine in same.values():
+                hash_of.append(a)
+                place.append(first)
+                owners.append(tuple(mine))
+        return known[hash_of], place, owners
 
     def scan(self, docs: list[list[bytes]]) -> dict[int, tuple[list[tuple[int, int]], set]]:
         """Of the documents with hits: (start, end) words of each hit and item numbers."""
@@ -72,7 +94,7 @@ class Index:
         ends = np.cumsum(lengths)
         h = hashes(flat)
         out: dict[int, tuple[list, set]] = {}
-        for size, known, at, maybe in self.by_length:
+        for size, known, place, owners, maybe in self.by_length:
             if len(flat) < size:
                 continue
             r = rolling(h, size)
@@ -81,14 +103,17 @@ class Index:
             hi = np.searchsorted(known, r[start], "right")
             doc = np.searchsorted(ends, start, "right")
             ok = (hi > lo) & (start + size <= ends[np.minimum(doc, len(ends) - 1)])
+            met: dict[int, set] = {}
             for s, d, a, b in zip(start[ok].tolist(), doc[ok].tolist(), lo[ok].tolist(), hi[ok].tolist()):
-                w = flat[s : s + size]
-                for i, k in at[a:b].tolist():
-                    if self.items[i][1][k : k + size] == w:
-                        spans, items = out.setdefault(d, ([], set()))
+                for x in range(a, b):
+                    i, k = place[x]
+                    if self.items[i][1][k : k + size] == flat[s : s + size]:
                         first = s - int(ends[d] - lengths[d])
-                        spans.append((first, first + size))
-                        items.add(i)
+                        out.setdefault(d, ([], set()))[0].append((first, first + size))
+                        met.setdefault(d, set()).add(x)
+                        break
+            for d, windows in met.items():
+                out[d][1].update(i for x in windows for i in owners[x])
         return out
 
 

@@ -14,7 +14,7 @@ are one unknown word. p(b|a) = max(c(a,b) - D, 0) / c(a) + rest(a) p(b), where r
 is D times the distinct words after a, over c(a).
 
 All counted bigrams are scored with their counts. Those with the highest background
-counts, as many count values as fit into NGRAMS, are broadcast; the others are joined
+counts, as many classes of counts as fit into NGRAMS, are broadcast; the others are joined
 to the documents' bigrams by key, none of which is frequent. Losses are summed in
 fixed point (a ``UNIT`` of a nat), so that sums do not depend on their order or on
 the way a bigram takes.
@@ -175,6 +175,12 @@ def all_counts(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | Data
     return written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
 
 
+def _count_class(n: str):
+    """Counts to 256 one by one, those above by sixteenths of an octave: few classes, in
+    the counts' order, each of which is broadcast whole or not at all."""
+    return F.when(F.col(n) <= 256, F.col(n)).otherwise(F.floor(F.log2(n) * 16).cast("long") + 256)
+
+
 class Models:
     """Target and background losses of bigrams.
 
@@ -246,12 +252,12 @@ def build(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | DataFrame
         word[:, r["k"]] = r["n"], r["t"]
     for r in counts.groupBy(F.floor(F.col("key") / size).cast("long").alias("k")).agg(*sums).collect():
         context[:, r["k"]], after[:, r["k"]] = (r["n"], r["t"]), (r["an"], r["at"])
-    # the least count broadcast: as many of the highest count values as the bound has room for
+    # the least count broadcast: as many of the highest classes of counts as the bound has room for
     least, kept = None, 0
-    for r in counts.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).limit(most).toLocalIterator():
+    for r in counts.groupBy(_count_class("n").alias("c")).agg(F.count("*").alias("m"), F.min("n").alias("low")).orderBy(F.desc("c")).collect():  # under 1,300 rows
         if kept + r["m"] > most:
             break
-        least, kept = r["n"], kept + r["m"]
+        least, kept = r["low"], kept + r["m"]
     if least is None:
         return Models(vocabulary, word, context, after, np.zeros(0, np.int64), np.zeros((2, 0), np.int64), counts)
     rows = counts.where(F.col("n") >= F.lit(least)).toArrow()  # at most NGRAMS rows

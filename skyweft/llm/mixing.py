@@ -19,7 +19,9 @@ All DataFrame functions; no Python runs on the executors.
 Draws and orders are hashes of ``seed``, so reruns agree. A null text has size 0;
 a null source is a source of its own. Documents of size 0 are taken 0 times.
 Repeated rows are documents each; where they tie in order, they are alike. With no
-words at all the targets are 0. Extra columns are ignored.
+words at all the targets are 0. An empty table gives no rows. A very long text is one
+document of many blocks; only its size and pieces are held. Extra columns are ignored.
+Sources are a dimension: one small row each, put in order and levelled in one sort.
 """
 
 from __future__ import annotations
@@ -39,14 +41,17 @@ BLOCK_WORDS = 256
 SEED = 42
 #: Rows that one bucket of a source holds, on average, while lines are laid out.
 BUCKET_ROWS = 1_000
+#: Sources that one row of the splitting tree holds, on average.
+TREE_SOURCES = 256
 #: Rounds of the block permutation.
 ROUNDS = 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """doc_id, source, size and ``h``, a hash of the text that tells apart rows of one id."""
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), F.xxhash64(F.col(text_col)).alias("h"))
 
 
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -142,16 +147,29 @@ def split_tree(goal: DataFrame, shards: int, seed: int) -> DataFrame:
     """source and its cumulative quotas over the shards: ``ends`` array<long>.
 
     A node is a row: the first shard, how many it covers, and an array of its
-    sources' quotas. A level of the tree splits every node in two at once.
+    sources' quotas. A level of the tree splits every node in two at once. Over
+    TREE_SOURCES sources are grouped by hash: a tree splits the groups' sums, and in
+    each group a tree of its own splits what that one gave it, so no row or task holds
+    all sources.
     """
-    nodes = goal.agg(F.array_sort(F.collect_list(F.struct(F.col("source"), F.col("quota").alias("q")))).alias("qs")).select(
-        F.lit(0).alias("shard"), F.lit(shards).alias("width"), "qs"
-    )
+    n = goal.count()
+    keyed = goal.withColumn("group", F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(math.ceil(n / TREE_SOURCES) or 1)))
+    nodes = keyed.groupBy("group").agg(F.array_sort(F.collect_list(F.struct(F.col("source"), F.col("quota").alias("q")))).alias("qs"))
+    if n > TREE_SOURCES:
+        above = split_tree(keyed.groupBy(F.col("group").cast("string").alias("source")).agg(F.sum("quota").alias("quota")), shards, seed + 1)
+        nodes = nodes.join(above.select(F.col("source").cast("long").alias("group"), F.col("ends").alias("given")), "group")
+    else:
+        nodes = nodes.withColumn("given", F.lit(None).cast("array<bigint>"))
+    nodes = nodes.select(F.lit(0).alias("shard"), F.lit(shards).alias("width"), "given", "qs")
     for _ in range(max(0, math.ceil(math.log2(shards)))):
         left = F.floor(F.col("width") / 2).cast("int")
         total = F.aggregate("qs", F.lit(0).cast("long"), lambda a, x: a + x["q"])
-        # the left half takes its shards' share of all blocks, to the next whole one
-        nodes = nodes.withColumn("left", left).withColumn("total", total).withColumn("want", F.floor(F.col("total") * F.col("left") / F.col("width")).cast("long"))
+        # the left half takes its shards' share of all blocks, to the next whole one, or
+        # what the tree above gave its shards
+        upto = lambda k: F.when(k > 0, F.get("given", k - 1)).otherwise(F.lit(0).cast("long"))
+        share = F.floor(F.col("total") * F.col("left") / F.col("width")).cast("long")
+        nodes = nodes.withColumn("left", left).withColumn("total", total)
+        nodes = nodes.withColumn("want", F.when(F.col("given").isNull(), share).otherwise(upto(F.col("shard") + F.col("left")) - upto(F.col("shard"))))
 
         def draw(acc, x):
             u = _uniform(x["source"], F.col("shard"), F.col("width"), F.lit(seed))
@@ -161,10 +179,11 @@ def split_tree(goal: DataFrame, shards: int, seed: int) -> DataFrame:
         zero = F.struct(F.col("total"), F.col("want"), F.array().cast("array<bigint>").alias("out"))
         nodes = nodes.withColumn("k", F.aggregate("qs", zero, draw)["out"])
         halves = F.array(
-            F.struct(F.col("shard"), F.col("left").alias("width"), F.zip_with("qs", "k", lambda x, k: F.struct(x["source"].alias("source"), k.alias("q"))).alias("qs")),
+            F.struct(F.col("shard"), F.col("left").alias("width"), "given", F.zip_with("qs", "k", lambda x, k: F.struct(x["source"].alias("source"), k.alias("q"))).alias("qs")),
             F.struct(
                 (F.col("shard") + F.col("left")).alias("shard"),
                 (F.col("width") - F.col("left")).alias("width"),
+                "given",
                 F.zip_with("qs", "k", lambda x, k: F.struct(x["source"].alias("source"), (x["q"] - k).alias("q"))).alias("qs"),
             ),
         )
@@ -179,19 +198,24 @@ def split_tree(goal: DataFrame, shards: int, seed: int) -> DataFrame:
 def laid_out(sized: DataFrame, seed: int) -> DataFrame:
     """Adds ``at``: the words of the source that come before the document's own.
 
-    Sources are laid out in buckets of about BUCKET_ROWS rows, by a hash of the id,
-    so that no source, however hot, is ordered in one task.
+    Sources are laid out in buckets of about BUCKET_ROWS rows, by a hash of id and
+    text, and the buckets' words are added up within and over runs of BUCKET_ROWS
+    buckets, so that no source, however hot, is ordered in one task.
     """
     n = sized.count()
     buckets = max(1, math.ceil(n / BUCKET_ROWS))
-    keyed = sized.withColumn("h", F.xxhash64("doc_id", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    prior = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(prior), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = sized.withColumn("k", F.xxhash64("doc_id", "h", F.lit(seed))).withColumn("bucket", F.pmod("k", F.lit(buckets)))
+    totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")).withColumn("run", F.floor(F.col("bucket") / BUCKET_ROWS))
+    prior = lambda by, order: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = totals.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("run").alias("r"), prior(["source", "run"], "bucket").alias("base"))
+    if buckets > BUCKET_ROWS:
+        runs = totals.groupBy("source", "run").agg(F.sum("words").alias("words")).select(F.col("source").alias("s2"), F.col("run").alias("r2"), prior(["source"], "run").alias("more"))
+        within = within.join(runs, within["s"].eqNullSafe(runs["s2"]) & (within["r"] == runs["r2"])).withColumn("base", F.col("base") + F.col("more"))
+    inside = Window.partitionBy("source", "bucket").orderBy("k", "doc_id", "h", "size").rowsBetween(Window.unboundedPreceding, -1)
     keyed = keyed.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    found = keyed.join(totals, keyed["source"].eqNullSafe(totals["s"]) & (keyed["bucket"] == totals["b"]))
-    return found.select("doc_id", "source", "size", (F.col("base") + F.col("before")).alias("at"))
+    within = within.select("s", "b", "base")
+    found = keyed.join(within, keyed["source"].eqNullSafe(within["s"]) & (keyed["bucket"] == within["b"]))
+    return found.select("doc_id", "source", "size", "h", (F.col("base") + F.col("before")).alias("at"))
 
 
 def _position(block, blocks, *keys):
@@ -215,7 +239,7 @@ def mix(
     source_col: str = "source",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, pieces: a row a document.
+    """doc_id, source, size, source_size, target, h, pieces, shards: a row a document.
 
     ``pieces``: array<struct<shard, rank, first, words>>, the word ranges that the
     mix takes and the shard that each goes to; ``rank`` orders a shard.
@@ -242,29 +266,34 @@ def plan(sized: DataFrame, weights: tuple, most: int, shards: int, block_words:
             F.xxhash64(F.col("source"), b, e, F.lit(seed + 1)).alias("rank"),
             (start(b) - F.col("at")).alias("first"),
             (end(b) - start(b)).alias("words"),
-            j.alias("draw"),
         )
 
     every = F.flatten(F.transform(F.sequence(first, last), lambda b: F.transform(epochs, lambda e: piece(b, e))))
-    pieces = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.filter(every, lambda p: p["draw"] < F.col("quota")))
-    kept = F.transform(F.coalesce(pieces, F.array()), lambda p: p.dropFields("draw"))
-    return d.select("doc_id", "source", "size", "source_size", "target", kept.alias("pieces"))
+    # the tree's last leaf ends at the quota: a block past it is in no shard
+    pieces = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.filter(every, lambda p: p["shard"] < shards))
+    return d.select("doc_id", "source", "size", "source_size", "target", "h", F.coalesce(pieces, F.array()).alias("pieces"), F.lit(shards).alias("shards"))
 
 
 def taken(mixed: DataFrame) -> DataFrame:
-    total = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["words"])
-    return mixed.select("doc_id", "size", "source_size", "target", total.alias("taken"))
+    """What each shard takes of a document, ``shard_words``, and the sum of it, ``taken``."""
+    none = F.lit(0).cast("long")
+    of = lambda s: F.aggregate(F.filter("pieces", lambda p: p["shard"] == s), none, lambda a, p: a + p["words"])
+    by = mixed.withColumn("shard_words", F.transform(F.sequence(F.lit(0), F.col("shards") - 1), of))
+    return by.select("doc_id", "size", "source_size", "target", F.aggregate("shard_words", none, lambda a, n: a + n).alias("taken"), "shard_words")
 
 
 def shards(docs: DataFrame, mixed: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The mix itself: shard, source, doc_id, words - each shard shuffled locally.
+    """The mix itself: shard, source, doc_id, text - each shard shuffled locally.
 
-    Needs unique ids. A shard is one key; ranks split it further if it is large.
+    Texts meet their pieces by id (null is one) and text hash. Rows that repeat both
+    have pieces each and one text, so none is multiplied. A shard is one key; ranks
+    split it further if it is large.
     """
-    p = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("id"), "source", F.inline("pieces"))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
-    cut = p.join(docs.select(F.col(id_col).alias("id"), words.alias("ws")), "id")
-    cut = cut.select("shard", "rank", "source", F.col("id").alias("doc_id"), "first", F.array_join(F.slice("ws", (F.col("first") + 1).cast("int"), F.col("words").cast("int")), " ").alias("text"))
+    p = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "source", F.inline("pieces"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("t")).groupBy("id", "h").agg(F.first("t").alias("t"))
+    cut = p.join(texts, p["p_id"].eqNullSafe(texts["id"]) & (p["p_h"] == texts["h"]))
+    ws = F.regexp_extract_all(F.col("t"), F.lit(f"({WORD})"), F.lit(1))
+    cut = cut.select("shard", "rank", "source", F.col("id").alias("doc_id"), "first", F.array_join(F.slice(ws, (F.col("first") + 1).cast("int"), F.col("words").cast("int")), " ").alias("text"))
     return cut.repartitionByRange(n_shards, "shard", "rank").sortWithinPartitions("shard", "rank", "doc_id", "first")
 
 

@@ -142,6 +142,12 @@ class Chain:
         self.curve = (6.0, -3.0)
         self.constant: float | None = None
 
+    def use(self, params: np.ndarray) -> None:
+        """Take on the parameters: features of three lines, biases, transitions."""
+        size = 3 * N_FEATURES * BINS
+        self.w = params[:size].reshape(3, N_FEATURES, BINS)
+        self.bias, self.trans = params[size : size + 3], params[size + 3 :].reshape(2, 2)
+
     def binned(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(self.edges[j], x[:, j], "right") for j in range(x.shape[1])], axis=1)
 
@@ -162,8 +168,9 @@ class Chain:
         after = self.w[2][j, b].sum(1)
         return own + np.where(prev >= 0, before[prev], self.bias[1]) + np.where(nxt >= 0, after[nxt], self.bias[2])
 
-    def marginals(self, e: np.ndarray, n_lines: np.ndarray, pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """P(good) of each line by forward-backward; with ``pairs`` the expected transitions too.
+    def marginals(self, e: np.ndarray, n_lines: np.ndarray, pairs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """P(good) of each line by forward-backward; with ``pairs``, a weight for each
+        document, the expected transitions by those weights too.
 
         States are bad (0) and good (1); ``e`` is added to good. Messages are kept as
         log odds, so the recursion is a scalar one, run over all documents at once.
@@ -190,11 +197,11 @@ class Chain:
                 bwd[k] = np.where(live[k + 1], m, 0.0)
             odds = f + bwd
             p[(starts[group][None, :] + cols)[live]] = (1 / (1 + np.exp(-np.clip(odds, -40, 40))))[live]
-            if pairs and top > 1:
+            if pairs is not None and top > 1:
                 a, g = f[:-1], bwd[1:] + grid[1:]
                 s = np.stack([np.zeros_like(a) + t[0, 0], g + t[0, 1], a + t[1, 0], a + g + t[1, 1]])
                 s = np.exp(s - s.max(0))
-                s = s / s.sum(0) * live[1:]
+                s = s / s.sum(0) * live[1:] * pairs[group]
                 expected += s.sum((1, 2)).reshape(2, 2)
         return p, expected
 
@@ -249,33 +256,55 @@ def _edges(v: np.ndarray) -> np.ndarray:
 
 
 def fit(chain: Chain, b: np.ndarray, n: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
-    """Gradient ascent (Adam) on the chain's conditional likelihood."""
+    """Gradient ascent (Adam) on :func:`likelihood`, lightly held back."""
+    size = 3 * N_FEATURES * BINS + 7
+    params, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    slope = gradient(chain, b, n, label, weight)
+    for step in range(1, STEPS + 1):
+        g = slope(params) / len(label) - 1e-4 * params
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        params = params + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+    chain.use(params)
+
+
+def likelihood(chain: Chain, b: np.ndarray, n: np.ndarray, label: np.ndarray, weight: np.ndarray) -> float:
+    """Sum over the documents of weight (one for all lines of a document) times the log
+    probability of its lines' labels."""
+    e, t, total = chain.emissions(b, *chain.neighbours(n)), chain.trans, 0.0
+    for end, k in zip(np.cumsum(n).tolist(), n.tolist()):
+        y, x = label[end - k : end].astype(int), e[end - k : end]
+        path = float((x * y).sum() + t[y[:-1], y[1:]].sum())
+        a = np.array([0.0, x[0]])
+        for z in x[1:]:
+            a = np.logaddexp(a[0] + t[0], a[1] + t[1]) + np.array([0.0, z])
+        total += weight[end - k] * (path - np.logaddexp(*a))
+    return total
+
+
+def gradient(chain: Chain, b: np.ndarray, n: np.ndarray, label: np.ndarray, weight: np.ndarray):
+    """The function of parameters that is the gradient of :func:`likelihood`."""
     prev, nxt = chain.neighbours(n)
     j = np.arange(N_FEATURES) * BINS
     own = b + j
     has_p, has_n = prev >= 0, nxt >= 0
     q = label.astype(int)
     seen = np.zeros((2, 2))
-    np.add.at(seen, (q[has_n], q[nxt[has_n]]), 1.0)
-    size = N_FEATURES * BINS
-    params = np.zeros(3 * size + 3 + 4)
-    m, v = np.zeros_like(params), np.zeros_like(params)
-    flat = own.reshape(-1)
-    for step in range(1, STEPS + 1):
-        chain.w = params[: 3 * size].reshape(3, N_FEATURES, BINS)
-        chain.bias = params[3 * size : 3 * size + 3]
-        chain.trans = params[3 * size + 3 :].reshape(2, 2)
-        p, expected = chain.marginals(chain.emissions(b, prev, nxt), n, pairs=True)
+    np.add.at(seen, (q[has_n], q[nxt[has_n]]), weight[has_n])
+    size, flat = N_FEATURES * BINS, own.reshape(-1)
+    of_doc = weight[np.cumsum(n) - n]
+
+    def slope(params: np.ndarray) -> np.ndarray:
+        chain.use(params)
+        p, expected = chain.marginals(chain.emissions(b, prev, nxt), n, of_doc)
         r = (label - p) * weight
         before = np.zeros(len(r))
         before[prev[has_p]] = r[has_p]  # a line's residual goes to the features of its neighbours
         after = np.zeros(len(r))
         after[nxt[has_n]] = r[has_n]
         g = [np.bincount(flat, weights=np.repeat(z, N_FEATURES), minlength=size) for z in (r, before, after)]
-        g = np.concatenate([*g, [r.sum(), r[~has_p].sum(), r[~has_n].sum()], (seen - expected).reshape(-1)]) / len(r)
-        g -= 1e-4 * params
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        params = params + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+        return np.concatenate([*g, [r.sum(), r[~has_p].sum(), r[~has_n].sum()], (seen - expected).reshape(-1)])
+
+    return slope
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:

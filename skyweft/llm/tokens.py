@@ -18,6 +18,7 @@ other than the id and the text are ignored, whatever their names.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyweft.llm.common import map_text, table
+from skyweft.llm.common import fetch_texts, map_text, table
 
 #: Production parameters.
 TOKENIZER = "word_bpe_49k.json"
@@ -33,8 +34,11 @@ LIMIT = 2048
 #: Tier one: most frequent chunks kept, from at most so many sampled rows.
 FREQUENT = 60_000
 SAMPLE_ROWS = 1000
+SAMPLE_BYTES = 8 << 20
 #: Tier two: entries of a worker's cache before it starts afresh.
 CACHE_ENTRIES = 600_000
+#: Longer chunks (encoded data, addresses) seldom come again and are not kept.
+MOST_CACHED = 64
 
 #: Letters and numbers of Latin-1, lower case (fixed values of Unicode classes L and N).
 _L, _N = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -66,7 +70,9 @@ class Pieces(dict):
 
     def __missing__(self, piece: str) -> int:
         shown = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(_BYTE_CHARS)
-        n = self[piece] = len(self.tokenize(shown))
+        n = len(self.tokenize(shown))
+        if len(piece) <= MOST_CACHED:
+            self[piece] = n
         return n
 
 
@@ -84,7 +90,8 @@ class Chunks(dict):
             n = sum(map(self.pieces.__getitem__, _PIECE.findall(chunk.lower())))
         else:
             n = len(self.tok.encode(chunk, add_special_tokens=False).ids)
-        self[chunk] = n
+        if len(chunk) <= MOST_CACHED:
+            self[chunk] = n
         return n
 
 
@@ -115,14 +122,17 @@ def _counter(key: tuple, path: str, frequent) -> Counts:
     return _WORKER[key]
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text") -> dict[str, int]:
-    """The broadcast tier: at most FREQUENT sampled chunks with their lengths."""
-    rows = docs.select(F.col(text_col).alias("t")).where("t is not null").limit(SAMPLE_ROWS).toLocalIterator()
+def frequent_lengths(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> dict[str, int]:
+    """The broadcast tier: at most FREQUENT chunks of a sample with their lengths.
+
+    The sample is SAMPLE_ROWS documents, the smallest ids by hash, of SAMPLE_BYTES in
+    all. Which they are bears on speed only.
+    """
+    order = F.xxhash64(F.col(id_col), F.lit(29))
+    ids = {r["i"]: (r["h"], 0) for r in docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), order.alias("h")).orderBy("h", "i").limit(SAMPLE_ROWS).collect()}
     seen: Counter = Counter()
-    for r in rows:
-        seen.update(split_chunks(r["t"]))
-        if len(seen) > 20 * FREQUENT:
-            seen = Counter(dict(seen.most_common(FREQUENT)))
+    for text, _ in fetch_texts(docs, ids, SAMPLE_BYTES, id_col, text_col):
+        seen.update(c for c in split_chunks(text) if len(c) <= MOST_CACHED)
     get = Counts(path, {}).cache.__getitem__
     return {c: get(c) for c, _ in seen.most_common(FREQUENT)}
 
@@ -130,8 +140,8 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text") -> dict
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """id, n_bytes, n_tokens and over_limit of every row of ``docs``."""
     spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col))
-    key = (path, id(frequent))
+    frequent = spark.sparkContext.broadcast(frequent_lengths(docs, path, id_col, text_col))
+    key = (path, uuid.uuid4().hex)
 
     def score(texts: list) -> dict:
         n = _counter(key, path, frequent).count(texts)

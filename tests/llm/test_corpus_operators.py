@@ -47,6 +47,12 @@ def test_mix(spark, corpus, docs, no_docs):
     out = mixing.shards(d, mixed)
     assert out.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == sum(by.values())
     assert out.select("shard").distinct().count() == mixing.SHARDS
+    by_shard = defaultdict(int)
+    for r in out.select("shard", F.size(F.split("text", " ")).alias("n")).collect():
+        by_shard[r["shard"]] += r["n"]
+    words = mixing.taken(mixed).collect()
+    assert all(r["taken"] == sum(r["shard_words"]) for r in words)
+    assert [by_shard[k] for k in range(mixing.SHARDS)] == [sum(r["shard_words"][k] for r in words) for k in range(mixing.SHARDS)]
     odd = mixing.taken(mixing.mix(docs)).collect()
     assert len(odd) == docs.count() and all(r["taken"] <= 3 * r["size"] for r in odd)
     assert mixing.taken(mixing.mix(no_docs)).count() == 0
@@ -64,6 +70,56 @@ def test_permutation_and_draws(spark):
     assert np.allclose(n, [w for w in want if w > 0.5][: len(n)], atol=1.01)
 
 
+def test_shards_of_repeated_rows(spark):
+    """Rows that share an id, or have none, are cut each from their own text, once."""
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "x"), (1, "e f g", "y"), (2, "h i j k l", "x"), (None, "m n", "y"), (None, "o p q", "y"), (None, None, "y"), (3, "r " * 3000, "z")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"h": F.lit("clash"), "shard": F.lit("clash")})
+    mixed = mixing.mix(d, block_words=2).cache()
+    words = mixing.taken(mixed).collect()
+    out = mixing.shards(d, mixed).collect()
+    assert sum(len(r["text"].split(" ")) for r in out) == sum(r["taken"] for r in words) > 0
+    of = defaultdict(int)
+    for r in out:
+        of[r["doc_id"], r["text"].split(" ")[0] > "d"] += len(r["text"].split(" "))
+    assert sum(n for (i, _), n in of.items() if i == 1) == sum(r["taken"] for r in words if r["doc_id"] == 1)
+    assert {w for r in out for w in r["text"].split(" ") if r["doc_id"] is None} <= set("mnopq")
+
+
+def test_a_mix_is_brute_force(spark):
+    """Blocks, permutation and tree of a small mix, worked out in plain Python."""
+    rows = [(i, " ".join(["w"] * (3 + i % 7)), "ab"[i % 2]) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(d, block_words=5, shards=4).collect()
+    sizes = {s: sum(r["size"] for r in mixed if r["source"] == s) for s in "ab"}
+    want = waterfill(sizes)
+    for s in "ab":
+        mine = [r for r in mixed if r["source"] == s]
+        pieces = [p for r in mine for p in r["pieces"]]
+        # a block (one rank) is in one shard; blocks of the source have its block's words, the last fewer
+        by = defaultdict(list)
+        for p in pieces:
+            by[p["rank"]].append(p)
+        assert all(len({p["shard"] for p in ps}) == 1 for ps in by.values())
+        block = max(1, min(5, sizes[s] // 512))
+        words = [sum(p["words"] for p in ps) for ps in by.values()]
+        assert max(words) <= block and sum(w < block for w in words) <= 3
+        assert len(by) == round(want[s] * -(-sizes[s] // block) / sizes[s])
+        assert all(0 <= p["first"] and p["first"] + p["words"] <= r["size"] for r in mine for p in r["pieces"])
+    share = [len({(r["source"], p["rank"]) for r in mixed for p in r["pieces"] if p["shard"] == k}) for k in range(4)]
+    assert max(share) - min(share) <= 1
+
+
+def test_tree_of_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TREE_SOURCES", 8)
+    quotas = {f"s{i}": (i * 37) % 101 for i in range(50)} | {None: 900}
+    goal = spark.createDataFrame(list(quotas.items()), "source string, quota long")
+    got = {r["source"]: r["ends"] for r in mixing.split_tree(goal, 4, 3).collect()}
+    assert {s: e[-1] for s, e in got.items()} == quotas and all(sorted(e) == e and len(e) == 4 for e in got.values())
+    total = [sum(e[k] for e in got.values()) for k in range(4)]
+    steps = np.diff([0, *total])
+    assert max(steps) - min(steps) <= 3
+
+
 def test_tree_keeps_quotas(spark):
     goal = spark.createDataFrame([("a", 1000), ("b", 3), (None, 50), ("c", 0)], "source string, quota long")
     for shards in (1, 3, 16):
@@ -211,6 +267,24 @@ def test_neighbours(spark):
     assert ann.nearest(df.where("false")).count() == 0 and ann.nearest(df.where("vec_id = 0")).count() == 0
 
 
+def test_recall_on_a_thousand_queries(spark, monkeypatch):
+    """Against the exact ten, over several blocks of queries and one shortlist a task."""
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 300)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(200, 24))
+    x = (centres[rng.integers(0, 200, 10_000)] + 0.7 * rng.normal(size=(10_000, 24))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(2)
+    got = defaultdict(set)
+    for r in ann.nearest(df, every=10).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hit = 0
+    for q in range(0, 10_000, 10):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len(got[q] & set(np.argpartition(d, 10)[:10].tolist()))
+    assert len(got) == 1000 and hit / 10_000 >= 0.9
+
+
 # ---- the pipeline ------------------------------------------------------------------
 
 

@@ -76,7 +76,7 @@ def test_chain_marginals_are_exact():
     c = quality.Chain(np.zeros((quality.N_FEATURES, quality.BINS - 1)))
     c.trans = rng.normal(size=(2, 2))
     e = rng.normal(size=6)
-    p, pairs = c.marginals(e, np.array([4, 2]), pairs=True)
+    p, pairs = c.marginals(e, np.array([4, 2]), pairs=np.ones(2))
     want, expect = np.zeros(6), np.zeros((2, 2))
     for start, n in ((0, 4), (4, 2)):
         total, good, trans = 0.0, np.zeros(n), np.zeros((2, 2))
@@ -92,6 +92,26 @@ def test_chain_marginals_are_exact():
     assert np.allclose(p, want) and np.allclose(pairs, expect)
 
 
+def test_chain_gradient_is_finite_differences():
+    rng = np.random.default_rng(2)
+    n = np.array([3, 1, 5])
+    b, label = rng.integers(0, quality.BINS, (9, quality.N_FEATURES)), rng.integers(0, 2, 9).astype(float)
+    weight = np.repeat([0.5, 2.0, 1.5], n)
+    c = quality.Chain(np.zeros((quality.N_FEATURES, quality.BINS - 1)))
+    params = rng.normal(size=3 * quality.N_FEATURES * quality.BINS + 7) * 0.3
+    g = quality.gradient(c, b, n, label, weight)(params)
+
+    def at(i, step):
+        moved = params.copy()
+        moved[i] += step
+        c.use(moved)
+        return quality.likelihood(c, b, n, label, weight)
+
+    used = [int(j * quality.BINS + b[2, j]) for j in (0, 7)] + [len(params) - k for k in range(1, 8)]
+    for i in used:
+        assert g[i] == pytest.approx((at(i, 1e-5) - at(i, -1e-5)) / 2e-5, abs=1e-6)
+
+
 def test_labels_of_held_out_rows_are_not_used(corpus):
     d, labels = corpus
     flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
@@ -228,6 +248,16 @@ def test_removal_does_not_depend_on_block_size(spark, docs, no_docs):
     assert decontam.remove(no_docs, bench, block_bytes=1).count() == 0
 
 
+def test_an_item_of_equal_words_is_not_quadratic():
+    import time
+
+    index = decontam.Index([("1", [b"x"] * 100_000), ("2", [b"x"] * 50), ("3", b"a b c d e f g h i j".split() * 3)], 10)
+    began = time.time()
+    found = index.scan([[b"x"] * 100_000, b"a b c d e f g h i j".split(), [b"x"] * 9])
+    assert time.time() - began < 10
+    assert decontam.union(found[0][0]) == [0, 100_000] and found[0][1] == {0, 1} and found[1][1] == {2} and 2 not in found
+
+
 def test_index_of_another_benchmark_is_not_reused(spark, monkeypatch):
     """Even if the second benchmark's broadcast has the address of the first's."""
     monkeypatch.setattr(decontam, "id", lambda _: 1, raising=False)
