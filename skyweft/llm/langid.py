@@ -11,8 +11,10 @@ it opens in). The score is the prediction's posterior share: the mean, by letter
 the chance that each word's scores give it within its surroundings.
 
 Learned from a bounded sample of texts with a lang that are not held out: at most
-PER_LANG documents a language and TRAIN_BYTES of text in all. lang, source and id
-are no inputs of a prediction.
+PER_LANG documents a language and TRAIN_BYTES of text in all, of which each language
+has the same share and one text at least (texts over a twentieth of it are passed
+over). No language is left out. lang, source and id are no inputs of a prediction.
+A text is labelled whole; a very long one is worked through in blocks.
 
 Null texts and texts without a letter are ``und`` with score 0. Ties go to the
 language that is smaller by code point. With nothing learned all is ``und``.
@@ -22,10 +24,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-import zlib
+from collections import Counter
+from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +36,8 @@ from skyweft.llm.common import fetch_texts, filter_text, groups_by_length, held_
 
 #: Production parameters.
 PER_LANG = 500
-#: Languages learned at most, those with the most documents first.
-MOST_LANGS = 200
+#: Training ids in all; with very many languages each gets a share of these and of the bytes.
+MOST_IDS = 100_000
 TRAIN_BYTES = 8 << 20
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -42,6 +45,8 @@ SWITCH = 6.0
 #: Shares tried for the opening language.
 OPENING = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
 CACHE_WORDS = 400_000
+#: Numbers (words x languages) that a worker's arrays hold at a time.
+CELLS = 1 << 19
 UNKNOWN = "und"
 #: In a filter, documents under this score are rejected with the ``und`` ones.
 LEAST_SCORE = 0.1
@@ -81,14 +86,30 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def grams(word: str) -> list[str]:
-    w = f"\x02{word}\x03"
-    return [w[i : i + n] for n in ORDERS for i in range(len(w) - n + 1)]
+def gram_buckets(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams that begin at each character of the words, ends marked, a
+    row an order (-1 where none begins), and where each word begins among the characters.
 
+    The hash is of code points and order only, so it is alike in every process.
+    """
+    code = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(size) - size
+    left = np.repeat(starts + size, size) - np.arange(len(code))
+    out = np.full((len(ORDERS), len(code)), -1, np.int64)
+    h = np.zeros(len(code), np.uint64)
+    for n in range(1, max(ORDERS) + 1):
+        k = len(code) - n + 1
+        h[:k] = h[:k] * np.uint64(0x100000001B3) + code[n - 1 :] + np.uint64(n)
+        if n in ORDERS:
+            ok = left >= n
+            out[ORDERS.index(n), ok] = (h[ok] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)
+    return out, starts
 
-def bucket(gram: str) -> int:
-    """A hash that is alike in every process."""
-    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+
+def buckets_for(langs: int) -> int:
+    """BUCKETS, fewer for over 256 languages, so that a model's size stays bounded."""
+    return max(1 << 12, min(BUCKETS, 1 << (24 - max(langs - 1, 1).bit_length())))
 
 
 class Model:
@@ -108,26 +129,24 @@ class Model:
 
     def _reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.buckets: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.langs)), np.float32)
-
-    def _bucket(self, g: str) -> int:
-        b = self.buckets.get(g)
-        if b is None:
-            b = self.buckets[g] = bucket(g)
-        return b
+        # index -1 is no gram
+        self.padded = np.concatenate([self.weights, np.zeros((1, len(self.langs)), np.float32)])
 
     def _learn(self, words: list[str]) -> None:
-        gs = [[self._bucket(g) for g in grams(w)] for w in words]
-        sizes = np.fromiter(map(len, gs), np.int64, len(gs))
-        sums = np.add.reduceat(self.weights[[b for g in gs for b in g]], np.cumsum(sizes) - sizes, axis=0)
-        scores = sums / sizes[:, None] * np.sqrt(np.fromiter(map(len, words), np.int64, len(words)))[:, None] * 3
-        for i, w in enumerate(words):
-            ok = self.scripts.get(script_of(w))
+        grams, starts = gram_buckets(words, len(self.weights))
+        letters = np.fromiter(map(len, words), np.int64, len(words))
+        sizes = sum(np.maximum(letters + 3 - n, 0) for n in ORDERS)
+        sums = sum(np.add.reduceat(self.padded[g], starts, axis=0) for g in grams)
+        scores = sums / sizes[:, None] * np.sqrt(letters)[:, None] * 3
+        script = list(map(script_of, words))
+        for name in set(script):
+            ok = self.scripts.get(name)
             if ok and len(ok) < len(self.langs):
+                i = np.array([s == name for s in script])
                 out = np.ones(len(self.langs), bool)
                 out[ok] = False
-                scores[i, out] = scores[i].min() - 20
+                scores[np.ix_(i, out)] = (scores[i].min(1) - 20)[:, None]
         scores -= scores.max(1, keepdims=True)
         n = len(self.index)
         if n + len(words) > len(self.table):
@@ -137,14 +156,14 @@ class Model:
         self.table[n : n + len(words)] = scores
         self.index.update(zip(words, range(n, n + len(words))))
 
-    def ids(self, words: list[list[str]]) -> np.ndarray:
-        if len(self.index) > CACHE_WORDS or len(self.buckets) > 4 * CACHE_WORDS:
+    def ids(self, flat: list[str]) -> np.ndarray:
+        if len(self.index) > CACHE_WORDS:
             self._reset()
-        new = list(dict.fromkeys(w for ws in words for w in ws if w not in self.index))
-        if new:
-            self._learn(new)
-        get = self.index.__getitem__
-        return np.fromiter((get(w) for ws in words for w in ws), np.int64, sum(map(len, words)))
+        new = sorted(set(flat).difference(self.index))
+        some = max(64, CELLS // (8 * max(1, len(self.langs))))
+        for i in range(0, len(new), some):
+            self._learn(new[i : i + some])
+        return np.array(list(map(self.index.__getitem__, flat)), np.int64)
 
     def spans(self, texts: list) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Of each text: its words' letters, Viterbi labels and posterior of the label.
@@ -153,46 +172,64 @@ class Model:
         """
         words = [_words(t) for t in texts]
         n = np.fromiter(map(len, words), np.int64, len(words))
-        ids = self.ids(words)
-        letters = np.fromiter((len(w) for ws in words for w in ws), np.int64, len(ids))
+        flat = list(chain.from_iterable(words))
+        ids = self.ids(flat)
+        letters = np.array(list(map(len, flat)), np.int64)
         label, chance = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.float32)
         starts = np.cumsum(n) - n
-        for group in groups_by_length(n, (1 << 19) // max(4, len(self.langs))):
+        for group in groups_by_length(n, CELLS // max(4, len(self.langs))):
             self._viterbi(ids, starts[group], n[group], label, chance)
         return [(letters[a : a + k], label[a : a + k], chance[a : a + k]) for a, k in zip(starts, n)]
 
-    def _viterbi(self, ids: np.ndarray, starts: np.ndarray, n: np.ndarray, label: np.ndarray, chance: np.ndarray) -> None:
-        top, docs, langs = int(n[0]), len(n), len(self.langs)
-        steps = np.arange(top)[:, None]
-        live = steps < n[None, :]
+    def _scores(self, ids: np.ndarray, starts: np.ndarray, n: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores [step, text, language] of the words lo .. hi - 1 of texts, 0 past their
+        ends; which words there are, and their numbers."""
+        steps = np.arange(lo, hi)[:, None]
+        live = (steps < n[None, :]) & (steps >= 0)
         at = np.where(live, starts[None, :] + steps, 0)
         e = self.table[ids[at]]
         e[~live] = 0
-        v = e[0]
-        stay = np.ones((top, docs, langs), bool)
-        best = np.zeros((top, docs), np.int64)
+        return e, live, at
+
+    def _viterbi(self, ids: np.ndarray, starts: np.ndarray, n: np.ndarray, label: np.ndarray, chance: np.ndarray) -> None:
+        """Labels and chances of the texts' words, in blocks of steps of about CELLS
+        numbers: what a long text keeps is a bit a word and language, and a best one."""
+        top, docs, langs = int(n[0]), len(n), len(self.langs)
+        block = max(1, CELLS // (docs * langs))
         rows = np.arange(docs)
-        for k in range(1, top):
-            b = v.argmax(1)
-            jump = v[rows, b][:, None] - SWITCH
-            stay[k] = v >= jump
-            best[k] = b
-            v = np.where(stay[k], v, jump) + e[k]
-        path = np.zeros((top, docs), np.int64)
+        kept = []
+        v = np.zeros((docs, langs), np.float32)
+        for lo in range(0, top, block):
+            e, _, _ = self._scores(ids, starts, n, lo, min(top, lo + block))
+            stay, best = np.ones(e.shape, bool), np.zeros(e.shape[:2], np.int32)
+            for k in range(len(e)):
+                if lo + k:
+                    b = v.argmax(1)
+                    jump = v[rows, b][:, None] - SWITCH
+                    stay[k], best[k] = v >= jump, b
+                    v = np.where(stay[k], v, jump)
+                v = v + e[k]
+            v = v - v.max(1, keepdims=True)
+            kept.append((np.packbits(stay, axis=None), best))
         now = v.argmax(1)
-        for k in range(top - 1, -1, -1):
-            path[k] = now
-            if k:
-                now = np.where(stay[k, rows, now], now, best[k])
-        # the word's chance of its label, its neighbours' scores counting half
-        near = e.copy()
-        near[1:] += 0.5 * e[:-1]
-        near[:-1] += 0.5 * e[1:]
-        near -= near.max(2, keepdims=True)
-        p = np.exp(near)
-        p = np.take_along_axis(p, path[:, :, None], 2)[:, :, 0] / p.sum(2)
-        label[at[live]] = path[live]
-        chance[at[live]] = p[live]
+        for lo in range((top - 1) // block * block, -1, -block):
+            hi = min(top, lo + block)
+            bits, best = kept.pop()
+            stay = np.unpackbits(bits, count=(hi - lo) * docs * langs).astype(bool).reshape(hi - lo, docs, langs)
+            path = np.zeros((hi - lo, docs), np.int64)
+            for k in range(hi - lo - 1, -1, -1):
+                path[k] = now
+                if lo + k:
+                    now = np.where(stay[k, rows, now], now, best[k])
+            # the word's chance of its label, its neighbours' scores counting half
+            e, _, _ = self._scores(ids, starts, n, lo - 1, hi + 1)
+            _, live, at = self._scores(ids, starts, n, lo, hi)
+            near = e[1:-1] + 0.5 * (e[:-2] + e[2:])
+            near -= near.max(2, keepdims=True)
+            p = np.exp(near)
+            p = np.take_along_axis(p, path[:, :, None], 2)[:, :, 0] / p.sum(2)
+            label[at[live]] = path[live]
+            chance[at[live]] = p[live]
 
     def choose(self, letters: np.ndarray, label: np.ndarray, opening: float) -> int:
         by = np.bincount(label, weights=letters, minlength=len(self.langs))
@@ -235,21 +272,21 @@ def _words(text: str | None) -> list[str]:
 def train(rows: list[tuple]) -> Model:
     """A model of (text, lang) rows."""
     langs = sorted({r[1] for r in rows})
-    counts = np.zeros((BUCKETS, len(langs)))
+    buckets = buckets_for(len(langs))
+    counts = np.zeros((buckets, len(langs)))
     letters: dict[str, np.ndarray] = {}
-    known: dict[str, int] = {}
-    seen: list[dict[str, int]] = [{} for _ in langs]
+    seen: list[Counter] = [Counter() for _ in langs]
     for text, lang in rows:
-        k = langs.index(lang)
-        for w in _words(text):
-            seen[k][w] = seen[k].get(w, 0) + 1
-    for k, ws in enumerate(seen):
-        for w, c in ws.items():
-            letters.setdefault(script_of(w), np.zeros(len(langs)))[k] += c * len(w)
-            for g in grams(w):
-                if g not in known:
-                    known[g] = bucket(g)
-                counts[known[g], k] += c
+        seen[langs.index(lang)].update(_words(text))
+    for k, found in enumerate(seen):
+        words = list(found)
+        for w in words:
+            letters.setdefault(script_of(w), np.zeros(len(langs)))[k] += found[w] * len(w)
+        if words:
+            grams, _ = gram_buckets(words, buckets)
+            times = np.repeat(np.fromiter(map(found.__getitem__, words), float, len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 2)
+            for g in grams:
+                counts[:, k] += np.bincount(g[g >= 0], weights=times[g >= 0], minlength=buckets)
     smooth = counts + 0.2
     weights = np.log(smooth / smooth.sum(0)) if len(langs) else smooth
     total = sum(letters.values()) if letters else np.zeros(len(langs))
@@ -268,13 +305,15 @@ def train(rows: list[tuple]) -> Model:
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the bounded sample: for each lang the smallest ids by hash."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    by = rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGS)
     per = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("l"), F.xxhash64(F.col(id_col), F.lit(23)).alias("h"))
-    ids: dict = {}
-    for r in by.collect():
-        top = per.where(F.col("l") == F.lit(r["l"])).orderBy("h", "id").limit(PER_LANG)
-        ids.update({x["id"]: (x["h"], x["l"]) for x in top.collect()})
-    return train(fetch_texts(docs, ids, TRAIN_BYTES, id_col, text_col))
+    langs = [r["l"] for r in per.select("l").distinct().collect()]
+    if not langs:
+        return train([])
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("h", "id"))
+    # a task passes on no more than the ranks asked for, so a frequent lang is no hot key
+    top = per.withColumn("n", rank).where(F.col("n") <= max(8, min(PER_LANG, MOST_IDS // len(langs)))).orderBy("l", "n")
+    ids = {r["id"]: (r["h"], r["l"]) for r in top.collect()}
+    return train(fetch_texts(docs, ids, TRAIN_BYTES, id_col, text_col, {lang: TRAIN_BYTES // len(langs) for lang in langs}))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

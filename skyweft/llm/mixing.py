@@ -277,8 +277,9 @@ def plan(sized: DataFrame, weights: tuple, most: int, shards: int, block_words:
 def taken(mixed: DataFrame) -> DataFrame:
     """What each shard takes of a document, ``shard_words``, and the sum of it, ``taken``."""
     none = F.lit(0).cast("long")
-    of = lambda s: F.aggregate(F.filter("pieces", lambda p: p["shard"] == s), none, lambda a, p: a + p["words"])
-    by = mixed.withColumn("shard_words", F.transform(F.sequence(F.lit(0), F.col("shards") - 1), of))
+    # one pass over the pieces: inside a lambda they would be worked out for each shard
+    add = lambda by, p: F.transform(by, lambda n, k: n + F.when(k == p["shard"], p["words"]).otherwise(none))
+    by = mixed.withColumn("shard_words", F.aggregate("pieces", F.array_repeat(none, F.col("shards")), add))
     return by.select("doc_id", "size", "source_size", "target", F.aggregate("shard_words", none, lambda a, n: a + n).alias("taken"), "shard_words")
 
 

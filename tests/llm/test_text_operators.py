@@ -141,6 +141,110 @@ def test_language_spans():
     assert m.predict(["water " * 50_000])[0] == ["en"]
 
 
+def brute_language(m, text):
+    """Labels by trying every path of languages; word scores gram by gram."""
+    from itertools import product
+
+    words, rows = langid._words(text), []
+    for w in words:
+        total, count = np.zeros(len(m.langs)), 0
+        marked = f"\x02{w}\x03"
+        for n in langid.ORDERS:
+            for i in range(len(marked) - n + 1):
+                h = 0
+                for k, c in enumerate(marked[i : i + n]):
+                    h = (h * 0x100000001B3 + ord(c) + k + 1) % 2**64
+                total += m.weights[(h * 0x9E3779B97F4A7C15 % 2**64 >> 32) % len(m.weights)]
+                count += 1
+        score = total / count * np.sqrt(len(w)) * 3
+        ok = m.scripts.get(langid.script_of(w))
+        if ok and len(ok) < len(m.langs):
+            low = score.min() - 20
+            score = np.array([x if k in ok else low for k, x in enumerate(score)])
+        rows.append(score - score.max())
+    best = max(product(range(len(m.langs)), repeat=len(words)), key=lambda p: sum(r[k] for r, k in zip(rows, p)) - langid.SWITCH * sum(a != b for a, b in zip(p, p[1:])))
+    near = [rows[i] + 0.5 * ((rows[i - 1] if i else 0) + (rows[i + 1] if i + 1 < len(rows) else 0)) for i in range(len(rows))]
+    return list(best), [float(np.exp(x[k]) / np.exp(x).sum()) for x, k in zip(near, best)]
+
+
+@pytest.mark.parametrize("cells", [8, 1 << 19])
+def test_language_labels_are_brute_force(monkeypatch, cells):
+    """Also in blocks of a step or two, as a very long text is worked through."""
+    rows = [("the house of the river under water", "en"), ("la maison dans le fleuve et la pierre", "fr"), ("привет как дела мир", "ru")] * 10
+    m = langid.train(rows)
+    monkeypatch.setattr(langid, "CELLS", cells)
+    texts = ["the house la maison привет river", "et la pierre of the water", "дела under le fleuve", "water", "", "the maison of дела le river"]
+    for text, (letters, label, chance) in zip(texts, m.spans(texts)):
+        want = brute_language(m, text) if text else ([], [])
+        assert label.tolist() == want[0] and chance == pytest.approx(want[1], rel=1e-4)
+        assert letters.tolist() == list(map(len, langid._words(text)))
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} " * 5, f"l{i % 300:03d}") for i in range(1500)]
+    m = langid.trained(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(m.langs) == 300 and len(m.weights) < langid.BUCKETS
+
+
+def brute_toxic(net, text):
+    """A document's logit by a plain loop over windows, words and directions."""
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    words, k = toxicity.words_of(text), toxicity.HIDDEN
+    if not words:
+        return float(net.p["bias"][0])
+    best = -np.inf
+    for s in toxicity.window_starts(len(words)).tolist():
+        x = []
+        for w in words[s : s + toxicity.WINDOW]:
+            grams = [toxicity._bucket(g) for g in toxicity.grams(w)]
+            x.append(np.concatenate([net.p["word"][toxicity._bucket(w)], sum(net.p["char"][g] for g in grams) / np.sqrt(len(grams))]).astype(float))
+        states = [[None, None] for _ in x]
+        for d in (0, 1):
+            h = np.zeros(k)
+            for t in range(len(x)) if d == 0 else reversed(range(len(x))):
+                g, a = x[t] @ net.p["w"][d] + net.p["b"][d][0], h @ net.p["u"][d]
+                z, r = sig(g[:k] + a[:k]), sig(g[k : 2 * k] + a[k : 2 * k])
+                c = np.tanh(g[2 * k :] + r * a[2 * k :])
+                h = (1 - z) * c + z * h
+                states[t][d] = h
+        st = np.array([np.concatenate(s) for s in states])
+        att = np.exp(st @ net.p["att"] - (st @ net.p["att"]).max())
+        best = max(best, float((att / att.sum()) @ st @ net.p["out"] + net.p["bias"][0]))
+    return best
+
+
+def test_network_is_brute_force():
+    rng = np.random.default_rng(5)
+    net = toxicity.Net(rng)
+    net.p["b"] = rng.normal(size=net.p["b"].shape).astype(np.float32)
+    texts = ["", "one", " ".join(f"w{i % 7}" for i in range(24)), " ".join(f"w{i * i % 19}" for i in range(61)), "ça va Bien"]
+    assert net.document_logits(texts) == pytest.approx([brute_toxic(net, t) for t in texts], abs=1e-4)
+
+
+def brute_lines(text):
+    """Some of a line's features by plain string work."""
+    out = []
+    lines = (text or "").strip("\n").split("\n")
+    for line in lines:
+        words = line.split()
+        raw = line.encode()
+        same = sum(a == b for a, b in zip(words, words[1:]))
+        again = len(words) >= 3 and sum(sorted(x.split()) == sorted(words) for x in lines) > 1
+        out.append((np.log1p(len(raw)), np.log1p(len(words)), sum(97 <= c <= 122 for c in raw) / max(len(raw), 1), same / max(len(words), 1), len(set(words)) / max(len(words), 1), again))
+    return out
+
+
+def test_line_features_and_weighting_are_brute_force():
+    texts = ["The cat sat.\nthe the cat\n\nBUY now!! now\nThe cat sat.", "", None, "é à la la\none two three", "x"]
+    x, length, n = quality.line_features(texts)
+    want = [r for t in texts for r in brute_lines(t)]
+    assert n.tolist() == [len(brute_lines(t)) for t in texts] and length.tolist() == [len(line.encode()) + 1 for t in texts for line in (t or "").strip("\n").split("\n")]
+    assert np.allclose(x[:, [0, 1, 2, 9, 10]], [r[:5] for r in want]) and ((x[:, 14] >= 2) == [r[5] for r in want]).all()
+    p = np.arange(1, len(x) + 1) / 20
+    ends = np.cumsum(n)
+    assert np.allclose(quality.weighted(p, length, n), [(p[e - k : e] * length[e - k : e]).sum() / length[e - k : e].sum() for e, k in zip(ends, n)])
+
+
 def test_toxicity(spark, corpus, docs, no_docs, monkeypatch):
     monkeypatch.setattr(toxicity, "EPOCHS", 10)
     d, labels = corpus
@@ -268,6 +372,40 @@ def test_index_of_another_benchmark_is_not_reused(spark, monkeypatch):
         assert [r["doc_id"] for r in decontam.remove(d, bench, chars_col=None).collect()] == [3 - want[0]]
 
 
+# ---- the registered queries --------------------------------------------------------
+
+SF = "/root/testdata/sf0.001"
+CONTRACT = {
+    "op1_chat_format": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
+    "op2_quality": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op3_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op4_decontaminate": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op5_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op6_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op8_ann": "query_id bigint, rank int, vec_id bigint, score double",
+    "op9_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+}
+
+
+@pytest.mark.parametrize("name", CONTRACT)
+def test_contract_columns(spark, name):
+    from skyweft import llm
+
+    got = llm.queries()[name](spark, SF)
+    kinds = [tuple(c.split()) for c in CONTRACT[name].split(", ")]
+    assert got.dtypes[: len(kinds)] == kinds
+    rows = got.collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()
+    if "doc_id" in got.columns:
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in docs)
+    if "held_out" in got.columns:
+        assert all(r["held_out"] == out(r["doc_id"]) and 0 <= r["score"] <= 1 for r in rows)
+    if "predicted" in got.columns:
+        least = quality.THRESHOLD if name.startswith("op2") else toxicity.THRESHOLD
+        assert all(r["predicted"] == int(r["score"] >= least) for r in rows)
+
+
 # ---- op5 ---------------------------------------------------------------------------
 
 
