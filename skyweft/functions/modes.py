@@ -49,27 +49,46 @@ def crc_constants(n_bits: int) -> list[int]:
     return out[::-1]
 
 
-def crc24(msg, n_digits: int) -> Column:
-    """CRC of the digits before the last six of a message of ``n_digits``."""
-    data = n_digits - 6
-    constants = F.array(*[F.lit(c) for c in crc_constants(4 * data)])
-
-    def digit(acc, i):
-        v = F.conv(F.substr(col(msg), i + 1, F.lit(1)), 16, 10).cast("int")
-        out = acc
-        for b in range(4):
-            k = F.get(constants, i * 4 + b)
-            out = out.bitwiseXOR(k * F.shiftright(v, 3 - b).bitwiseAND(F.lit(1)))
+#: Data bits of a long message; they are read as two numbers of half as many.
+DATA_BITS, HALF = 88, 44
+
+
+def _masks(k: int) -> tuple[int, int]:
+    """The data bits that CRC bit ``k`` is the parity of: of the last HALF, and before."""
+    last_first = crc_constants(DATA_BITS)[::-1]
+    pick = lambda part: sum(1 << j for j, c in enumerate(part) if c >> k & 1)
+    return pick(last_first[:HALF]), pick(last_first[HALF:])
+
+
+def crc24(msg) -> Column:
+    """CRC of all digits but the last six of a message of 14 or 28.
+
+    Constants go by the distance from the end, so both lengths take the same ones. The
+    data are read once as two numbers; each CRC bit is a parity of their masked bits.
+    """
+    m = col(msg)
+    size, digits = F.length(m) - 6, HALF // 4
+    number = lambda start, n: F.conv(F.substr(m, start, n), 16, 10).cast("long")
+    low = number(F.greatest(size - digits, F.lit(0)) + 1, F.least(size, F.lit(digits)))
+    high = F.when(size > digits, number(F.lit(1), size - digits)).otherwise(F.lit(0).cast("long"))
+
+    def crc(v):
+        out = None
+        for k in range(24):
+            a, b = _masks(k)
+            odd = F.bit_count(v["low"].bitwiseAND(F.lit(a))) + F.bit_count(v["high"].bitwiseAND(F.lit(b)))
+            bit = F.shiftleft(odd.bitwiseAND(F.lit(1)), k)
+            out = bit if out is None else out.bitwiseOR(bit)
         return out
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(data - 1)), F.lit(0), digit)
+    return let(F.struct(low.alias("low"), high.alias("high")), crc)
 
 
 def parity(msg) -> Column:
     """CRC XOR the last 24 bits: 0 of a good clear message, the address of a parity one."""
     m = col(msg)
     last = F.conv(F.substr(m, F.length(m) - 5, F.lit(6)), 16, 10).cast("int")
-    return F.when(F.length(m) == 28, crc24(m, 28)).otherwise(crc24(m, 14)).bitwiseXOR(last)
+    return crc24(m).bitwiseXOR(last)
 
 
 def icao(msg) -> Column:

@@ -16,7 +16,7 @@ def rate(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.concat(F.format_string(f"%.{digits}f", F.round(share, digits)), F.lit("%"))
 
 
-#: Ranges that the values of ungrouped order statistics are ranked in.
+#: Ranges that values are ranked in.
 RANGES = 64
 
 
@@ -24,25 +24,27 @@ def order_statistics(df: DataFrame, value: str, by: list[str] | None = None) ->
     """n, median (the element n / 2 in order) and p95 (element 0.95 n; the largest of 20
     or fewer), exact, of each group or of all rows.
 
-    Values are counted before they are ranked, so equal ones travel once. Without
-    groups they are ranked within ranges, cut at approximate quantiles and offset by
-    what lies below, so that no task orders them all.
+    Values are counted before they are ranked, so equal ones travel once. They are
+    ranked within ranges, cut at approximate quantiles of all rows and offset by what
+    lies below in the group, so that no task orders a whole group, however large.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*(by or []), value).agg(F.count("*").alias("c"))
-    if by:
-        w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy(*by)))
-    else:
-        cuts = sorted(set(counts.approxQuantile(value, [i / RANGES for i in range(1, RANGES)], 0.5 / RANGES)))
-        ranged = counts.withColumn("r", sum(((F.col(value) >= c).cast("int") for c in cuts), F.lit(0)))
-        sums = ranged.groupBy("r").agg(F.sum("c").alias("s"))  # at most RANGES rows
-        before = F.coalesce(F.sum("s").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        sums = sums.select("r", before.alias("base"), F.sum("s").over(Window.partitionBy()).alias("n"))
-        w = Window.partitionBy("r").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = ranged.withColumn("within", F.sum("c").over(w)).join(F.broadcast(sums), "r").withColumn("upto", F.col("base") + F.col("within"))
+    by = by or []
+    known = df.where(F.col(value).isNotNull())
+    counts = known.groupBy(*by, value).agg(F.count("*").alias("c"))
+    cuts = sorted(set(known.approxQuantile(value, [i / RANGES for i in range(1, RANGES)], 0.5 / RANGES)))
+    ranged = counts.withColumn("r", sum(((F.col(value) >= c).cast("int") for c in cuts), F.lit(0)))
+    sums = ranged.groupBy(*by, "r").agg(F.sum("c").alias("s"))  # at most RANGES rows a group
+    group = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("s").over(group.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(*[F.col(k).alias(f"__{k}") for k in by], F.col("r").alias("__r"), before.alias("base"), F.sum("s").over(group).alias("n"))
+    w = Window.partitionBy(*by, "r").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col("r") == F.col("__r")
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    ranked = ranged.withColumn("within", F.sum("c").over(w)).join(sums, same).withColumn("upto", F.col("base") + F.col("within"))
     mid, high = F.floor(F.col("n") / 2), F.when(F.col("n") > 20, F.floor(F.col("n") * 0.95)).otherwise(F.col("n") - 1)
     at = lambda k: F.min(F.when(F.col("upto") > k, F.col(value)))  # noqa: E731  the first value that reaches past element k
-    return ranked.groupBy(*(by or [])).agg(F.max("n").alias("n"), at(mid).alias("median"), at(high).alias("p95"))
+    return ranked.groupBy(*by).agg(F.max("n").alias("n"), at(mid).alias("median"), at(high).alias("p95"))
 
 
 def recent_mean(df: DataFrame, key: str, order: list[str], value: str, most: int = 100, least: int = 10) -> DataFrame:

@@ -21,7 +21,7 @@ from skyweft.schemas import struct
 R, Q_DRIFT, GATE_SIGMA, RESET_AFTER, VALID_AFTER = 25e-12, 1e-18, 3.5, 5, 3
 MAX_CORRECTION_S = 0.5
 
-HISTORY = struct("sensor_a BIGINT, sensor_b BIGINT, t_ns BIGINT, offset DOUBLE, drift DOUBLE, variance DOUBLE, n INT, valid BOOLEAN, accepted BOOLEAN")
+HISTORY = struct("sensor_a BIGINT, sensor_b BIGINT, t_ns BIGINT, offset DOUBLE, drift DOUBLE, variance DOUBLE, n INT, valid BOOLEAN, accepted BOOLEAN, innovation DOUBLE")
 
 
 def measurements(groups: DataFrame) -> DataFrame:
@@ -41,14 +41,14 @@ class PairFilter:
     """Offset and drift of one pair. A handful of sums a measurement: as there are far
     more measurements than pairs, plain floats beat arrays over the pairs."""
 
-    __slots__ = ("offset", "drift", "p00", "p01", "p11", "n", "run", "t_ns")
+    __slots__ = ("offset", "drift", "p00", "p01", "p11", "n", "run", "t_ns", "innovation")
 
     def __init__(self):
         self.n = 0
 
     def start(self, t_ns: int, z: float) -> None:
         self.offset, self.drift, self.p00, self.p01, self.p11 = z, 0.0, 100 * R, 0.0, 1e-12
-        self.n, self.run, self.t_ns = 1, 0, t_ns
+        self.n, self.run, self.t_ns, self.innovation = 1, 0, t_ns, None
 
     def update(self, t_ns: int, z: float) -> bool:
         """Whether the measurement was accepted (also as a new start)."""
@@ -63,6 +63,7 @@ class PairFilter:
             self.p11 += Q_DRIFT * dt
             self.t_ns = t_ns
         y, total = z - self.offset, self.p00 + R
+        self.innovation = y
         if self.n >= VALID_AFTER and y * y > GATE_SIGMA**2 * total:
             self.run += 1
             if self.run < RESET_AFTER:
@@ -97,13 +98,20 @@ def offsets(measured: DataFrame) -> DataFrame:
                 if f is None:
                     f = filters[a, c] = PairFilter()
                 ok = f.update(t, z)
-                rows.append((a, c, t, f.offset, f.drift, f.p00, f.n, f.n >= VALID_AFTER, ok))
+                rows.append((a, c, t, f.offset, f.drift, f.p00, f.n, f.n >= VALID_AFTER, ok, f.innovation))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), arrow)], schema=arrow)
 
     return src.mapInArrow(run, HISTORY)
 
 
+def innovations(history: DataFrame) -> DataFrame:
+    """Number, median and 95th percentile of each pair's innovations (starts have none)."""
+    from skyweft.operators.aggregates import order_statistics
+
+    return order_statistics(history.select("sensor_a", "sensor_b", "innovation"), "innovation", ["sensor_a", "sensor_b"])
+
+
 def pair_table(history: DataFrame, most: int = 10) -> DataFrame:
     """The latest state of the first ``most`` pairs: microseconds, ppm, square microseconds."""
     last = history.groupBy("sensor_a", "sensor_b").agg(F.max_by(F.struct("offset", "drift", "variance", "n", "valid"), "t_ns").alias("s"))

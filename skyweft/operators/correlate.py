@@ -26,13 +26,17 @@ def anchored(rows: DataFrame, keys: list[str], t: str, ties: list[str], window:
     item = F.struct(*[F.col(c) for c in (t, *ties, *rest)])
     runs = marked.groupBy(*keys, "__run").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
+    # a run within the window of its first row has one anchor; only others are folded
+    first, last = F.get("items", F.lit(0))[t], F.element_at("items", -1)[t]
+    plain = F.transform("items", lambda x: F.struct(first.alias("anchor"), x.alias("row")))
+
     def step(acc, x):
         anchor = F.when(acc["anchor"].isNotNull() & (x[t] - acc["anchor"] <= limit), acc["anchor"]).otherwise(x[t])
         return F.struct(anchor.alias("anchor"), F.concat(acc["out"], F.array(F.struct(anchor.alias("anchor"), x.alias("row")))).alias("out"))
 
     kind = f"array<struct<anchor:bigint,row:{runs.schema['items'].dataType.elementType.simpleString()}>>"
     zero = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.array().cast(kind).alias("out"))
-    cut = runs.select(*keys, F.inline(F.aggregate("items", zero, step)["out"]))
+    cut = runs.select(*keys, F.inline(F.when(last - first <= limit, plain).otherwise(F.aggregate("items", zero, step)["out"])))
     return cut.select(*keys, "anchor", *[F.col(f"row.{c}").alias(c) for c in (t, *ties, *rest)])
 
 

@@ -35,12 +35,15 @@ def nearest_place(places: DataFrame, key: str, dimension: DataFrame, dim_order:
 def with_overrides(receptions: DataFrame, overrides: DataFrame) -> DataFrame:
     """Receptions at their sensor's surveyed place; sensors without one go.
 
-    A sensor is matched once, by its first position, and keeps the match.
+    A sensor is matched once, by its first position, and keeps the match; ties go to
+    the first in the file (``no``, as :func:`read_overrides` numbers them).
     """
     first = receptions.groupBy("sensor_id").agg(F.min_by(F.struct("lat", "lon"), F.struct("timestamp_s", "timestamp_ns")).alias("p")).select("sensor_id", "p.lat", "p.lon")
-    numbered = overrides.select("lat", "lon", "alt", "name", F.xxhash64("public_key").alias("h"))
-    order = Window.orderBy("name", "lat", "lon", "alt", "h")
-    numbered = numbered.withColumn("no", F.row_number().over(order)).drop("h")
+    numbered = overrides
+    if "no" not in overrides.columns:  # without the order of the file, that of names
+        h = F.xxhash64("public_key", "lat", "lon", "alt", "name")
+        numbered = overrides.withColumn("no", F.struct("name", h))
+    numbered = numbered.select("lat", "lon", "alt", "no")
     found = nearest_place(first, "sensor_id", numbered, "no").select("sensor_id", F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.col("alt").alias("oalt"))
     rest = [c for c in receptions.columns if c not in ("lat", "lon", "alt")]
     out = receptions.join(found, "sensor_id")

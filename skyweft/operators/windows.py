@@ -55,12 +55,35 @@ def pruned(latest_rows: DataFrame, t: str, now, most) -> DataFrame:
     return latest_rows.where(col(now) - F.col(t) <= col(most))
 
 
-def evicted(df: DataFrame, order: list, most: int) -> DataFrame:
+#: Ranges that rows are counted in, and rows of one range that a task may rank.
+RANGES, RANKED_ROWS = 64, 1_000_000
+
+
+def evicted(df: DataFrame, order: list[str], most: int) -> DataFrame:
     """If there are over ``most`` rows, the newer half (the older half is evicted).
 
-    Ranks come from a distributed sort's positions, not from one window task.
+    The half is cut at its exact rank: rows are counted in ranges of ``order[0]``, a
+    number, cut at approximate quantiles; the range with the cut is narrowed until it
+    is small, and only its rows are ranked. All newer ranges stay whole.
     """
     n = df.count()
     if n <= most:
         return df
-    return df.orderBy(*[F.desc(c) for c in order]).limit(n - n // 2)
+    t, keep, size = F.col(order[0]), n - n // 2, n
+    inside, newer = F.lit(True), F.lit(False)
+    while size > RANKED_ROWS:
+        part = df.where(inside)
+        cuts = sorted(set(part.approxQuantile(order[0], [i / RANGES for i in range(1, RANGES)], 0.5 / RANGES)))
+        r = sum((F.coalesce(t >= c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+        counts = {x["r"]: x["n"] for x in part.groupBy(r.alias("r")).agg(F.count("*").alias("n")).collect()}  # at most RANGES rows
+        at, above = max(counts), 0
+        for at in sorted(counts, reverse=True):
+            if above + counts[at] >= keep:
+                break
+            above += counts[at]
+        newer, inside, keep, size = newer | (inside & (r > at)), inside & (r == at), keep - above, counts[at]
+        if len(counts) == 1:
+            break
+    rank = F.row_number().over(Window.orderBy(*[F.desc(c) for c in order]))
+    edge = df.where(inside).withColumn("__n", rank).where(F.col("__n") <= keep).drop("__n")
+    return df.where(newer).union(edge)

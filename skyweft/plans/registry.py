@@ -424,11 +424,11 @@ def gdop3d_grid(spark, sf):
 
 
 @query("""SELECT 'fix' AS kind, event_id AS id, value AS residual_m, NULL::INT AS num_sensors FROM events WHERE event_type = 'view'
-UNION ALL SELECT 'unsolved_group', event_id, NULL, (event_id % 3 + 2)::INT FROM events WHERE event_type <> 'view' AND event_id % 2 = 0""")
+UNION ALL SELECT 'unsolved_group', event_id, NULL, (event_id % 3 + 2)::INT FROM events WHERE event_type <> 'view'""")
 def tagged_union(spark, sf):
     e = events(spark, sf, "event_id", "event_type", "value")
     one = e.where("event_type = 'view'").select(F.lit("fix").alias("kind"), F.col("event_id").alias("id"), F.col("value").alias("residual_m"))
-    two = e.where("event_type <> 'view' and event_id % 2 = 0").select(F.lit("unsolved_group").alias("kind"), F.col("event_id").alias("id"), (F.col("event_id") % 3 + 2).cast("int").alias("num_sensors"))
+    two = e.where("event_type <> 'view'").select(F.lit("unsolved_group").alias("kind"), F.col("event_id").alias("id"), (F.col("event_id") % 3 + 2).cast("int").alias("num_sensors"))
     return one.unionByName(two, allowMissingColumns=True)
 
 
@@ -493,3 +493,6 @@ def live_snapshot(spark, sf):
 def union_split(spark, sf):
     records = solve.solve_groups(syn.flights(spark, sf, 2))
     return union.tagged(union.fixes_of(records), union.groups_of(records)).select("t_ns", "icao", "kind")
+
+
+from skyweft.plans import production  # noqa: E402, F401  registers its queries

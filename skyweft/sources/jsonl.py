@@ -88,8 +88,9 @@ def read_overrides(spark: SparkSession, candidates: list[str]) -> DataFrame:
     for path in candidates:
         p = jvm.org.apache.hadoop.fs.Path(path)
         if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-            return spark.read.schema(schemas.OVERRIDE).option("multiLine", True).json(path).dropna()
-    return spark.createDataFrame([], schemas.OVERRIDE)
+            rows = spark.read.schema(schemas.OVERRIDE).option("multiLine", True).json(path)
+            return rows.withColumn("no", F.monotonically_increasing_id()).dropna()  # one file, one partition: its order
+    return spark.createDataFrame([], schemas.OVERRIDE).withColumn("no", F.lit(0).cast("long"))
 
 
 #: Decimals of a written fix's fields.

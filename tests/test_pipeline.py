@@ -114,8 +114,14 @@ def test_clock_offsets_are_found(spark):
 
 
 def test_correction_tree():
+    # from the sensor with most pairs: the smaller id's clock is ahead by the offset
     got = clock.corrections([5, 2, 9], {(2, 5): (1e-6, 1e-12), (5, 9): (-2e-6, 1e-12)})
-    assert got == pytest.approx([0.0, -1e-6, -2e-6], abs=1e-15) or got[0] == 0.0
+    assert got == pytest.approx([0.0, -1e-6, -2e-6], abs=1e-15)
+    # of a ring the edge of most variance is left out
+    ring = {(1, 2): (1e-6, 1e-12), (2, 3): (1e-6, 1e-12), (1, 3): (9e-6, 5e-12)}
+    got = clock.corrections([1, 2, 3], ring)
+    assert got[0] == 0.0 and got[1] == pytest.approx(1e-6) and got[2] == pytest.approx(2e-6)
+    assert clock.corrections([1, 2], {(1, 2): (0.7, 1e-12)}) == [0.0, 0.0] and clock.corrections([], {}) == []
 
 
 def test_overrides(spark):
@@ -125,6 +131,18 @@ def test_overrides(spark):
     assert got == {(1, 0): 70.0, (1, 1): 70.0, (3, 0): 70.0}
 
 
+def test_eviction_at_an_exact_rank(spark, monkeypatch):
+    """However narrow the range that is ranked; ties by the second order, nulls oldest."""
+    monkeypatch.setattr(windows, "RANKED_ROWS", 20)
+    rng = np.random.default_rng(6)
+    rows = [(int(i), int(t)) for i, t in enumerate(rng.integers(0, 150, 2001))] + [(9000, None), (9001, None)]
+    df = spark.createDataFrame(rows, "id long, t long")
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]), reverse=True)[: len(rows) - len(rows) // 2]
+    assert sorted(r["id"] for r in windows.evicted(df, ["t", "id"], 100).collect()) == sorted(r[0] for r in want)
+    same = spark.range(500).select("id", F.lit(3).alias("t"))
+    assert {r["id"] for r in windows.evicted(same, ["t", "id"], 100).collect()} == set(range(250, 500))
+
+
 def test_eviction_and_statistics(spark):
     df = spark.range(11).select("id", (F.col("id") * 2).alias("v"))
     assert {r["id"] for r in windows.evicted(df, ["id"], 10).collect()} == {5, 6, 7, 8, 9, 10}
