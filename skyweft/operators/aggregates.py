@@ -16,8 +16,8 @@ def rate(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.concat(F.format_string(f"%.{digits}f", F.round(share, digits)), F.lit("%"))
 
 
-#: Ranges that values are ranked in.
-RANGES = 64
+#: Ranges that values are ranked in, and rows that are ranked without.
+RANGES, RANKED_ROWS = 64, 1_000_000
 
 
 def order_statistics(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
@@ -26,11 +26,19 @@ def order_statistics(df: DataFrame, value: str, by: list[str] | None = None) ->
 
     Values are counted before they are ranked, so equal ones travel once. They are
     ranked within ranges, cut at approximate quantiles of all rows and offset by what
-    lies below in the group, so that no task orders a whole group, however large.
+    lies below in the group, so that no task orders a whole group, however large; up to
+    RANKED_ROWS rows are one range.
     """
     by = by or []
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*by, value).agg(F.count("*").alias("c"))
+    mid, high = F.floor(F.col("n") / 2), F.when(F.col("n") > 20, F.floor(F.col("n") * 0.95)).otherwise(F.col("n") - 1)
+    at = lambda k: F.min(F.when(F.col("upto") > k, F.col(value)))  # noqa: E731  the first value that reaches past element k
+    result = [F.max("n").alias("n"), at(mid).alias("median"), at(high).alias("p95")]
+    if known.count() <= RANKED_ROWS:
+        group = Window.partitionBy(*by)
+        upto = F.sum("c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.withColumn("upto", upto).withColumn("n", F.sum("c").over(group)).groupBy(*by).agg(*result)
     cuts = sorted(set(known.approxQuantile(value, [i / RANGES for i in range(1, RANGES)], 0.5 / RANGES)))
     ranged = counts.withColumn("r", sum(((F.col(value) >= c).cast("int") for c in cuts), F.lit(0)))
     sums = ranged.groupBy(*by, "r").agg(F.sum("c").alias("s"))  # at most RANGES rows a group
@@ -42,9 +50,7 @@ def order_statistics(df: DataFrame, value: str, by: list[str] | None = None) ->
     for k in by:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
     ranked = ranged.withColumn("within", F.sum("c").over(w)).join(sums, same).withColumn("upto", F.col("base") + F.col("within"))
-    mid, high = F.floor(F.col("n") / 2), F.when(F.col("n") > 20, F.floor(F.col("n") * 0.95)).otherwise(F.col("n") - 1)
-    at = lambda k: F.min(F.when(F.col("upto") > k, F.col(value)))  # noqa: E731  the first value that reaches past element k
-    return ranked.groupBy(*by).agg(F.max("n").alias("n"), at(mid).alias("median"), at(high).alias("p95"))
+    return ranked.groupBy(*by).agg(*result)
 
 
 def recent_mean(df: DataFrame, key: str, order: list[str], value: str, most: int = 100, least: int = 10) -> DataFrame:

@@ -75,9 +75,12 @@ def _struct(df: DataFrame, t: str, take: list[str]) -> str:
 def reception_pairs(groups: DataFrame, keep: list[str], items: str = "receptions", by: str = "sensor_id") -> DataFrame:
     """Pairs i < j of each group's items, the one of the smaller ``by`` first: a, b.
 
-    Pairs are formed within the row's array (a dozen sensors), without a join.
+    Pairs are formed within the row's array (a dozen sensors), without a join. The array
+    passes a generator first: an expression that makes it would otherwise be moved into
+    the pairs and worked out for each.
     """
-    xs = F.col(items)
+    groups = groups.select(*keep, F.explode(F.array(items)).alias("__items"))
+    xs = F.col("__items")
     index = lambda n: F.sequence(F.lit(0), n - 1)
     pairs = F.flatten(
         F.transform(index(F.size(xs)), lambda i: F.transform(F.filter(index(F.size(xs)), lambda j: j > i), lambda j: F.struct(F.get(xs, i).alias("x"), F.get(xs, j).alias("y"))))

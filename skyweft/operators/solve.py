@@ -269,9 +269,14 @@ OWN = ("icao", "t_ns", "df_type", "altitude_ft", "squawk", "raw_msg", "num_senso
 
 
 def by_aircraft(groups: DataFrame) -> DataFrame:
-    """What the solver reads, partitioned by aircraft and sorted by time: one shuffle."""
+    """What the solver reads, partitioned by aircraft and sorted by time: one shuffle.
+
+    The number of partitions is given, so that small rows that cost much to solve are
+    not coalesced by their bytes.
+    """
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     extra = [F.col(c).cast(k) if c in groups.columns else F.lit(None).cast(k).alias(c) for c, k in EXTRA.items()]
-    return groups.select(*OWN, *extra).repartition("icao").sortWithinPartitions("t_ns", "icao", "raw_msg")
+    return groups.select(*OWN, *extra).repartition(parts, "icao").sortWithinPartitions("t_ns", "icao", "raw_msg")
 
 
 def solve_groups(groups: DataFrame, config: Config = Config()) -> DataFrame:

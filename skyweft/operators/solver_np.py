@@ -205,6 +205,7 @@ def centroid(s: np.ndarray, alt: np.ndarray) -> np.ndarray:
     return snapped(c, np.where(np.isfinite(alt), alt, 10_000.0))
 
 
+@np.errstate(divide="ignore", invalid="ignore")
 def closed_form(s: np.ndarray, t: np.ndarray, pairs: list[tuple[int, int]], alt: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Linear start from range differences to sensor 0; with ``alt``, a row of altitude.
 
@@ -215,8 +216,7 @@ def closed_form(s: np.ndarray, t: np.ndarray, pairs: list[tuple[int, int]], alt:
     d = (t - t[:, :1]) * C_VACUUM
     m, b = [], []
     for j, k in pairs:
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rho = d[:, k] / d[:, j]
+        rho = d[:, k] / d[:, j]
         m.append(2 * (q[:, k] - rho[:, None] * q[:, j]))
         b.append(((q[:, k] ** 2).sum(1) - d[:, k] ** 2) - rho * ((q[:, j] ** 2).sum(1) - d[:, j] ** 2))
     if alt is not None:

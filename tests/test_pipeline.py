@@ -94,6 +94,20 @@ def test_flights_are_solved_and_tracked(spark):
     assert stats["groups"] == groups.count() and stats["solved"] == r["n"]
 
 
+def test_one_pass_is_solving_then_tracking(spark):
+    groups = flights(spark)
+    key = lambda r: (r["icao"], r["raw_msg"], r["track_quality"], round(r["lat"], 7), round(r["speed_kts"], 4))
+    assert {key(r) for r in track.solved_tracks(groups).collect()} == {key(r) for r in track.tracks(solve.solve_groups(groups)).collect()}
+
+
+def test_rotated_starts():
+    """Five sensors of which the first order has no closed form, as two are in one place."""
+    s, t, salt, alt, x = sky(6, 30, seed=9)
+    s[:, 1], t[:, 1] = s[:, 0], t[:, 0]
+    _, names = S._starts(s, t, alt, np.full_like(x, np.nan), S.centroid(s, alt))
+    assert "inamdar_5sensor" in names
+
+
 def test_order_of_rows_does_not_matter(spark):
     groups = flights(spark)
     one = {(r["raw_msg"], round(r["lat"], 9)) for r in solve.fixes(solve.solve_groups(groups)).collect()}
@@ -143,6 +157,20 @@ def test_eviction_at_an_exact_rank(spark, monkeypatch):
     assert {r["id"] for r in windows.evicted(same, ["t", "id"], 100).collect()} == set(range(250, 500))
 
 
+@pytest.mark.parametrize("least", [0, 1_000_000])
+def test_statistics_of_groups(spark, monkeypatch, least):
+    """Ranked in ranges or in one go; a hot group, a null one and nulls in the values."""
+    monkeypatch.setattr(aggregates, "RANKED_ROWS", least)
+    rng = np.random.default_rng(4)
+    rows = [(k, float(v)) for k, n in (("hot", 3000), ("few", 7), (None, 200)) for v in rng.integers(0, 90, n)] + [("hot", None), ("none", None)]
+    got = {r["k"]: (r["n"], r["median"], r["p95"]) for r in aggregates.order_statistics(spark.createDataFrame(rows, "k string, v double"), "v", ["k"]).collect()}
+    want = {}
+    for k in ("hot", "few", None):
+        v = sorted(x for g, x in rows if g == k and x is not None)
+        want[k] = (len(v), v[len(v) // 2], v[int(len(v) * 0.95) if len(v) > 20 else -1])
+    assert got == want
+
+
 def test_eviction_and_statistics(spark):
     df = spark.range(11).select("id", (F.col("id") * 2).alias("v"))
     assert {r["id"] for r in windows.evicted(df, ["id"], 10).collect()} == {5, 6, 7, 8, 9, 10}
