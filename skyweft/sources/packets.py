@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from skyweft.operators.decode import valid_packets
 from skyweft.schemas import PACKET
@@ -89,7 +89,7 @@ class PacketSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _BatchReader(self.options["path"])
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+    def streamReader(self, schema) -> DataSourceStreamReader:
         return _StreamReader(self.options["path"])
 
 
@@ -104,21 +104,31 @@ class _BatchReader(DataSourceReader):
         yield from _rows(partition.path)
 
 
-class _StreamReader(SimpleDataSourceStreamReader):
-    """Files in name order; the offset is the number of files read."""
+class _StreamReader(DataSourceStreamReader):
+    """Files as they come, each read by a task. The offset is the time and name of the
+    last file taken: names may come in any order, and no file is read twice. A file must
+    be whole when it appears in the folder (moved there, not written there)."""
 
     def __init__(self, path: str):
         self.path = path
 
     def initialOffset(self) -> dict:
-        return {"files": 0}
+        return {"ns": -1, "name": ""}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        files = _files(self.path)
-        return (r for p in files[start["files"] :] for r in _rows(p)), {"files": len(files)}
+    def latestOffset(self) -> dict:
+        last = max(_stamped(self.path), default=(-1, ""))
+        return {"ns": last[0], "name": last[1]}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return (r for p in _files(self.path)[start["files"] : end["files"]] for r in _rows(p))
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        low, high = ((o["ns"], o["name"]) for o in (start, end))
+        return [_File(name) for ns, name in sorted(_stamped(self.path)) if low < (ns, name) <= high]
+
+    def read(self, partition) -> Iterator[tuple]:
+        yield from _rows(partition.path)
+
+
+def _stamped(path: str) -> list[tuple[int, str]]:
+    return [(os.stat(p).st_mtime_ns, p) for p in _files(path)]
 
 
 def read_packets(spark, path: str) -> DataFrame:
