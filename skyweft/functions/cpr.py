@@ -1,13 +1,13 @@
-"""Compact position reporting as column expressions."""
+"""Compact position reporting: zones as column expressions, decodes as columns of a frame."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyweft.functions.let import col, let
+from skyweft.functions.let import col, once
 from skyweft.functions.scalar import positive_mod
 
 SCALE = float(1 << 17)
@@ -33,55 +33,44 @@ def _wrapped(x: Column, above: float) -> Column:
     return F.when(x >= above, x - 360.0).otherwise(x)
 
 
-def global_position(lat_even, lon_even, lat_odd, lon_odd, even_is_newer) -> Column:
-    """struct<lat, lon> of an even and odd pair of raw 17-bit values; null if they are
-    of different zones. The newer of the pair decides the latitude."""
-
-    def latitudes(v):
-        j = F.floor(v["ye"] * 59 - v["yo"] * 60 + 0.5)
-        even = _wrapped((positive_mod(j, F.lit(60)) + v["ye"]) * 6.0, 270.0)
-        odd = _wrapped((positive_mod(j, F.lit(59)) + v["yo"]) * (360.0 / 59), 270.0)
-        return F.struct(v["xe"].alias("xe"), v["xo"].alias("xo"), v["newer"].alias("newer"), even.alias("even"), odd.alias("odd"))
-
-    def zones(v):
-        lat = F.when(v["newer"], v["even"]).otherwise(v["odd"])
-        return F.struct(v["xe"].alias("xe"), v["xo"].alias("xo"), v["newer"].alias("newer"), lat.alias("lat"), longitude_zones(v["even"]).alias("nle"), longitude_zones(v["odd"]).alias("nlo"))
-
-    def place(v):
-        nl = F.when(v["newer"], v["nle"]).otherwise(v["nlo"])
-        ni = F.greatest(F.when(v["newer"], nl).otherwise(nl - 1), F.lit(1))
-        m = F.floor(v["xe"] * (nl - 1) - v["xo"] * nl + 0.5)
-        lon = (positive_mod(m, ni) + F.when(v["newer"], v["xe"]).otherwise(v["xo"])) * (F.lit(360.0) / ni)
-        ok = (v["nle"] == v["nlo"]) & v["lat"].between(-90, 90)
-        return F.when(ok, F.struct(v["lat"].alias("lat"), _wrapped(lon, 180.0).alias("lon")))
-
-    raw = F.struct(
-        (col(lat_even) / SCALE).alias("ye"),
-        (col(lon_even) / SCALE).alias("xe"),
-        (col(lat_odd) / SCALE).alias("yo"),
-        (col(lon_odd) / SCALE).alias("xo"),
-        col(even_is_newer).alias("newer"),
-    )
-    return let(let(let(raw, latitudes), zones), place)
-
-
-def local_position(odd, lat_cpr, lon_cpr, ref_lat, ref_lon) -> Column:
-    """struct<lat, lon> of one frame near a reference; null if it moved over 5 degrees."""
+def with_global_position(df: DataFrame, name: str, lat_even, lon_even, lat_odd, lon_odd, even_is_newer) -> DataFrame:
+    """``df`` with ``name``, struct<lat, lon> of an even and odd pair of raw 17-bit values.
+
+    Null if they are of different zones or one is null. The newer of the pair decides
+    the latitude. Each step is worked out once a row, in generated code.
+    """
+    ye, xe, yo, xo = (col(x) / SCALE for x in (lat_even, lon_even, lat_odd, lon_odd))
+    df = once(df, "__raw", F.struct(ye.alias("ye"), xe.alias("xe"), yo.alias("yo"), xo.alias("xo"), col(even_is_newer).alias("newer")))
+    raw = F.col("__raw")
+    j = F.floor(raw["ye"] * 59 - raw["yo"] * 60 + 0.5)
+    even = (positive_mod(j, F.lit(60)) + raw["ye"]) * 6.0
+    odd = (positive_mod(j, F.lit(59)) + raw["yo"]) * (360.0 / 59)
+    df = once(df, "__lats", F.struct(_wrapped(even, 270.0).alias("even"), _wrapped(odd, 270.0).alias("odd")))
+    lats = F.col("__lats")
+    lat = F.when(raw["newer"], lats["even"]).otherwise(lats["odd"])
+    df = once(df, "__zones", F.struct(lat.alias("lat"), longitude_zones(lats["even"]).alias("even"), longitude_zones(lats["odd"]).alias("odd")))
+    lat, nle, nlo = (F.col("__zones")[k] for k in ("lat", "even", "odd"))
+    ok = (nle == nlo) & lat.between(-90, 90)  # of one zone, nle is both's number of zones
+    ni = F.greatest(F.when(raw["newer"], nle).otherwise(nle - 1), F.lit(1))
+    m = F.floor(raw["xe"] * (nle - 1) - raw["xo"] * nle + 0.5)
+    df = once(df, "__lon", (positive_mod(m, ni) + F.when(raw["newer"], raw["xe"]).otherwise(raw["xo"])) * (F.lit(360.0) / ni))
+    place = F.when(ok, F.struct(lat.alias("lat"), _wrapped(F.col("__lon"), 180.0).alias("lon")))
+    return once(df, name, place).drop("__raw", "__lats", "__zones", "__lon")
+
+
+def with_local_position(df: DataFrame, name: str, odd, lat_cpr, lon_cpr, ref_lat, ref_lon) -> DataFrame:
+    """``df`` with ``name``, struct<lat, lon> of one frame near a reference; null if it
+    moved over 5 degrees or anything is null."""
 
     def nearest(ref, d, x):
         return (F.floor(ref / d) + F.floor(positive_mod(ref, d) / d - x + 0.5) + x) * d
 
-    def latitude(v):
-        d = F.when(v["odd"] == 1, 360.0 / 59).otherwise(6.0)
-        return F.struct(v["odd"].alias("odd"), v["x"].alias("x"), v["rlat"].alias("rlat"), v["rlon"].alias("rlon"), nearest(v["rlat"], d, v["y"]).alias("lat"))
-
-    def place(v):
-        d = F.lit(360.0) / F.greatest(longitude_zones(v["lat"]) - v["odd"], F.lit(1))
-        lon = nearest(v["rlon"], d, v["x"])
-        ok = (F.abs(v["lat"] - v["rlat"]) <= LOCAL_GUARD) & (F.abs(lon - v["rlon"]) <= LOCAL_GUARD)
-        return F.when(ok, F.struct(v["lat"].alias("lat"), lon.alias("lon")))
-
-    raw = F.struct(
-        col(odd).alias("odd"), (col(lat_cpr) / SCALE).alias("y"), (col(lon_cpr) / SCALE).alias("x"), col(ref_lat).alias("rlat"), col(ref_lon).alias("rlon")
-    )
-    return let(let(raw, latitude), place)
+    raw = F.struct(col(odd).alias("odd"), (col(lat_cpr) / SCALE).alias("y"), (col(lon_cpr) / SCALE).alias("x"), col(ref_lat).alias("lat"), col(ref_lon).alias("lon"))
+    df = once(df, "__raw", raw)
+    raw = F.col("__raw")
+    df = once(df, "__lat", nearest(raw["lat"], F.when(raw["odd"] == 1, 360.0 / 59).otherwise(6.0), raw["y"]))
+    df = once(df, "__d", F.lit(360.0) / F.greatest(longitude_zones("__lat") - raw["odd"], F.lit(1)))
+    df = once(df, "__lon", nearest(raw["lon"], F.col("__d"), raw["x"]))
+    ok = (F.abs(F.col("__lat") - raw["lat"]) <= LOCAL_GUARD) & (F.abs(F.col("__lon") - raw["lon"]) <= LOCAL_GUARD)
+    place = F.when(ok, F.struct(F.col("__lat").alias("lat"), F.col("__lon").alias("lon")))
+    return once(df, name, place).drop("__raw", "__lat", "__d", "__lon")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,12 @@ def col(x) -> Column:
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` evaluated once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with the column ``name``, worked out once a row.
+
+    It goes through a generator, which the optimizer does not merge with the projections
+    that use it, as it does with ``withColumn``; unlike :func:`let` it is generated code.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

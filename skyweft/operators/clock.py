@@ -20,6 +20,8 @@ from skyweft.schemas import struct
 
 R, Q_DRIFT, GATE_SIGMA, RESET_AFTER, VALID_AFTER = 25e-12, 1e-18, 3.5, 5, 3
 MAX_CORRECTION_S = 0.5
+#: Look-ups of a pair's offset are worked through in spans of so much time.
+LOOKUP_SPAN_NS = 60_000_000_000
 
 HISTORY = struct("sensor_a BIGINT, sensor_b BIGINT, t_ns BIGINT, offset DOUBLE, drift DOUBLE, variance DOUBLE, n INT, valid BOOLEAN, accepted BOOLEAN, innovation DOUBLE")
 
@@ -155,16 +157,16 @@ def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
     """
     from skyweft.operators.joins import as_of
 
-    numbered = groups.withColumn("__g", F.xxhash64("icao", "raw_msg", "t_ns"))
-    pairs = reception_pairs(numbered, ["__g", "t_ns"]).select("__g", "t_ns", F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"))
+    group = ["icao", "raw_msg", "t_ns"]
+    pairs = reception_pairs(groups, group).select(*group, F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"))
     key = F.struct("sensor_a", "sensor_b")
     found = as_of(
-        pairs.withColumn("pair", key), history.where("valid").withColumn("pair", key).select("pair", "t_ns", "offset", "drift", "variance"), "pair", "t_ns", ["__g"], ["offset", "drift", "variance"], F.lit(2**62)
+        pairs.withColumn("pair", key), history.where("valid").withColumn("pair", key).select("pair", "t_ns", "offset", "drift", "variance"), "pair", "t_ns", ["icao", "raw_msg"], ["offset", "drift", "variance"], F.lit(2**62), LOOKUP_SPAN_NS
     )
     now = F.col("prior_offset") + F.col("prior_drift") * (F.col("age").cast("double") * 1e-9)
     found = found.where("prior_offset is not null")
-    by = found.groupBy("__g").agg(F.collect_list(F.struct("sensor_a", "sensor_b", now.alias("offset"), F.col("prior_variance").alias("variance"))).alias("__pairs"))
-    both = numbered.join(by, "__g", "left").drop("__g")
+    by = found.groupBy(*group).agg(F.collect_list(F.struct("sensor_a", "sensor_b", now.alias("offset"), F.col("prior_variance").alias("variance"))).alias("__pairs"))
+    both = groups.join(by, group, "left").select(*groups.columns, "__pairs")
     schema = T.StructType([*groups.schema.fields, T.StructField("pair_variance", T.DoubleType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -26,17 +26,22 @@ def anchored(rows: DataFrame, keys: list[str], t: str, ties: list[str], window:
     item = F.struct(*[F.col(c) for c in (t, *ties, *rest)])
     runs = marked.groupBy(*keys, "__run").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
-    # a run within the window of its first row has one anchor; only others are folded
+    # a run within the window of its first row has one anchor; in others a fold notes
+    # each anchor and its place, and slices between places are the groups
     first, last = F.get("items", F.lit(0))[t], F.element_at("items", -1)[t]
-    plain = F.transform("items", lambda x: F.struct(first.alias("anchor"), x.alias("row")))
 
     def step(acc, x):
-        anchor = F.when(acc["anchor"].isNotNull() & (x[t] - acc["anchor"] <= limit), acc["anchor"]).otherwise(x[t])
-        return F.struct(anchor.alias("anchor"), F.concat(acc["out"], F.array(F.struct(anchor.alias("anchor"), x.alias("row")))).alias("out"))
+        n, opens = acc["n"] + 1, acc["anchor"].isNull() | (x[t] - acc["anchor"] > limit)
+        starts = F.when(opens, F.concat(acc["starts"], F.array(F.struct(x[t].cast("long").alias("anchor"), n.alias("place"))))).otherwise(acc["starts"])
+        return F.struct(F.when(opens, x[t].cast("long")).otherwise(acc["anchor"]).alias("anchor"), n.alias("n"), starts.alias("starts"))
 
-    kind = f"array<struct<anchor:bigint,row:{runs.schema['items'].dataType.elementType.simpleString()}>>"
-    zero = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.array().cast(kind).alias("out"))
-    cut = runs.select(*keys, F.inline(F.when(last - first <= limit, plain).otherwise(F.aggregate("items", zero, step)["out"])))
+    zero = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.lit(0).alias("n"), F.array().cast("array<struct<anchor:bigint,place:int>>").alias("starts"))
+    one = F.array(F.struct(first.cast("long").alias("anchor"), F.lit(1).alias("place")))
+    starts = F.when(last - first <= limit, one).otherwise(F.aggregate("items", zero, step)["starts"])
+    marked = runs.select(*keys, "items", F.explode(F.array(starts)).alias("starts"))
+    end = lambda i: F.coalesce(F.get("starts", i + 1)["place"], F.size("items") + 1)
+    groups = F.transform("starts", lambda s, i: F.struct(s["anchor"].alias("anchor"), F.slice("items", s["place"], end(i) - s["place"]).alias("rows")))
+    cut = marked.select(*keys, F.inline(groups)).select(*keys, "anchor", F.explode("rows").alias("row"))
     return cut.select(*keys, "anchor", *[F.col(f"row.{c}").alias(c) for c in (t, *ties, *rest)])
 
 

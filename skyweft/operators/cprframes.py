@@ -23,12 +23,12 @@ def decoded_positions(groups: DataFrame) -> DataFrame:
     df = df.withColumns({"__lat": F.col("__f.lat_cpr"), "__lon": F.col("__f.lon_cpr")})
     df = even_odd(df, "icao", "t_ns", ["raw_msg"], F.col("__f.odd") == 1, ["__lat", "__lon"], F.lit(PAIR_NS))
     both = F.col("even_t").isNotNull() & F.col("odd_t").isNotNull() & F.col("__f").isNotNull()
-    place = cpr.global_position("even___lat", "even___lon", "odd___lat", "odd___lon", F.col("even_t") >= F.col("odd_t"))
-    df = df.withColumn("__g", F.when(both, place))
+    df = cpr.with_global_position(df, "__place", "even___lat", "even___lon", "odd___lat", "odd___lon", F.col("even_t") >= F.col("odd_t"))
+    df = df.withColumn("__g", F.when(both, F.col("__place")))
     w = Window.partitionBy("icao").orderBy("t_ns", "raw_msg").rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("__ref", F.last("__g", ignorenulls=True).over(w))
-    near = cpr.local_position(F.col("__f.odd"), F.col("__f.lat_cpr"), F.col("__f.lon_cpr"), F.col("__ref.lat"), F.col("__ref.lon"))
-    df = df.withColumn("__p", F.coalesce("__g", F.when(F.col("__ref").isNotNull() & F.col("__f").isNotNull(), near)))
+    df = cpr.with_local_position(df, "__near", F.col("__f.odd"), F.col("__f.lat_cpr"), F.col("__f.lon_cpr"), F.col("__ref.lat"), F.col("__ref.lon"))
+    df = df.withColumn("__p", F.coalesce("__g", F.when(F.col("__ref").isNotNull() & F.col("__f").isNotNull(), F.col("__near"))))
     return df.select(
         *groups.columns,
         F.col("__p.lat").alias("cpr_lat"),

@@ -50,17 +50,29 @@ def with_overrides(receptions: DataFrame, overrides: DataFrame) -> DataFrame:
     return out.select(*rest, F.col("olat").alias("lat"), F.col("olon").alias("lon"), F.col("oalt").alias("alt"))
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, t: str, ties: list[str], take: list[str], tolerance) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, t: str, ties: list[str], take: list[str], tolerance, span: int | None = None) -> DataFrame:
     """``left`` with the latest earlier ``right`` row of its key: columns ``take`` and ``age``.
 
     Both sides are put in one stream, sorted once by key and time, and the last right
     row is carried forward; a match older than ``tolerance`` is null. No range join.
-    Right rows of the same time come first.
+    Right rows of the same time come first; of right rows of one time, the one greatest
+    by ``take``. With ``span``, for few keys of many rows, a key's time is cut into spans of
+    that length that are worked through apart: the last right row before each span, found
+    among the spans' last rows, is put in front of it.
     """
     l = left.withColumn("__side", F.lit(1)).withColumn("__r", F.lit(None).cast(_struct(right, t, take)))
     r = right.select(key, t, F.lit(0).alias("__side"), F.struct(F.col(t).alias("t"), *take).alias("__r"))
+    by = [key]
+    if span is not None:
+        by = [key, "__span"]
+        l, r = (x.withColumn("__span", F.floor(F.col(t) / F.lit(span)).cast("long")) for x in (l, r))
+        lasts = l.select(*by, "__r").unionByName(r.select(*by, "__r")).groupBy(*by).agg(F.max("__r").alias("__r"))
+        before = Window.partitionBy(key).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+        carried = lasts.withColumn("__r", F.last("__r", ignorenulls=True).over(before)).where("__r is not null")
+        r = r.unionByName(carried.select(key, F.col("__r.t").alias(t), F.lit(0).alias("__side"), "__r", "__span"))
     both = l.unionByName(r, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(t, "__side", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    ties = ["__r", *ties]
+    w = Window.partitionBy(*by).orderBy(t, "__side", *ties).rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).where("__side = 1")
     age = F.col(t) - F.col("__m.t")
     ok = age <= col(tolerance)

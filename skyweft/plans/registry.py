@@ -122,8 +122,7 @@ SELECT event_id, round(lat, 6) AS lat, round(CASE WHEN lon >= 180 THEN lon - 360
 def cpr_global(spark, sf):
     i = F.col("event_id")
     raw = lambda k, d: (i * k + (i % d if d else 0)) % 131072
-    place = cpr.global_position(raw(7919, 0), raw(104729, 0), raw(7919, 64), raw(104729, 97), i % 2 == 0)
-    out = events(spark, sf, "event_id").select("event_id", place.alias("p")).where("p is not null")
+    out = cpr.with_global_position(events(spark, sf, "event_id"), "p", raw(7919, 0), raw(104729, 0), raw(7919, 64), raw(104729, 97), i % 2 == 0).where("p is not null")
     return out.select("event_id", *rounded(6, lat=F.col("p.lat"), lon=F.col("p.lon")))
 
 

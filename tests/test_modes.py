@@ -48,16 +48,19 @@ def test_known_messages(spark):
 
 
 def test_cpr_global_and_local(spark):
-    df = spark.range(1).select(
-        cpr.global_position(F.lit(93000), F.lit(51372), F.lit(74158), F.lit(50194), F.lit(True)).alias("g"),
-        cpr.local_position(F.lit(0), F.lit(93000), F.lit(51372), F.lit(52.258), F.lit(3.918)).alias("l"),
-        cpr.local_position(F.lit(0), F.lit(93000), F.lit(51372), F.lit(20.0), F.lit(3.918)).alias("far"),
-        cpr.longitude_zones(F.lit(0.0)).alias("nl0"), cpr.longitude_zones(F.lit(87.5)).alias("nl87"), cpr.longitude_zones(F.lit(52.2572)).alias("nl52"),
-    )
+    df = cpr.with_global_position(spark.range(1), "g", F.lit(93000), F.lit(51372), F.lit(74158), F.lit(50194), F.lit(True))
+    df = cpr.with_local_position(df, "l", F.lit(0), F.lit(93000), F.lit(51372), F.lit(52.258), F.lit(3.918))
+    df = cpr.with_local_position(df, "far", F.lit(0), F.lit(93000), F.lit(51372), F.lit(20.0), F.lit(3.918))
+    null = F.lit(None).cast("double")
+    df = cpr.with_local_position(df, "none", F.lit(0), F.lit(93000), F.lit(51372), null, null)
+    df = cpr.with_global_position(df, "half", F.lit(93000), F.lit(51372), null, null, F.lit(True))
+    df = df.select("*", cpr.longitude_zones(F.lit(0.0)).alias("nl0"), cpr.longitude_zones(F.lit(87.5)).alias("nl87"), cpr.longitude_zones(F.lit(52.2572)).alias("nl52"))
     r = df.first()
     for p in (r["g"], r["l"]):
         assert p["lat"] == pytest.approx(52.2572021484375, abs=1e-9)
         assert p["lon"] == pytest.approx(3.91937255859375, abs=1e-9)
+    assert r["far"]["lat"] == pytest.approx(52.2572021484375 - 5 * 6, abs=1e-9)  # the zone nearest to the reference
+    assert (r["none"], r["half"]) == (None, None)
     assert (r["nl0"], r["nl87"], r["nl52"]) == (59, 1, 36)
 
 

@@ -41,6 +41,24 @@ def test_anchored_is_the_plain_fold(spark):
         assert got[i] == anchor[k]
 
 
+def test_as_of_by_spans(spark):
+    """Spans give what one pass gives and what a plain search does; ties, nulls and keys of one side too."""
+    rng = np.random.default_rng(8)
+    left = [(i, int(k), int(t)) for i, (k, t) in enumerate(zip(rng.integers(0, 4, 300), rng.integers(-50, 2000, 300)))]
+    right = [(int(k), int(t), float(v)) for k, t, v in zip(rng.integers(1, 5, 60), rng.integers(-50, 2000, 60), rng.integers(0, 9, 60))]
+    right += right[:5] + [(1, 700, 1.0), (1, 700, 2.0)]
+    l, r = spark.createDataFrame(left, "id long, k long, t long"), spark.createDataFrame(right, "k long, t long, v double")
+    want = {}
+    for i, k, t in left:
+        seen = [(u, v) for m, u, v in right if m == k and u <= t]
+        near = max(seen) if seen and t - max(seen)[0] <= 400 else None
+        want[i] = (near[1], t - near[0]) if near else (None, None)
+    for span in (None, 1, 37, 5000):
+        got = joins.as_of(l, r, "k", "t", ["id"], ["v"], F.lit(400), span)
+        assert {x["id"]: (x["prior_v"], x["age"]) for x in got.collect()} == want
+    assert joins.as_of(l, r.limit(0), "k", "t", ["id"], ["v"], F.lit(400), 37).where("prior_v is not null").count() == 0
+
+
 def sky(n, groups, seed=0, noise=2e-8):
     rng = np.random.default_rng(seed)
     s = S.lla_to_ecef(rng.uniform(49.8, 50.8, (groups, n)), rng.uniform(-6.5, -4.5, (groups, n)), np.full((groups, n), 100.0))
