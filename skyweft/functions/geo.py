@@ -107,17 +107,6 @@ def motion(lat, lon, vx, vy, vz) -> Column:
     )
 
 
-def enu_covariance(lat, lon, p: list) -> Column:
-    """Upper-left 2 x 2 of R P R', P given as nine columns by row: ((ee, en), (en, nn))."""
-    a = enu_axes(lat, lon)
-
-    def form(u, v):
-        return sum((u[i] * v[j] * col(p[3 * i + j]) for i in range(3) for j in range(3)), F.lit(0.0))
-
-    en = form(a["e"], a["n"])
-    return F.array(F.array(form(a["e"], a["e"]), en), F.array(en, form(a["n"], a["n"])))
-
-
 #: Points of a drawn ellipse and its scale in standard deviations.
 ELLIPSE_POINTS, ELLIPSE_SCALE = 32, 3.03
 #: An ellipse is drawn if the first variance is under this.

@@ -1,4 +1,4 @@
-"""Closed forms of the solver as column expressions: GDOP, robust cost, residuals."""
+"""Closed forms of the solver as column expressions: GDOP and robust cost."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from skyweft.functions.geo import distance
-from skyweft.functions.let import col, let
+from skyweft.functions.let import col
 
 SOFT_SCALE = 500.0
 
@@ -17,25 +17,6 @@ def soft_l1(residual, scale: float = SOFT_SCALE) -> Column:
     return (F.sqrt(z * z + 1) - 1) * (2 * scale * scale)
 
 
-def soft_l1_row_scale(residual, scale: float = SOFT_SCALE) -> Column:
-    z = col(residual) / scale
-    return F.pow(z * z + 1, F.lit(-0.25))
-
-
-def timing_residuals(position: Column, sensors: Column) -> Column:
-    """array<double> of (t - t0) v - range, t0 being the mean of t - range / v.
-
-    ``sensors``: array<struct<ecef, t, v>>, t in seconds.
-    """
-    ranged = F.transform(sensors, lambda s: F.struct(s["t"].alias("t"), s["v"].alias("v"), distance(position, s["ecef"]).alias("r")))
-
-    def eliminated(rs):
-        t0 = F.aggregate(rs, F.lit(0.0), lambda a, s: a + s["t"] - s["r"] / s["v"]) / F.size(rs)
-        return let(t0, lambda t: F.transform(rs, lambda s: (s["t"] - t) * s["v"] - s["r"]))
-
-    return let(ranged, eliminated)
-
-
 def gdop_2d(east: Column, north: Column) -> Column:
     """sqrt of the trace of the inverse normal matrix of unit vectors' plane parts.
 

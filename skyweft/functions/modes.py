@@ -217,8 +217,3 @@ def velocity_fields(msg) -> Column:
         F.when(vr == 0, F.lit(0)).otherwise((vr - 1) * 64 * sign(68)).cast("int").alias("r"),
     )
     return F.when((type_code(msg) == 19) & (bits(msg, 37, 3) == 1) & (ew != 0) & (ns != 0), let(raw, fields))
-
-
-def hex_bytes(msg) -> Column:
-    """The message's bytes; null if it isn't hex."""
-    return F.when(col(msg).rlike("^([0-9A-Fa-f]{2})*$"), F.unhex(col(msg)))

@@ -69,44 +69,6 @@ def prediction_weight(uncertainty_m) -> Column:
     return clamp(F.lit(500.0) / F.greatest(col(uncertainty_m), F.lit(1.0)), F.lit(1.0), F.lit(12.0))
 
 
-def quality_residual(n, residual_m, prior_offset_m) -> Column:
-    """For two sensors with a prior the larger of residual and offset from it."""
-    return F.when((col(n) == 2) & col(prior_offset_m).isNotNull(), F.greatest(col(residual_m), col(prior_offset_m))).otherwise(col(residual_m))
-
-
-def residual_cap(n, has_altitude, has_prior) -> Column:
-    n = col(n)
-    return F.when((n == 2) & col(has_prior), 200.0).when((n == 3) & col(has_altitude), 2000.0).when(n >= 4, 5000.0).otherwise(10000.0)
-
-
-def prior_drift_cap(n, residual_m) -> Column:
-    base = F.when(col(n) == 2, 5_000.0).otherwise(30_000.0)
-    return base * clamp(F.lit(200.0) / F.greatest(col(residual_m), F.lit(10.0)), F.lit(1.0), F.lit(3.0))
-
-
-def sensors_needed(has_altitude, has_prior) -> Column:
-    return F.when(col(has_altitude) & col(has_prior), 2).when(col(has_altitude), 3).otherwise(4)
-
-
-MAX_SPEED_MPS, MAX_ACCEL_MPS2 = 1030.0, 50.0
-
-
-def consistent(moved_m, off_prediction_m, dt_s, residual_old, residual_new, solves) -> Column:
-    """Whether a move is physically possible.
-
-    Its distance less a slack of twice the residuals must not need over 1030 m/s, and
-    if a velocity was known (``off_prediction_m`` is not null) the miss must stay
-    within the acceleration envelope, a base by the number of solves, or three times
-    the residuals. Times under 1 ms apart always pass.
-    """
-    dt, both = F.abs(col(dt_s)), col(residual_old) + col(residual_new)
-    reachable = F.greatest(F.lit(0.0), col(moved_m) - both * 2) / dt <= MAX_SPEED_MPS
-    base = F.when(col(solves) < 5, 10_000.0).otherwise(5_000.0)
-    tolerance = F.greatest(dt * dt * (0.5 * MAX_ACCEL_MPS2) + both * 2, base, both * 3)
-    near = col(off_prediction_m).isNull() | (dt <= 0.1) | (col(off_prediction_m) <= tolerance)
-    return (dt < 1e-3) | (reachable & near)
-
-
 def altitude_band(alt_ft) -> Column:
     """Map colour band of an altitude."""
     a = col(alt_ft)

@@ -1,11 +1,15 @@
-"""Serving a live stream: a latest-state table that is upserted batch by batch."""
+"""Serving a live stream: a latest-state table upserted batch by batch, connections, statistics."""
 
 from __future__ import annotations
 
 import json
+import sys
+import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from skyweft.operators.windows import latest
 
@@ -75,3 +79,44 @@ def aircraft(state: LatestState, least_ns: int | None = None) -> dict:
     if len(rows) > MOST_AIRCRAFT:
         raise ValueError(f"over {MOST_AIRCRAFT} aircraft in one snapshot; give least_ns")
     return {"count": len(rows), "aircraft": [json.loads(r) for r in rows]}
+
+
+def connections(events: DataFrame, key: str, t: str, ties: list[str], connected: str = "connected") -> DataFrame:
+    """The present connections of a log of (dis)connect events: the last event of each
+    ``key``, unless that is a disconnect (``connected`` is false or null)."""
+    return latest(events, key, [t, *ties]).where(F.col(connected))
+
+
+class Statistics(StreamingQueryListener):
+    """Adds up the counters that :func:`skyweft.plans.pipeline.observed` gives with each
+    micro-batch and reports them every ``interval`` seconds, and when a query ends.
+
+    ``report`` gets the counters' name and a dictionary of totals; by default it writes
+    a line to the standard error.
+    """
+
+    def __init__(self, report: Callable[[str, dict], None] | None = None, interval: float = 30.0):
+        self.report = report or (lambda name, totals: print(f"[{name}] {json.dumps(totals)}", file=sys.stderr))
+        self.interval, self.totals, self.last = interval, {}, time.monotonic()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            mine = self.totals.setdefault(name, {})
+            for k, v in row.asDict().items():
+                mine[k] = mine.get(k, 0) + (v or 0)
+        if time.monotonic() - self.last >= self.interval:
+            self._tell()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._tell()
+
+    def _tell(self) -> None:
+        self.last = time.monotonic()
+        for name, totals in sorted(self.totals.items()):
+            self.report(name, dict(totals))

@@ -9,6 +9,7 @@ from skyweft.operators import correlate, solve, track
 from skyweft.plans import synthetic
 from skyweft.sources import packets
 from skyweft.schemas import DECODED, FIX, GROUP, TRACK, struct
+from skyweft.streaming import serve
 from skyweft.streaming.serve import LatestState, aircraft
 from skyweft.streaming.state import correlate_stream, solve_stream, track_stream
 
@@ -106,3 +107,31 @@ def test_packet_files_in_any_order_of_names(spark, tmp_path):
         q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
         assert q.awaitTermination(60)
     assert sorted(r["sensor_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_statistics_of_a_stream(spark, tmp_path):
+    import time
+
+    from skyweft.plans.pipeline import observed
+
+    spark.range(10).selectExpr("id", "id % 2 = 0 AS even").repartition(2).write.parquet(f"{tmp_path}/in")
+    said = []
+    listener = serve.Statistics(lambda name, totals: said.append((name, totals)))
+    spark.streams.addListener(listener)
+    try:
+        src = spark.readStream.schema("id long, even boolean").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        q = observed(src, "input", even=F.col("even")).writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        q.awaitTermination()
+        until = time.time() + 20
+        while not said and time.time() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert said == [("input", {"rows": 10, "even": 5})]
+
+
+def test_connections(spark):
+    rows = [("a", 1, True, 1), ("a", 5, False, 2), ("b", 2, False, 3), ("b", 2, True, 4), ("c", 3, True, 5), ("c", 4, None, 6)]
+    events = spark.createDataFrame(rows, "peer string, t long, connected boolean, n long")
+    assert [(r["peer"], r["n"]) for r in serve.connections(events, "peer", "t", ["n"]).collect()] == [("b", 4)]
+    assert serve.connections(events.limit(0), "peer", "t", ["n"]).count() == 0
