@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operations and their registered queries.
+"""Training-data operators: thirteen corpus operations and their registered queries.
 
 Nothing else in the library imports this subpackage; ``__spark_entry__`` adds
 :func:`queries` and :func:`oracle_sql` when it is present.
@@ -20,6 +20,9 @@ MODULES = (
     "toxicity",
     "lmscore",
     "ann",
+    "runs",
+    "whiten",
+    "bpe",
 )
 
 

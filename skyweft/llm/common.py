@@ -127,6 +127,8 @@ def map_text(
 
 
 def _column(parts: list, kind: pa.DataType) -> pa.Array:
+    if parts and all(isinstance(p, pa.Array) for p in parts):
+        return pa.concat_arrays(parts).cast(kind)
     if parts and all(isinstance(p, np.ndarray) for p in parts):
         return pa.array(np.concatenate(parts)).cast(kind)
     return pa.array([x for p in parts for x in p], type=kind)
