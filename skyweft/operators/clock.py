@@ -1,15 +1,16 @@
 """Sensor clock calibration: an offset and drift filter for each pair of sensors.
 
 Reference positions give each pair of receptions a measured clock difference. Pairs
-are partitioned by their two sensors and filtered in time order; the history of offsets is joined back to groups as of their
-times, and a spanning tree of least variance corrects each group's times.
+are partitioned by their two sensors and filtered in time order; the history of states
+is joined back to groups as of their times, and a spanning tree of least variance
+corrects each group's times.
 """
 
 from __future__ import annotations
 
-import heapq
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,50 +122,87 @@ def pair_table(history: DataFrame, most: int = 10) -> DataFrame:
     return out.orderBy("sensor_a", "sensor_b").limit(most)
 
 
-def corrections(ids: list[int], pairs: dict[tuple[int, int], tuple[float, float]]) -> list[float]:
-    """Seconds to add to each reception: from the node with the most valid pairs (the
-    first of those that tie), along the spanning tree of least variance."""
-    n = len(ids)
-    edges: list[list] = [[] for _ in range(n)]
-    for i in range(n):
-        for j in range(i + 1, n):
-            lo, hi = sorted((ids[i], ids[j]))
-            if (lo, hi) in pairs:
-                off, var = pairs[lo, hi]
-                c = off if ids[i] == lo else -off
-                edges[i].append((max(var, 1e-20), j, c))
-                edges[j].append((max(var, 1e-20), i, -c))
-    root = max(range(n), key=lambda i: (len(edges[i]), -i)) if n else 0
-    out, seen = [0.0] * n, {root}
-    heap = [(v, root, j, c) for v, j, c in edges[root]] if n else []
-    heapq.heapify(heap)
-    while heap:
-        _, i, j, c = heapq.heappop(heap)
-        if j not in seen:
-            seen.add(j)
-            out[j] = out[i] + c
-            for v, k, d in edges[j]:
-                if k not in seen:
-                    heapq.heappush(heap, (v, j, k, d))
-    return [c if abs(c) <= MAX_CORRECTION_S else 0.0 for c in out]
+@np.errstate(invalid="ignore")
+def corrections(variance: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Seconds to add to each reception of groups of equal size [g, n].
+
+    ``variance`` and ``offset`` [g, n, n] are of the pairs of receptions, infinite where
+    there is no valid one; ``offset`` [i, j] is what j's time takes to be as i's. From the
+    node of most pairs (of ties the first) along the spanning tree of least variance, all
+    groups at once; of equal variances the first node's, then to the first.
+    """
+    g, n = variance.shape[:2]
+    k = np.arange(g)
+    there = np.isfinite(variance)
+    cost = np.where(there, np.maximum(variance, 1e-20), np.inf)
+    out, seen = np.zeros((g, n)), np.zeros((g, n), bool)
+    seen[k, there.sum(2).argmax(1)] = True
+    for _ in range(n - 1):
+        step = np.where(seen[:, :, None] & ~seen[:, None, :], cost, np.inf).reshape(g, -1)
+        best = step.argmin(1)
+        go = np.isfinite(step[k, best])
+        if not go.any():
+            break
+        i, j, r = best[go] // n, best[go] % n, k[go]
+        out[r, j] = out[r, i] + offset[r, i, j]
+        seen[r, j] = True
+    return np.where(np.abs(out) <= MAX_CORRECTION_S, out, 0.0)
+
+
+def _corrected(b: pa.RecordBatch, arrow: pa.Schema) -> pa.RecordBatch:
+    """A batch's groups at corrected times, worked out on its flat buffers by group size."""
+    lists, pairs = b.column("receptions"), b.column("__pairs")
+    length = lambda c: np.nan_to_num(pc.list_value_length(c).to_numpy(zero_copy_only=False)).astype(np.int64)
+    size, found = length(lists), length(pairs)
+    begin = np.cumsum(size) - size
+    heard, seen = lists.flatten(), pairs.flatten()
+    number = lambda c, k: c.field(k).to_numpy(zero_copy_only=False)
+    sensor = number(heard, "sensor_id")
+    ns = number(heard, "timestamp_s").astype(np.int64) * 1_000_000_000 + number(heard, "timestamp_ns").astype(np.int64)
+    lo, hi, off, var = (number(seen, k) for k in ("sensor_a", "sensor_b", "offset", "variance"))
+    of = np.repeat(np.arange(len(size)), found)
+    sure = np.full(len(size), np.nan)
+    for n in np.unique(size[found > 0]).tolist():
+        mine = np.flatnonzero((size == n) & (found > 0))
+        at = begin[mine][:, None] + np.arange(n)
+        row = np.full(len(size), -1)
+        row[mine] = np.arange(len(mine))
+        p = np.flatnonzero(row[of] >= 0)
+        r = row[of[p]]
+        first, second = sensor[at][r] == lo[p][:, None], sensor[at][r] == hi[p][:, None]
+        q, i, j = np.nonzero(first[:, :, None] & second[:, None, :])
+        variance, offset = np.full((len(mine), n, n), np.inf), np.zeros((len(mine), n, n))
+        variance[r[q], i, j] = variance[r[q], j, i] = var[p][q]
+        offset[r[q], i, j], offset[r[q], j, i] = off[p][q], -off[p][q]
+        c = corrections(variance, offset) * 1e9
+        ns[at] += np.trunc(c + np.copysign(0.5, c)).astype(np.int64)
+        if n == 2:
+            sure[mine] = np.where(np.isfinite(variance[:, 0, 1]), variance[:, 0, 1], np.nan)
+    kind = arrow.field("receptions").type.value_type
+    new = {"timestamp_s": pa.array(ns // 1_000_000_000), "timestamp_ns": pa.array(ns % 1_000_000_000)}
+    flat = pa.StructArray.from_arrays([new.get(f.name, heard.field(f.name)).cast(f.type) for f in kind], fields=list(kind))
+    moved = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), flat, mask=pc.is_null(lists))
+    made = {"receptions": moved, "pair_variance": pa.array(sure, pa.float64(), mask=np.isnan(sure))}
+    return pa.RecordBatch.from_arrays([made[f.name].cast(f.type) if f.name in made else b.column(f.name).cast(f.type) for f in arrow], schema=arrow)
 
 
 def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
     """``groups`` with corrected reception times, and ``pair_variance`` of two-sensor ones.
 
-    Each pair of a group's sensors looks up its filter as of the group's time; the
-    look-ups come back as one map a group.
+    Each pair of a group's sensors looks up its filter's last state as of the group's
+    time. A state that is not valid (a pair just begun or reset) takes part in the
+    look-up and is then no pair, so that it hides the states before it. The look-ups come
+    back as one list a group.
     """
     from skyweft.operators.joins import as_of
 
     group = ["icao", "raw_msg", "t_ns"]
     pairs = reception_pairs(groups, group).select(*group, F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"))
     key = F.struct("sensor_a", "sensor_b")
-    found = as_of(
-        pairs.withColumn("pair", key), history.where("valid").withColumn("pair", key).select("pair", "t_ns", "offset", "drift", "variance"), "pair", "t_ns", ["icao", "raw_msg"], ["offset", "drift", "variance"], F.lit(2**62), LOOKUP_SPAN_NS
-    )
+    take = ["n", "offset", "drift", "variance", "valid"]  # of states of one time the latest, which has the most measurements
+    found = as_of(pairs.withColumn("pair", key), history.withColumn("pair", key).select("pair", "t_ns", *take), "pair", "t_ns", ["icao", "raw_msg"], take, F.lit(2**62), LOOKUP_SPAN_NS)
     now = F.col("prior_offset") + F.col("prior_drift") * (F.col("age").cast("double") * 1e-9)
-    found = found.where("prior_offset is not null")
+    found = found.where("prior_valid")
     by = found.groupBy(*group).agg(F.collect_list(F.struct("sensor_a", "sensor_b", now.alias("offset"), F.col("prior_variance").alias("variance"))).alias("__pairs"))
     both = groups.join(by, group, "left").select(*groups.columns, "__pairs")
     schema = T.StructType([*groups.schema.fields, T.StructField("pair_variance", T.DoubleType())])
@@ -174,16 +212,7 @@ def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = []
-            for g in b.to_pylist():
-                found = {(p["sensor_a"], p["sensor_b"]): (p["offset"], p["variance"]) for p in g.pop("__pairs") or []}
-                g["pair_variance"] = next(iter(found.values()))[1] if len(g["receptions"]) == 2 and found else None
-                if found:
-                    for r, c in zip(g["receptions"], corrections([r["sensor_id"] for r in g["receptions"]], found)):
-                        ns = r["timestamp_s"] * 1_000_000_000 + r["timestamp_ns"] + round(c * 1e9)
-                        r["timestamp_s"], r["timestamp_ns"] = divmod(ns, 1_000_000_000)
-                rows.append(g)
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            if b.num_rows:
+                yield _corrected(b, arrow)
 
     return both.mapInArrow(run, schema)

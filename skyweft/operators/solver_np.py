@@ -229,14 +229,17 @@ def closed_form(s: np.ndarray, t: np.ndarray, pairs: list[tuple[int, int]], alt:
     return x, ok & np.isfinite(x).all(1) & (np.linalg.norm(x - s[:, 0], axis=1) < 4 * MAX_RANGE_M)
 
 
-def gdop_3d(x: np.ndarray, s: np.ndarray) -> np.ndarray:
+def gdop_3d(x: np.ndarray, s: np.ndarray, used: np.ndarray | None = None) -> np.ndarray:
+    """Dilution by all sensors, or by those that each group ``used``."""
+    used = np.ones(s.shape[:2], bool) if used is None else used
     d = x[:, None, :] - s
     r = np.linalg.norm(d, axis=2)
-    h = np.concatenate([d / np.maximum(r, 1e-9)[..., None], np.ones((*r.shape, 1))], axis=2)
-    return _dilution(h, (r >= 1.0).all(1) & (s.shape[1] >= 3))
+    h = np.concatenate([d / np.maximum(r, 1e-9)[..., None], np.ones((*r.shape, 1))], axis=2) * used[..., None]
+    return _dilution(h, ((r >= 1.0) | ~used).all(1) & (used.sum(1) >= 3))
 
 
-def gdop_2d(x: np.ndarray, s: np.ndarray) -> np.ndarray:
+def gdop_2d(x: np.ndarray, s: np.ndarray, used: np.ndarray | None = None) -> np.ndarray:
+    used = np.ones(s.shape[:2], bool) if used is None else used
     up = x / np.linalg.norm(x, axis=1, keepdims=True)
     east = np.stack([-up[:, 1], up[:, 0], np.zeros(len(x))], axis=1)
     size = np.linalg.norm(east, axis=1)
@@ -245,8 +248,8 @@ def gdop_2d(x: np.ndarray, s: np.ndarray) -> np.ndarray:
     d = x[:, None, :] - s
     r = np.linalg.norm(d, axis=2)
     u = d / np.maximum(r, 1e-9)[..., None]
-    h = np.stack([np.einsum("gnk,gk->gn", u, east), np.einsum("gnk,gk->gn", u, north)], axis=2)
-    return _dilution(h, (r >= 1.0).all(1) & (size >= 1e-10) & (s.shape[1] >= 2))
+    h = np.stack([np.einsum("gnk,gk->gn", u, east), np.einsum("gnk,gk->gn", u, north)], axis=2) * used[..., None]
+    return _dilution(h, ((r >= 1.0) | ~used).all(1) & (size >= 1e-10) & (used.sum(1) >= 2))
 
 
 def _dilution(h: np.ndarray, ok: np.ndarray) -> np.ndarray:
@@ -307,10 +310,8 @@ def _checked(r: dict, used: np.ndarray, s: np.ndarray, alt: np.ndarray, prior: n
     cap = np.where((n == 2) & has_prior, 200.0, np.where((n_used == 3) & has_alt, 2000.0, np.where(n_used >= 4, 5000.0, 10_000.0)))
     drift = (5_000.0 if n == 2 else 30_000.0) * np.clip(200.0 / np.maximum(res, 10.0), 1.0, 3.0)
     gdop = np.zeros(len(x))
-    for pattern in np.unique(used, axis=0):
-        same = np.flatnonzero((used == pattern).all(1))
-        sub = s[same][:, pattern]
-        gdop[same] = gdop_3d(x[same], sub) if pattern.sum() >= 4 else np.where(has_alt[same], gdop_2d(x[same], sub), 0.0)
+    four, flat = n_used >= 4, (n_used < 4) & has_alt
+    gdop[four], gdop[flat] = gdop_3d(x[four], s[four], used[four]), gdop_2d(x[flat], s[flat], used[flat])
     fail = np.full(len(x), None, object)
     for broken, reason in (
         ((n_used <= 3) & ~np.isfinite(gdop), "degenerate_geometry"),
@@ -325,10 +326,10 @@ def _checked(r: dict, used: np.ndarray, s: np.ndarray, alt: np.ndarray, prior: n
     return quality, gdop, fail
 
 
-def _starts(s, t, alt, prior, fallback) -> tuple[np.ndarray, list[str]]:
+def _starts(s, t, alt, fallback) -> tuple[np.ndarray, np.ndarray]:
     """Start of four sensors or more: closed forms, then the prior or centroid."""
     n = t.shape[1]
-    x, names = fallback.copy(), ["frisch_toa"] * len(t)
+    x, names = fallback.copy(), np.full(len(t), "frisch_toa", object)
     tries = []
     for shift in range(min(n, 4) if n >= 5 else 0):  # the sensors in turn, until one order gives a start
         five = [(k + shift) % n for k in range(5)]
@@ -337,36 +338,48 @@ def _starts(s, t, alt, prior, fallback) -> tuple[np.ndarray, list[str]]:
     done = np.zeros(len(t), bool)
     for name, (y, ok) in tries:
         ok = ok & ~done & (np.isfinite(alt) | (name == "inamdar_5sensor"))
-        x[ok] = y[ok]
-        for i in np.flatnonzero(ok).tolist():
-            names[i] = name
+        x[ok], names[ok] = y[ok], name
         done |= ok
     return x, names
 
 
 def _with_outliers(s, t, salt, alt, prior, fallback, need) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Solve, and while the residual is large and enough remain, drop the worst sensor.
+    """Solve, and while one sensor's residual is large and enough remain, drop that sensor.
 
-    Returns the solutions, their methods and which sensors each used; the best residual
-    and its own sensors stay together.
+    Returns the last solutions, their methods and which sensors remain. Groups that go on
+    have all dropped equally many sensors, so each round is one batch: the kept sensors'
+    arrays are a column narrower, and start anew from their own closed forms.
     """
-    nowhere = np.full_like(prior, np.nan)
-    x0, names = _starts(s, t, alt, prior, fallback)
-    r = toa(x0, s, t, salt, alt, nowhere, np.zeros(len(t)), 1000)
-    method, used = np.array(names, object), np.ones(t.shape, bool)
-    for i in np.flatnonzero(r["ok"] & (r["residual"] > OUTLIER_M)).tolist():
-        keep, at, base, now = np.arange(t.shape[1]), r["x"][i], names[i], r["residual"][i]
-        while now > OUTLIER_M and len(keep) > max(3, need[i]):
-            res, _, _ = timing(at[None], s[i : i + 1, keep], t[i : i + 1, keep], speeds(salt[i : i + 1, keep], alt[i : i + 1]))
-            keep = np.delete(keep, int(np.abs(res[0]).argmax()))
-            first = t[i, keep].min()
-            again = toa(at[None].copy(), s[i : i + 1, keep], t[i : i + 1, keep] - first, salt[i : i + 1, keep], alt[i : i + 1], nowhere[:1], np.zeros(1), 50 if len(keep) == 3 else 1000)
-            if not again["ok"][0]:
-                break
-            at, now = again["x"][0], again["residual"][0]
-            if now < r["residual"][i]:
-                r["x"][i], r["residual"][i], r["t0"][i] = at, now, again["t0"][0] + first
-                used[i] = False
-                used[i, keep] = True
-                method[i] = f"{'constrained_3sensor' if len(keep) == 3 else base}_drop{t.shape[1] - len(keep)}"
-    return r, method, used
+    g, n = t.shape
+    has_prior = np.isfinite(prior).all(1)
+    used, method = np.ones((g, n), bool), np.full(g, None, object)
+    out = {"x": fallback.copy(), "residual": np.zeros(g), "t0": np.zeros(g), "ok": np.zeros(g, bool)}
+    i, keep = np.arange(g), np.tile(np.arange(n), (g, 1))
+    for m in range(n, 2, -1):
+        at = i[:, None], keep
+        sm, tm, saltm, altm = s[at], t[at], salt[at], alt[i]
+        start = fallback[i] if m == n else np.where(has_prior[i][:, None], prior[i], centroid(sm, altm))
+        if m == 3:
+            x0, names = start, np.full(len(i), "constrained_3sensor", object)
+        else:
+            x0, names = _starts(sm, tm, altm, start)
+        r = toa(x0, sm, tm, saltm, altm, np.full((len(i), 3), np.nan), np.zeros(len(i)), 50 if m == 3 else 1000)
+        good = r["ok"]
+        i, keep, sm, tm, saltm = (a[good] for a in (i, keep, sm, tm, saltm))
+        for k in out:
+            out[k][i] = r[k][good]
+        method[i] = names[good]
+        off, _, _ = timing(r["x"][good], sm, tm, speeds(saltm, alt[i]))
+        worst = np.abs(off).argmax(1)
+        on = (np.abs(off)[np.arange(len(i)), worst] >= OUTLIER_M) & (m > np.maximum(3, need[i]))
+        i, keep, worst = i[on], keep[on], worst[on]
+        if not len(i):
+            break
+        used[i, keep[np.arange(len(i)), worst]] = False
+        rest = np.ones(keep.shape, bool)
+        rest[np.arange(len(i)), worst] = False
+        keep = keep[rest].reshape(len(i), m - 1)
+    gone = n - used.sum(1)
+    for k in np.flatnonzero(out["ok"] & (gone > 0)).tolist():
+        method[k] = f"{method[k]}_drop{gone[k]}"
+    return out, method, used

@@ -23,6 +23,8 @@ GATE = 14.16
 MAX_QUALITY_2SENSOR = 50.0
 DEFAULT_NOISE = 200.0
 ACCEL_VAR = 25.0
+#: Over longer gaps a state is not moved, but its variances grow by GAP_VAR.
+MAX_PREDICT_S, GAP_VAR = 60.0, 1e6
 STALE_S = 300.0
 HISTORY = 100
 
@@ -48,10 +50,14 @@ class Filters(Slots):
         self.squawk[i] = None
 
     def predict(self, i: np.ndarray, t_ns: np.ndarray) -> None:
-        """Advance to the times; earlier ones leave the state alone."""
+        """Advance to the times; earlier ones leave the state alone. Over a gap the state
+        stays where it is and becomes unsure by GAP_VAR all over."""
         dt = (t_ns - self.t[i]) * 1e-9
-        go = dt > 0
-        i, dt = i[go], dt[go]
+        gap = i[dt > MAX_PREDICT_S]
+        self.p[gap] += GAP_VAR * np.eye(6)
+        self.t[gap] = t_ns[dt > MAX_PREDICT_S]
+        go = (dt > 0) & (dt <= MAX_PREDICT_S)
+        i, dt, t_ns = i[go], dt[go], t_ns[go]
         if not len(i):
             return
         f = np.tile(np.eye(6), (len(i), 1, 1))
@@ -61,9 +67,8 @@ class Filters(Slots):
             q[:, k, k], q[:, k + 3, k + 3] = ACCEL_VAR * dt**4 / 4, ACCEL_VAR * dt**2
             q[:, k, k + 3] = q[:, k + 3, k] = ACCEL_VAR * dt**3 / 2
         self.x[i] = (f @ self.x[i][..., None])[..., 0]
-        p = f @ self.p[i] @ f.transpose(0, 2, 1) + q
-        self.p[i] = p + np.where(dt > 60, 1e6, 0.0)[:, None, None] * np.eye(6)
-        self.t[i] += np.round(dt * 1e9).astype(np.int64)
+        self.p[i] = f @ self.p[i] @ f.transpose(0, 2, 1) + q
+        self.t[i] = t_ns
 
     def update(self, i: np.ndarray, pos: np.ndarray, noise: np.ndarray) -> np.ndarray:
         """Gated updates in Joseph form; whether each was accepted."""

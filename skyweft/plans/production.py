@@ -303,10 +303,10 @@ SELECT user_id, rn, event_id, t, CASE WHEN stale THEN 1 WHEN ok THEN c + 1 ELSE
   CASE WHEN stale THEN 40000.0::DOUBLE WHEN ok THEN (1 - k) * (1 - k) * a + k * k * s * s ELSE a END, CASE WHEN stale THEN 0 WHEN ok THEN (1 - k) * (b - h * a) + k * h * s * s ELSE b END,
   CASE WHEN stale THEN 1e6::DOUBLE WHEN ok THEN d - 2 * h * b + h * h * (a + s * s) ELSE d END
 FROM (SELECT *, a / (a + s * s) AS k, b / (a + s * s) AS h, (pow(zx - x, 2) + pow(zy - y, 2) + pow(zz - z, 2)) / (a + s * s) <= {track.GATE} AS ok
-  FROM (SELECT z.user_id, z.rn, z.event_id, z.t, r.c, z.t - r.t > 300 AS stale, z.s, z.x AS zx, z.y AS zy, z.z AS zz, r.x + r.vx * (z.t - r.t) AS x, r.y + r.vy * (z.t - r.t) AS y, r.z + r.vz * (z.t - r.t) AS z, r.vx, r.vy, r.vz,
-    r.a + 2 * (z.t - r.t) * r.b + pow(z.t - r.t, 2) * r.d + 25 * pow(z.t - r.t, 4) / 4 + CASE WHEN z.t - r.t > 60 THEN 1e6 ELSE 0 END AS a, r.b + (z.t - r.t) * r.d + 25 * pow(z.t - r.t, 3) / 2 AS b,
-    r.d + 25 * pow(z.t - r.t, 2) + CASE WHEN z.t - r.t > 60 THEN 1e6 ELSE 0 END AS d
-    FROM r JOIN z ON z.user_id = r.user_id AND z.rn = r.rn + 1)))
+  FROM (SELECT user_id, rn, event_id, t, c, stale, s, zx, zy, zz, x + vx * u AS x, y + vy * u AS y, z + vz * u AS z, vx, vy, vz,
+    a + 2 * u * b + u * u * d + 25 * pow(u, 4) / 4 + wide AS a, b + u * d + 25 * pow(u, 3) / 2 AS b, d + 25 * u * u + wide AS d
+    FROM (SELECT z.user_id, z.rn, z.event_id, z.t, r.c, z.t - r.t > 300 AS stale, z.s, z.x AS zx, z.y AS zy, z.z AS zz, r.x, r.y, r.z, r.vx, r.vy, r.vz, r.a, r.b, r.d,
+      CASE WHEN z.t - r.t > {track.MAX_PREDICT_S} THEN 0 ELSE z.t - r.t END AS u, CASE WHEN z.t - r.t > {track.MAX_PREDICT_S} THEN 1e6 ELSE 0 END AS wide FROM r JOIN z ON z.user_id = r.user_id AND z.rn = r.rn + 1))))
 SELECT event_id, c::INT AS track_quality, round(a, 2) AS variance_m2, round({geo.KNOTS} * sqrt(pow(-sin(radians(l)) * vx + cos(radians(l)) * vy, 2)), 2) AS east_kts FROM (SELECT *, degrees(atan2(y, x)) AS l FROM r) WHERE ok""")
 def kalman_tracks(spark, sf):
     """The tracker on fixes of its own: gates, restarts, variances and speeds."""
@@ -329,7 +329,11 @@ def kalman_tracks(spark, sf):
 #: Clock differences of 15 pairs: drift, noise, single outliers and a jump of seven.
 _CLOCKS = f"""m AS (SELECT *, row_number() OVER (PARTITION BY sa, sb ORDER BY t_us, event_id) AS rn FROM (SELECT event_id, t_us, user_id % 5 AS sa, 10 + user_id % 3 AS sb FROM ({sql('event_id', 'user_id', 't_us')}))),
 z AS (SELECT event_id, sa, sb, rn, rn + 30 * (rn // 40) AS t, rn * 1e-8::DOUBLE + (event_id % 7 - 3) * 2e-6::DOUBLE + CASE WHEN event_id % 11 = 0 THEN 1e-3::DOUBLE ELSE 0 END + CASE WHEN rn % 100 BETWEEN 60 AND 66 THEN 2e-3::DOUBLE ELSE 0 END AS q FROM m)"""
-_CLOCK_FILTER = f"""WITH RECURSIVE {_CLOCKS},
+
+
+def _filter_sql(clocks: str) -> str:
+    """Filters of pairs' measurements: sa, sb, rn, event_id, seconds t and differences q in ``z``."""
+    return f"""WITH RECURSIVE {clocks},
 r AS (SELECT sa, sb, rn, event_id, t, q AS o, 0.0::DOUBLE AS w, 100 * {clock.R!r}::DOUBLE AS a, 0.0::DOUBLE AS b, 1e-12::DOUBLE AS d, 1 AS n, 0 AS run, true AS ok, NULL::DOUBLE AS y FROM z WHERE rn = 1
 UNION ALL
 SELECT sa, sb, rn, event_id, t, CASE WHEN reset THEN q WHEN gated THEN o ELSE o + a / s * y END, CASE WHEN reset THEN 0 WHEN gated THEN w ELSE w + b / s * y END,
@@ -342,6 +346,9 @@ FROM (SELECT *, gated AND run + 1 >= {clock.RESET_AFTER} AS reset FROM (SELECT *
     r.b + (z.t - r.t) * r.d + {clock.Q_DRIFT!r}::DOUBLE * pow(z.t - r.t, 2) / 2 AS b, r.d + {clock.Q_DRIFT!r}::DOUBLE * (z.t - r.t) AS d, r.n, r.run FROM r JOIN z ON z.sa = r.sa AND z.sb = r.sb AND z.rn = r.rn + 1)))))"""
 
 
+_CLOCK_FILTER = _filter_sql(_CLOCKS)
+
+
 def _clock_history(spark, sf) -> DataFrame:
     from pyspark.sql import Window
 
@@ -365,6 +372,49 @@ def clock_innovations(spark, sf):
     return clock.innovations(_clock_history(spark, sf)).select("sensor_a", "sensor_b", "n", F.round(F.col("median") * 1e9, 1).alias("median_ns"))
 
 
+#: Two rings of three sensors, 0 to 2 and 3 to 5: each pair of a ring with measurements at its
+#: own pace, noise, outliers and a jump, so that filters are reset and their variances differ.
+_RINGS = f"""m AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY t_us, event_id) AS rn FROM (SELECT event_id, t_us, user_id % 6 AS u FROM ({sql('event_id', 'user_id', 't_us')}))),
+z AS (SELECT event_id, rn, u // 3 * 3 + CASE u % 3 WHEN 1 THEN 1 ELSE 0 END AS sa, u // 3 * 3 + CASE u % 3 WHEN 0 THEN 1 ELSE 2 END AS sb, rn * (1000 + 137 * u) * 1000000 AS tn, rn * (1000 + 137 * u) / 1000.0::DOUBLE AS t,
+  rn * 1e-8::DOUBLE + u * 1e-4::DOUBLE + (event_id % 7 - 3) * 2e-6::DOUBLE + CASE WHEN event_id % 11 = 0 THEN 1e-3::DOUBLE ELSE 0 END + CASE WHEN rn % 40 BETWEEN 20 AND 26 THEN 2e-3::DOUBLE ELSE 0 END AS q FROM m)"""
+#: Of three nodes: p and q besides the root, in order, and the edges between them.
+_TREE = """CASE WHEN d0 >= d1 AND d0 >= d2 THEN 0 WHEN d1 >= d2 THEN 1 ELSE 2 END AS root"""
+
+
+@query(f"""{_filter_sql(_RINGS)},
+h AS (SELECT r.sa, r.sb, z.tn, r.o, r.w, r.a AS v, r.n >= {clock.VALID_AFTER} AS valid FROM r JOIN z USING (sa, sb, rn)),
+g AS (SELECT event_id, tn, CASE WHEN event_id % 3 = 0 THEN [x, x + 1] WHEN event_id % 3 = 1 THEN [x, x + 1, x + 2] ELSE [x + 2, x, x + 1] END AS ids FROM (SELECT event_id, (event_id * 977 % 300000) * 1000000 + 13 AS tn, event_id // 3 % 2 * 3 AS x FROM events)),
+e AS (SELECT event_id, tn, i, j, least(ids[i + 1], ids[j + 1]) AS sa, greatest(ids[i + 1], ids[j + 1]) AS sb, CASE WHEN ids[i + 1] < ids[j + 1] THEN 1 ELSE -1 END AS way FROM g, (VALUES (0, 1), (0, 2), (1, 2)) AS ij(i, j) WHERE j < len(ids)),
+f AS (SELECT e.event_id, i, j, CASE WHEN h.valid THEN h.v END AS v, CASE WHEN h.valid THEN way * (h.o + h.w * ((e.tn - h.tn) * 1e-9::DOUBLE)) END AS c FROM e ASOF LEFT JOIN h ON e.sa = h.sa AND e.sb = h.sb AND e.tn >= h.tn),
+k AS (SELECT event_id, max(CASE WHEN i = 0 AND j = 1 THEN v END) AS v01, max(CASE WHEN i = 0 AND j = 1 THEN c END) AS c01, max(CASE WHEN i = 0 AND j = 2 THEN v END) AS v02, max(CASE WHEN i = 0 AND j = 2 THEN c END) AS c02, max(CASE WHEN i = 1 THEN v END) AS v12, max(CASE WHEN i = 1 THEN c END) AS c12 FROM f GROUP BY event_id),
+d AS (SELECT *, {_TREE} FROM (SELECT *, (v01 IS NOT NULL)::INT + (v02 IS NOT NULL)::INT AS d0, (v01 IS NOT NULL)::INT + (v12 IS NOT NULL)::INT AS d1, (v02 IS NOT NULL)::INT + (v12 IS NOT NULL)::INT AS d2 FROM k)),
+t AS (SELECT event_id, root, v01, CASE root WHEN 0 THEN v01 WHEN 1 THEN v01 ELSE v02 END AS vp, CASE root WHEN 0 THEN c01 WHEN 1 THEN -c01 ELSE -c02 END AS cp, CASE root WHEN 0 THEN v02 ELSE v12 END AS vq, CASE root WHEN 0 THEN c02 WHEN 1 THEN c12 ELSE -c12 END AS cq,
+  CASE root WHEN 0 THEN v12 WHEN 1 THEN v02 ELSE v01 END AS vx, CASE root WHEN 0 THEN c12 WHEN 1 THEN c02 ELSE c01 END AS cx FROM d),
+w AS (SELECT *, vp IS NOT NULL AND (vq IS NULL OR vp <= vq) AS pf FROM t),
+y AS (SELECT *, CASE WHEN pf THEN cp WHEN vq IS NULL THEN NULL WHEN vp IS NOT NULL AND (vx IS NULL OR vp <= vx) THEN cp ELSE cq - cx END AS p, CASE WHEN NOT pf THEN cq WHEN vq IS NOT NULL AND (vx IS NULL OR vq <= vx) THEN cq ELSE cp + cx END AS q FROM w)
+SELECT event_id, [CASE WHEN root = 0 THEN 0 ELSE x0 END, CASE WHEN root = 1 THEN 0 WHEN root = 0 THEN x0 ELSE x1 END, CASE WHEN event_id % 3 = 0 THEN NULL WHEN root = 2 THEN 0 ELSE x1 END]::BIGINT[] AS moved_ns, CASE WHEN event_id % 3 = 0 THEN round(v01 * 1e15, 1) END AS pair_variance
+FROM (SELECT *, coalesce(round(CASE WHEN abs(p) <= 0.5 THEN p END * 1e9), 0) AS x0, coalesce(round(CASE WHEN abs(q) <= 0.5 THEN q END * 1e9), 0) AS x1 FROM y)""")
+def clock_corrections(spark, sf):
+    """Nanoseconds by which each reception of groups of two and three sensors is corrected,
+    with filters that are reset, pairs that are not valid and rings with a worst edge."""
+    from pyspark.sql import Window
+
+    u, rn, i = F.col("u"), F.col("rn"), F.col("event_id")
+    e = events(spark, sf, "event_id", "user_id", "t_us").select("event_id", "t_us", (F.col("user_id") % 6).alias("u"))
+    e = e.withColumn("rn", F.row_number().over(Window.partitionBy("u").orderBy("t_us", "event_id")).cast("long"))
+    ring = F.floor(u / 3) * 3
+    q = rn * 1e-8 + u * 1e-4 + (i % 7 - 3) * 2e-6 + F.when(i % 11 == 0, 1e-3).otherwise(0.0) + F.when((rn % 40).between(20, 26), 2e-3).otherwise(0.0)
+    told = e.select((ring + (u % 3 == 1).cast("long")).alias("sensor_a"), (ring + F.when(u % 3 == 0, 1).otherwise(2)).alias("sensor_b"), (rn * (u * 137 + 1000) * 1_000_000).alias("t_ns"), q.alias("measured"))
+    at, x = (i * 977 % 300_000) * 1_000_000 + 13, F.floor(i / 3) % 2 * 3
+    heard = lambda k: F.struct(k.cast("long").alias("sensor_id"), F.lit(50.0).alias("lat"), F.lit(-5.0).alias("lon"), F.lit(1.0).alias("alt"), F.floor(at / 1_000_000_000).alias("timestamp_s"), (at % 1_000_000_000).alias("timestamp_ns"))
+    some = lambda *ks: F.array(*[heard(x + k) for k in ks])
+    groups = events(spark, sf, "event_id").select(F.lit("A").alias("icao"), i.cast("string").alias("raw_msg"), at.alias("t_ns"), F.when(i % 3 == 0, some(0, 1)).when(i % 3 == 1, some(0, 1, 2)).otherwise(some(2, 0, 1)).alias("receptions"))
+    out = clock.corrected(groups, clock.offsets(told))
+    moved = lambda r: F.when(r["sensor_id"].isNotNull(), r["timestamp_s"] * 1_000_000_000 + r["timestamp_ns"] - F.col("t_ns"))
+    three = F.array(*[moved(F.get("receptions", F.lit(k))) for k in range(3)])
+    return out.select(F.col("raw_msg").cast("long").alias("event_id"), three.alias("moved_ns"), F.round(F.col("pair_variance") * 1e15, 1).alias("pair_variance"))
+
+
 @query("""SELECT a AS sensor_a, b AS sensor_b, round(max_by(value, event_id) * 1e6, 3) AS offset_us, round(max_by(value * 2, event_id) * 1e6, 3) AS drift_ppm, max(event_id) % 100 >= 3 AS valid FROM (SELECT *, user_id % 3 AS a, 5 + user_id % 4 AS b FROM events) GROUP BY a, b ORDER BY a, b LIMIT 10""")
 def clock_table(spark, sf):
     i = F.col("event_id")
