@@ -29,16 +29,31 @@ def test_anchored_windows(spark):
     assert got == {("A", 0): [1, 2], ("B", 10**9): [0, 1], ("B", 10**9 + 3 * MS): [2, 3], ("C", 0): [1, 2]}
 
 
-def test_anchored_is_the_plain_fold(spark):
-    rng = np.random.default_rng(5)
-    rows = [(int(i), int(k), int(t)) for i, (k, t) in enumerate(zip(rng.integers(0, 4, 400), rng.integers(0, 3000, 400)))]
-    df = spark.createDataFrame(rows, "id long, k long, t long")
-    got = {r["id"]: r["anchor"] for r in correlate.anchored(df, ["k"], "t", ["id"], 25).collect()}
-    anchor: dict = {}
-    for i, k, t in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
-        if k not in anchor or t - anchor[k] > 25:
+@pytest.mark.parametrize("span", [1, 2, 5, 1024])
+@pytest.mark.parametrize("window", [1, 25])
+def test_anchored_is_the_plain_fold(spark, monkeypatch, span, window):
+    """Runs over many spans, ties, negative times, string and null keys, in small batches too."""
+    monkeypatch.setattr(correlate, "SPAN_WINDOWS", span)
+    rng = np.random.default_rng(5 + span)
+    rows = [(int(i), int(k), None if k == 3 else f"k{k % 2}", int(t)) for i, (k, t) in enumerate(zip(rng.integers(0, 4, 900), rng.integers(-500, 2500, 900)))]
+    rows += [(i + 1000, 9, "regular", 10 * i) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k long, name string, t long")
+    anchor, want = {}, {}
+    for i, k, n, t in sorted(rows, key=lambda r: (r[1], r[3], r[0])):
+        if k not in anchor or t - anchor[k] > window:
             anchor[k] = t
-        assert got[i] == anchor[k]
+        want[i] = anchor[k]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = [(r["id"], r["anchor"]) for r in correlate.anchored(df, ["k", "name"], "t", ["id"], window).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got) == sorted(want.items())
+
+
+def test_anchored_null_times(spark):
+    df = spark.createDataFrame([(1, None), (1, 5), (1, 6)], "k long, t long").withColumn("id", F.monotonically_increasing_id())
+    assert sorted((r["t"] or -1, r["anchor"]) for r in correlate.anchored(df, ["k"], "t", ["id"], 2).collect()) == [(-1, None), (5, 5), (6, 5)]
 
 
 def test_as_of_by_spans(spark):
