@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,30 +24,59 @@ MAX_CORRECTION_S = 0.5
 #: Look-ups of a pair's offset are worked through in spans of so much time.
 LOOKUP_SPAN_NS = 60_000_000_000
 
-HISTORY = struct("sensor_a BIGINT, sensor_b BIGINT, t_ns BIGINT, offset DOUBLE, drift DOUBLE, variance DOUBLE, n INT, valid BOOLEAN, accepted BOOLEAN, innovation DOUBLE")
+#: ``k`` numbers a pair's measurements.
+HISTORY = struct("sensor_a BIGINT, sensor_b BIGINT, t_ns BIGINT, k BIGINT, offset DOUBLE, drift DOUBLE, variance DOUBLE, n INT, valid BOOLEAN, accepted BOOLEAN, innovation DOUBLE")
+
+
+def difference(a: str, b: str, ecef: str) -> Column:
+    """Clock difference of two receptions in seconds, ranges to ``ecef`` taken off.
+
+    Times are compared as integers before they become seconds.
+    """
+    ns = lambda r: F.col(f"{r}.timestamp_s") * F.lit(1_000_000_000).cast("long") + F.col(f"{r}.timestamp_ns")
+    far = lambda r: geo.distance(F.col(ecef), geo.lla_to_ecef(F.col(f"{r}.lat"), F.col(f"{r}.lon"), F.col(f"{r}.alt")))
+    return (ns(a) - ns(b)).cast("double") * 1e-9 - (far(a) - far(b)) / geo.C_AIR
 
 
 def measurements(groups: DataFrame) -> DataFrame:
     """sensor_a < sensor_b, t_ns and the clock difference a - b in seconds.
 
-    ``groups``: t_ns, ecef (the reference position) and receptions. Times are compared
-    as integers before they become seconds.
+    ``groups``: t_ns, ecef (the reference position) and receptions.
     """
     pairs = reception_pairs(groups, ["t_ns", "ecef"]).where("a.sensor_id <> b.sensor_id")
-    ns = lambda r: F.col(f"{r}.timestamp_s") * F.lit(1_000_000_000).cast("long") + F.col(f"{r}.timestamp_ns")
-    far = lambda r: geo.distance(F.col("ecef"), geo.lla_to_ecef(F.col(f"{r}.lat"), F.col(f"{r}.lon"), F.col(f"{r}.alt")))
-    diff = (ns("a") - ns("b")).cast("double") * 1e-9 - (far("a") - far("b")) / geo.C_AIR
-    return pairs.select(F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"), "t_ns", diff.alias("measured"))
+    return pairs.select(F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"), "t_ns", difference("a", "b", "ecef").alias("measured"))
+
+
+STATE = "offset DOUBLE, drift DOUBLE, p00 DOUBLE, p01 DOUBLE, p11 DOUBLE, n BIGINT, run BIGINT, t_ns BIGINT, k BIGINT"
 
 
 class PairFilter:
     """Offset and drift of one pair. A handful of sums a measurement: as there are far
     more measurements than pairs, plain floats beat arrays over the pairs."""
 
-    __slots__ = ("offset", "drift", "p00", "p01", "p11", "n", "run", "t_ns", "innovation")
+    __slots__ = ("offset", "drift", "p00", "p01", "p11", "n", "run", "t_ns", "k", "innovation")
 
     def __init__(self):
-        self.n = 0
+        self.n = self.k = 0
+
+    @property
+    def valid(self) -> bool:
+        return self.n >= VALID_AFTER
+
+    def state(self) -> tuple:
+        """All that the next measurement needs: STATE."""
+        return self.offset, self.drift, self.p00, self.p01, self.p11, self.n, self.run, self.t_ns, self.k
+
+    @classmethod
+    def of(cls, state: tuple) -> PairFilter:
+        f = cls()
+        f.offset, f.drift, f.p00, f.p01, f.p11, f.n, f.run, f.t_ns, f.k = state
+        f.innovation = None
+        return f
+
+    def at(self, t_ns: int) -> float:
+        """The offset that the state predicts for a time."""
+        return self.offset + self.drift * ((t_ns - self.t_ns) * 1e-9)
 
     def start(self, t_ns: int, z: float) -> None:
         self.offset, self.drift, self.p00, self.p01, self.p11 = z, 0.0, 100 * R, 0.0, 1e-12
@@ -55,6 +84,7 @@ class PairFilter:
 
     def update(self, t_ns: int, z: float) -> bool:
         """Whether the measurement was accepted (also as a new start)."""
+        self.k += 1
         if not self.n:
             self.start(t_ns, z)
             return True
@@ -101,7 +131,7 @@ def offsets(measured: DataFrame) -> DataFrame:
                 if f is None:
                     f = filters[a, c] = PairFilter()
                 ok = f.update(t, z)
-                rows.append((a, c, t, f.offset, f.drift, f.p00, f.n, f.n >= VALID_AFTER, ok, f.innovation))
+                rows.append((a, c, t, f.k, f.offset, f.drift, f.p00, f.n, f.valid, ok, f.innovation))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), arrow)], schema=arrow)
 
@@ -117,7 +147,7 @@ def innovations(history: DataFrame) -> DataFrame:
 
 def pair_table(history: DataFrame, most: int = 10) -> DataFrame:
     """The latest state of the first ``most`` pairs: microseconds, ppm, square microseconds."""
-    last = history.groupBy("sensor_a", "sensor_b").agg(F.max_by(F.struct("offset", "drift", "variance", "n", "valid"), "t_ns").alias("s"))
+    last = history.groupBy("sensor_a", "sensor_b").agg(F.max_by(F.struct("offset", "drift", "variance", "n", "valid"), F.struct("t_ns", "k") if "k" in history.columns else F.col("t_ns")).alias("s"))
     out = last.select("sensor_a", "sensor_b", (F.col("s.offset") * 1e6).alias("offset_us"), (F.col("s.drift") * 1e6).alias("drift_ppm"), (F.col("s.variance") * 1e12).alias("variance_us2"), "s.n", "s.valid")
     return out.orderBy("sensor_a", "sensor_b").limit(most)
 
@@ -149,8 +179,11 @@ def corrections(variance: np.ndarray, offset: np.ndarray) -> np.ndarray:
     return np.where(np.abs(out) <= MAX_CORRECTION_S, out, 0.0)
 
 
-def _corrected(b: pa.RecordBatch, arrow: pa.Schema) -> pa.RecordBatch:
-    """A batch's groups at corrected times, worked out on its flat buffers by group size."""
+def corrected_batch(b: pa.RecordBatch, arrow: pa.Schema) -> pa.RecordBatch:
+    """A batch's groups at corrected times, worked out on its flat buffers by group size.
+
+    ``__pairs`` lists each group's valid pairs: sensor_a, sensor_b, offset, variance.
+    """
     lists, pairs = b.column("receptions"), b.column("__pairs")
     length = lambda c: np.nan_to_num(pc.list_value_length(c).to_numpy(zero_copy_only=False)).astype(np.int64)
     size, found = length(lists), length(pairs)
@@ -199,7 +232,7 @@ def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
     group = ["icao", "raw_msg", "t_ns"]
     pairs = reception_pairs(groups, group).select(*group, F.col("a.sensor_id").alias("sensor_a"), F.col("b.sensor_id").alias("sensor_b"))
     key = F.struct("sensor_a", "sensor_b")
-    take = ["n", "offset", "drift", "variance", "valid"]  # of states of one time the latest, which has the most measurements
+    take = ["k", "offset", "drift", "variance", "valid"]  # of states of one time the latest
     found = as_of(pairs.withColumn("pair", key), history.withColumn("pair", key).select("pair", "t_ns", *take), "pair", "t_ns", ["icao", "raw_msg"], take, F.lit(2**62), LOOKUP_SPAN_NS)
     now = F.col("prior_offset") + F.col("prior_drift") * (F.col("age").cast("double") * 1e-9)
     found = found.where("prior_valid")
@@ -213,6 +246,6 @@ def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             if b.num_rows:
-                yield _corrected(b, arrow)
+                yield corrected_batch(b, arrow)
 
     return both.mapInArrow(run, schema)

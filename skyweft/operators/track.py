@@ -102,6 +102,10 @@ class Tracker:
 
     def batch(self, b: pa.RecordBatch) -> pa.RecordBatch:
         """TRACK rows of the accepted records of a batch, in its order."""
+        return self.numbered(b)[0]
+
+    def numbered(self, b: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+        """TRACK rows of the accepted records of a batch, and which records these are."""
         n = b.num_rows
         fix, group = b.column("fix"), b.column("unsolved_group")
         fixed = fix.is_valid().to_numpy(zero_copy_only=False)
@@ -125,7 +129,7 @@ class Tracker:
             mine = self._fixes(mine[named[mine]], slot, w)
             self._output(mine, slot, w)
             done[mine] = True
-        return self._tracks(own, w, done)
+        return self._tracks(own, w, done), np.flatnonzero(done)
 
     def _fixes(self, i: np.ndarray, slot: np.ndarray, w: dict) -> np.ndarray:
         """The rows of those fixes that start a track or that theirs accepts."""

@@ -42,11 +42,11 @@ class Layers:
         }
 
 
-def build(packets: DataFrame, overrides: DataFrame | None = None, config: Config = Config()) -> Layers:
+def build(packets: DataFrame, overrides: DataFrame | None = None, config: Config = Config(), clocks: bool = True) -> Layers:
     """Layers of a batch of packets; sensor places come from ``overrides`` if given.
 
     Clocks are trained by the aircraft that tell their position; groups are corrected
-    by the offsets as of their times, then solved and tracked by aircraft.
+    by the offsets as of their times (not without ``clocks``), then solved and tracked by aircraft.
     """
     decoded = decode.decode(decode.valid_packets(packets))
     if overrides is not None:
@@ -55,7 +55,7 @@ def build(packets: DataFrame, overrides: DataFrame | None = None, config: Config
     told = cprframes.decoded_positions(groups)
     reference = told.where("cpr_lat is not null").withColumn("ecef", geo.position_to_ecef("cpr_lat", "cpr_lon", "cpr_alt_ft"))
     history = clock.offsets(clock.measurements(reference))
-    records = solve.solve_groups(clock.corrected(told, history), config)
+    records = solve.solve_groups(clock.corrected(told, history) if clocks else told, config)
     return Layers(decoded, groups, history, records, track.tracks(records))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from skyweft.operators import correlate, solve, track
 from skyweft.plans import synthetic
-from skyweft.sources import packets
 from skyweft.schemas import DECODED, FIX, GROUP, TRACK, struct
 from skyweft.streaming import serve
 from skyweft.streaming.serve import LatestState, aircraft
@@ -92,23 +91,6 @@ def test_latest_state_goes_on_after_a_restart(spark, tmp_path):
     assert {r["icao"] for r in second.current(least_ns=2 * 10**9).collect()} == {"A", "C", "D"}
 
 
-def test_packet_files_in_any_order_of_names(spark, tmp_path):
-    """A file that sorts before those read is not skipped, and none is read again."""
-    spark.dataSource.register(packets.PacketSource)
-    (tmp_path / "in").mkdir()
-
-    def put(name, *sensors):
-        payloads = [packets.HEAD.pack(s, 50.0, -5.0, 1.0, 2, 3) + bytes(7) for s in sensors]
-        (tmp_path / "in" / name).write_bytes(b"".join(bytes([len(p)]) + p for p in payloads))
-
-    stream = spark.readStream.format("packets").option("path", str(tmp_path / "in")).load()
-    for name, sensors in (("m.bin", (1, 2)), ("z.bin", (3,)), ("a.bin", (4, 5))):
-        put(name, *sensors)
-        q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-        assert q.awaitTermination(60)
-    assert sorted(r["sensor_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 4, 5]
-
-
 def test_statistics_of_a_stream(spark, tmp_path):
     import time
 
