@@ -21,6 +21,8 @@ from skyweft.schemas import struct
 
 R, Q_DRIFT, GATE_SIGMA, RESET_AFTER, VALID_AFTER = 25e-12, 1e-18, 3.5, 5, 3
 MAX_CORRECTION_S = 0.5
+#: Fixes of this quality residual or more do not train clocks.
+OWN_QUALITY_M = 200.0
 #: Look-ups of a pair's offset are worked through in spans of so much time.
 LOOKUP_SPAN_NS = 60_000_000_000
 
@@ -215,12 +217,13 @@ def corrected_batch(b: pa.RecordBatch, arrow: pa.Schema) -> pa.RecordBatch:
     new = {"timestamp_s": pa.array(ns // 1_000_000_000), "timestamp_ns": pa.array(ns % 1_000_000_000)}
     flat = pa.StructArray.from_arrays([new.get(f.name, heard.field(f.name)).cast(f.type) for f in kind], fields=list(kind))
     moved = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), flat, mask=pc.is_null(lists))
-    made = {"receptions": moved, "pair_variance": pa.array(sure, pa.float64(), mask=np.isnan(sure))}
+    made = {"receptions": moved, "pair_variance": pa.array(sure, pa.float64(), mask=np.isnan(sure)), "calibrated": pa.array(found > 0)}
     return pa.RecordBatch.from_arrays([made[f.name].cast(f.type) if f.name in made else b.column(f.name).cast(f.type) for f in arrow], schema=arrow)
 
 
 def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
-    """``groups`` with corrected reception times, and ``pair_variance`` of two-sensor ones.
+    """``groups`` with corrected reception times, ``pair_variance`` of two-sensor ones, and
+    ``calibrated``: whether any of its pairs had a valid state.
 
     Each pair of a group's sensors looks up its filter's last state as of the group's
     time. A state that is not valid (a pair just begun or reset) takes part in the
@@ -238,7 +241,7 @@ def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
     found = found.where("prior_valid")
     by = found.groupBy(*group).agg(F.collect_list(F.struct("sensor_a", "sensor_b", now.alias("offset"), F.col("prior_variance").alias("variance"))).alias("__pairs"))
     both = groups.join(by, group, "left").select(*groups.columns, "__pairs")
-    schema = T.StructType([*groups.schema.fields, T.StructField("pair_variance", T.DoubleType())])
+    schema = T.StructType([*groups.schema.fields, T.StructField("pair_variance", T.DoubleType()), T.StructField("calibrated", T.BooleanType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
@@ -249,3 +252,15 @@ def corrected(groups: DataFrame, history: DataFrame) -> DataFrame:
                 yield corrected_batch(b, arrow)
 
     return both.mapInArrow(run, schema)
+
+
+def own_references(records: DataFrame, groups: DataFrame, calibrated: DataFrame) -> DataFrame:
+    """t_ns, ecef and the uncorrected receptions of groups whose fix may train the clocks: of
+    good quality, with a pair of sensors whose clocks were known.
+
+    ``groups`` are those before, ``calibrated`` those after :func:`corrected`.
+    """
+    key = ["icao", "raw_msg", "t_ns"]
+    good = records.where(F.col("fix.quality_residual_m") < OWN_QUALITY_M).select("icao", "fix.raw_msg", "t_ns", geo.lla_to_ecef("fix.lat", "fix.lon", F.col("fix.alt_ft") * geo.FEET).alias("ecef"))
+    known = calibrated.where("calibrated").select(*key)
+    return groups.select(*key, "receptions").join(good, key).join(known, key, "left_semi").select("t_ns", "ecef", "receptions")

@@ -32,8 +32,8 @@ def nearest_place(places: DataFrame, key: str, dimension: DataFrame, dim_order:
     return best.select(key, "b.place.*", "b.distance")
 
 
-def with_overrides(receptions: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Receptions at their sensor's surveyed place; sensors without one go.
+def surveyed(receptions: DataFrame, overrides: DataFrame) -> DataFrame:
+    """sensor_id and the surveyed lat, lon and alt of the sensors that have one.
 
     A sensor is matched once, by its first position, and keeps the match; ties go to
     the first in the file (``no``, as :func:`read_overrides` numbers them).
@@ -44,12 +44,33 @@ def with_overrides(receptions: DataFrame, overrides: DataFrame) -> DataFrame:
         h = F.xxhash64("public_key", "lat", "lon", "alt", "name")
         numbered = overrides.withColumn("no", F.struct("name", h))
     numbered = numbered.select("lat", "lon", "alt", "no")
-    found = nearest_place(first, "sensor_id", numbered, "no").select("sensor_id", F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.col("alt").alias("oalt"))
+    return nearest_place(first, "sensor_id", numbered, "no").select("sensor_id", "lat", "lon", "alt")
+
+
+def with_overrides(receptions: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Receptions at their sensor's surveyed place; sensors without one go."""
+    found = surveyed(receptions, overrides).select("sensor_id", F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.col("alt").alias("oalt"))
     rest = [c for c in receptions.columns if c not in ("lat", "lon", "alt")]
     out = receptions.join(found, "sensor_id")
     return out.select(*rest, F.col("olat").alias("lat"), F.col("olon").alias("lon"), F.col("oalt").alias("alt"))
 
 
+def groups_at_overrides(groups: DataFrame, places: DataFrame) -> DataFrame:
+    """Groups with their receptions at surveyed ``places``; receptions of other sensors go.
+
+    As groups are formed before, a sensor without a place may still be a window's first. A
+    group stays, and is found to be too small, if none of its sensors has a place.
+    """
+    key, rest = ["icao", "raw_msg", "t_ns"], ["df_type", "altitude_ft", "squawk"]
+    each = groups.select(*key, *rest, F.posexplode_outer("receptions").alias("i", "r"))
+    at = places.select(F.col("sensor_id").alias("__sensor"), F.struct("lat", "lon", "alt").alias("__at"))
+    both = each.join(at, F.col("r.sensor_id") == F.col("__sensor"), "left")
+    put = F.struct("i", F.struct("r.sensor_id", *[F.col(f"__at.{c}").alias(c) for c in ("lat", "lon", "alt")], "r.timestamp_s", "r.timestamp_ns").alias("r"))
+    by = both.groupBy(*key).agg(F.array_sort(F.collect_list(F.when(F.col("__at").isNotNull(), put))).alias("rs"), F.first(F.struct(*rest)).alias("__rest"))
+    receptions = F.transform("rs", lambda x: x["r"])
+    return by.select("icao", *[f"__rest.{c}" for c in rest], "raw_msg", F.size("rs").alias("num_sensors"), receptions.alias("receptions"), "t_ns")
+
+
 def as_of(left: DataFrame, right: DataFrame, key: str, t: str, ties: list[str], take: list[str], tolerance, span: int | None = None) -> DataFrame:
     """``left`` with the latest earlier ``right`` row of its key: columns ``take`` and ``age``.
 

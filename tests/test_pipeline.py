@@ -290,6 +290,50 @@ def test_overrides(spark):
     assert got == {(1, 0): 70.0, (1, 1): 70.0, (3, 0): 70.0}
 
 
+def test_groups_at_overrides(spark):
+    """Groups are formed first: a sensor without a place anchors its window, then goes."""
+    rows = [(7, 0, "A"), (1, MS, "A"), (2, 2 * MS, "A"), (1, 2 * MS + 1, "B"), (7, 2 * MS + 2, "B"), (7, 5, "C"), (8, 6, "C")]
+    d = decoded(spark, rows).withColumn("lon", F.when(F.col("sensor_id") >= 7, 90.0).otherwise(F.col("lon")))
+    dim = spark.createDataFrame([("k", 50.1, -5.0, 70.0, "a")], "public_key string, lat double, lon double, alt double, name string")
+    places = joins.surveyed(d, dim)
+    got = {r["raw_msg"]: r for r in joins.groups_at_overrides(correlate.correlate(d), places).collect()}
+    assert {k: [x["sensor_id"] for x in r["receptions"]] for k, r in got.items()} == {"A": [1, 2], "B": [1], "C": []}
+    assert got["A"]["t_ns"] == 0 and got["A"]["num_sensors"] == 2 and {(x["lat"], x["alt"]) for x in got["A"]["receptions"]} == {(50.1, 70.0)}
+    assert got["A"]["df_type"] == 17 and got["A"]["altitude_ft"] == 30000.0
+    records = {r["t_ns"]: (r["kind"], r["reason"]) for r in solve.solve_groups(joins.groups_at_overrides(correlate.correlate(d), places)).collect()}
+    assert records[5] == records[2 * MS + 1] == ("skipped", "too_few_sensors")
+
+
+def test_own_fixes_train_the_clocks(spark):
+    """Clocks drift after the last told position: the solver's own fixes keep them known."""
+    late = lambda r: F.struct(r["sensor_id"], r["lat"], r["lon"], r["alt"], r["timestamp_s"], (r["timestamp_ns"] + r["sensor_id"] * (2000 + (r["timestamp_s"] * r["timestamp_s"] / 20).cast("long"))).alias("timestamp_ns"))
+    from skyweft.plans import synthetic
+
+    groups = synthetic.flights(spark, "/root/testdata/sf0.001", 5).withColumn("receptions", F.transform("receptions", late)).cache()
+    told = groups.drop("true_lat", "true_lon", "ecef")
+    base = clock.measurements(groups.where("cpr_lat is not null").select("t_ns", "ecef", "receptions"))
+    off = F.sqrt(F.pow((F.col("fix.lat") - F.col("true_lat")) * 111320, 2) + F.pow((F.col("fix.lon") - F.col("true_lon")) * 71000, 2))
+    measured, errors = base, []
+    for _ in range(3):
+        history = clock.offsets(measured).cache()
+        corrected = clock.corrected(told, history).cache()
+        records = solve.solve_groups(corrected).cache()
+        both = records.where("kind = 'fix' and t_ns > 40000000000").join(groups.select("icao", "t_ns", "true_lat", "true_lon"), ["icao", "t_ns"])
+        errors.append(both.agg(F.percentile_approx(off, 0.9)).first()[0])
+        own = clock.own_references(records, told, corrected)
+        good = records.where("fix.quality_residual_m < 200").join(corrected.where("calibrated").select("icao", "t_ns"), ["icao", "t_ns"])
+        assert own.count() == good.count() > 0
+        raw = {(r["t_ns"], tuple(x["timestamp_ns"] for x in r["receptions"])) for r in told.collect()}
+        assert all((r["t_ns"], tuple(x["timestamp_ns"] for x in r["receptions"])) in raw for r in own.collect())  # as heard, not as corrected
+        measured = base.unionByName(clock.measurements(own))
+    assert errors[1] < errors[0]
+    from skyweft.plans import pipeline
+
+    rows = [(s, 50.0, -5.0, 10.0, 1, s * 100, "8D" + "AB" * 13) for s in range(3)]
+    layers = pipeline.build(spark.createDataFrame(rows, "sensor_id long, lat double, lon double, alt double, timestamp_s long, timestamp_ns long, raw_msg string"), own_passes=1)
+    assert layers.is_written and layers.written() is layers and layers.records.count() == layers.groups.count()
+
+
 def test_eviction_at_an_exact_rank(spark, monkeypatch):
     """However narrow the range that is ranked; ties by the second order, nulls oldest."""
     monkeypatch.setattr(windows, "RANKED_ROWS", 20)
