@@ -83,7 +83,7 @@ def test_live_is_the_batch(spark, tmp_path):
         drain(live.live(stream), "out", tmp_path)
     got = spark.read.schema(state.LIVE).parquet(str(tmp_path / "out")).collect()
 
-    layers = pipeline.build(spark.createDataFrame(rows, PACKET))
+    layers = pipeline.build(spark.createDataFrame(rows, PACKET), write=True)
     records = layers.records.collect()
     place = lambda f: f and (f["raw_msg"], f["solve_method"], round(f["lat"], 7), round(f["lon"], 7), round(f["residual_m"], 3))
     key = lambda r: (r["icao"], r["t_ns"], r["kind"] or "", r["reason"] or "", place(r["fix"]) or ())

@@ -307,17 +307,17 @@ def test_groups_at_overrides(spark):
 def test_own_fixes_train_the_clocks(spark):
     """Clocks drift after the last told position: the solver's own fixes keep them known."""
     late = lambda r: F.struct(r["sensor_id"], r["lat"], r["lon"], r["alt"], r["timestamp_s"], (r["timestamp_ns"] + r["sensor_id"] * (2000 + (r["timestamp_s"] * r["timestamp_s"] / 20).cast("long"))).alias("timestamp_ns"))
+    from skyweft.operators.kept import kept
     from skyweft.plans import synthetic
 
-    groups = synthetic.flights(spark, "/root/testdata/sf0.001", 5).withColumn("receptions", F.transform("receptions", late)).cache()
+    groups = kept(synthetic.flights(spark, "/root/testdata/sf0.001", 5).withColumn("receptions", F.transform("receptions", late)))
     told = groups.drop("true_lat", "true_lon", "ecef")
     base = clock.measurements(groups.where("cpr_lat is not null").select("t_ns", "ecef", "receptions"))
     off = F.sqrt(F.pow((F.col("fix.lat") - F.col("true_lat")) * 111320, 2) + F.pow((F.col("fix.lon") - F.col("true_lon")) * 71000, 2))
     measured, errors = base, []
-    for _ in range(3):
-        history = clock.offsets(measured).cache()
-        corrected = clock.corrected(told, history).cache()
-        records = solve.solve_groups(corrected).cache()
+    for _ in range(2):
+        corrected = kept(clock.corrected(told, kept(clock.offsets(measured))))
+        records = kept(solve.solve_groups(corrected))
         both = records.where("kind = 'fix' and t_ns > 40000000000").join(groups.select("icao", "t_ns", "true_lat", "true_lon"), ["icao", "t_ns"])
         errors.append(both.agg(F.percentile_approx(off, 0.9)).first()[0])
         own = clock.own_references(records, told, corrected)
@@ -325,7 +325,7 @@ def test_own_fixes_train_the_clocks(spark):
         assert own.count() == good.count() > 0
         raw = {(r["t_ns"], tuple(x["timestamp_ns"] for x in r["receptions"])) for r in told.collect()}
         assert all((r["t_ns"], tuple(x["timestamp_ns"] for x in r["receptions"])) in raw for r in own.collect())  # as heard, not as corrected
-        measured = base.unionByName(clock.measurements(own))
+        measured = kept(base.unionByName(clock.measurements(own)))
     assert errors[1] < errors[0]
     from skyweft.plans import pipeline
 
@@ -429,7 +429,7 @@ def test_packets_to_tracks(spark):
             ns = round(np.linalg.norm(x - S.lla_to_ecef(a, b, h)) / v * 1e9)
             rows.append((i, a, b, h, 2 * k, int(ns), message(lat, lon, k % 2)))
     packets = spark.createDataFrame(rows, "sensor_id long, lat double, lon double, alt double, timestamp_s long, timestamp_ns long, raw_msg string")
-    layers = pipeline.build(packets)
+    layers = pipeline.build(packets, write=True)
     got = layers.tracks.orderBy("timestamp_s").collect()
     assert len(got) > 20 and {r["icao"] for r in got} == {"ABCDEF"}
     last = got[-1]
