@@ -13,8 +13,9 @@ hit spans of each row. A benchmark within the bound is one pass without a shuffl
 A null or empty text has no words and is clean. Items without words (null too)
 have no windows. Equal rows give equal results; an item_id in several rows is one
 item; the windows of items with a null id count, the id does not. With an empty
-benchmark every document is clean. Other columns are ignored or, in
-:func:`remove`, passed on.
+benchmark every document is clean; an empty table of documents gives no rows. Texts are
+read whole, a very long one alone (about ten bytes of memory a byte). Other columns are
+ignored or, in :func:`remove`, passed on, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ Learned from a bounded sample of texts with a lang that are not held out: at mos
 PER_LANG documents a language and TRAIN_BYTES of text in all, of which each language
 has the same share and one text at least (texts over a twentieth of it are passed
 over). No language is left out. lang, source and id are no inputs of a prediction.
-A text is labelled whole; a very long one is worked through in blocks.
+A text is labelled whole; a very long one is worked through in blocks. Languages are
+held to be few: what comes to the driver (eight ids or more, and one text, of each) and the
+model's weights grow with their number.
 
 Null texts and texts without a letter are ``und`` with score 0. Ties go to the
 language that is smaller by code point. With nothing learned all is ``und``.
@@ -108,7 +110,7 @@ def gram_buckets(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray
 
 
 def buckets_for(langs: int) -> int:
-    """BUCKETS, fewer for over 256 languages, so that a model's size stays bounded."""
+    """BUCKETS, fewer for over 256 languages down to 4,096, from where a model grows with them."""
     return max(1 << 12, min(BUCKETS, 1 << (24 - max(langs - 1, 1).bit_length())))
 
 

@@ -21,7 +21,9 @@ the way a bigram takes.
 
 Null texts and texts without words have 0 tokens and null losses. With no target
 document the target is uniform over the vocabulary. An id with differing labels counts
-with the smallest. Equal texts score equally.
+with the smallest. Equal texts score equally; repeated rows count and are scored each. Texts
+are read whole, a few megabytes of them at a time, a very long one alone. An empty table
+gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

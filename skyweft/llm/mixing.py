@@ -287,14 +287,18 @@ def shards(docs: DataFrame, mixed: DataFrame, n_shards: int = SHARDS, id_col: st
     """The mix itself: shard, source, doc_id, text - each shard shuffled locally.
 
     Texts meet their pieces by id (null is one) and text hash. Rows that repeat both
-    have pieces each and one text, so none is multiplied. A shard is one key; ranks
-    split it further if it is large.
+    have pieces each and one text, which goes with each row once: it is cut into its words once,
+    and the pieces are slices of them. A shard is one key; ranks split it further if it
+    is large.
     """
-    p = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "source", F.inline("pieces"))
+    p = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "source", "pieces")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("t")).groupBy("id", "h").agg(F.first("t").alias("t"))
     cut = p.join(texts, p["p_id"].eqNullSafe(texts["id"]) & (p["p_h"] == texts["h"]))
-    ws = F.regexp_extract_all(F.col("t"), F.lit(f"({WORD})"), F.lit(1))
-    cut = cut.select("shard", "rank", "source", F.col("id").alias("doc_id"), "first", F.array_join(F.slice(ws, (F.col("first") + 1).cast("int"), F.col("words").cast("int")), " ").alias("text"))
+    # a generator in between: the words would else be found again for each piece
+    cut = cut.select("source", F.col("id").alias("doc_id"), "pieces", F.explode(F.array(F.regexp_extract_all(F.col("t"), F.lit(f"({WORD})"), F.lit(1)))).alias("ws"))
+    part = lambda p: F.array_join(F.slice("ws", (p["first"] + 1).cast("int"), p["words"].cast("int")), " ")
+    each = F.transform("pieces", lambda p: F.struct(p["shard"].alias("shard"), p["rank"].alias("rank"), p["first"].alias("first"), part(p).alias("text")))
+    cut = cut.select("source", "doc_id", F.inline(each)).select("shard", "rank", "source", "doc_id", "first", "text")
     return cut.repartitionByRange(n_shards, "shard", "rank").sortWithinPartitions("shard", "rank", "doc_id", "first")
 
 

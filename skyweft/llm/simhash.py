@@ -23,14 +23,15 @@ Components are found by large-star and small-star steps on the distributed links
 
 Null and empty texts have fingerprint zero. A null id takes part, and is never the
 smallest unless all of its component are null. Repeated rows come out each. Other
-columns are ignored.
+columns are ignored, whatever their names. Texts are read whole; a very long one takes
+about twelve bytes of a worker's memory a byte. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,8 @@ COLD = 128
 PLAN_SAMPLE = 65_536
 #: Widths of parts are multiples of this many bits.
 GRID = 4
+#: Shingles of which hashes are held at a time.
+SHINGLES = 200_000
 #: Cost of a candidate pair that is verified, in rows that are emitted and shuffled.
 PAIR_COST = 0.05
 
@@ -54,36 +57,48 @@ BITS = 64
 
 
 def fingerprint_batch(texts: list, shingle: int = SHINGLE) -> np.ndarray:
-    """Unsigned 64-bit fingerprints of texts."""
+    """Unsigned 64-bit fingerprints of texts. Shingles of short texts are counted together, those
+    of a long one SHINGLES at a time."""
     from xxhash import xxh64_intdigest as xx
 
     out = np.zeros(len(texts), np.uint64)
     h: list[int] = []
     counts: list[int] = []
     which: list[int] = []
+
+    def flush() -> None:
+        if which:
+            out[which] = _majority(_ones(h, counts), np.array(counts))
+        h.clear(), counts.clear(), which.clear()
+
     for i, t in enumerate(texts):
-        words = t.encode("utf-8", "surrogatepass").translate(_LOWER).split() if t else []
-        if words:
-            n = max(1, len(words) - shingle + 1)
-            joined = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-            starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
-            stops = ends[min(shingle, len(words)) - 1 :].tolist()
-            h += [xx(joined[a:b], SEED) for a, b in zip(starts, stops)]
-            which.append(i)
-            counts.append(n)
-        if len(h) > 200_000:
-            out[which] = _majority(h, counts)
-            h, counts, which = [], [], []
-    if which:
-        out[which] = _majority(h, counts)
+        joined = b" ".join(t.encode("utf-8", "surrogatepass").translate(_LOWER).split()) if t else b""
+        if not joined:
+            continue
+        ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
+        n = max(1, len(ends) - shingle + 1)
+        starts, stops = np.append(0, ends[:-1] + 1)[:n], ends[min(shingle, len(ends)) - 1 :]
+        hashed = lambda k: [xx(joined[a:b], SEED) for a, b in zip(starts[k : k + SHINGLES].tolist(), stops[k : k + SHINGLES].tolist())]
+        if n > SHINGLES:
+            ones = sum(_ones(part, [len(part)]).astype(np.int64) for part in map(hashed, range(0, n, SHINGLES)))
+            out[i] = _majority(ones, np.array([n]))[0]
+            continue
+        h += hashed(0)
+        which.append(i)
+        counts.append(n)
+        if len(h) > SHINGLES:
+            flush()
+    flush()
     return out
 
 
-def _majority(h: list[int], counts: list[int]) -> np.ndarray:
+def _ones(h: list[int], counts: list[int]) -> np.ndarray:
+    """How often each bit is set in each of the runs of ``counts`` hashes."""
     bits = np.unpackbits(np.array(h, np.uint64).byteswap().view(np.uint8).reshape(-1, 8), axis=1)
-    n = np.array(counts)
-    ones = np.add.reduceat(bits, np.cumsum(n) - n, axis=0, dtype=np.int32)
+    return np.add.reduceat(bits, np.cumsum(counts) - counts, axis=0, dtype=np.int32)
+
+
+def _majority(ones: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.packbits(ones * 2 > n[:, None], axis=1).view(np.uint64).reshape(-1).byteswap()
 
 
@@ -326,8 +341,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Components are told apart by their roots, so that those without ids, or with the
     same smallest id, keep one document each. All columns stay. Of rows that repeat that id the one with the smallest hash of
-    its text stays, then of its whole row. Only ids and hashes meet before the kept
-    rows' texts move once.
+    its text stays, then of its whole row: each task picks its own of them first, so that no
+    number of repeats is one task's. Only ids and hashes meet before the kept rows' texts
+    move.
     """
     text_hash = F.xxhash64(F.col(text_col))
     score = lambda texts: {"fp": fingerprint_batch(texts, shingle).view(np.int64)}
@@ -337,9 +353,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = rows.join(of, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
     keep = first.groupBy("root").agg(F.min(F.struct("h", "id")).alias("m")).select(F.col("m.id").alias("__skyweft_id"), F.col("m.h").alias("__skyweft_h"))
     marked = docs.withColumn("__skyweft_text", text_hash).join(keep.distinct(), F.col(id_col).eqNullSafe(F.col("__skyweft_id")) & (F.col("__skyweft_text") == F.col("__skyweft_h")))
-    alike = Window.partitionBy("__skyweft_id", "__skyweft_h").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    one = marked.withColumn("__skyweft_n", F.row_number().over(alike)).where("__skyweft_n = 1")
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    one = marked.groupBy("__skyweft_id", "__skyweft_h").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("__skyweft_row"))
+    return one.select(*[F.col(f"__skyweft_row.`{c}`") for c in docs.columns])
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ so a text's count is the sum over its chunks. A chunk is lower-cased and
 split if it is Latin-1 without ``<|``, as the tokenizer would do itself; any other
 chunk goes through the library whole.
 
-Null and empty texts have 0 bytes and 0 tokens. Repeated rows count each. Columns
-other than the id and the text are ignored, whatever their names.
+Null and empty texts have 0 bytes and 0 tokens. Repeated rows count each. Texts are read
+whole, a very long one alone. An empty table gives no rows. Columns other than the id and
+the text are ignored, whatever their names.
 """
 
 from __future__ import annotations

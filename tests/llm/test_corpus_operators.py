@@ -313,3 +313,29 @@ def test_registered_queries():
     names = __spark_entry__.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def test_fingerprints_of_long_texts_in_blocks(monkeypatch):
+    """A text over the block size, alone and among others, against a loop over its shingles."""
+    import xxhash
+
+    def plain(text):
+        w = text.lower().split()
+        parts = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    rng = np.random.default_rng(2)
+    texts = [" \n".join(f"w{x}" for x in rng.integers(0, 60, n)) for n in (1, 2, 3, 9, 10, 11, 12, 40, 41, 42, 400, 5)] + ["", None]
+    for size in (10, 40, 10**6):
+        monkeypatch.setattr(simhash, "SHINGLES", size)
+        assert simhash.fingerprint_batch(texts).tolist() == [plain(t or "") for t in texts]
+
+
+def test_dedup_keeps_one_of_rows_that_repeat_an_id(spark):
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "y"), (1, "a b c d", "y"), (1, "e f g h i", "z"), (2, "a b c d", "x"), (None, "q r s t", "n"), (None, "q r s t", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    got = simhash.deduplicated(docs.repartition(4))
+    assert got.columns == docs.columns
+    texts = sorted((r["doc_id"] or 0, r["text"]) for r in got.collect())
+    assert len(texts) == 3 and texts[0] == (0, "q r s t") and {t for _, t in texts} == {"q r s t", "a b c d", "e f g h i"}
