@@ -354,7 +354,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keep = first.groupBy("root").agg(F.min(F.struct("h", "id")).alias("m")).select(F.col("m.id").alias("__skyweft_id"), F.col("m.h").alias("__skyweft_h"))
     marked = docs.withColumn("__skyweft_text", text_hash).join(keep.distinct(), F.col(id_col).eqNullSafe(F.col("__skyweft_id")) & (F.col("__skyweft_text") == F.col("__skyweft_h")))
     own = [F.col(f"`{c}`") for c in docs.columns]
-    one = marked.groupBy("__skyweft_id", "__skyweft_h").agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("__skyweft_row"))
+    # maps have no hash of their own
+    hashed = F.xxhash64(*[F.to_json(c) if "map<" in kind else c for c, (_, kind) in zip(own, docs.dtypes)])
+    one = marked.groupBy("__skyweft_id", "__skyweft_h").agg(F.min_by(F.struct(*own), hashed).alias("__skyweft_row"))
     return one.select(*[F.col(f"__skyweft_row.`{c}`") for c in docs.columns])
 
 
