@@ -51,24 +51,6 @@ def seconds_between(later_ns, earlier_ns) -> Column:
     return (col(later_ns) - col(earlier_ns)).cast("double") * 1e-9
 
 
-def measurement_noise(n, quality_m, gdop, default: float = 200.0) -> Column:
-    """Metres: scaled from quality and GDOP, bounded; two sensors are trusted least."""
-    n, q, g = col(n), col(quality_m), col(gdop)
-    two = clamp(F.when(g > 0, q * g * 3).otherwise(q * 8), F.lit(500.0), F.lit(3000.0))
-    more = clamp(F.when(g > 0, q * g).otherwise(q * 2), F.lit(50.0), F.lit(2000.0))
-    return F.when(n == 2, two).when(q > 0, more).otherwise(F.lit(default))
-
-
-def prior_uncertainty(dt_s, residual_m, has_velocity, has_prior) -> Column:
-    dt, r = col(dt_s), col(residual_m)
-    moving, still = F.greatest(F.lit(50.0), dt * dt * 25 + r), F.greatest(F.lit(100.0), dt * 300 + r)
-    return F.when(~col(has_prior), F.lit(500.0)).when(col(has_velocity), moving).otherwise(still)
-
-
-def prediction_weight(uncertainty_m) -> Column:
-    return clamp(F.lit(500.0) / F.greatest(col(uncertainty_m), F.lit(1.0)), F.lit(1.0), F.lit(12.0))
-
-
 def altitude_band(alt_ft) -> Column:
     """Map colour band of an altitude."""
     a = col(alt_ft)

@@ -111,6 +111,11 @@ class Cache(Slots):
         self.t[i], self.live[i] = t_ns, True
 
 
+def uncertainty(seen, moving, dt, residual) -> np.ndarray:
+    """Metres by which a prior may be off: by its age, and more so without a velocity."""
+    return np.where(seen, np.where(moving, np.maximum(50.0, 25 * dt * dt + residual), np.maximum(100.0, 300 * dt + residual)), 500.0)
+
+
 def enu_vectors(lat, lon, e, n, u) -> np.ndarray:
     p, q = np.radians(lat), np.radians(lon)
     sp, cp, sl, cl = np.sin(p), np.cos(p), np.sin(q), np.cos(q)
@@ -198,9 +203,8 @@ class Solver:
         out["kind"][i[passed]], out["reason"][i[passed]] = "unsolved_group", reason[passed]
         i, k, seen, alt, moving = (a[~passed] for a in (i, k, seen, alt, moving))
         dt = np.abs(c.age(k, t[i]))
-        loose = np.where(moving, np.maximum(50.0, 25 * dt * dt + c.residual[k]), np.maximum(100.0, 300 * dt + c.residual[k]))
         prior = np.where(seen[:, None], c.predict(k, t[i]), np.nan)
-        return i, {"alt": alt * FEET, "prior": prior, "uncertainty": np.where(seen, loose, 500.0), "seen": seen}
+        return i, {"alt": alt * FEET, "prior": prior, "uncertainty": uncertainty(seen, moving, dt, c.residual[k]), "seen": seen}
 
     def _seed(self, i: np.ndarray, slot, t, v) -> None:
         """A decoded position message is the aircraft's position at its time."""

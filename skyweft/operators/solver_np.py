@@ -262,6 +262,11 @@ def _dilution(h: np.ndarray, ok: np.ndarray) -> np.ndarray:
     return np.where(ok & (trace >= 0), np.sqrt(np.maximum(trace, 0)), np.inf)
 
 
+def prior_weight(uncertainty: np.ndarray) -> np.ndarray:
+    """Weight of a prior's rows: the surer, the more."""
+    return np.clip(500.0 / np.maximum(uncertainty, 1.0), 1.0, 12.0)
+
+
 METHODS = ("prior_2sensor", "constrained_3sensor", "inamdar_5sensor", "inamdar_4sensor_alt", "frisch_toa")
 
 
@@ -286,7 +291,7 @@ def solve(s: np.ndarray, t: np.ndarray, salt: np.ndarray, alt: np.ndarray, prior
     start = np.where(has_prior[i][:, None], prior, centroid(s, alt))
     used = np.ones(t.shape, bool)
     if n == 2:
-        weight = np.clip(500.0 / np.maximum(uncertainty[i], 1.0), 1.0, 12.0)
+        weight = prior_weight(uncertainty[i])
         r = toa(start, s, t, salt, alt, prior, weight, 50)
         method = np.full(len(i), "prior_2sensor", object)
     elif n == 3:

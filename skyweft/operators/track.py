@@ -166,7 +166,7 @@ class Tracker:
             around = self.f.x[k, :3]
             u = np.sqrt(np.trace(self.f.p[k][:, :3, :3], axis1=1, axis2=2))
             s, rel, salt, alt = heard.ecef[at], (stamps - first[:, None]) * 1e-9, heard.place[at, 2], w["feet"][j] * FEET
-            weight = np.clip(500.0 / np.maximum(u, 1.0), 1.0, 12.0)
+            weight = S.prior_weight(u)
             r = S.toa(around.copy(), s, rel, salt, alt, around, weight, 50)
             offset = np.linalg.norm(r["x"] - around, axis=1)
             ok = r["ok"] & (r["residual"] <= np.clip(u * 0.5, 100.0, 500.0)) & (offset <= np.clip(3 * u, 500.0, 5000.0))

@@ -19,7 +19,7 @@ from skyweft.functions import geo, modes, scalar
 from skyweft.operators import aggregates, clock, joins, solve, track, union
 from skyweft.operators import solver_np as S
 from skyweft.plans import synthetic as syn
-from skyweft.plans.registry import _GRID, _SENSOR_ROWS, ORACLES, _ecef, query, rounded
+from skyweft.plans.registry import _SENSOR_ROWS, _ecef, query, rounded
 from skyweft.plans.synthetic import SENSORS, events, sql
 from skyweft.schemas import FIX, GROUP, TRACK
 from skyweft.sources import jsonl, packets
@@ -219,12 +219,6 @@ def gdop3d_events(spark, sf):
     return each(events(spark, sf, "event_id", "lat", "lon", "alt_m"), work, "event_id long, gdop double").select("event_id", F.round("gdop", 5).alias("gdop"))
 
 
-GRID_3D = f"""WITH s AS (SELECT id, {_ecef('slat', 'slon', 'salt', 's')} FROM (VALUES {_SENSOR_ROWS}) v(id, slat, slon, salt)), c AS (SELECT r * 20 + c AS event_id, glat, glon, {_ecef('glat', 'glon', '9144.0::DOUBLE')} FROM ({_GRID})),
-u AS (SELECT event_id, (x - sx) / sqrt(pow(sx - x, 2) + pow(sy - y, 2) + pow(sz - z, 2)) AS ux, (y - sy) / sqrt(pow(sx - x, 2) + pow(sy - y, 2) + pow(sz - z, 2)) AS uy, (z - sz) / sqrt(pow(sx - x, 2) + pow(sy - y, 2) + pow(sz - z, 2)) AS uz FROM c, s),
-{_gdop3_sql('u', 'event_id')} SELECT round(glat, 4) AS lat, round(glon, 4) AS lon, round(gdop, 2) AS gdop FROM g JOIN c USING (event_id)"""
-
-ORACLES["gdop3d_grid"] = GRID_3D
-
 #: Cases of checked solutions: how many sensors, residual and offset from the prior.
 _CHECKED = """c AS (SELECT event_id, 2 + event_id % 3 AS n, CASE WHEN event_id % 4 = 0 THEN value ELSE value * 40 END AS res, (event_id % 7) * 2500.0::DOUBLE AS off FROM events)"""
 
@@ -275,9 +269,8 @@ def cache_rules(spark, sf):
         cache.velocity[k[i % 3 == 1]] = (100.0, 0.0, 0.0)
         t = (i % 90) * 1_370_000_000
         seen, moving, dt = cache.seen(k, t), cache.moving(k), cache.age(k, t)
-        loose = np.where(moving, np.maximum(50.0, 25 * dt * dt + c["value"]), np.maximum(100.0, 300 * dt + c["value"]))
         x = np.stack([(i % 11) * 900.0, np.zeros(n), np.zeros(n)], axis=1)
-        return {"event_id": i, "seen": seen, "uncertainty": np.where(seen, loose, 500.0), "ahead": cache.predict(k, t)[:, 0], "possible": cache.consistent(k, x, t, np.full(n, 20.0))}
+        return {"event_id": i, "seen": seen, "uncertainty": solve.uncertainty(seen, moving, dt, c["value"]), "ahead": cache.predict(k, t)[:, 0], "possible": cache.consistent(k, x, t, np.full(n, 20.0))}
 
     e = each(events(spark, sf, "event_id", "value"), work, "event_id long, seen boolean, uncertainty double, ahead double, possible boolean")
     return e.select("event_id", "seen", *rounded(3, uncertainty=F.col("uncertainty"), ahead=F.col("ahead")), "possible")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweft.functions import cpr, geo, geometry, modes, scalar
+from skyweft.functions import cpr, geo, modes, scalar
 from skyweft.operators import aggregates, clock, correlate, joins, snapshot, solve, track, union, windows
 from skyweft.plans import synthetic as syn
 from skyweft.plans.synthetic import SENSORS, events, sql, table
@@ -173,27 +173,6 @@ def eff_velocity(spark, sf):
     return e.select("event_id", *rounded(3, v=geo.effective_velocity((F.col("event_id") % 9) * 30.0, "alt_m")))
 
 
-@query("""SELECT event_id, round(CASE WHEN n = 2 THEN least(3000.0::DOUBLE, greatest(500.0::DOUBLE, CASE WHEN g > 0 THEN q * g * 3 ELSE q * 8 END))
-  WHEN q > 0 THEN least(2000.0::DOUBLE, greatest(50.0::DOUBLE, CASE WHEN g > 0 THEN q * g ELSE q * 2 END)) ELSE 200.0::DOUBLE END, 6) AS noise_m
-FROM (SELECT event_id, 2 + event_id % 4 AS n, CASE WHEN event_id % 10 = 0 THEN 0.0::DOUBLE ELSE value END AS q, (event_id % 6) * 1.5::DOUBLE AS g FROM events)""")
-def meas_noise(spark, sf):
-    i = F.col("event_id")
-    q = F.when(i % 10 == 0, 0.0).otherwise(F.col("value"))
-    return events(spark, sf, "event_id", "value").select("event_id", *rounded(6, noise_m=scalar.measurement_noise(i % 4 + 2, q, (i % 6) * 1.5)))
-
-
-@query("""SELECT event_id, round(CASE WHEN event_id % 3 = 0 THEN 500.0::DOUBLE WHEN event_id % 3 = 1 THEN greatest(50.0::DOUBLE, 25 * dt * dt + value) ELSE greatest(100.0::DOUBLE, 300 * dt + value) END, 6) AS u
-FROM (SELECT event_id, value, (event_id % 120) / 10.0::DOUBLE AS dt FROM events)""")
-def prior_unc(spark, sf):
-    i = F.col("event_id")
-    return events(spark, sf, "event_id", "value").select("event_id", *rounded(6, u=scalar.prior_uncertainty((i % 120) / 10, "value", i % 3 == 1, i % 3 != 0)))
-
-
-@query("SELECT event_id, round(least(12.0::DOUBLE, greatest(1.0::DOUBLE, 500.0::DOUBLE / greatest(value, 1.0::DOUBLE))), 6) AS w FROM events")
-def pred_weight(spark, sf):
-    return events(spark, sf, "event_id", "value").select("event_id", *rounded(6, w=scalar.prediction_weight("value")))
-
-
 @query("""SELECT event_id, CASE WHEN a IS NULL THEN 'grey' WHEN a < 10000 THEN 'low' WHEN a < 25000 THEN 'mid' WHEN a < 35000 THEN 'high' ELSE 'top' END AS band
 FROM (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN (event_id % 450) * 100.0::DOUBLE END AS a FROM events)""")
 def alt_band(spark, sf):
@@ -222,11 +201,6 @@ def cov_ellipse(spark, sf):
     return e.select("event_id", F.posexplode(pts).alias("i", "p")).select("event_id", "i", *rounded(7, lon=F.get("p", F.lit(0)), lat=F.get("p", F.lit(1))))
 
 
-@query("SELECT event_id, round(2 * 250000 * (sqrt(1 + (value / 500) * (value / 500)) - 1), 6) AS cost FROM events")
-def soft_l1(spark, sf):
-    return events(spark, sf, "event_id", "value").select("event_id", *rounded(6, cost=geometry.soft_l1("value")))
-
-
 # ---- correlation -------------------------------------------------------------------
 
 _FOLD = f"""e AS (SELECT user_id, event_type, event_id, sensor, t_us, row_number() OVER (PARTITION BY user_id, event_type ORDER BY t_us, event_id) AS rn FROM ({sql('user_id', 'event_type', 'event_id', 'sensor', 't_us')})),
@@ -403,24 +377,6 @@ def centroid(spark, sf):
 
 
 _SENSOR_ROWS = ", ".join(f"({i}, {a!r}::DOUBLE, {b!r}::DOUBLE, {h}::DOUBLE)" for i, a, b, h in SENSORS)
-_GRID = f"SELECT i // 20 AS r, i % 20 AS c, 49.8::DOUBLE + (i // 20) * (1.0::DOUBLE / 19) AS glat, -6.5::DOUBLE + (i % 20) * (2.0::DOUBLE / 19) AS glon FROM (SELECT unnest(range(400)) AS i)"
-
-
-@query(f"""WITH s AS (SELECT id, {_ecef('slat', 'slon', 'salt', 's')} FROM (VALUES {_SENSOR_ROWS}) v(id, slat, slon, salt)), g AS (SELECT r, c, glat, glon, {_ecef('glat', 'glon', '9144.0::DOUBLE', 'g')} FROM ({_GRID})),
-d AS (SELECT r, c, glat, glon, sx - gx AS dx, sy - gy AS dy, sz - gz AS dz, sqrt(pow(sx - gx, 2) + pow(sy - gy, 2) + pow(sz - gz, 2)) AS n FROM g, s),
-u AS (SELECT r, c, (dy * cos(radians(glon)) - dx * sin(radians(glon))) / n AS e, (dz * cos(radians(glat)) - (dx * cos(radians(glon)) + dy * sin(radians(glon))) * sin(radians(glat))) / n AS h FROM d),
-m AS (SELECT r, c, sum(e * e) AS ee, sum(h * h) AS hh, sum(e * h) AS eh FROM u GROUP BY r, c) SELECT r::BIGINT AS r, c::BIGINT AS c, round(sqrt((ee + hh) / (ee * hh - eh * eh)), 6) AS gdop FROM m""")
-def gdop2d_grid(spark, sf):
-    n = snapshot.GRID["cells"]
-    cells = snapshot.grid(spark).withColumns({"r": F.round((F.col("lat") - 49.8) * (n - 1)).cast("long"), "c": F.round((F.col("lon") + 6.5) * ((n - 1) / 2)).cast("long")})
-    each = joins.grid_sensors(cells, syn.sensors(spark)).select("r", "c", "lat", "lon", F.explode("sensors").alias("s"))
-    part = geometry.plane_parts("lat", "lon", geo.lla_to_ecef("lat", "lon", F.lit(9144.0)), geo.lla_to_ecef(F.col("s.lat"), F.col("s.lon"), F.col("s.alt")))
-    return each.select("r", "c", part.alias("p")).groupBy("r", "c").agg(*rounded(6, gdop=geometry.gdop_2d(F.col("p.e"), F.col("p.n"))))
-
-
-@query()
-def gdop3d_grid(spark, sf):
-    return snapshot.gdop_grid(snapshot.grid(spark), syn.sensors(spark))
 
 
 @query("""SELECT 'fix' AS kind, event_id AS id, value AS residual_m, NULL::INT AS num_sensors FROM events WHERE event_type = 'view'
@@ -495,4 +451,4 @@ def union_split(spark, sf):
     return union.tagged(union.fixes_of(records), union.groups_of(records)).select("t_ns", "icao", "kind")
 
 
-from skyweft.plans import production  # noqa: E402, F401  registers its queries
+from skyweft.plans import production, solving  # noqa: E402, F401  register their queries
