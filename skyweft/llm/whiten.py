@@ -32,6 +32,7 @@ from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from skyweft.llm.common import table, written
 
@@ -121,7 +122,7 @@ def fit(x: DataFrame, components: int = COMPONENTS) -> Whitening | None:
         return None
     n = sums[0][1]
     out = Whitening(n, [sums[k][0] for k in range(len(sums))], *[np.zeros(0)] * 3, 0.0)
-    m = block_matrix(listed, out.mean, n)
+    m = block_matrix(listed, out.mean, n).persist(StorageLevel.MEMORY_AND_DISK)  # read by two products; lost blocks are made again
     values, vectors = np.linalg.eigh(scatter(m, n) / n)
     values, vectors = values[::-1], vectors[:, ::-1]
     keep = min(components, int((values > RANK * max(values[0], 0.0)).sum()) if values[0] > 0 else 0)
@@ -133,6 +134,7 @@ def fit(x: DataFrame, components: int = COMPONENTS) -> Whitening | None:
     out.explained = values[:keep] / values.sum()
     white = m.multiply(local_blocks(spark, out.matrix))
     out.identity_error = float(np.abs(scatter(white, n) / n - np.eye(keep)).max())
+    m._java_matrix_wrapper._java_model.blocks().unpersist(False)
     return out
 
 
