@@ -212,7 +212,8 @@ def df17_altitude(spark, sf):
     from skyweft.operators.decode import decode
 
     me = F.col("raw_msg").substr(9, 14)
-    m = decode(_long_messages(spark, sf).select("event_id", F.col("m").alias("raw_msg"))).select("event_id", F.col("altitude_ft").alias("alt_ft"), F.conv(me.substr(1, 2), 16, 10).cast("int").alias("head"), F.conv(me.substr(3, 3), 16, 10).cast("int").alias("c"))
+    # a generator in between: what makes the message would else stand wherever a field is read
+    m = decode(_long_messages(spark, sf).select("event_id", F.explode(F.array("m")).alias("raw_msg"))).select("event_id", F.col("altitude_ft").alias("alt_ft"), F.conv(me.substr(1, 2), 16, 10).cast("int").alias("head"), F.conv(me.substr(3, 3), 16, 10).cast("int").alias("c"))
     tc = F.shiftright("head", 3)
     return m.where(~tc.between(9, 18) | (F.col("c").bitwiseAND(F.lit(16)) != 0)).select("event_id", tc.alias("tc"), "alt_ft")
 

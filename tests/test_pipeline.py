@@ -219,6 +219,31 @@ def pairs(n, known):
     return v, o
 
 
+@pytest.mark.parametrize("warm", [0, 700, 1500])
+def test_clock_filters_split_in_time(spark, warm):
+    """Spans with warm-ups, or refiltered where those don't fit, against one run through each pair:
+    drifts, outliers, jumps that reset filters, gaps over whole spans, ties."""
+    from skyweft.operators import clockspans
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for a, b, n in ((1, 2, 9000), (1, 3, 4000), (2, 3, 3), (5, 6, 1)):
+        for k in range(n):
+            t = (k + (8000 if k > 2500 else 0)) * 10**9 + int(rng.integers(0, 3)) * 10**8
+            z = 1e-4 * a + k * 1e-9 + rng.normal() * 4e-6 + (1e-3 if k % 97 == 5 else 0) + (3e-3 if b == 2 and k > 5200 else 0)
+            rows.append((a, b, t, float(z)))
+    rows += [(1, 2, 10**9, 1e-4), (1, 2, 10**9, 1e-4)]
+    df = spark.createDataFrame(rows, "sensor_a long, sensor_b long, t_ns long, measured double")
+    key = lambda r: (r["sensor_a"], r["sensor_b"], r["k"])
+    want = sorted(clock.offsets(df).collect(), key=key)
+    got = sorted(clockspans.offsets(df, 1500 * 10**9, warm * 10**9).collect(), key=key)
+    assert [(key(r), r["t_ns"], r["n"], r["valid"], r["accepted"]) for r in got] == [(key(r), r["t_ns"], r["n"], r["valid"], r["accepted"]) for r in want]
+    assert {r["accepted"] for r in got} == {True, False} and sum(r["n"] == 1 for r in got) > 4
+    for name, most in (("offset", 1e-12), ("drift", 1e-14), ("variance", 1e-17)):
+        assert np.abs(np.array([r[name] for r in got]) - np.array([r[name] for r in want])).max() < most
+    assert clockspans.offsets(df.where("false"), 10, 5).count() == 0
+
+
 def test_correction_tree():
     # from the node of most pairs
     got = clock.corrections(*pairs(3, {(1, 0): (1e-6, 1e-12), (0, 2): (-2e-6, 1e-12)}))[0]
