@@ -139,11 +139,19 @@ def damped_step(m: np.ndarray, b: np.ndarray, damp: np.ndarray) -> tuple[np.ndar
     return -np.stack([b[:, 0] / p0 - l1 * y - l2 * z, y, z], axis=1), ok
 
 
-def _normal(r: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cost, normal matrix and gradient of soft-L1 rows."""
-    root = np.sqrt(1 + (r * (1 / SOFT)) ** 2)
-    jt = (j / root[..., None]).transpose(0, 2, 1)
-    return 2 * SOFT**2 * (root.sum(1) - r.shape[1]), jt @ j, (jt @ r[..., None])[..., 0]
+def _normal(r: np.ndarray, j: np.ndarray, bent: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cost, curvature matrix and gradient of soft-L1 rows.
+
+    Rows count in the matrix by the cost's slope over the residual or, if ``bent``, by its
+    second derivative, which is always positive: steps from large residuals then don't fall
+    short, which takes a third of the steps where a prior holds the solution.
+    """
+    square = 1 + (r * (1 / SOFT)) ** 2
+    root = np.sqrt(square)
+    flat = j / root[..., None]
+    jt = flat.transpose(0, 2, 1)
+    m = (flat / square[..., None]).transpose(0, 2, 1) @ j if bent else jt @ j
+    return 2 * SOFT**2 * (root.sum(1) - r.shape[1]), m, (jt @ r[..., None])[..., 0]
 
 
 @np.errstate(divide="ignore", invalid="ignore", over="ignore")
@@ -161,12 +169,13 @@ def levenberg_marquardt(x0, s, t, v, alt, prior, weight, most: int) -> tuple[np.
     i = np.flatnonzero(good)
     fixed = [a[i] for a in (s, t, v, np.isfinite(alt), np.nan_to_num(alt), *_pull(prior, weight))]
     at, damp, live = x[i], np.full(len(i), 1e-3), np.ones(len(i), bool)
-    now, m, b = _normal(*_rows(at, *fixed))
+    bent = bool(np.any(fixed[-1] > 0))
+    now, m, b = _normal(*_rows(at, *fixed), bent)
     for _ in range(most):
         if not len(i):
             break
         step, ok = damped_step(m, b, damp)
-        then, m2, b2 = _normal(*_rows(at + step, *fixed))
+        then, m2, b2 = _normal(*_rows(at + step, *fixed), bent)
         better = ok & live & (then < now)
         w = better[:, None]
         promised = -np.einsum("gk,gk->g", step, b)

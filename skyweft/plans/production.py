@@ -553,3 +553,6 @@ def solver_truth(spark, sf):
     both = groups.select("raw_msg", "true_lat", "true_lon").join(r, "raw_msg").agg(F.count_if(F.col("kind") == "fix").alias("fixes"), (F.sum((off <= 400).cast("int")) >= 0.9 * F.count(off)).alias("near"))
     counted = groups.agg(F.count("*").alias("groups")).join(n).join(both)
     return counted.select("groups", (F.col("groups") == F.col("all")).alias("each_has_a_record"), (F.col("fixes") * 20 > F.col("groups")).alias("some_are_solved"), F.col("near").alias("nine_in_ten_within_400_m"))
+
+
+from skyweft.plans import solving  # noqa: E402, F401  registers its queries, which use this module
