@@ -385,7 +385,7 @@ t AS (SELECT event_id, root, v01, CASE root WHEN 0 THEN v01 WHEN 1 THEN v01 ELSE
   CASE root WHEN 0 THEN v12 WHEN 1 THEN v02 ELSE v01 END AS vx, CASE root WHEN 0 THEN c12 WHEN 1 THEN c02 ELSE c01 END AS cx FROM d),
 w AS (SELECT *, vp IS NOT NULL AND (vq IS NULL OR vp <= vq) AS pf FROM t),
 y AS (SELECT *, CASE WHEN pf THEN cp WHEN vq IS NULL THEN NULL WHEN vp IS NOT NULL AND (vx IS NULL OR vp <= vx) THEN cp ELSE cq - cx END AS p, CASE WHEN NOT pf THEN cq WHEN vq IS NOT NULL AND (vx IS NULL OR vq <= vx) THEN cq ELSE cp + cx END AS q FROM w)
-SELECT event_id, [CASE WHEN root = 0 THEN 0 ELSE x0 END, CASE WHEN root = 1 THEN 0 WHEN root = 0 THEN x0 ELSE x1 END, CASE WHEN event_id % 3 = 0 THEN NULL WHEN root = 2 THEN 0 ELSE x1 END]::BIGINT[] AS moved_ns, CASE WHEN event_id % 3 = 0 THEN round(v01 * 1e15, 1) END AS pair_variance
+SELECT event_id, (CASE WHEN root = 0 THEN 0 ELSE x0 END)::BIGINT AS moved_0, (CASE WHEN root = 1 THEN 0 WHEN root = 0 THEN x0 ELSE x1 END)::BIGINT AS moved_1, (CASE WHEN event_id % 3 = 0 THEN NULL WHEN root = 2 THEN 0 ELSE x1 END)::BIGINT AS moved_2, CASE WHEN event_id % 3 = 0 THEN round(v01 * 1e15, 1) END AS pair_variance
 FROM (SELECT *, coalesce(round(CASE WHEN abs(p) <= 0.5 THEN p END * 1e9), 0) AS x0, coalesce(round(CASE WHEN abs(q) <= 0.5 THEN q END * 1e9), 0) AS x1 FROM y)""")
 def clock_corrections(spark, sf):
     """Nanoseconds by which each reception of groups of two and three sensors is corrected,
@@ -404,8 +404,8 @@ def clock_corrections(spark, sf):
     groups = events(spark, sf, "event_id").select(F.lit("A").alias("icao"), i.cast("string").alias("raw_msg"), at.alias("t_ns"), F.when(i % 3 == 0, some(0, 1)).when(i % 3 == 1, some(0, 1, 2)).otherwise(some(2, 0, 1)).alias("receptions"))
     out = clock.corrected(groups, clock.offsets(told))
     moved = lambda r: F.when(r["sensor_id"].isNotNull(), r["timestamp_s"] * 1_000_000_000 + r["timestamp_ns"] - F.col("t_ns"))
-    three = F.array(*[moved(F.get("receptions", F.lit(k))) for k in range(3)])
-    return out.select(F.col("raw_msg").cast("long").alias("event_id"), three.alias("moved_ns"), F.round(F.col("pair_variance") * 1e15, 1).alias("pair_variance"))
+    three = [moved(F.get("receptions", F.lit(k))).alias(f"moved_{k}") for k in range(3)]
+    return out.select(F.col("raw_msg").cast("long").alias("event_id"), *three, F.round(F.col("pair_variance") * 1e15, 1).alias("pair_variance"))
 
 
 @query("""SELECT a AS sensor_a, b AS sensor_b, round(max_by(value, event_id) * 1e6, 3) AS offset_us, round(max_by(value * 2, event_id) * 1e6, 3) AS drift_ppm, max(event_id) % 100 >= 3 AS valid FROM (SELECT *, user_id % 3 AS a, 5 + user_id % 4 AS b FROM events) GROUP BY a, b ORDER BY a, b LIMIT 10""")
