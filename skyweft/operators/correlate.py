@@ -1,13 +1,17 @@
 """Anchored correlation windows: receptions of one message within 2 ms of the first.
 
-A window is anchored at its first reception, unlike a session. Receptions further than
-the window from the one before begin a new group in any case, so rows are first cut into
-runs there, by a lag over the key; the rows within the window of a run's first need no
-more. The rest, of runs that are longer than the window, are cut into spans of time, so that
-the rows of one key are no one task's: within a span each row's successor (the first row
-past its window) is looked up and followed by doubling, to where a chain that enters at
-each of the span's first rows leaves it; these few rows of all spans are then walked in order,
-and each span is cut from where its chain enters. No array holds a run.
+A window is anchored at its first reception, unlike a session. One shuffle brings a key's
+rows together in order; the rows then pass in batches of any cut, with the key and anchor of
+the row before carried along. In a batch each row's successor (the first row past its
+window, or of the next key) is looked up for all rows at once, and the chain of successors
+from the first open window marks the anchors. No array holds a run, and a row costs the same
+however dense its key is.
+
+With ``split`` a key's long runs are not one task's: a lag over the key cuts runs where
+two rows are further apart than the window, and rows past the window of a run's first are cut
+into spans of time. Within a span chains are followed by doubling, to where a chain that enters at
+each of the span's first rows leaves it; these few rows of all spans are walked in order,
+and each span is cut from where its chain enters.
 """
 
 from __future__ import annotations
@@ -24,23 +28,61 @@ from pyspark.sql import types as T
 SPAN_WINDOWS = 1024
 
 
-def anchored(rows: DataFrame, keys: list[str], t: str, ties: list[str], window: int) -> DataFrame:
+def anchored(rows: DataFrame, keys: list[str], t: str, ties: list[str], window: int, split: bool = False) -> DataFrame:
     """``rows`` with ``anchor``: the time of the first row of each row's group.
 
-    ``t`` and ``window`` are integers of one unit; equal times are ordered by ``ties``.
+    ``t`` and ``window`` are integers of one unit; equal times are ordered by ``ties``. A
+    null time has a null anchor. ``split`` is for keys whose runs are many tasks' work.
     """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    rest = [c for c in rows.columns if c not in (*keys, t, *ties)]
+    names = [*keys, "anchor", t, *ties, *rest]
+    if not split:
+        schema = T.StructType([*rows.schema.fields, T.StructField("anchor", T.LongType())])
+        arrow = to_arrow_schema(schema)
+        near = rows.repartition(*keys).sortWithinPartitions(*keys, t, *ties)
+        return near.mapInArrow(lambda bs: _chained(bs, keys, t, window, arrow), schema).select(*names)
     order = Window.partitionBy(*keys).orderBy(t, *ties)
     gap = F.col(t) - F.lag(t).over(order)
     opens = F.when(gap <= window, None).otherwise(F.col(t).cast("long"))
     began = F.last(opens, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     marked = rows.withColumn("__run", began)
-    rest = [c for c in rows.columns if c not in (*keys, t, *ties)]
-    names = [*keys, "anchor", t, *ties, *rest]
     first = F.coalesce(F.col(t) - F.col("__run") <= window, F.lit(True))
     near = marked.where(first).withColumn("anchor", F.col("__run")).select(*names)
     return near.unionByName(_long_runs(marked.where(~first), keys, t, window).select(*names))
 
 
+def _chained(batches: Iterator[pa.RecordBatch], keys: list[str], t: str, window: int, arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and time, with their anchors. Between batches only the last row's
+    key and anchor are kept."""
+    last, anchor = None, None
+    for b in batches:
+        n = b.num_rows
+        if not n:
+            continue
+        none = b.column(t).is_null().to_numpy(zero_copy_only=False)
+        at = b.column(t).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        apart = none.copy()
+        apart[1:] |= none[:-1]
+        apart[starts(b, keys)] = True
+        # gaps over the window are all one: neither long times nor other keys' rows matter
+        gap = np.diff(at, prepend=at[0])
+        line = np.cumsum(np.where(apart | (gap > window), window + 1, gap))
+        same = anchor is not None and not none[0] and len(starts(pa.concat_batches([last, b.slice(0, 1)]), keys)) == 1 and at[0] - anchor <= window
+        held = int(np.searchsorted(line, line[0] + window - (at[0] - anchor), "right")) if same else 0
+        after = np.searchsorted(line, line + window, "right").tolist()
+        marks, i = [], held
+        while i < n:
+            marks.append(i)
+            i = after[i]
+        mine = np.full(n, anchor if same else 0, np.int64)
+        mine[held:] = np.repeat(at[marks], np.diff([*marks, n]))
+        last, anchor = b.slice(n - 1), None if none[-1] else int(mine[-1])
+        cols = [*b.columns, pa.array(mine, mask=none)]
+        yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+
 def _long_runs(rows: DataFrame, keys: list[str], t: str, window: int) -> DataFrame:
     """``rows`` (past the window of their runs' first) with their anchors."""
     span = SPAN_WINDOWS * window

@@ -29,12 +29,12 @@ def test_anchored_windows(spark):
     assert got == {("A", 0): [1, 2], ("B", 10**9): [0, 1], ("B", 10**9 + 3 * MS): [2, 3], ("C", 0): [1, 2]}
 
 
-@pytest.mark.parametrize("span", [1, 2, 5, 1024])
+@pytest.mark.parametrize("span", [None, 1, 2, 5, 1024])
 @pytest.mark.parametrize("window", [1, 25])
 def test_anchored_is_the_plain_fold(spark, monkeypatch, span, window):
-    """Runs over many spans, ties, negative times, string and null keys, in small batches too."""
+    """Runs over many batches or spans, ties, negative times, string and null keys, in small batches."""
     monkeypatch.setattr(correlate, "SPAN_WINDOWS", span)
-    rng = np.random.default_rng(5 + span)
+    rng = np.random.default_rng(5 + (span or 0))
     rows = [(int(i), int(k), None if k == 3 else f"k{k % 2}", int(t)) for i, (k, t) in enumerate(zip(rng.integers(0, 4, 900), rng.integers(-500, 2500, 900)))]
     rows += [(i + 1000, 9, "regular", 10 * i) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, k long, name string, t long")
@@ -45,15 +45,31 @@ def test_anchored_is_the_plain_fold(spark, monkeypatch, span, window):
         want[i] = anchor[k]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
-        got = [(r["id"], r["anchor"]) for r in correlate.anchored(df, ["k", "name"], "t", ["id"], window).collect()]
+        got = [(r["id"], r["anchor"]) for r in correlate.anchored(df, ["k", "name"], "t", ["id"], window, split=span is not None).collect()]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(got) == sorted(want.items())
 
 
-def test_anchored_null_times(spark):
+def test_anchored_batches_of_any_cut():
+    """Keys that hold null, not-a-number and equal times go over batch edges as within them."""
+    import pyarrow as pa
+
+    kind = pa.schema([("k", pa.float64()), ("t", pa.int64()), ("anchor", pa.int64())])
+    keys = [None] * 4 + [1.0] * 5 + [float("nan")] * 4
+    times = [None, 0, 2, 3, -4, -4, -1, 2**60, 2**60 + 3, None, None, 2**60, 2**60 + 1]
+    want = [None, 0, 0, 3, -4, -4, -1, 2**60, 2**60 + 3, None, None, 2**60, 2**60]
+    whole = pa.record_batch([pa.array(keys, pa.float64()), pa.array(times, pa.int64())], names=["k", "t"])
+    for n in range(1, 14):
+        cut = [whole.slice(i, n) for i in range(0, 13, n)]
+        got = pa.Table.from_batches(correlate._chained(iter([whole.slice(0, 0), *cut]), ["k"], "t", 2, kind))
+        assert got.column("anchor").to_pylist() == want
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_anchored_null_times(spark, split):
     df = spark.createDataFrame([(1, None), (1, 5), (1, 6)], "k long, t long").withColumn("id", F.monotonically_increasing_id())
-    assert sorted((r["t"] or -1, r["anchor"]) for r in correlate.anchored(df, ["k"], "t", ["id"], 2).collect()) == [(-1, None), (5, 5), (6, 5)]
+    assert sorted((r["t"] or -1, r["anchor"]) for r in correlate.anchored(df, ["k"], "t", ["id"], 2, split).collect()) == [(-1, None), (5, 5), (6, 5)]
 
 
 def test_as_of_by_spans(spark):
