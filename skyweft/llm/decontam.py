@@ -7,8 +7,10 @@ windows' rolling hashes are broadcast; each document's windows are hashed the sa
 way, looked up and verified word by word. Every word inside an occurrence is hit.
 
 The broadcast's bound is checked: items are cut into blocks of ``block_bytes`` of
-text and each block is scanned for in a pass of its own, the passes adding up the
-hit spans of each row. A benchmark within the bound is one pass without a shuffle.
+text, one of which is on the driver at a time. A benchmark within the bound is one pass
+without a shuffle. Each further block is a pass that reads the texts and gives only what it
+hits: a text's hash of 128 bits, spans and items. These meet the documents once, by hash;
+no text is written or moved for a block, and equal texts are one row there.
 
 A null or empty text has no words and is clean. Items without words (null too)
 have no windows. Equal rows give equal results; an item_id in several rows is one
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyweft.llm.common import chunks, small_batches, table, written
+from skyweft.llm.common import chunks, map_text, small_batches, table, written
 
 #: Production parameters.
 WINDOW = 10
@@ -168,46 +170,83 @@ def blocks(bench: DataFrame, block_bytes: int, id_col: str = "item_id", text_col
         yield block
 
 
-_FOUND = [("n_words", T.LongType()), ("hits", T.ArrayType(T.IntegerType())), ("items", T.ArrayType(T.StringType()))]
+_KINDS = [("n_words", T.LongType()), ("hits", T.ArrayType(T.IntegerType())), ("items", T.ArrayType(T.StringType()))]
+#: A text's hash and what is hit of it: names that no table is likely to have.
+_A, _B, _HITS, _ITEMS = "__skyweft_a", "__skyweft_b", "__skyweft_hits", "__skyweft_items"
+
+
+def _hashed(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds 128 bits of the text. One that is null has some too, but is never hit."""
+    text = F.col(f"`{text_col}`")
+    return df.withColumns({_A: F.xxhash64(text), _B: F.xxhash64(F.lit(29), text, F.octet_length(text))})
 
 
 def scan(docs: DataFrame, bench: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id, n_words, n_hit, hits (start, end, start, end ... in words) and item ids of every row."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spark = docs.sparkSession
-    small_batches(spark)
-    df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = T.StructType([*df.schema.fields, *[T.StructField(k, t) for k, t in _FOUND]])
-    for done, block in enumerate(blocks(bench, block_bytes)):
-        items = spark.sparkContext.broadcast(block)
-        if done:
-            df = written(df)
-        df = df.mapInArrow(_pass(to_arrow_schema(schema), uuid.uuid4().hex, items, n), schema)
-    if "hits" not in df.columns:
-        df = df.mapInArrow(_pass(to_arrow_schema(schema), uuid.uuid4().hex, spark.sparkContext.broadcast([]), n), schema)
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rest = blocks(bench, block_bytes)
+    score = _scores(docs.sparkSession, next(rest, []), n)
+    more = _found(src, "text", rest, n)
+    if more is None:
+        df = map_text(src, "text", ["id"], score, _KINDS)
+    else:
+        df = map_text(_hashed(src, "text"), "text", ["id", _A, _B], score, _KINDS).join(more, [_A, _B], "left").drop(_A, _B)
+        schema = T.StructType([f for f in df.schema if f.name not in (_HITS, _ITEMS)])
+        df = df.mapInArrow(_added(to_arrow_schema(schema)), schema)
     pairs = F.sequence(F.lit(0), F.size("hits") - 2, F.lit(2))
     n_hit = F.when(F.size("hits") > 0, F.aggregate(pairs, F.lit(0).cast("long"), lambda a, i: a + F.get("hits", i + 1) - F.get("hits", i)))
     return df.select(F.col("id").alias(id_col), "n_words", F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"), "hits", "items")
 
 
-def _pass(arrow: pa.Schema, key, items, n: int):
+def _scores(spark: SparkSession, block: list, n: int):
+    """For ``map_text``: the number of words, hit spans and item ids of each text."""
+    key, items = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
+
+    def score(texts: list) -> dict:
+        index = _index(key, items, n)
+        docs = [words_of(t) for t in texts]
+        hits, names = [[] for _ in docs], [[] for _ in docs]
+        for d, (spans, hit) in index.scan(docs).items():
+            hits[d] = union(spans)
+            names[d] = sorted({index.items[k][0] for k in hit if index.items[k][0] is not None})
+        return {"n_words": np.fromiter(map(len, docs), np.int64, len(docs)), "hits": hits, "items": names}
+
+    return score
+
+
+def _found(docs: DataFrame, text_col: str, rest, n: int) -> DataFrame | None:
+    """Hash, hits and item ids of the texts that any block of ``rest`` hits, a row a text;
+    spans and items of different blocks follow each other. None without a block.
+
+    What a block hits is written before the next block is read.
+    """
+    texts = _hashed(docs.select(F.col(f"`{text_col}`").alias("text")).where("text is not null"), "text")
+    parts = None
+    for block in rest:
+        hit = map_text(texts, "text", [_A, _B], _scores(docs.sparkSession, block, n), _KINDS).where(F.size("hits") > 0)
+        part = written(hit.groupBy(_A, _B).agg(F.first("hits").alias(_HITS), F.first("items").alias(_ITEMS)))
+        parts = part if parts is None else parts.union(part)
+    return None if parts is None else parts.groupBy(_A, _B).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in (_HITS, _ITEMS)])
+
+
+def _pairs(flat: list[int]) -> list[tuple[int, int]]:
+    return list(zip(flat[::2], flat[1::2]))
+
+
+def _added(arrow: pa.Schema):
+    """Hits and items of the first block with those of the others."""
+
     def run(batches):
         for b in batches:
-            texts = b.column("text").to_pylist()
-            before = b.column("hits").to_pylist() if "hits" in b.schema.names else [[] for _ in texts]
-            names = b.column("items").to_pylist() if "items" in b.schema.names else [[] for _ in texts]
-            count = []
-            index = _index(key, items, n)
-            for i, j in chunks(texts):
-                docs = [words_of(t) for t in texts[i:j]]
-                count += map(len, docs)
-                for d, (spans, hit) in index.scan(docs).items():
-                    was = before[i + d]
-                    before[i + d] = union([*zip(was[::2], was[1::2]), *spans])
-                    names[i + d] = sorted({*names[i + d], *(index.items[k][0] for k in hit if index.items[k][0] is not None)})
-            cols = [b.column("id"), b.column("text"), count, before, names]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+            hits, names = b.column("hits").to_pylist(), b.column("items").to_pylist()
+            for i, (more, others) in enumerate(zip(b.column(_HITS).to_pylist(), b.column(_ITEMS).to_pylist())):
+                if more:
+                    hits[i] = union(_pairs(hits[i]) + _pairs(more))
+                    names[i] = sorted({*names[i], *others})
+            data = {f.name: b.column(f.name) for f in b.schema} | {"hits": pa.array(hits, arrow.field("hits").type), "items": pa.array(names, arrow.field("items").type)}
+            yield pa.RecordBatch.from_arrays([data[f.name].cast(f.type) for f in arrow], schema=arrow)
 
     return run
 
@@ -233,58 +272,44 @@ def cut(text: str, index: Index) -> str | None:
     return text
 
 
-#: The column in which passes over several blocks add up a document's hits.
-_HITS = "__skyweft_hits"
-
-
 def remove(docs: DataFrame, bench: DataFrame, n: int = WINDOW, text_col: str = "text", chars_col: str | None = "n_chars", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without hit spans, and without documents hit for over WHOLE_SHARE.
 
     All columns stay; clean rows are untouched. ``chars_col`` follows a cut text. With
     several blocks, all are scanned for before a document is judged and cut, again for
-    the documents that were cut until none is hit: block sizes do not show.
+    the documents that were cut until none is hit: block sizes do not show. Only cut
+    documents are written; the others are ``docs`` less those with a hit text.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
     small_batches(spark)
     arrow = to_arrow_schema(docs.schema)
-    shared = [(uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in blocks(bench, block_bytes)]
-    if not shared:
+    some = blocks(bench, block_bytes)
+    first = next(some, None)
+    if first is None:
         return docs
-    if len(shared) == 1:
-        return docs.mapInArrow(_removal(arrow, *shared[0], n, text_col, chars_col), docs.schema)
-    left, clean = docs, None
+    if next(some, None) is None:
+        return docs.mapInArrow(_removal(arrow, uuid.uuid4().hex, spark.sparkContext.broadcast(first), n, text_col, chars_col), docs.schema)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    left, clean = docs, []
     while True:
-        left = left.withColumn(_HITS, F.array().cast("array<int>"))
-        for key, items in shared:
-            left = written(left.mapInArrow(_hits(key, items, n, text_col), left.schema))
-        done = left.where(F.size(_HITS) == 0).drop(_HITS)
-        clean = done if clean is None else clean.union(done)
-        hit = left.where(F.size(_HITS) > 0)
-        if hit.isEmpty():
-            return clean
+        found = written(_found(left, text_col, blocks(bench, block_bytes), n))
+        if found.isEmpty():
+            break
+        hashed = _hashed(left, text_col)
+        clean.append(hashed.join(found, [_A, _B], "left_anti").select(*own))
+        hit = hashed.join(found, [_A, _B]).select(*own, _HITS)
         left = written(hit.mapInArrow(_cutting(arrow, text_col, chars_col), docs.schema))
-
-
-def _hits(key, items, n: int, text_col: str):
-    def run(batches):
-        for b in batches:
-            texts, hits = b.column(text_col).to_pylist(), b.column(_HITS).to_pylist()
-            index = _index(key, items, n)
-            for i, j in chunks(texts):
-                for d, (spans, _) in index.scan([words_of(t) for t in texts[i:j]]).items():
-                    hits[i + d] = union([*zip(hits[i + d][::2], hits[i + d][1::2]), *spans])
-            data = {f.name: b.column(f.name) for f in b.schema} | {_HITS: pa.array(hits, b.schema.field(_HITS).type)}
-            yield pa.RecordBatch.from_arrays(list(data.values()), names=list(data))
-
-    return run
+    for c in clean:
+        left = left.union(c)
+    return left
 
 
 def _cutting(arrow: pa.Schema, text_col: str, chars_col: str | None):
     def run(batches):
         for b in batches:
-            new = {i: without(t, h) for i, (t, h) in enumerate(zip(b.column(text_col).to_pylist(), b.column(_HITS).to_pylist()))}
+            new = {i: without(t, union(_pairs(h))) for i, (t, h) in enumerate(zip(b.column(text_col).to_pylist(), b.column(_HITS).to_pylist()))}
             yield _replaced(b.drop_columns([_HITS]), new, arrow, text_col, chars_col)
 
     return run
