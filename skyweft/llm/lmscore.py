@@ -2,9 +2,10 @@
 
 Both models are bigram models of the same vocabulary, order and smoothing. The
 background's counts are of all documents, the target's of all documents in its domain
-(in the query: every one labelled of good quality), whatever their number. The
-target's ids are broadcast in blocks of about TARGET_IDS, a counting pass a block, so
-that no text is shuffled to learn which is which. A document's score is its mean loss
+(in the query: every one labelled of good quality), whatever their number. Up to
+TARGET_IDS ids of the target are broadcast, so that no text is shuffled to learn which is
+which; more ids meet the texts in one shuffle. Either way all is counted in one pass. A
+document's score is its mean loss
 per token under the target less that under the background: the lower, the closer to
 the target.
 
@@ -41,7 +42,7 @@ from skyweft.llm.decontam import words_of
 VOCAB = 50_000
 NGRAMS = 1_000_000
 DISCOUNT = 0.75
-#: Ids of target documents in one broadcast.
+#: Ids of target documents that are broadcast; more are joined by a shuffle.
 TARGET_IDS = 1_000_000
 #: Fixed point of summed losses.
 UNIT = 2.0**-32
@@ -149,10 +150,18 @@ def _batch(cols: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "n", "t"])
 
 
-def id_blocks(ids: DataFrame, most: int) -> list[DataFrame]:
-    """Distinct ids dealt by hash into frames of about ``most`` rows."""
-    n = -(-ids.count() // most)
-    return [ids.where(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(n)) == k) for k in range(n)]
+def flagged(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """text and is_target of every row of ``docs`` (id, text): whether its id is in ``ids``.
+
+    Rows without an id stay where they are. In the shuffled join a frequent id's rows can
+    be split (``ids`` holds each once).
+    """
+    mine = ids.withColumn("is_target", F.lit(True))
+    flag = F.coalesce("is_target", F.lit(False)).alias("is_target")
+    if ids.count() <= most:
+        return docs.join(F.broadcast(mine), "id", "left").select("text", flag)
+    met = docs.where("id is not null").join(mine.hint("merge"), "id", "left").select("text", flag)
+    return met.union(docs.where("id is null").select("text", F.lit(False)))
 
 
 def all_counts(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | DataFrame, most_ids: int | None = None) -> DataFrame:
@@ -162,18 +171,14 @@ def all_counts(docs: DataFrame, vocabulary: Vocabulary, target: list[str] | Data
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
-    no, yes = F.lit(False).alias("is_target"), F.lit(True).alias("is_target")
     if isinstance(target, DataFrame):
         ids = written(target.toDF("id", *target.columns[1:]).select("id").where("id is not null").distinct())
-        blocks = id_blocks(ids, most_ids or TARGET_IDS)
-        first = docs.join(F.broadcast(blocks[0].withColumn("is_target", F.lit(True))), "id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target")) if blocks else docs.select("text", no)
-        more = [docs.join(F.broadcast(b), "id", "left_semi").select("text", yes) for b in blocks[1:]]
+        parts = bigram_counts(flagged(docs, ids, most_ids or TARGET_IDS), shared)
     else:
-        first = docs.select("text", no)
-        more = [spark.createDataFrame([(t,) for t in target], "text string").select("text", yes)] if target else []
-    parts = bigram_counts(first, shared)
-    for m in more:
-        parts = parts.union(bigram_counts(m, shared, False))
+        parts = bigram_counts(docs.select("text", F.lit(False).alias("is_target")), shared)
+        if target:
+            own = spark.createDataFrame([(t, True) for t in target], "text string, is_target boolean")
+            parts = parts.union(bigram_counts(own, shared, False))
     return written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
 
 

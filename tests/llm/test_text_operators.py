@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyweft.llm import chat, decontam, langid, lmscore, quality, tokens, toxicity
+from skyweft.llm import chat, common, decontam, langid, lmscore, quality, tokens, toxicity
 
 
 def out(i) -> bool:
@@ -352,6 +352,25 @@ def test_removal_does_not_depend_on_block_size(spark, docs, no_docs):
     assert decontam.remove(no_docs, bench, block_bytes=1).count() == 0
 
 
+def test_further_blocks_write_only_what_they_hit(spark, monkeypatch):
+    """Clean texts, of which one key holds a third, are neither written nor moved for a block."""
+    bench = spark.createDataFrame([(i, " ".join(f"{x}{k}" for k in range(12))) for i, x in enumerate("pqr")], "item_id long, text string")
+    texts = [f"clean text {max(i, 60)}" for i in range(90)] + ["r0 r1 r2 r3 r4 r5 r6 r7 r8 r9 and " + "more " * 20] * 5
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wrote = []
+    monkeypatch.setattr(decontam, "written", lambda df: _counted(wrote, df))
+    assert [r["doc_id"] for r in decontam.scan(d, bench, block_bytes=1).where("n_hit = 10").orderBy("doc_id").collect()] == list(range(90, 95))
+    assert sum(wrote) == 1, wrote  # five equal texts are one
+    kept = decontam.remove(d, bench, chars_col=None, block_bytes=1).collect()
+    assert len(kept) == 95 and max(wrote) == 5 and sorted(r["text"] for r in kept)[0].startswith(" and more")
+
+
+def _counted(wrote, df):
+    out = common.written(df)
+    wrote.append(out.count())
+    return out
+
+
 def test_an_item_of_equal_words_is_not_quadratic():
     import time
 
@@ -515,3 +534,11 @@ def test_op7_target_is_every_good_document(spark, tmp_path):
     got = {r["doc_id"]: r["target_loss"] for r in lmscore.op7_lm_score(spark, str(tmp_path)).collect()}
     want = brute_losses([t for _, t in rows], [t for _, t in rows[:3]])
     assert got == {i: pytest.approx(w[1], abs=1e-6) for (i, _), w in zip(rows, want)}
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_target_flags_by_broadcast_and_by_shuffle(spark, most):
+    d = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, None)], "id long, text string")
+    ids = spark.createDataFrame([(1,), (3,), (9,)], "id long")
+    got = sorted((r["text"] or "", r["is_target"]) for r in lmscore.flagged(d, ids, most).collect())
+    assert got == [("", True), ("a", True), ("a", True), ("b", False), ("c", False)]
