@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweft.functions import geo
 from skyweft.functions.scalar import FEET, altitude_band, round_to
 from skyweft.operators import solver_np as S
+from skyweft.operators.solve import numbers
 from skyweft.operators.windows import latest_with_trail
 
 STALE_NS = 300_000_000_000
 #: Extent, cells a side and altitude of the served grid (fixed values).
 GRID = {"lat": (49.8, 50.8), "lon": (-6.5, -4.5), "cells": 20, "alt_ft": 30_000.0}
+#: Products of a sensor's unit vector (x, y, z) and a one (n).
+SUMS = ("xx", "xy", "xz", "yy", "yz", "zz", "xn", "yn", "zn", "nn")
 
 
 def snapshot(tracks: DataFrame, now_ns=None) -> DataFrame:
@@ -42,20 +46,39 @@ def grid(spark: SparkSession, spec: dict = GRID) -> DataFrame:
     return spark.range(n * n).select(i, j).select(step("i", "lat").alias("lat"), step("j", "lon").alias("lon"))
 
 
-def gdop_grid(cells: DataFrame, sensors: DataFrame, alt_ft: float = GRID["alt_ft"]) -> DataFrame:
-    """lat, lon (4 places) and 3D gdop (2 places; null if infinite) of each cell."""
-    from skyweft.operators.joins import grid_sensors
+def direction_sums(cells: DataFrame, sensors: DataFrame, alt_ft: float = GRID["alt_ft"]) -> DataFrame:
+    """What the dilution of all sensors in each cell follows from: lat, lon, ``known`` (whether
+    every sensor's place is), ``nearest`` (metres) and the sums SUMS over the sensors.
+
+    The cells are broadcast, a grid of fixed size; the sensors, however many, are dealt out and
+    added up where they are, so that no row holds them.
+    """
+    at = cells.select(F.monotonically_increasing_id().alias("cell"), "lat", "lon", geo.lla_to_ecef("lat", "lon", F.lit(alt_ft * FEET)).alias("x"))
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = sensors.select(geo.lla_to_ecef("lat", "lon", "alt").alias("s")).repartition(parts)
+    d = places.join(F.broadcast(at)).select("cell", "lat", "lon", geo.minus(F.col("x"), F.col("s")).alias("d"))
+    d = d.select("cell", "lat", "lon", "d", geo.norm(F.col("d")).alias("r"))
+    safe = F.greatest("r", F.lit(1e-9))
+    u = d.select("cell", "lat", "lon", "r", *[(F.col(f"d.{k}") / safe).alias(k) for k in "xyz"], F.lit(1.0).alias("n"))
+    sums = u.groupBy("cell", "lat", "lon").agg((F.count("r") == F.count("*")).alias("known"), F.min("r").alias("nearest"), *[F.sum(F.col(k[0]) * F.col(k[1])).alias(k) for k in SUMS])
+    return sums.drop("cell")
+
 
-    def run(frames):
-        import pandas as pd
+def gdop_of_sums(sums: DataFrame, dilution) -> DataFrame:
+    """lat, lon and gdop of :func:`direction_sums`; ``dilution`` has it of lat, lon, matrices and
+    distances of the nearest sensor."""
 
-        for f in frames:
-            out = []
-            for lat, lon, near in zip(f["lat"], f["lon"], f["sensors"]):
-                p = np.array([(s["lat"], s["lon"], s["alt"]) for s in near], float)
-                x = S.lla_to_ecef(np.array([lat]), np.array([lon]), np.array([alt_ft * FEET]))
-                out.append(float(S.gdop_3d(x, S.lla_to_ecef(p[:, 0], p[:, 1], p[:, 2])[None])[0]))
-            yield pd.DataFrame({"lat": f["lat"], "lon": f["lon"], "gdop": out})
+    def run(batches):
+        for b in batches:
+            v = {k: numbers(b.column(k)) for k in ("lat", "lon", "nearest", *SUMS)}
+            m = np.stack([np.stack([v[i + j if i + j in v else j + i] for j in "xyzn"], axis=1) for i in "xyzn"], axis=1)
+            m[~b.column("known").to_numpy(zero_copy_only=False).astype(bool)] = np.nan
+            yield pa.RecordBatch.from_arrays([b.column("lat"), b.column("lon"), pa.array(dilution(v["lat"], v["lon"], m, v["nearest"]))], names=["lat", "lon", "gdop"])
 
-    raw = grid_sensors(cells, sensors.select("lat", "lon", "alt")).mapInPandas(run, "lat double, lon double, gdop double")
+    return sums.mapInArrow(run, "lat double, lon double, gdop double")
+
+
+def gdop_grid(cells: DataFrame, sensors: DataFrame, alt_ft: float = GRID["alt_ft"]) -> DataFrame:
+    """lat, lon (4 places) and 3D gdop (2 places; null if infinite) of each cell."""
+    raw = gdop_of_sums(direction_sums(cells, sensors, alt_ft), lambda lat, lon, m, nearest: S.gdop_3d_of_sums(m, nearest))
     return raw.select(round_to("lat", 4).alias("lat"), round_to("lon", 4).alias("lon"), round_to("gdop", 2).alias("gdop"))
