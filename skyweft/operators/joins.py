@@ -9,8 +9,6 @@ from skyweft.functions.let import col
 
 MAX_OFFSET_DEG = 0.5
 CPR_PAIR_S = 10.0
-#: Rows of the small side of a nearest-place join that may be broadcast.
-BROADCAST_ROWS = 100_000
 
 
 def nearest_place(places: DataFrame, key: str, dimension: DataFrame, dim_order: str, most: float = MAX_OFFSET_DEG) -> DataFrame:
@@ -135,12 +133,3 @@ def even_odd(frames: DataFrame, key: str, t: str, ties: list[str], odd: Column,
     ok = F.abs(F.col("__e.t") - F.col("__o.t")) < col(most)
     cols = [F.when(ok, F.col(f"__{p}.{v}")).alias(f"{n}_{v}") for n, p in (("even", "e"), ("odd", "o")) for v in ("t", *values)]
     return out.select(*frames.columns, *cols)
-
-
-def grid_sensors(grid: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Each grid cell with the array of all sensors, a bounded dimension, in one row."""
-    n = sensors.count()
-    if n > BROADCAST_ROWS:
-        raise ValueError(f"{n} sensors are over the {BROADCAST_ROWS} that may be broadcast")
-    every = sensors.agg(F.collect_list(F.struct(*sensors.columns)).alias("sensors"))
-    return grid.join(F.broadcast(every))

@@ -10,7 +10,6 @@ them back.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -277,20 +276,12 @@ u AS (SELECT event_id, (x - sx) / r AS ux, (y - sy) / r AS uy, (z - sz) / r AS u
 
 def gdop2d_grid(spark, sf):
     """The solver's 2D dilution of all sensors over the same grid."""
-    from skyweft.operators import joins
-
     sensors, spec = network(spark, sf)
-    cells = joins.grid_sensors(snapshot.grid(spark, spec), sensors)
 
-    def run(batches):
-        for b in batches:
-            for lat, lon, near in zip(*[b.column(k).to_pylist() for k in ("lat", "lon", "sensors")]):
-                s = np.array([(x["lat"], x["lon"], x["alt"]) for x in near])
-                x = S.lla_to_ecef(np.array([lat]), np.array([lon]), np.array([snapshot.GRID["alt_ft"] * geo.FEET]))
-                gdop = S.gdop_2d(x, S.lla_to_ecef(s[:, 0], s[:, 1], s[:, 2])[None])
-                yield pa.RecordBatch.from_arrays([pa.array([lat]), pa.array([lon]), pa.array(gdop)], names=["lat", "lon", "gdop"])
+    def dilution(lat, lon, m, nearest):
+        return S.gdop_2d_of_sums(S.lla_to_ecef(lat, lon, snapshot.GRID["alt_ft"] * geo.FEET), m, nearest)
 
-    raw = cells.select("lat", "lon", "sensors").mapInArrow(run, "lat double, lon double, gdop double")
+    raw = snapshot.gdop_of_sums(snapshot.direction_sums(snapshot.grid(spark, spec), sensors), dilution)
     return raw.select(*rounded(4, lat=F.col("lat"), lon=F.col("lon"), gdop=F.col("gdop")))
 
 
