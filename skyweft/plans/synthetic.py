@@ -7,7 +7,7 @@ rules, so every engine derives the same ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweft.functions import geo
@@ -54,6 +54,14 @@ def sensors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SENSORS, "sensor_id BIGINT, lat DOUBLE, lon DOUBLE, alt DOUBLE")
 
 
+def address(user: Column, leg: Column) -> Column:
+    """The aircraft of a user's leg: four hexadecimal digits or more of the user and two of the
+    leg, or a dash and more of these; two of them never have the same."""
+    padded = lambda n, digits: F.lpad(n, F.greatest(F.length(n), F.lit(digits)), F.lit("0"))  # noqa: E731  lpad alone would cut longer ones
+    dash = F.when(F.length(F.hex(leg)) > 2, "-").otherwise("")
+    return F.concat(padded(F.hex(user), 4), dash, padded(F.hex(leg), 2))
+
+
 def flights(spark: SparkSession, sf_dir: str, per_group: int = 4) -> DataFrame:
     """Groups of ``per_group`` receptions of each event's aircraft on a straight course.
 
@@ -71,7 +79,7 @@ def flights(spark: SparkSession, sf_dir: str, per_group: int = 4) -> DataFrame:
     lat = F.lit(50.0) + (u % 11) * 0.05 + F.col("t") * (((u % 7) - 3) * 2e-4)
     lon = F.lit(-6.0) + (u % 13) * 0.08 + F.col("t") * (((u % 5) - 2) * 3e-4)
     alt_ft = F.lit(20_000.0) + (u % 15) * 1000
-    e = e.select("event_id", F.concat(F.lpad(F.hex(u), 4, "0"), F.lpad(F.hex("leg"), 2, "0")).alias("icao"), "k", F.col("t"), lat.alias("true_lat"), lon.alias("true_lon"), alt_ft.alias("altitude_ft"))
+    e = e.select("event_id", address(u, F.col("leg")).alias("icao"), "k", F.col("t"), lat.alias("true_lat"), lon.alias("true_lon"), alt_ft.alias("altitude_ft"))
     e = e.withColumn("ecef", geo.lla_to_ecef("true_lat", "true_lon", F.col("altitude_ft") * 0.3048))
     places = F.array(*[F.struct(F.lit(i).cast("long").alias("sensor_id"), F.lit(a).alias("lat"), F.lit(b).alias("lon"), F.lit(h).alias("alt")) for i, a, b, h in SENSORS])
     own = F.filter(places, lambda s: F.pmod(s["sensor_id"] - F.col("event_id"), F.lit(len(SENSORS))) < per_group)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyweft.operators import snapshot
 from skyweft.operators import solver_np as S
+from skyweft.plans import synthetic
 
 
 def sensors_of(spark, n):
@@ -35,3 +36,15 @@ def test_dilution_of_odd_sensors(spark):
     none = [(50.0, None), (50.0, None), (51.0, None)]
     for rows in (few[:2], [*few, (None, -5.0, 10.0)], [*few, (float("nan"), -5.0, 10.0)]):
         assert sorted((r["lat"], r["gdop"]) for r in snapshot.gdop_grid(cells, spark.createDataFrame(rows, "lat double, lon double, alt double")).collect()) == none
+
+
+def test_no_two_aircraft_have_one_address(spark, tmp_path):
+    users, legs = [0, 1, 0x1000, 0xFFFF, 0x10000, 0x10001, 0x100000, 0x1000000], [0, 1, 16, 255, 256, 257, 4096]
+    rows = spark.createDataFrame([(u, g) for u in users for g in legs], "u long, g long").select(synthetic.address(F.col("u"), F.col("g")).alias("a")).collect()
+    assert len({r["a"] for r in rows}) == len(users) * len(legs)
+    # 17 users whose numbers begin alike are flights of their own
+    i = F.col("id")
+    spark.range(17 * 6).select(i.alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"), F.when(i % 17 == 16, 0x1000).otherwise(i % 17 + 0x10000).alias("user_id")).write.parquet(f"{tmp_path}/events.parquet")
+    flights = synthetic.flights(spark, str(tmp_path), 2)
+    assert flights.select("icao").distinct().count() == 17
+    assert flights.groupBy("icao", "t_ns").count().where("count > 1").count() == 0
