@@ -16,18 +16,22 @@ def nearest_place(places: DataFrame, key: str, dimension: DataFrame, dim_order:
 
     ``places`` has key, lat and lon, one row a key; ``dimension`` has lat, lon and more,
     ties going to the smallest ``dim_order``. Both are cut into cells of ``most``
-    degrees and meet by cell and its neighbours, so no pair of far rows is formed.
+    degrees and meet by cell and its neighbours, so no pair of far rows is formed. Rows of one
+    place are one row before they meet: keys have the same nearest, and of dimension rows
+    only the first can be it.
     """
     cell = lambda c: F.floor(F.col(c) / most).cast("long")
     around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    p = places.select(F.col(key), F.col("lat").alias("plat"), F.col("lon").alias("plon")).withColumn("di", F.explode(around)).withColumn("dj", F.explode(around))
+    keys = places.select(F.col(key), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    p = keys.select("plat", "plon").distinct().withColumn("di", F.explode(around)).withColumn("dj", F.explode(around))
     p = p.withColumn("ci", F.floor(F.col("plat") / most).cast("long") + F.col("di")).withColumn("cj", F.floor(F.col("plon") / most).cast("long") + F.col("dj"))
-    d = dimension.select(F.struct(*dimension.columns).alias("place"), cell("lat").alias("ci"), cell("lon").alias("cj"))
+    first = dimension.groupBy(F.col("lat").alias("dlat"), F.col("lon").alias("dlon")).agg(F.min_by(F.struct(*dimension.columns), F.struct(dim_order)).alias("place"))
+    d = first.select("place", cell("dlat").alias("ci"), cell("dlon").alias("cj"))
     both = p.join(d, ["ci", "cj"])
     dist = F.sqrt(F.pow(F.col("plat") - F.col("place.lat"), 2) + F.pow(F.col("plon") - F.col("place.lon"), 2))
     near = both.withColumn("distance", dist).where(F.col("distance") < most)
-    best = near.groupBy(key).agg(F.min_by(F.struct("place", "distance"), F.struct(F.col("distance"), F.col(f"place.{dim_order}"))).alias("b"))
-    return best.select(key, "b.place.*", "b.distance")
+    best = near.groupBy("plat", "plon").agg(F.min_by(F.struct("place", "distance"), F.struct(F.col("distance"), F.col(f"place.{dim_order}"))).alias("b"))
+    return keys.join(best, ["plat", "plon"]).select(key, "b.place.*", "b.distance")
 
 
 def surveyed(receptions: DataFrame, overrides: DataFrame) -> DataFrame:

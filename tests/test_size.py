@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyweft.operators import snapshot
+from skyweft.operators import joins, snapshot
 from skyweft.operators import solver_np as S
 from skyweft.plans import synthetic
 
@@ -48,3 +48,37 @@ def test_no_two_aircraft_have_one_address(spark, tmp_path):
     flights = synthetic.flights(spark, str(tmp_path), 2)
     assert flights.select("icao").distinct().count() == 17
     assert flights.groupBy("icao", "t_ns").count().where("count > 1").count() == 0
+
+
+def made_by(df, ending):
+    """Rows that each such node of a collected frame's plan made."""
+    out = []
+
+    def walk(p):
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(p.executedPlan())
+        if "QueryStage" in name:
+            return walk(p.plan())
+        if name.endswith(ending):
+            out.append(p.metrics().apply("numOutputRows").value())
+        for k in range(p.children().size()):
+            walk(p.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_nearest_of_many_rows_of_one_place(spark):
+    """2,000 keys of 40 places and as many dimension rows of 20: places meet, not rows."""
+    i = F.col("id")
+    places = spark.range(2000).select(i.alias("key"), (i % 40 * 0.03).alias("lat"), F.lit(0.0).alias("lon"))
+    dim = spark.range(2000).select((2000 - i).alias("no"), (i % 20 * 0.061).alias("lat"), F.lit(0.1).alias("lon"))
+    near = joins.nearest_place(places, "key", dim, "no")
+    got = {r["key"]: (r["no"], r["distance"]) for r in near.collect()}
+    spots = [(k * 0.061, 2000 - max(range(k, 2000, 20))) for k in range(20)]
+    best = [min((((k * 0.03 - lat) ** 2 + 0.01) ** 0.5, no) for lat, no in spots) for k in range(40)]
+    assert {k: n for k, (n, _) in got.items()} == {k: best[k % 40][1] for k in range(2000)}
+    assert [got[k][1] for k in range(40)] == pytest.approx([b[0] for b in best])
+    made = made_by(near, "Join")
+    assert len(made) == 2 and max(made) <= 2000
