@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyweft.functions.let import col
 
@@ -55,34 +58,44 @@ def pruned(latest_rows: DataFrame, t: str, now, most) -> DataFrame:
     return latest_rows.where(col(now) - F.col(t) <= col(most))
 
 
-#: Ranges that rows are counted in, and rows of one range that a task may rank.
-RANGES, RANKED_ROWS = 64, 1_000_000
+#: Share of the rows by which an approximate quantile may be off, and rows of one range that a task may rank.
+QUANTILE_ERROR, RANKED_ROWS = 1 / 128, 1_000_000
 
 
 def evicted(df: DataFrame, order: list[str], most: int) -> DataFrame:
     """If there are over ``most`` rows, the newer half (the older half is evicted).
 
-    The half is cut at its exact rank: rows are counted in ranges of ``order[0]``, a
-    number, cut at approximate quantiles; the range with the cut is narrowed until it
-    is small, and only its rows are ranked. All newer ranges stay whole.
+    The half is cut at its exact rank: rows are counted in the ranges that two approximate
+    quantiles on either side of the cut leave; the range with the cut is narrowed until
+    it is small, by ``order[0]``, a number, and where that is one value by the next, and only
+    its rows are ranked. All newer ranges stay whole.
     """
     n = df.count()
     if n <= most:
         return df
-    t, keep, size = F.col(order[0]), n - n // 2, n
+    keep, size = n - n // 2, n
     inside, newer = F.lit(True), F.lit(False)
-    while size > RANKED_ROWS:
-        part = df.where(inside)
-        cuts = sorted(set(part.approxQuantile(order[0], [i / RANGES for i in range(1, RANGES)], 0.5 / RANGES)))
-        r = sum((F.coalesce(t >= c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
-        counts = {x["r"]: x["n"] for x in part.groupBy(r.alias("r")).agg(F.count("*").alias("n")).collect()}  # at most RANGES rows
-        at, above = max(counts), 0
-        for at in sorted(counts, reverse=True):
-            if above + counts[at] >= keep:
+    numbers = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    for name in order:
+        t, alike = F.col(name), False
+        while size > RANKED_ROWS and not alike and name in numbers:
+            part, at = df.where(inside), 1 - keep / size
+            near = part.approxQuantile(name, [max(0.0, at - 2 * QUANTILE_ERROR), min(1.0, at + 2 * QUANTILE_ERROR)], QUANTILE_ERROR)
+            if not near:
+                break
+            # nulls come last, so below all; the quantiles are ranges of their own, so that a range gets smaller or has one value
+            above = [(c(t, F.lit(q))).cast("int") for q in near for c in (operator.ge, operator.gt)]
+            r = F.coalesce(sum(above[1:], above[0]), F.lit(-1))
+            counts = {x["r"]: x for x in part.groupBy(r.alias("r")).agg(F.count("*").alias("n"), F.min(t).alias("low"), F.max(t).alias("high")).collect()}  # at most six rows
+            for cut in sorted(counts, reverse=True):
+                if counts[cut]["n"] >= keep:
+                    break
+                keep -= counts[cut]["n"]
+            newer, inside = newer | (inside & (r > cut)), inside & (r == cut)
+            alike, before, size = counts[cut]["low"] == counts[cut]["high"], size, counts[cut]["n"]
+            if size == before:
                 break
-            above += counts[at]
-        newer, inside, keep, size = newer | (inside & (r > at)), inside & (r == at), keep - above, counts[at]
-        if len(counts) == 1:
+        if not alike:
             break
     rank = F.row_number().over(Window.orderBy(*[F.desc(c) for c in order]))
     edge = df.where(inside).withColumn("__n", rank).where(F.col("__n") <= keep).drop("__n")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyweft.operators import joins, snapshot
+from skyweft.operators import joins, snapshot, windows
 from skyweft.operators import solver_np as S
 from skyweft.plans import synthetic
 
@@ -82,3 +82,22 @@ def test_nearest_of_many_rows_of_one_place(spark):
     assert [got[k][1] for k in range(40)] == pytest.approx([b[0] for b in best])
     made = made_by(near, "Join")
     assert len(made) == 2 and max(made) <= 2000
+
+
+@pytest.mark.parametrize("ranked", [1, 20])
+@pytest.mark.parametrize("of", ["id", "id * 7919 % 1000", "id % 3", "0", "if(id % 10 < 9, 5, id)", "if(id % 2 = 0, 1, 9)", "if(id % 10 < 9, null, id)", "1700000000000000000 + id % 100"])
+def test_evicted_half_whatever_ties(spark, monkeypatch, of, ranked):
+    monkeypatch.setattr(windows, "RANKED_ROWS", ranked)
+    df = spark.range(1001).selectExpr("id", f"cast({of} as bigint) as t")
+    rows = sorted(((r["t"] is not None, r["t"] or 0, r["id"]) for r in df.collect()), reverse=True)
+    got = windows.evicted(df, ["t", "id"], 100)
+    assert sorted(r["id"] for r in got.collect()) == sorted(i for _, _, i in rows[:501])
+
+
+def test_evicted_ranks_few_rows_of_one_time(spark, monkeypatch):
+    """Where all rows have one time the next column narrows them, so that the window ranks a few."""
+    monkeypatch.setattr(windows, "RANKED_ROWS", 100)
+    got = windows.evicted(spark.range(5000).selectExpr("id", "7L as t"), ["t", "id"], 100)
+    assert sorted(r["id"] for r in got.collect()) == list(range(2500, 5000))
+    # the filters that read the table: what is newer as a whole, and what is ranked
+    assert sorted(made_by(got, "Filter"))[0] <= 100
