@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skyweft.functions.let import col
+from skyweft.functions.let import col, let
 from skyweft.functions.scalar import FEET
 
 #: WGS84 (fixed values).
@@ -119,13 +119,18 @@ def covariance_ellipse(lat, lon, a, b, d) -> Column:
     """array<array<double>>: [lon, lat] points of the ellipse of ((a, b), (b, d))."""
     lat, lon, a, b, d = map(col, (lat, lon, a, b, d))
     half, gap = (a + d) / 2, F.sqrt((a - d) * (a - d) / 4 + b * b)
-    major, minor = F.sqrt(F.greatest(half + gap, F.lit(0.0))) * ELLIPSE_SCALE, F.sqrt(F.greatest(half - gap, F.lit(0.0))) * ELLIPSE_SCALE
     turn = F.atan2(b * 2, a - d) / 2
-
-    def point(i):
-        t = i * (2 * math.pi / ELLIPSE_POINTS)
-        x, y = major * F.cos(t), minor * F.sin(t)
-        east, north = x * F.cos(turn) - y * F.sin(turn), x * F.sin(turn) + y * F.cos(turn)
-        return F.array(lon + east / (F.cos(F.radians(lat)) * (EQUATOR_M / 360)), lat + north / DEGREE_M)
-
-    return F.when(a < ELLIPSE_MOST, F.transform(F.sequence(F.lit(0), F.lit(ELLIPSE_POINTS - 1)), point))
+    # what all points share is worked out once a row, not in each point
+    whole = F.struct(
+        lat.alias("lat"), lon.alias("lon"), (F.sqrt(F.greatest(half + gap, F.lit(0.0))) * ELLIPSE_SCALE).alias("major"), (F.sqrt(F.greatest(half - gap, F.lit(0.0))) * ELLIPSE_SCALE).alias("minor"),
+        F.cos(turn).alias("cos"), F.sin(turn).alias("sin"), (F.cos(F.radians(lat)) * (EQUATOR_M / 360)).alias("degree_m"),
+    )
+    angles = [i * (2 * math.pi / ELLIPSE_POINTS) for i in range(ELLIPSE_POINTS)]
+    circle = F.array(*[F.struct(F.cos(F.lit(t)).alias("x"), F.sin(F.lit(t)).alias("y")) for t in angles])
+
+    def point(e, on):
+        x, y = e["major"] * on["x"], e["minor"] * on["y"]
+        east, north = x * e["cos"] - y * e["sin"], x * e["sin"] + y * e["cos"]
+        return F.array(e["lon"] + east / e["degree_m"], e["lat"] + north / DEGREE_M)
+
+    return F.when(a < ELLIPSE_MOST, let(whole, lambda e: F.transform(circle, lambda on: point(e, on))))

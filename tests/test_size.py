@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyweft.functions import geo
 from skyweft.operators import joins, snapshot, windows
 from skyweft.operators import solver_np as S
 from skyweft.plans import synthetic
@@ -101,3 +102,18 @@ def test_evicted_ranks_few_rows_of_one_time(spark, monkeypatch):
     assert sorted(r["id"] for r in got.collect()) == list(range(2500, 5000))
     # the filters that read the table: what is newer as a whole, and what is ranked
     assert sorted(made_by(got, "Filter"))[0] <= 100
+
+
+def test_ellipse_works_out_once_what_its_points_share(spark):
+    """The angle and the axes are no part of the expression that each point repeats."""
+    e = spark.range(3).select(F.col("id"), geo.covariance_ellipse(F.lit(50.0) + F.col("id"), F.lit(-5.0), F.lit(100.0) + F.col("id"), F.lit(20.0) * F.col("id"), F.lit(250.0)).alias("e"))
+    plan = e._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ATAN2") <= 2
+    for r in e.collect():
+        i = r["id"]
+        axes, turn = np.linalg.eigvalsh([[100.0 + i, 20.0 * i], [20.0 * i, 250.0]]), np.arctan2(40.0 * i, 100.0 + i - 250.0) / 2
+        a, b = geo.ELLIPSE_SCALE * np.sqrt(axes[::-1])
+        t = np.arange(geo.ELLIPSE_POINTS) * 2 * np.pi / geo.ELLIPSE_POINTS
+        x, y = a * np.cos(t) * np.cos(turn) - b * np.sin(t) * np.sin(turn), a * np.cos(t) * np.sin(turn) + b * np.sin(t) * np.cos(turn)
+        want = np.stack([-5.0 + x / (geo.EQUATOR_M / 360 * np.cos(np.radians(50.0 + i))), 50.0 + i + y / geo.DEGREE_M], 1)
+        assert np.allclose(r["e"], want, rtol=0, atol=1e-9)
