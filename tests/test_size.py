@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyweft.functions import geo
 from skyweft.operators import joins, snapshot, windows
 from skyweft.operators import solver_np as S
-from skyweft.plans import synthetic
+from skyweft.plans import registry, synthetic
 
 
 def sensors_of(spark, n):
@@ -117,3 +117,8 @@ def test_ellipse_works_out_once_what_its_points_share(spark):
         x, y = a * np.cos(t) * np.cos(turn) - b * np.sin(t) * np.sin(turn), a * np.cos(t) * np.sin(turn) + b * np.sin(t) * np.cos(turn)
         want = np.stack([-5.0 + x / (geo.EQUATOR_M / 360 * np.cos(np.radians(50.0 + i))), 50.0 + i + y / geo.DEGREE_M], 1)
         assert np.allclose(r["e"], want, rtol=0, atol=1e-9)
+
+
+def test_truth_of_the_solver_solves_once(spark):
+    plan = registry.queries()["solver_truth"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
